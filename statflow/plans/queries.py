@@ -264,3 +264,133 @@ def flag_years(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
     return o.select("o_orderkey", S.flag("o_orderstatus", "F").alias("is_final"),
                     S.years_before(F.year("o_orderdate")).alias("age"))
+
+
+# ---------------------------------------------------------------- A5-A7, W1, T1-T3, F8, F9
+
+
+def _freq_sql(table: str, col: str) -> str:
+    """Frequency table of one column with integer running counts."""
+    return f"""
+WITH c AS (SELECT {col} AS level, count(*) AS cnt FROM {table} GROUP BY {col}),
+r AS (SELECT level, cnt,
+             CAST(sum(cnt) OVER (ORDER BY cnt DESC, level ASC NULLS FIRST
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum,
+             CAST(sum(cnt) OVER () AS BIGINT) AS n
+      FROM c)"""
+
+
+def _frequent_sql(table: str, col: str, mode: str, p: float = 0.03, cum_p: float = 0.8) -> str:
+    cond = (f"cum / n <= CAST({cum_p} AS DOUBLE)" if mode == "strict"
+            else f"(cum - cnt) / n < CAST({cum_p} AS DOUBLE)")
+    return _freq_sql(table, col) + f"""
+SELECT level, cnt, cum, cnt / n AS share, cum / n AS cum_share FROM r
+WHERE {cond} AND cnt / n > CAST({p} AS DOUBLE)"""
+
+
+@query("freq_table", _freq_sql("part", "p_brand") + """
+SELECT level, cnt, cum, cnt / n AS share, cum / n AS cum_share FROM r""")
+def freq_table_q(spark, sf_dir):
+    return L.freq_table(_t(spark, sf_dir, "part"), "p_brand")
+
+
+@query("frequent_levels_strict", _frequent_sql("part", "p_brand", "strict"))
+def frequent_levels_strict(spark, sf_dir):
+    return L.frequent_levels(_t(spark, sf_dir, "part"), "p_brand", mode="strict")
+
+
+@query("frequent_levels_inclusive", _frequent_sql("part", "p_brand", "inclusive"))
+def frequent_levels_inclusive(spark, sf_dir):
+    return L.frequent_levels(_t(spark, sf_dir, "part"), "p_brand", mode="inclusive")
+
+
+@query("frequent_nations_strict", _frequent_sql("customer", "c_nationkey", "strict"))
+def frequent_nations_strict(spark, sf_dir):
+    return L.frequent_levels(_t(spark, sf_dir, "customer"), "c_nationkey", mode="strict")
+
+
+@query("frequent_nations_inclusive", _frequent_sql("customer", "c_nationkey", "inclusive"))
+def frequent_nations_inclusive(spark, sf_dir):
+    return L.frequent_levels(_t(spark, sf_dir, "customer"), "c_nationkey", mode="inclusive")
+
+
+SIZE_RANGE = list(range(1, 30))  # fixed values: the day-of-month range of the flight flow
+SIZE_RANGE_SQL = ", ".join(str(v) for v in SIZE_RANGE)
+
+
+@query("levels", "SELECT DISTINCT p_type AS level FROM part")
+def levels_q(spark, sf_dir):
+    return L.levels(_t(spark, sf_dir, "part"), "p_type")
+
+
+@query("levels_in", _freq_sql("part", "p_size") + f"""
+SELECT level, cnt, cum, cnt / n AS share, cum / n AS cum_share FROM r
+WHERE level IN ({SIZE_RANGE_SQL})""")
+def levels_in_q(spark, sf_dir):
+    return L.levels_in(L.freq_table(_t(spark, sf_dir, "part"), "p_size"), SIZE_RANGE)
+
+
+@query("dropped_levels", f"""
+SELECT DISTINCT p_size AS level FROM part WHERE p_size NOT IN ({SIZE_RANGE_SQL})
+""")
+def dropped_levels_q(spark, sf_dir):
+    part = _t(spark, sf_dir, "part")
+    kept = L.levels(part, "p_size").where(F.col("level").isin(SIZE_RANGE))
+    return L.dropped_levels(L.levels(part, "p_size"), kept)
+
+
+def _level_report_sql() -> str:
+    parts = []
+    for col in ("p_brand", "p_type", "p_size"):
+        parts.append(f"""SELECT '{col}' AS "column", CAST({col} AS VARCHAR) AS level,
+                         count(*) AS cnt FROM part GROUP BY {col}""")
+    counts = " UNION ALL ".join(parts)
+    return f"""
+WITH c AS ({counts}),
+r AS (SELECT "column", level, cnt,
+             CAST(sum(cnt) OVER (PARTITION BY "column" ORDER BY cnt DESC, level ASC NULLS FIRST
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum,
+             CAST(sum(cnt) OVER (PARTITION BY "column") AS BIGINT) AS n
+      FROM c)
+SELECT "column", level, cnt, cum, n, cnt / n AS share, cum / n AS cum_share,
+       CASE "column"
+         WHEN 'p_brand' THEN cum / n <= 0.8::DOUBLE AND cnt / n > 0.03::DOUBLE
+         WHEN 'p_type' THEN (cum - cnt) / n < 0.8::DOUBLE AND cnt / n > 0.03::DOUBLE
+         ELSE level IN ({_sql_list(SIZE_RANGE)}) END AS kept
+FROM r"""
+
+
+@query("level_report", _level_report_sql())
+def level_report_q(spark, sf_dir):
+    specs = {"p_brand": {"p": 0.03, "cum_p": 0.8, "mode": "strict"},
+             "p_type": {"p": 0.03, "cum_p": 0.8, "mode": "inclusive"},
+             "p_size": {"allowed": SIZE_RANGE}}
+    return L.level_report(_t(spark, sf_dir, "part"), specs)
+
+
+FOLD_KEPT = [3] + list(range(10, 21))
+
+
+@query("fold_levels_exact", f"""
+SELECT p_partkey, CASE WHEN CAST(p_size AS VARCHAR) IN ({_sql_list(FOLD_KEPT)})
+                       THEN CAST(p_size AS VARCHAR) ELSE '9999' END AS p_size
+FROM part
+""")
+def fold_levels_exact(spark, sf_dir):
+    part = _t(spark, sf_dir, "part").select("p_partkey", "p_size")
+    return L.fold_levels(part, "p_size", FOLD_KEPT, match="exact")
+
+
+_PREFIX_COND = " OR ".join(f"starts_with(CAST(p_size AS VARCHAR), '{k}')" for k in FOLD_KEPT)
+
+
+@query("fold_levels_prefix", f"""
+SELECT p_partkey,
+       CASE WHEN p_size IS NULL THEN NULL
+            WHEN CAST(p_size AS VARCHAR) = '' OR {_PREFIX_COND} THEN CAST(p_size AS VARCHAR)
+            ELSE '9999' END AS p_size
+FROM part
+""")
+def fold_levels_prefix(spark, sf_dir):
+    part = _t(spark, sf_dir, "part").select("p_partkey", "p_size")
+    return L.fold_levels(part, "p_size", FOLD_KEPT, match="prefix")
