@@ -38,15 +38,39 @@ def remove_stopwords(col: str | Column, words: Iterable[str] = ENGLISH_STOP_WORD
 
 
 def ngrams(col: str | Column, n: int = 2) -> Column:
-    """Space-joined n-grams; an array shorter than ``n`` gives an empty array."""
+    """Space-joined n-grams; an array shorter than ``n`` gives an empty array.
+
+    Built from ``n`` shifted slices zipped together, so the input array is
+    referenced a fixed number of times per row - never once per element, which
+    would re-run the whole upstream expression (tokenizer included) for every
+    n-gram if the optimizer inlines it.
+    """
     if n < 1:
         raise ValueError("n must be >= 1")
     arr = _c(col)
-    grams = F.transform(F.sequence(F.lit(1), F.size(arr) - (n - 1)),
-                        lambda i: F.array_join(F.slice(arr, i, n), " "))
+    count = F.greatest(F.size(arr) - (n - 1), F.lit(0))
+    shifted = [F.slice(arr, k + 1, count).alias(f"g{k}") for k in range(n)]
+    zipped = F.arrays_zip(*shifted)
+    grams = F.transform(zipped, lambda s: F.concat_ws(" ", *[s[f"g{k}"] for k in range(n)]))
     return F.when(F.size(arr) >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
 def size(col: str | Column) -> Column:
     """Number of elements."""
     return F.size(_c(col))
+
+
+def explode_values(df, keys, col: str | Column, out: str, pos: str | None = None):
+    """One row per array element (``keys..., [pos,] out``).
+
+    Uses the outer generator plus a null filter on the generated column:
+    with a plain ``explode`` Spark infers ``size(arr) > 0`` and pushes it
+    below the projection, evaluating the whole array expression twice.
+    Empty and null arrays produce no rows, as with ``explode``.
+    """
+    src = _c(col)
+    if pos is None:
+        return (df.select(*keys, F.explode_outer(src).alias(out))
+                .where(F.col(out).isNotNull()))
+    return (df.select(*keys, F.posexplode_outer(src).alias(pos, out))
+            .where(F.col(pos).isNotNull()))

@@ -394,3 +394,263 @@ FROM part
 def fold_levels_prefix(spark, sf_dir):
     part = _t(spark, sf_dir, "part").select("p_partkey", "p_size")
     return L.fold_levels(part, "p_size", FOLD_KEPT, match="prefix")
+
+
+# ---------------------------------------------------------------- M1-M3, M5
+
+
+def _index_sql(col: str, name: str) -> str:
+    return (f"{name} AS (SELECT {col} AS level, row_number() OVER (ORDER BY count(*) DESC, {col})"
+            f" - 1 AS idx FROM part GROUP BY {col}), n{name} AS (SELECT count(*) AS n FROM {name})")
+
+
+_INDEX_SQL = "WITH " + _index_sql("p_brand", "b") + ", " + _index_sql("p_type", "t")
+
+
+def _indexed_part(spark, sf_dir):
+    from statflow.operators.features import string_index
+    part = _t(spark, sf_dir, "part")
+    return string_index(part, ["p_brand", "p_type"])
+
+
+@query("string_index", _INDEX_SQL + """
+SELECT p_partkey, CAST(b.idx AS INTEGER) AS brand_idx, CAST(t.idx AS INTEGER) AS type_idx
+FROM part JOIN b ON part.p_brand = b.level JOIN t ON part.p_type = t.level
+""")
+def string_index_q(spark, sf_dir):
+    df = _indexed_part(spark, sf_dir)
+    return df.select("p_partkey", F.col("p_brand_indexed").cast("int").alias("brand_idx"),
+                     F.col("p_type_indexed").cast("int").alias("type_idx"))
+
+
+@query("one_hot", _INDEX_SQL + """
+SELECT p_partkey, CAST(b.idx AS INTEGER) AS slot, 1.0::DOUBLE AS value
+FROM part JOIN b ON part.p_brand = b.level
+WHERE b.idx < (SELECT n FROM nb) - 1
+""")
+def one_hot_q(spark, sf_dir):
+    from statflow.operators.features import one_hot, vector_entries
+    df = one_hot(_indexed_part(spark, sf_dir), ["p_brand_indexed"])
+    return vector_entries(df, ["p_partkey"], "p_brand_indexed_encoded")
+
+
+@query("assemble", _INDEX_SQL + """
+SELECT p_partkey, 0 AS slot, p_retailprice AS value FROM part WHERE p_retailprice <> 0
+UNION ALL
+SELECT p_partkey, CAST(1 + b.idx AS INTEGER), 1.0::DOUBLE
+FROM part JOIN b ON part.p_brand = b.level WHERE b.idx < (SELECT n FROM nb) - 1
+UNION ALL
+SELECT p_partkey, CAST(1 + (SELECT n FROM nb) - 1 + t.idx AS INTEGER), 1.0::DOUBLE
+FROM part JOIN t ON part.p_type = t.level WHERE t.idx < (SELECT n FROM nt) - 1
+""")
+def assemble_q(spark, sf_dir):
+    from statflow.operators.features import assemble, one_hot, vector_entries
+    df = one_hot(_indexed_part(spark, sf_dir), ["p_brand_indexed", "p_type_indexed"])
+    df = assemble(df, ["p_retailprice", "p_brand_indexed_encoded", "p_type_indexed_encoded"])
+    return vector_entries(df, ["p_partkey"], "features")
+
+
+TYPE_LEVELS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
+@query("dummies", "SELECT p_partkey, " + ", ".join(
+    f"CAST(coalesce(CAST(p_type = '{lv}' AS INTEGER), 0) AS INTEGER) AS type_{lv}"
+    for lv in TYPE_LEVELS[1:]) + " FROM part")
+def dummies_q(spark, sf_dir):
+    part = _t(spark, sf_dir, "part").select("p_partkey", "p_type")
+    return L.dummies(part, "p_type", TYPE_LEVELS, prefix="type", baseline="ECONOMY")
+
+
+# ---------------------------------------------------------------- A8-A10, A13, A14
+
+
+@query("impute_mean", f"""
+WITH s AS ({_NULLIF_SQL})
+SELECT l_orderkey, l_linenumber,
+       round(coalesce(l_discount, (SELECT avg(l_discount) FROM s)), 6) AS l_discount,
+       round(coalesce(l_tax, (SELECT avg(l_tax) FROM s)), 6) AS l_tax
+FROM s
+""")
+def impute_mean_q(spark, sf_dir):
+    out = A.impute_mean(_lineitem_nullif(spark, sf_dir), ["l_discount", "l_tax"])
+    return out.withColumns({c: F.round(c, 6) for c in ("l_discount", "l_tax")})
+
+
+@query("impute_const", f"""
+SELECT l_orderkey, l_linenumber, coalesce(l_discount, 0.0::DOUBLE) AS l_discount,
+       coalesce(l_tax, 0.01::DOUBLE) AS l_tax
+FROM ({_NULLIF_SQL})
+""")
+def impute_const_q(spark, sf_dir):
+    return A.impute_const(_lineitem_nullif(spark, sf_dir), {"l_discount": 0.0, "l_tax": 0.01})
+
+
+GRAM_X = ["l_quantity", "l_discount", "l_tax"]
+GRAM_Y = "l_extendedprice"
+
+
+def _gram_sql() -> str:
+    terms = [("const", "CAST(1 AS DECIMAL(18,2))")] + [
+        (c, f"CAST({c} AS DECIMAL(18,2))") for c in GRAM_X + [GRAM_Y]]
+    sums, sel = [], []
+    for i, (ni, ei) in enumerate(terms):
+        for j in range(i, len(terms)):
+            nj, ej = terms[j]
+            if ni == GRAM_Y and nj == GRAM_Y:
+                continue
+            sums.append(f"sum({ei} * {ej}) AS g_{i}_{j}")
+            sel.append(f"SELECT {i} AS i, {j} AS j, '{ni}' AS term_i, '{nj}' AS term_j, "
+                       f"CAST(g_{i}_{j} AS DOUBLE) AS value FROM s")
+    return f"WITH s AS (SELECT {', '.join(sums)} FROM lineitem) " + " UNION ALL ".join(sel)
+
+
+@query("gram", _gram_sql())
+def gram_q(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    g = A.gram(li, GRAM_X, GRAM_Y, exact_scale=2)
+    # y'y is left out of the comparison only: its exact sum exceeds 2^53 units,
+    # where decimal-to-double conversion is engine specific.
+    return g.where(~((F.col("term_i") == GRAM_Y) & (F.col("term_j") == GRAM_Y)))
+
+
+@query("ols_simple", """
+SELECT 'const' AS term, round(regr_intercept(l_extendedprice, l_quantity), 6) AS beta
+FROM lineitem
+UNION ALL
+SELECT 'l_quantity', round(regr_slope(l_extendedprice, l_quantity), 6) FROM lineitem
+""")
+def ols_simple(spark, sf_dir):
+    from statflow.operators.models import ols
+    out = ols(_t(spark, sf_dir, "lineitem"), ["l_quantity"], "l_extendedprice", exact_scale=2)
+    return out.withColumn("beta", F.round("beta", 6))
+
+
+@query("ols_multi")
+def ols_multi(spark, sf_dir):
+    from statflow.operators.models import ols
+    return ols(_t(spark, sf_dir, "lineitem"), GRAM_X, GRAM_Y)
+
+
+# ---------------------------------------------------------------- Y1-Y5, A12, M10, M11
+
+TOK_SQL = "regexp_extract_all(lower(text), '[a-z|A-Z]+')"
+FILT_SQL = f"list_filter({TOK_SQL}, lambda x: NOT list_contains([{STOP_SQL}], x))"
+DOC_TERMS_SQL = f"""d AS (SELECT doc_id, f,
+       list_transform(range(1, len(f)), lambda i: f[i] || ' ' || f[i + 1]) AS bigrams
+  FROM (SELECT doc_id, {FILT_SQL} AS f FROM documents))"""
+
+
+def _doc_terms(spark, sf_dir):
+    from statflow.operators.partitioning import spread
+    docs = spread(_t(spark, sf_dir, "documents").select("doc_id", "text"))
+    return (docs.withColumn("tokens", Y.tokenize("text"))
+            .withColumn("filtered", Y.remove_stopwords("tokens"))
+            .withColumn("bigrams", Y.ngrams("filtered", 2))
+            .drop("text"))
+
+
+@query("tokenize", f"""
+SELECT token, count(*) AS cnt
+FROM (SELECT unnest({TOK_SQL}) AS token FROM documents) GROUP BY token
+""")
+def tokenize_q(spark, sf_dir):
+    d = _doc_terms(spark, sf_dir)
+    return (d.select(F.explode("tokens").alias("token"))
+            .groupBy("token").agg(F.count(F.lit(1)).alias("cnt")))
+
+
+@query("remove_stopwords", f"""
+SELECT token, count(*) AS cnt
+FROM (SELECT unnest({FILT_SQL}) AS token FROM documents) GROUP BY token
+""")
+def remove_stopwords_q(spark, sf_dir):
+    d = _doc_terms(spark, sf_dir)
+    return (d.select(F.explode("filtered").alias("token"))
+            .groupBy("token").agg(F.count(F.lit(1)).alias("cnt")))
+
+
+@query("ngrams", f"""
+WITH {DOC_TERMS_SQL}
+SELECT bigram, count(*) AS cnt FROM (SELECT unnest(bigrams) AS bigram FROM d) GROUP BY bigram
+""")
+def ngrams_q(spark, sf_dir):
+    d = _doc_terms(spark, sf_dir)
+    return (d.select(F.explode("bigrams").alias("bigram"))
+            .groupBy("bigram").agg(F.count(F.lit(1)).alias("cnt")))
+
+
+@query("median_size", f"""
+WITH {DOC_TERMS_SQL}
+SELECT quantile_cont(len(bigrams), 0.5) AS median_size FROM d
+""")
+def median_size_q(spark, sf_dir):
+    return A.median_size(_doc_terms(spark, sf_dir), "bigrams")
+
+
+@query("term_counts", f"""
+WITH {DOC_TERMS_SQL}
+SELECT doc_id, term, count(*) AS tf
+FROM (SELECT doc_id, unnest(bigrams) AS term FROM d) GROUP BY doc_id, term
+""")
+def term_counts_q(spark, sf_dir):
+    from statflow.operators.models import term_counts
+    return term_counts(_doc_terms(spark, sf_dir), "doc_id", "bigrams")
+
+
+@query("tf_idf", f"""
+WITH {DOC_TERMS_SQL},
+tc AS (SELECT doc_id, term, count(*) AS tf
+       FROM (SELECT doc_id, unnest(bigrams) AS term FROM d) GROUP BY doc_id, term),
+dfq AS (SELECT term, count(*) AS df FROM tc GROUP BY term),
+m AS (SELECT count(*) AS m FROM documents)
+SELECT doc_id, term, tf, df,
+       round(ln((m + 1) / (df + 1)), 9) AS idf,
+       round(tf * ln((m + 1) / (df + 1)), 9) AS tf_idf
+FROM tc JOIN dfq USING (term), m
+""")
+def tf_idf_q(spark, sf_dir):
+    from statflow.operators.models import tf_idf
+    out = tf_idf(_doc_terms(spark, sf_dir), "doc_id", "bigrams")
+    return out.withColumns({c: F.round(c, 9) for c in ("idf", "tf_idf")})
+
+
+@query("lookup", f"""
+WITH toks AS (SELECT doc_id, unnest({TOK_SQL}) AS term,
+                     unnest(range(0, len({TOK_SQL}))) AS pos FROM documents),
+v AS (SELECT term, CAST(row_number() OVER (ORDER BY count(*) DESC, term) - 1 AS INTEGER)
+             AS term_index FROM toks GROUP BY term)
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, term_index, term FROM toks JOIN v USING (term)
+""")
+def lookup_q(spark, sf_dir):
+    from statflow.operators.models import lookup_long, term_counts, vocabulary
+    d = _doc_terms(spark, sf_dir).select("doc_id", "tokens")
+    vocab = vocabulary(d, "doc_id", "tokens")
+    # Encode: token positions -> indices, one array per document.
+    pos = d.select("doc_id", F.posexplode("tokens").alias("pos", "term"))
+    coded = (pos.join(vocab.select("term", "term_index"), "term")
+             .groupBy("doc_id")
+             .agg(F.array_sort(F.collect_list(F.struct("pos", "term_index"))).alias("__p"))
+             .select("doc_id", F.transform("__p", lambda s: s["term_index"]).alias("idx")))
+    # Decode: indices -> words.
+    return lookup_long(coded, ["doc_id"], "idx", vocab)
+
+
+# ---------------------------------------------------------------- U1
+
+
+@query("keyed_job", """
+SELECT l_suppkey, count(*) AS n_lines,
+       round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue
+FROM lineitem GROUP BY l_suppkey
+""")
+def keyed_job_q(spark, sf_dir):
+    from statflow.operators.jobs import keyed_job
+
+    def mapper(pdf):
+        return pdf.assign(revenue=pdf["l_extendedprice"] * (1 - pdf["l_discount"]))[
+            ["l_suppkey", "revenue"]]
+
+    li = _t(spark, sf_dir, "lineitem").select("l_suppkey", "l_extendedprice", "l_discount")
+    out = keyed_job(li, "l_suppkey", mapper, "l_suppkey long, revenue double",
+                    aggs=[F.count(F.lit(1)).alias("n_lines"), F.sum("revenue").alias("revenue")])
+    return out.withColumn("revenue", F.round("revenue", 2))
