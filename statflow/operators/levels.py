@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from statflow.functions.constants import OTHER_LEVEL
 from statflow.operators.ordering import running_total
 
-LEVEL_ORDER = (F.desc("cnt"), F.asc("level"))
+def _level_order():
+    return (F.desc("cnt"), F.asc("level"))
 
 
 def _counts(df: DataFrame, col: str) -> DataFrame:
@@ -30,7 +31,7 @@ def freq_table(df: DataFrame, col: str) -> DataFrame:
     The running sum is computed per range partition plus offsets, so a column
     with millions of levels is not funnelled through one task.
     """
-    ranked = running_total(_counts(df, col), "cnt", LEVEL_ORDER, "cum")
+    ranked = running_total(_counts(df, col), "cnt", _level_order(), "cum")
     n = ranked.agg(F.sum("cnt")).scalar()
     return ranked.select(
         "level", "cnt", "cum",
@@ -51,7 +52,7 @@ def level_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def level_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A5 for many columns at once: ``column, level, cnt, cum, n, share, cum_share``."""
     counts = level_counts(df, cols)
-    ranked = running_total(counts, "cnt", LEVEL_ORDER, "cum", partition_by=["column"])
+    ranked = running_total(counts, "cnt", _level_order(), "cum", partition_by=["column"])
     # One row per column: bounded by the number of columns.
     totals = ranked.groupBy("column").agg(F.sum("cnt").alias("n"))
     return (ranked.join(F.broadcast(totals), "column")
@@ -83,12 +84,12 @@ def frequent_levels(df: DataFrame, col: str, p: float = 0.03, cum_p: float = 0.8
     n = counts.agg(F.sum("cnt")).scalar()
     if p > 0:
         k = math.ceil(1.0 / p)
-        top = counts.orderBy(*LEVEL_ORDER).limit(k)
-        w = Window.orderBy(*LEVEL_ORDER).rowsBetween(Window.unboundedPreceding,
+        top = counts.orderBy(*_level_order()).limit(k)
+        w = Window.orderBy(*_level_order()).rowsBetween(Window.unboundedPreceding,
                                                      Window.currentRow)
         ranked = top.withColumn("cum", F.sum("cnt").over(w))
     else:
-        ranked = running_total(counts, "cnt", LEVEL_ORDER, "cum")
+        ranked = running_total(counts, "cnt", _level_order(), "cum")
     ranked = ranked.withColumn("n", n)
     return (ranked.where(_kept_condition(p, cum_p, mode))
             .select("level", "cnt", "cum",
@@ -113,7 +114,7 @@ def dropped_levels(all_levels: DataFrame, kept: DataFrame, col: str = "level") -
 
 def levels_in(freq: DataFrame, allowed: Sequence, col: str = "level") -> DataFrame:
     """The levels of a frequency table that fall in a fixed set, in frequency order."""
-    return freq.where(F.col(col).isin(list(allowed))).orderBy(*LEVEL_ORDER)
+    return freq.where(F.col(col).isin(list(allowed))).orderBy(*_level_order())
 
 
 def level_report(df: DataFrame, specs: Mapping[str, dict]) -> DataFrame:

@@ -164,20 +164,49 @@ def median_vector_size(df: DataFrame, terms: str) -> int:
     return max(1, int(math.floor(float(med or 1) + 0.5)))
 
 
+_UNITS = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+
+
+def _bytes(text: str) -> int:
+    text = text.strip().lower().rstrip("b")
+    return int(float(text[:-1]) * _UNITS[text[-1]]) if text[-1] in _UNITS else int(text)
+
+
+def training_copies(spark, model_bytes: int, wanted: int) -> int:
+    """How many tasks may train a model copy at once without exhausting an
+    executor: every concurrent task holds its own copy plus broadcast, update
+    and result buffers (about four model sizes), within a quarter of the heap;
+    the partial models are also summed and shipped once per task."""
+    local = spark.sparkContext.master.startswith("local")
+    mem = _bytes(spark.conf.get("spark.driver.memory" if local else "spark.executor.memory",
+                                "1g"))
+    cores = (spark.sparkContext.defaultParallelism if local
+             else int(spark.conf.get("spark.executor.cores", "1")))
+    per_task = 4 * model_bytes
+    if per_task * min(cores, wanted) <= mem // 4:
+        return wanted
+    return max(1, min(wanted, (mem // 4) // max(per_task, 1)))
+
+
 def embed(df: DataFrame, terms: str, out: str = "word_vec", vector_size: int | str = "median",
           min_count: int = 0, seed: int = 42, num_partitions: int | None = None):
     """Word2Vec; a row's vector is the mean of its terms' vectors.
 
-    ``vector_size='median'`` uses the median term count per row. Training runs
-    on ``num_partitions`` tasks (default: the input's partition count) rather
-    than Spark's single default task. The vocabulary (terms seen at least
+    ``vector_size='median'`` uses the median term count per row. Training is
+    spread over as many partitions as the input has, reduced only when the
+    model copies those tasks hold (vocabulary x size x 8 bytes each) would not
+    fit the configured memory. The vocabulary (terms seen at least
     ``min_count`` times) lives on the driver: raise ``min_count`` for very
     large corpora.
     """
     size = median_vector_size(df, terms) if vector_size == "median" else int(vector_size)
-    parts = num_partitions or max(1, df.rdd.getNumPartitions())
+    if num_partitions is None:
+        counts = explode_values(df, [], terms, "__t").groupBy("__t").count()
+        vocab = counts.where(F.col("count") >= min_count).count()
+        wanted = max(1, df.rdd.getNumPartitions())
+        num_partitions = training_copies(df.sparkSession, 8 * vocab * size, wanted)
     model = Word2Vec(vectorSize=size, minCount=min_count, inputCol=terms, outputCol=out,
-                     seed=seed, numPartitions=parts).fit(df)
+                     seed=seed, numPartitions=num_partitions).fit(df)
     return model, model.transform(df)
 
 

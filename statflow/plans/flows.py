@@ -1 +1,323 @@
-"""End-to-end flows."""
+"""End-to-end flows (J1-J5), each a composition of the operators.
+
+J1 used-car price OLS, J2 delay classifier (features + model), J3/J4 topic
+models, J5 keyed text jobs. The flows that the test tables can drive are also
+registered as queries at the bottom (J2 re-aimed at lineitem x part, J3/J4 on
+documents).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.ml import Pipeline
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from statflow.functions import arrays as Y
+from statflow.functions import scalars as S
+from statflow.functions.constants import OTHER_LEVEL, OTHERS_LABEL
+from statflow.operators import aggregates as A
+from statflow.operators import levels as L
+from statflow.operators import models as M
+from statflow.operators import rows as R
+from statflow.operators.features import assembler, one_hot_encoder, split, string_indexer
+from statflow.operators.partitioning import spread
+from statflow.plans.registry import query
+from statflow.sinks import write_tsv
+from statflow.sources import read_lines, read_table, split_fields
+
+# ---------------------------------------------------------------- J1 used-car price OLS
+
+# Column groups of the used-car records, in the order the
+# regression uses them (intercept first, then these 30 regressors).
+CAR_BOOL = ["franchise_dealer", "is_new"]
+CAR_INT = ["daysonmarket", "savings_amount", "year", "maximum_seating", "transmission_display"]
+CAR_FLOAT = ["city_fuel_economy", "latitude", "longitude", "mileage", "seller_rating",
+             "highway_fuel_economy", "horsepower", "engine_displacement", "back_legroom",
+             "front_legroom", "fuel_tank_volume", "height", "length", "wheelbase", "width",
+             "power", "torque"]
+CAR_TEXT_NUMBER = ["back_legroom", "front_legroom", "fuel_tank_volume", "height", "length",
+                   "maximum_seating", "transmission_display", "wheelbase", "width"]
+CAR_RATIO = ["power", "torque"]
+CAR_SIGNED = ["daysonmarket", "savings_amount", "year", "city_fuel_economy", "latitude",
+              "longitude", "mileage", "seller_rating", "highway_fuel_economy", "horsepower",
+              "engine_displacement"]
+# Category folds (pattern -> label, None keeps the text) and the
+# dummy columns they feed, baseline "OthersM".
+CAR_FOLDS = {
+    "body_type": [("SUV|Crossover", "SUV"), ("Sedan", None)],
+    "engine_cylinders": [("I", "I")],
+    "listing_color": [("BLACK|WHITE", None)],
+    "wheel_system": [("AWD|4WD|4X2", "AWD")],
+}
+CAR_DUMMIES = [("body_type", "body_type", ["SUV", "Sedan"]), ("engine_cylinders", "engine", ["I"]),
+               ("listing_color", "color", ["BLACK", "WHITE"]), ("wheel_system", "WS", ["AWD"])]
+CAR_REGRESSORS = CAR_BOOL + CAR_INT + CAR_FLOAT + [
+    f"{prefix}_{lv}" for _, prefix, lvs in CAR_DUMMIES for lv in lvs]
+
+
+def car_features(records: DataFrame, ratio_mode: str = "fixed") -> DataFrame:
+    """J1 features: ``price`` + the 30 regressors, cleaned and mean-imputed.
+
+    ``records`` holds the text columns (``read_records`` drops records with
+    the wrong field count). Missing numbers take the global column mean;
+    ``year`` becomes the age relative to 2020 after imputation.
+    """
+    df = records.select("price", *CAR_BOOL, *CAR_FOLDS, *CAR_INT, *CAR_FLOAT)
+    df = df.withColumn("price", F.col("price").try_cast("float").cast("double"))
+    df = R.drop_null_subset(df, ["price"])
+    exprs = {}
+    for c, rules in CAR_FOLDS.items():
+        exprs[c] = S.fold_by_pattern(c, rules, OTHERS_LABEL)
+    for c in CAR_TEXT_NUMBER:
+        exprs[c] = S.extract_number(c)
+    for c in CAR_RATIO:
+        exprs[c] = S.extract_ratio(c, ratio_mode)
+    for c in CAR_SIGNED:
+        exprs[c] = S.extract_number(c, signed=True)
+    for c in CAR_BOOL:
+        exprs[c] = S.flag(c, "True").cast("double")
+    df = df.withColumns(exprs)
+    for col, prefix, lvs in CAR_DUMMIES:
+        df = L.dummies(df, col, lvs, prefix=prefix)
+    numeric = CAR_INT + CAR_FLOAT
+    df = A.impute_mean(df, numeric)
+    df = df.withColumn("year", S.years_before("year", 2020))
+    return df.select("price", *[F.col(c).cast("double") for c in CAR_REGRESSORS])
+
+
+def car_price_ols(records: DataFrame, ratio_mode: str = "fixed") -> DataFrame:
+    """31 ``(term, beta)`` rows, intercept first."""
+    return M.ols(car_features(records, ratio_mode), CAR_REGRESSORS, "price")
+
+
+# ---------------------------------------------------------------- J2 delay classifier
+
+
+def fold_features(df: DataFrame, label: str, label_gt: float, frequent: Sequence[str],
+                  allowed: Mapping[str, Sequence], hour_cols: Sequence[str] = (),
+                  keep: Sequence[str] = (), p: float = 0.03, cum_p: float = 0.8,
+                  mode: str = "strict", match: str = "exact") -> DataFrame:
+    """J2 feature frame: project, drop nulls, hhmm -> hour, fold rare levels.
+
+    ``frequent`` columns keep levels passing the share/cumulative cutoff
+    (A6, ``mode``); ``allowed`` columns keep levels inside a fixed set (T2).
+    All level counts come from one scan (``level_table``); only kept levels,
+    bounded by 1/p or the allowed set, reach the driver. Folded columns are
+    STRING, other levels become '9999'; the label is ``label > label_gt``.
+    """
+    fold_cols = list(frequent) + list(allowed)
+    cols = list(dict.fromkeys([label, *keep, *hour_cols, *fold_cols]))
+    df = R.drop_null_any(df.select(*cols))
+    df = df.withColumns({c: S.hhmm_to_hour(c) for c in hour_cols})
+    specs = {c: {"p": p, "cum_p": cum_p, "mode": mode} for c in frequent}
+    specs.update({c: {"allowed": list(v)} for c, v in allowed.items()})
+    report = L.level_report(df, specs).where("kept").select("column", "level")
+    kept: dict[str, list] = {c: [] for c in fold_cols}
+    for r in report.collect():
+        kept[r["column"]].append(r["level"])
+    df = df.withColumns({c: L.fold_levels_expr(c, sorted(kept[c]), OTHER_LEVEL, match)
+                         for c in fold_cols})
+    return df.withColumn(label, S.binarise(label, label_gt))
+
+
+def delay_model(features: DataFrame, label: str, categorical: Sequence[str],
+                numeric: Sequence[str], keys: Sequence[str], seed: int = 42,
+                weights: Sequence[float] = (0.7, 0.3), keep: Sequence[str] = ()):
+    """J2 model: index -> one-hot -> assemble (one Pipeline), seeded hash split,
+    logistic regression; returns (pipeline model, lr model, scored test rows)."""
+    idx = string_indexer(categorical)
+    ohe = one_hot_encoder(idx.getOutputCols())
+    asm = assembler(list(numeric) + ohe.getOutputCols())
+    pipe = Pipeline(stages=[idx, ohe, asm]).fit(features)
+    data = pipe.transform(features).select(*keys, *keep, label, "features")
+    train, test = split(data, list(weights), seed, keys)
+    lr = M.fit_logistic(train, "features", label)
+    return pipe, lr, M.predict(lr, test, label, keep=list(keys) + list(keep))
+
+
+# The J2 flow re-aimed at lineitem x part.
+SIZE_ALLOWED = list(range(1, 30))
+LP_FREQUENT = ["p_brand", "p_type"]
+LP_NUMERIC = ["l_quantity", "l_extendedprice"]
+LP_KEYS = ["l_orderkey", "l_linenumber"]
+
+
+def lineitem_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem").select(*LP_KEYS, "l_partkey", "l_discount",
+                                                      *LP_NUMERIC)
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
+    # No hint: the planner (and AQE at runtime) broadcasts part only when its
+    # measured size is under the threshold, else sort-merge joins.
+    return li.join(part, li.l_partkey == part.p_partkey).drop("l_partkey", "p_partkey")
+
+
+def lineitem_part_features(spark: SparkSession, sf_dir: str, mode: str = "strict",
+                           match: str = "exact") -> DataFrame:
+    return fold_features(lineitem_part(spark, sf_dir), "l_discount", 0.05, LP_FREQUENT,
+                         {"p_size": SIZE_ALLOWED}, keep=LP_KEYS + LP_NUMERIC,
+                         mode=mode, match=match).withColumnRenamed("l_discount", "label")
+
+
+def flagship(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:
+    """J2 end to end on lineitem x part: label, probability, prediction per held-out row."""
+    feats = lineitem_part_features(spark, sf_dir)
+    _, _, scored = delay_model(feats, "label", LP_FREQUENT + ["p_size"], LP_NUMERIC, LP_KEYS,
+                               seed=seed)
+    return scored
+
+
+# ---------------------------------------------------------------- J3/J4 topic models
+
+
+def text_terms(df: DataFrame, text: str, out: str = "ngrams", n: int = 2) -> DataFrame:
+    """tokens -> stop words removed -> n-grams (Y1-Y3), JVM expressions only."""
+    return (df.withColumn("words", Y.tokenize(text))
+            .withColumn("filtered_words", Y.remove_stopwords("words"))
+            .withColumn(out, Y.ngrams("filtered_words", n)))
+
+
+def topic_model(df: DataFrame, text: str, k: int = 5, max_iter: int = 10, seed: int = 42,
+                vocab_size: int = 1 << 18, min_df: float = 1.0):
+    """N-grams -> CountVectorizer -> IDF -> LDA. Returns (TopicModel, frame)."""
+    terms = text_terms(spread(df), text)
+    cv, idf, weighted = M.fit_count_idf(terms, "ngrams", vocab_size, min_df)
+    lda = M.fit_lda(weighted, "tfidf_vec", k, max_iter, seed)
+    return M.TopicModel(cv, idf, None, lda, "tfidf_vec"), weighted
+
+
+def topic_model_embedded(df: DataFrame, text: str, k: int = 5, max_iter: int = 10,
+                         seed: int = 42, vector_size: int | str = "median"):
+    """N-grams -> Word2Vec (size = median n-gram count) -> LDA on the vectors.
+
+    Word vectors hold negative values while LDA expects counts. Spark accepts
+    them, but the online optimiser's per-document loop runs until gamma
+    converges, with no iteration cap, and on negative inputs it may never
+    converge; the EM optimiser runs exactly ``max_iter`` rounds, so it is used
+    here.
+    """
+    terms = text_terms(spread(df), text)
+    w2v, embedded = M.embed(terms, "ngrams", "word_vec", vector_size, seed=seed)
+    lda = M.fit_lda(embedded, "word_vec", k, max_iter, seed, optimizer="em")
+    return M.TopicModel(None, None, w2v, lda, "word_vec"), embedded
+
+
+# ---------------------------------------------------------------- J5 keyed text jobs
+
+
+def keyed_text_job(spark: SparkSession, in_path: str, out_path: str, kind: str,
+                   names: Sequence[str] = ("symbol", "date", "open", "high"),
+                   sep: str = ",") -> DataFrame:
+    """Text lines -> fields -> one keyed job -> tab-separated output.
+
+    ``kind``: ``count`` (rows per key, key order), ``mean`` (mean of the third
+    field per key, 6 decimals), ``profile`` (lines, min and max fields) or
+    ``cluster`` (first four fields, tab-joined, sorted by key).
+    """
+    from statflow.operators.jobs import cluster_by
+    from statflow.sinks import format_line
+    lines = read_lines(spark, in_path)
+    key, value = names[0], names[2]
+    if kind == "profile":
+        out = A.record_profile(lines, "value", sep)
+    else:
+        fields = split_fields(lines, list(names), sep, types={value: "double"})
+        if kind == "count":
+            out = A.count_by(fields, key, out="count")
+        elif kind == "mean":
+            out = format_line(A.mean_by(fields, key, value, count_out=None),
+                              [(key, "%s"), ("mean", "%f")])
+        elif kind == "cluster":
+            out = cluster_by(fields, key).select(
+                F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit(""))
+                                    for c in names]).alias("line"))
+        else:
+            raise ValueError(f"unknown kind {kind!r}")
+    write_tsv(out, out_path)
+    return out
+
+
+# ---------------------------------------------------------------- registered flow queries
+
+
+def _frequent_cte(col: str) -> str:
+    return f"""{col}_c AS (SELECT {col} AS level, count(*) AS cnt FROM j GROUP BY {col}),
+{col}_r AS (SELECT level, cnt,
+  CAST(sum(cnt) OVER (ORDER BY cnt DESC, level ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+       AS BIGINT) AS cum, CAST(sum(cnt) OVER () AS BIGINT) AS n FROM {col}_c),
+{col}_k AS (SELECT level FROM {col}_r WHERE cum / n <= 0.8::DOUBLE AND cnt / n > 0.03::DOUBLE)"""
+
+
+_ALLOWED_SQL = ", ".join(f"'{v}'" for v in SIZE_ALLOWED)
+
+
+@query("flight_delay_features", f"""
+WITH j AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
+                  p_brand, p_type, p_size
+           FROM lineitem JOIN part ON l_partkey = p_partkey
+           WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL AND l_quantity IS NOT NULL
+             AND l_extendedprice IS NOT NULL AND l_discount IS NOT NULL AND p_brand IS NOT NULL
+             AND p_type IS NOT NULL AND p_size IS NOT NULL),
+{_frequent_cte("p_brand")},
+{_frequent_cte("p_type")}
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice,
+       CASE WHEN p_brand IN (SELECT level FROM p_brand_k) THEN p_brand ELSE '9999' END AS p_brand,
+       CASE WHEN p_type IN (SELECT level FROM p_type_k) THEN p_type ELSE '9999' END AS p_type,
+       CASE WHEN CAST(p_size AS VARCHAR) IN ({_ALLOWED_SQL}) THEN CAST(p_size AS VARCHAR)
+            ELSE '9999' END AS p_size,
+       CAST(l_discount > 0.05 AS INTEGER) AS label
+FROM j
+""")
+def flight_delay_features_q(spark, sf_dir):
+    return lineitem_part_features(spark, sf_dir)
+
+
+@query("flight_delay_model")
+def flight_delay_model_q(spark, sf_dir):
+    out = flagship(spark, sf_dir)
+    return out.select(*LP_KEYS, "label", F.col("probability")[1].alias("p1"), "prediction")
+
+
+@query("split")
+def split_q(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem").select(*LP_KEYS)
+    train, test = split(li, [0.7, 0.3], 42, LP_KEYS)
+    return (train.withColumn("part", F.lit("train"))
+            .unionByName(test.withColumn("part", F.lit("test"))))
+
+
+def _documents(spark, sf_dir):
+    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+@query("topic_model")
+def topic_model_q(spark, sf_dir):
+    tm, _ = topic_model(_documents(spark, sf_dir), "text")
+    return M.topic_words(tm, spark, 10)
+
+
+@query("doc_topics")
+def doc_topics_q(spark, sf_dir):
+    tm, weighted = topic_model(_documents(spark, sf_dir), "text")
+    return M.doc_topics(tm.lda, weighted, ["doc_id"])
+
+
+@query("lda_topics")
+def lda_topics_q(spark, sf_dir):
+    tm, _ = topic_model(_documents(spark, sf_dir), "text")
+    return M.topics(tm.lda, 5)
+
+
+@query("word2vec")
+def word2vec_q(spark, sf_dir):
+    from statflow.operators.features import vector_entries
+    terms = text_terms(spread(_documents(spark, sf_dir)), "text")
+    _, embedded = M.embed(terms, "ngrams", "word_vec")
+    return vector_entries(embedded, ["doc_id"], "word_vec")
+
+
+@query("topic_model_embedded")
+def topic_model_embedded_q(spark, sf_dir):
+    tm, embedded = topic_model_embedded(_documents(spark, sf_dir), "text")
+    return M.topics(tm.lda, 5)

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 # and keeps Arrow on for the few pandas-backed operators.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -20,6 +21,9 @@ DEFAULT_CONF = {
 }
 
 
+LOCAL_DRIVER_MEMORY = "16g"
+
+
 def get_session(master: str | None = None, app_name: str = "statflow",
                 shuffle_partitions: int | None = None,
                 conf: dict[str, str] | None = None) -> SparkSession:
@@ -31,6 +35,11 @@ def get_session(master: str | None = None, app_name: str = "statflow",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # Local mode runs every task in the driver JVM; 1g (Spark's
+            # default) is too small for the model fits. Only applies when this
+            # call starts the JVM.
+            builder = builder.config("spark.driver.memory", LOCAL_DRIVER_MEMORY)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
