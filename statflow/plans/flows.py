@@ -29,6 +29,22 @@ from statflow.sources import read_lines, read_table, split_fields
 
 # ---------------------------------------------------------------- J1 used-car price OLS
 
+# The 66 field names of a used-car listing record, in file order.
+CAR_COLUMNS = [
+    "vin", "back_legroom", "bed", "bed_height", "bed_length", "body_type", "cabin", "city",
+    "city_fuel_economy", "combine_fuel_economy", "daysonmarket", "dealer_zip", "description",
+    "engine_cylinders", "engine_displacement", "engine_type", "exterior_color", "fleet",
+    "frame_damaged", "franchise_dealer", "franchise_make", "front_legroom", "fuel_tank_volume",
+    "fuel_type", "has_accidents", "height", "highway_fuel_economy", "horsepower",
+    "interior_color", "isCab", "is_certified", "is_cpo", "is_new", "is_oemcpo", "latitude",
+    "length", "listed_date", "listing_color", "listing_id", "longitude", "main_picture_url",
+    "major_options", "make_name", "maximum_seating", "mileage", "model_name", "owner_count",
+    "power", "price", "salvage", "savings_amount", "seller_rating", "sp_id", "sp_name",
+    "theft_title", "torque", "transmission", "transmission_display", "trimId", "trim_name",
+    "vehicle_damage_category", "wheel_system", "wheel_system_display", "wheelbase", "width",
+    "year",
+]
+
 # Column groups of the used-car records, in the order the
 # regression uses them (intercept first, then these 30 regressors).
 CAR_BOOL = ["franchise_dealer", "is_new"]
@@ -92,6 +108,12 @@ def car_price_ols(records: DataFrame, ratio_mode: str = "fixed") -> DataFrame:
     return M.ols(car_features(records, ratio_mode), CAR_REGRESSORS, "price")
 
 
+def car_price_ols_file(spark: SparkSession, path: str, ratio_mode: str = "fixed") -> DataFrame:
+    """J1 from the raw CSV: quoted records, wrong field counts skipped."""
+    from statflow.sources import read_records
+    return car_price_ols(read_records(spark, path, CAR_COLUMNS), ratio_mode)
+
+
 # ---------------------------------------------------------------- J2 delay classifier
 
 
