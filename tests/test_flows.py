@@ -70,7 +70,9 @@ def test_speech_topic_model(spark, tmp_path):
     tm, weighted = flows.topic_model(paras, "paragraph", k=5, max_iter=10, seed=1)
     words = M.topic_words(tm, spark, 5).toPandas()
     assert len(words) == 25 and words["term"].notna().all() and (words["weight"] >= 0).all()
-    mix = M.doc_topics(tm.lda, weighted.withColumn("doc", weighted.paragraph), ["doc"]).toPandas()
+    from pyspark.sql import functions as F
+    keyed = weighted.withColumn("doc", F.monotonically_increasing_id())
+    mix = M.doc_topics(tm.lda, keyed, ["doc"]).toPandas()
     assert np.allclose(mix.groupby("doc")["weight"].sum(), 1.0)
     tm2, _ = flows.topic_model_embedded(paras, "paragraph", k=5, max_iter=10, seed=1)
     assert tm2.embedder.getVectorSize() == 6
