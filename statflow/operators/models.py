@@ -17,7 +17,7 @@ from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import (IDF, CountVectorizer, CountVectorizerModel, IDFModel,
                                 Word2Vec, Word2VecModel)
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statflow.functions.arrays import explode_values
@@ -88,7 +88,12 @@ def tf_idf(df: DataFrame, doc: str, terms: str) -> DataFrame:
     """
     m = df.agg(F.count(F.lit(1))).scalar()
     tc = term_counts(df, doc, terms)
-    dfreq = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # Counts rows (tf >= 1 always), but referencing tf keeps this branch's
+    # input identical to tc's, so Spark reuses tc's shuffle instead of
+    # tokenising the corpus a second time. (A plain count(tf) would be
+    # rewritten to count(1) and tf pruned again.)
+    dfreq = tc.groupBy("term").agg(
+        F.count(F.when(F.col("tf") > 0, F.col("tf"))).alias("df"))
     out = tc.join(dfreq, "term")
     idf = F.log((m + F.lit(1)) / (F.col("df") + F.lit(1)))
     return out.select(doc, "term", "tf", "df", idf.alias("idf"),
@@ -98,17 +103,18 @@ def tf_idf(df: DataFrame, doc: str, terms: str) -> DataFrame:
 def vocabulary(df: DataFrame, doc: str, terms: str, vocab_size: int | None = None,
                min_df: int = 1) -> DataFrame:
     """Ranked vocabulary ``(term_index, term, ttf, df)``: total count descending,
-    ties by term; 0-based index. ``vocab_size`` keeps the top terms (a top-k,
-    bounded); without it the full ranking is computed distributed."""
+    ties by term; 0-based index; ``vocab_size`` keeps the top terms.
+
+    The ranking is computed distributed (range partitions plus offsets), not
+    with ``orderBy().limit(k)``, whose final merge would pull k rows from every
+    partition into a single task.
+    """
     tc = term_counts(df, doc, terms)
     stats = (tc.groupBy("term").agg(F.sum("tf").alias("ttf"), F.count(F.lit(1)).alias("df"))
              .where(F.col("df") >= min_df))
-    order = [F.desc("ttf"), F.asc("term")]
+    ranked = global_rank(stats, [F.desc("ttf"), F.asc("term")], "rank")
     if vocab_size is not None:
-        top = stats.orderBy(*order).limit(vocab_size)
-        ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
-    else:
-        ranked = global_rank(stats, order, "rank")
+        ranked = ranked.where(F.col("rank") <= vocab_size)
     return ranked.select((F.col("rank") - 1).cast("int").alias("term_index"), "term",
                          "ttf", "df")
 
@@ -158,6 +164,18 @@ def fit_count_idf(df: DataFrame, terms: str, vocab_size: int = 1 << 18, min_df:
     return cv, idf, idf.transform(counted)
 
 
+def fit_persisted(df: DataFrame, fit):
+    """Run an iterative ``fit(df)`` over a persisted copy of ``df`` (memory,
+    spilling to disk), released afterwards: every iteration would otherwise
+    recompute the whole lineage (tokenising included)."""
+    from pyspark import StorageLevel
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return fit(cached)
+    finally:
+        cached.unpersist(blocking=False)
+
+
 def median_vector_size(df: DataFrame, terms: str) -> int:
     """Vector size rule of the embedding flow: median term count per row (whole number)."""
     med = df.agg(F.percentile(F.size(terms), F.lit(0.5))).first()[0]
@@ -205,8 +223,9 @@ def embed(df: DataFrame, terms: str, out: str = "word_vec", vector_size: int | s
         vocab = counts.where(F.col("count") >= min_count).count()
         wanted = max(1, df.rdd.getNumPartitions())
         num_partitions = training_copies(df.sparkSession, 8 * vocab * size, wanted)
-    model = Word2Vec(vectorSize=size, minCount=min_count, inputCol=terms, outputCol=out,
-                     seed=seed, numPartitions=num_partitions).fit(df)
+    w2v = Word2Vec(vectorSize=size, minCount=min_count, inputCol=terms, outputCol=out,
+                   seed=seed, numPartitions=num_partitions)
+    model = fit_persisted(df.select(terms), w2v.fit)
     return model, model.transform(df)
 
 
@@ -214,8 +233,8 @@ def fit_lda(df: DataFrame, features: str, k: int = 5, max_iter: int = 10, seed:
             optimizer: str = "online") -> LDAModel:
     """LDA with the defaults of the topic workloads (k=5, 10 iterations,
     online optimiser), seeded."""
-    return LDA(featuresCol=features, k=k, maxIter=max_iter, seed=seed,
-               optimizer=optimizer).fit(df)
+    lda = LDA(featuresCol=features, k=k, maxIter=max_iter, seed=seed, optimizer=optimizer)
+    return fit_persisted(df.select(features), lda.fit)
 
 
 def topics(model: LDAModel, m: int = 10) -> DataFrame:
@@ -236,5 +255,5 @@ def topic_words(tm: TopicModel, spark, m: int = 10) -> DataFrame:
 def doc_topics(model: LDAModel, df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per-document topic mixture as long rows ``(keys..., topic, weight)``."""
     mixed = model.transform(df)
-    return mixed.select(*keys, F.posexplode(vector_to_array("topicDistribution"))
-                        .alias("topic", "weight"))
+    return explode_values(mixed, keys, vector_to_array("topicDistribution"), "weight",
+                          pos="topic")

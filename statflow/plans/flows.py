@@ -203,9 +203,13 @@ def text_terms(df: DataFrame, text: str, out: str = "ngrams", n: int = 2) -> Dat
 def topic_model(df: DataFrame, text: str, k: int = 5, max_iter: int = 10, seed: int = 42,
                 vocab_size: int = 1 << 18, min_df: float = 1.0):
     """N-grams -> CountVectorizer -> IDF -> LDA. Returns (TopicModel, frame)."""
-    terms = text_terms(spread(df), text)
-    cv, idf, weighted = M.fit_count_idf(terms, "ngrams", vocab_size, min_df)
-    lda = M.fit_lda(weighted, "tfidf_vec", k, max_iter, seed)
+    from pyspark import StorageLevel
+    terms = text_terms(spread(df), text).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        cv, idf, weighted = M.fit_count_idf(terms, "ngrams", vocab_size, min_df)
+        lda = M.fit_lda(weighted, "tfidf_vec", k, max_iter, seed)
+    finally:
+        terms.unpersist(blocking=False)
     return M.TopicModel(cv, idf, None, lda, "tfidf_vec"), weighted
 
 

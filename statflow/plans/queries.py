@@ -101,7 +101,7 @@ WHERE len(string_split(line, ',')) = 2
 def filter_arity(spark, sf_dir):
     from statflow.sources import filter_arity as fa
     docs = _t(spark, sf_dir, "documents")
-    lines = docs.select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line"))
+    lines = Y.explode_values(docs, ["doc_id"], F.split("text", "\n", -1), "line")
     return fa(lines, "line", 2, sep=",")
 
 
@@ -555,7 +555,7 @@ FROM (SELECT unnest({TOK_SQL}) AS token FROM documents) GROUP BY token
 """)
 def tokenize_q(spark, sf_dir):
     d = _doc_terms(spark, sf_dir)
-    return (d.select(F.explode("tokens").alias("token"))
+    return (Y.explode_values(d, [], "tokens", "token")
             .groupBy("token").agg(F.count(F.lit(1)).alias("cnt")))
 
 
@@ -565,7 +565,7 @@ FROM (SELECT unnest({FILT_SQL}) AS token FROM documents) GROUP BY token
 """)
 def remove_stopwords_q(spark, sf_dir):
     d = _doc_terms(spark, sf_dir)
-    return (d.select(F.explode("filtered").alias("token"))
+    return (Y.explode_values(d, [], "filtered", "token")
             .groupBy("token").agg(F.count(F.lit(1)).alias("cnt")))
 
 
@@ -575,7 +575,7 @@ SELECT bigram, count(*) AS cnt FROM (SELECT unnest(bigrams) AS bigram FROM d) GR
 """)
 def ngrams_q(spark, sf_dir):
     d = _doc_terms(spark, sf_dir)
-    return (d.select(F.explode("bigrams").alias("bigram"))
+    return (Y.explode_values(d, [], "bigrams", "bigram")
             .groupBy("bigram").agg(F.count(F.lit(1)).alias("cnt")))
 
 
@@ -626,7 +626,7 @@ def lookup_q(spark, sf_dir):
     d = _doc_terms(spark, sf_dir).select("doc_id", "tokens")
     vocab = vocabulary(d, "doc_id", "tokens")
     # Encode: token positions -> indices, one array per document.
-    pos = d.select("doc_id", F.posexplode("tokens").alias("pos", "term"))
+    pos = Y.explode_values(d, ["doc_id"], "tokens", "term", pos="pos")
     coded = (pos.join(vocab.select("term", "term_index"), "term")
              .groupBy("doc_id")
              .agg(F.array_sort(F.collect_list(F.struct("pos", "term_index"))).alias("__p"))

@@ -171,3 +171,17 @@ def test_car_price_ols(spark, tmp_path):
     assert [r.term for r in got] == ["const"] + flows.CAR_REGRESSORS and len(got) == 31
     want = _expected_beta(rows)
     assert [r.beta for r in got] == pytest.approx(list(want), rel=1e-5, abs=1e-6)
+
+
+def test_keyed_text_stream_matches_batch(spark, tmp_path):
+    from statflow.streaming import keyed_text_stream, start_keyed_text_stream
+    src = tmp_path / "in"
+    src.mkdir()
+    lines = STOCKS.splitlines()
+    (src / "a.txt").write_text("\n".join(lines[:20]) + "\n")
+    (src / "b.txt").write_text("\n".join(lines[20:]) + "\n")
+    q = start_keyed_text_stream(keyed_text_stream(spark, str(src), "count"),
+                                str(tmp_path / "ckpt"), table="stock_counts", once=True)
+    q.awaitTermination(120)
+    got = {r.symbol: r["count"] for r in spark.table("stock_counts").collect()}
+    assert got == {"AAPL": 10, "CSCO": 10, "GOOG": 5, "MSFT": 10, "YHOO": 10}
