@@ -248,8 +248,17 @@ def topics(model: LDAModel, m: int = 10) -> DataFrame:
 
 
 def topic_words(tm: TopicModel, spark, m: int = 10) -> DataFrame:
-    """``(topic, rank, term_index, term, weight)`` via the vocabulary."""
-    return topics(tm.lda, m).join(tm.vocab_table(spark), "term_index", "left")
+    """``(topic, rank, term_index, term, weight)`` via the vocabulary.
+
+    Only the k x m indices of the topic table (bounded by the model) are
+    looked up, instead of turning the whole vocabulary into a table.
+    """
+    top = topics(tm.lda, m)
+    wanted = sorted({r.term_index for r in top.select("term_index").distinct().collect()})
+    vocab = tm.vectorizer.vocabulary
+    names = spark.createDataFrame([(i, vocab[i]) for i in wanted],
+                                  "term_index int, term string")
+    return top.join(F.broadcast(names), "term_index", "left")
 
 
 def doc_topics(model: LDAModel, df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -347,3 +347,18 @@ def word2vec_q(spark, sf_dir):
 def topic_model_embedded_q(spark, sf_dir):
     tm, embedded = topic_model_embedded(_documents(spark, sf_dir), "text")
     return M.topics(tm.lda, 5)
+
+
+@query("logistic")
+def logistic_q(spark, sf_dir):
+    """M5, M8, M9 alone: numeric lineitem columns -> logistic regression on
+    ``l_discount > 0.05``; scored held-out rows with P(label = 1)."""
+    from statflow.operators.features import assemble
+    li = read_table(spark, sf_dir, "lineitem").select(
+        *LP_KEYS, "l_quantity", "l_extendedprice", "l_tax",
+        S.binarise("l_discount", 0.05).alias("label"))
+    data = assemble(li, ["l_quantity", "l_extendedprice", "l_tax"])
+    train, test = split(data, [0.7, 0.3], 42, LP_KEYS)
+    model = M.fit_logistic(train, "features", "label")
+    scored = M.predict(model, test, "label", keep=LP_KEYS)
+    return scored.select(*LP_KEYS, "label", F.col("probability")[1].alias("p1"), "prediction")
