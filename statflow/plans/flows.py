@@ -204,7 +204,9 @@ def topic_model(df: DataFrame, text: str, k: int = 5, max_iter: int = 10, seed:
                 vocab_size: int = 1 << 18, min_df: float = 1.0):
     """N-grams -> CountVectorizer -> IDF -> LDA. Returns (TopicModel, frame)."""
     from pyspark import StorageLevel
-    terms = text_terms(spread(df), text).persist(StorageLevel.MEMORY_AND_DISK)
+    # Cache only what the fits and later transforms need: keys and n-grams.
+    terms = (text_terms(spread(df), text).drop(text, "words", "filtered_words")
+             .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         cv, idf, weighted = M.fit_count_idf(terms, "ngrams", vocab_size, min_df)
         lda = M.fit_lda(weighted, "tfidf_vec", k, max_iter, seed)
