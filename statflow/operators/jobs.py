@@ -32,13 +32,17 @@ def keyed_job(df: DataFrame, key: str | Sequence[str], mapper: Mapper | None = N
               map_schema: T.StructType | str | None = None,
               aggs: Sequence[Column] | None = None,
               reducer: Reducer | None = None, reduce_schema: T.StructType | str | None = None,
-              salts: int = 32, n_out: int | None = None) -> DataFrame:
+              salts: int = 256, n_out: int | None = None) -> DataFrame:
     """Mapper -> shuffle on ``key`` -> reduce.
 
     Prefer ``aggs`` (e.g. ``[F.sum('v'), F.count('*')]``): Spark combines them
-    map-side. ``reducer`` must be associative and commutative (a partial of
-    partials is a valid partial) and keep the key columns; it runs once per
-    (key, salt) group and once more per key, with at most ``salts`` partials.
+    map-side. A pandas ``reducer`` takes rows of one or more keys and returns
+    one partial row per key, with the key columns; it must be associative and
+    commutative (a partial of partials is a valid partial). It runs as a
+    combiner tree: on every Arrow batch where the rows are (no shuffle), then
+    per (key, salt) over those partials, then per key over at most ``salts``
+    partials - so a hot key is never gathered into one task; the largest
+    group is about (rows of the key) / (batch rows x ``salts``).
     ``n_out`` fixes the number of output partitions (the reduce-task count).
     """
     keys = [key] if isinstance(key, str) else list(key)
@@ -48,12 +52,17 @@ def keyed_job(df: DataFrame, key: str | Sequence[str], mapper: Mapper | None = N
     if aggs is not None:
         out = data.groupBy(*keys).agg(*aggs)
     else:
-        # Position-based salt: deterministic on retry, and spreads even
-        # identical rows of a hot key over ``salts`` groups.
-        salted = data.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
-        partial = salted.groupBy(*keys, "__salt").applyInPandas(
+        def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                if len(pdf):
+                    yield reducer(pdf)
+        partial = data.mapInPandas(combine, reduce_schema)
+        # Position-based salt: deterministic on retry, spreads a hot key's partials.
+        salted = partial.withColumn("__salt", F.pmod(F.monotonically_increasing_id(),
+                                                     F.lit(salts)))
+        merged = salted.groupBy(*keys, "__salt").applyInPandas(
             lambda pdf: reducer(pdf.drop(columns="__salt")), reduce_schema)
-        out = partial.groupBy(*keys).applyInPandas(reducer, reduce_schema)
+        out = merged.groupBy(*keys).applyInPandas(reducer, reduce_schema)
     return out.repartition(n_out, *keys) if n_out else out
 
 
