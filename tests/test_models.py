@@ -102,3 +102,19 @@ def test_logistic_probabilities(spark):
     sums = out["probability"].apply(sum)
     assert np.allclose(sums, 1.0)
     assert set(out["prediction"]).issubset({0.0, 1.0})
+
+
+def test_spread_only_when_needed(spark):
+    from statflow.operators.partitioning import spread
+    one = spark.range(100).coalesce(1)
+    assert spread(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(6)
+    assert spread(many, 4) is many
+
+
+def test_training_copies_budget(spark):
+    # local session: 16g heap, 4 cores -> small models train on every task,
+    # a model too big for four copies per task is trained on fewer tasks.
+    assert M.training_copies(spark, 10 << 20, 8) == 8
+    assert M.training_copies(spark, 1 << 30, 8) == 1
+    assert M._bytes("16g") == 16 << 30 and M._bytes("512m") == 512 << 20
