@@ -206,6 +206,24 @@ def training_copies(spark, model_bytes: int, wanted: int) -> int:
     return max(1, min(wanted, (mem // 4) // max(per_task, 1)))
 
 
+def check_driver_fits(spark, model_bytes: int, what: str) -> None:
+    """Refuse, before any job runs, a model the driver heap cannot hold.
+
+    The driver keeps the model, its broadcast copy and (in local mode) the
+    task copies - about four model sizes within Spark's usable heap (60% of
+    heap minus 300 MB). An out-of-memory error would instead take down the
+    whole driver JVM and every query sharing it.
+    """
+    heap = _bytes(spark.conf.get("spark.driver.memory", "1g"))
+    usable = int(0.6 * max(heap - (300 << 20), 0))
+    need = 4 * model_bytes
+    if need > usable:
+        raise MemoryError(
+            f"{what} needs about {need >> 20} MB of driver heap but "
+            f"spark.driver.memory={heap >> 20} MB leaves {usable >> 20} MB usable; "
+            f"raise spark.driver.memory or min_count")
+
+
 def embed(df: DataFrame, terms: str, out: str = "word_vec", vector_size: int | str = "median",
           min_count: int = 0, seed: int = 42, num_partitions: int | None = None):
     """Word2Vec; a row's vector is the mean of its terms' vectors.
@@ -218,11 +236,14 @@ def embed(df: DataFrame, terms: str, out: str = "word_vec", vector_size: int | s
     large corpora.
     """
     size = median_vector_size(df, terms) if vector_size == "median" else int(vector_size)
+    counts = explode_values(df, [], terms, "__t").groupBy("__t").count()
+    vocab = counts.where(F.col("count") >= min_count).count()
+    model_bytes = 8 * vocab * size  # two float matrices, vocabulary x size
+    check_driver_fits(df.sparkSession, model_bytes,
+                      f"Word2Vec ({vocab} terms x {size} dimensions)")
     if num_partitions is None:
-        counts = explode_values(df, [], terms, "__t").groupBy("__t").count()
-        vocab = counts.where(F.col("count") >= min_count).count()
         wanted = max(1, df.rdd.getNumPartitions())
-        num_partitions = training_copies(df.sparkSession, 8 * vocab * size, wanted)
+        num_partitions = training_copies(df.sparkSession, model_bytes, wanted)
     w2v = Word2Vec(vectorSize=size, minCount=min_count, inputCol=terms, outputCol=out,
                    seed=seed, numPartitions=num_partitions)
     model = fit_persisted(df.select(terms), w2v.fit)
