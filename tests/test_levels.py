@@ -102,3 +102,20 @@ def test_results_stable_under_repartition(spark):
     base = sorted(map(tuple, L.freq_table(df, "p_brand").collect()))
     for n in (1, 7):
         assert sorted(map(tuple, L.freq_table(df.repartition(n), "p_brand").collect())) == base
+
+
+def test_frequent_levels_without_share_floor(spark):
+    df = _levels_df(spark, {"a": 5, "b": 3, "c": 1, "d": 1})
+    for mode in ("strict", "inclusive"):
+        got = {r.level for r in L.frequent_levels(df, "x", 0.0, 0.8, mode).collect()}
+        want = {r.level for r in L.level_table(df, ["x"]).where(
+            L._kept_condition(0.0, 0.8, mode)).collect()}
+        assert got == want
+    assert {r.level for r in L.frequent_levels(df, "x", 0.0, 0.8, "strict").collect()} == {"a", "b"}
+
+
+def test_empty_inputs(spark):
+    empty = spark.createDataFrame([], "x string")
+    assert L.freq_table(empty, "x").count() == 0
+    assert L.frequent_levels(empty, "x").count() == 0
+    assert L.level_table(empty, ["x"]).count() == 0
