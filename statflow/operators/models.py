@@ -155,10 +155,44 @@ class TopicModel:
         return spark.createDataFrame(list(enumerate(vocab)), "term_index int, term string")
 
 
+# Entries Spark's CountVectorizer may merge on the driver (its final
+# ``RDD.top`` pulls a vocab_size queue from every input partition).
+DRIVER_TOPK_ENTRIES = 1 << 24
+
+
+def fit_count_vectorizer(df: DataFrame, terms: str, vocab_size: int = 1 << 18,
+                         min_df: float = 1.0, out: str = "tf_vec",
+                         strategy: str = "auto") -> CountVectorizerModel:
+    """M10 as a Spark ML model (vocabulary by total count, capped at ``vocab_size``;
+    ``min_df`` below 1 is a fraction of the documents).
+
+    ``spark``: Spark's CountVectorizer, whose last step merges one
+    ``vocab_size`` queue per input partition on the driver, and breaks count
+    ties arbitrarily. ``distributed``: the ranking runs on the executors (ties
+    by term, deterministic) and only the chosen terms reach the driver; handing
+    them to the JVM costs a fixed few seconds per 100k terms. ``auto`` picks
+    ``spark`` while partitions x vocab_size stays under ``DRIVER_TOPK_ENTRIES``.
+    """
+    if strategy == "auto":
+        merged = df.rdd.getNumPartitions() * vocab_size
+        strategy = "spark" if merged <= DRIVER_TOPK_ENTRIES else "distributed"
+    if strategy == "spark":
+        return CountVectorizer(inputCol=terms, outputCol=out, vocabSize=vocab_size,
+                               minDF=min_df).fit(df)
+    if strategy != "distributed":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    threshold = min_df
+    if min_df < 1.0:
+        threshold = min_df * df.count()
+    keyed = df.select(F.monotonically_increasing_id().alias("__doc"), terms)
+    vocab = vocabulary(keyed, "__doc", terms, vocab_size, threshold)
+    words = [r.term for r in vocab.orderBy("term_index").select("term").collect()]
+    return CountVectorizerModel.from_vocabulary(words, inputCol=terms, outputCol=out)
+
+
 def fit_count_idf(df: DataFrame, terms: str, vocab_size: int = 1 << 18, min_df: float = 1.0):
-    """M10/M11 as Spark ML stages: CountVectorizer then IDF."""
-    cv = CountVectorizer(inputCol=terms, outputCol="tf_vec", vocabSize=vocab_size,
-                         minDF=min_df).fit(df)
+    """M10/M11 as Spark ML stages: term counts over the vocabulary, then IDF."""
+    cv = fit_count_vectorizer(df, terms, vocab_size, min_df)
     counted = cv.transform(df)
     idf = IDF(inputCol="tf_vec", outputCol="tfidf_vec").fit(counted)
     return cv, idf, idf.transform(counted)

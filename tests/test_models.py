@@ -118,3 +118,17 @@ def test_training_copies_budget(spark):
     assert M.training_copies(spark, 10 << 20, 8) == 8
     assert M.training_copies(spark, 1 << 30, 8) == 1
     assert M._bytes("16g") == 16 << 30 and M._bytes("512m") == 512 << 20
+
+
+def test_count_vectorizer_matches_spark(spark):
+    from pyspark.ml.feature import CountVectorizer
+    rows = [(["b", "a", "a", "c"],), (["a", "c", "d"],), (["d", "d", "e"],), ([],)]
+    df = spark.createDataFrame(rows, "t array<string>")
+    ours = M.fit_count_vectorizer(df, "t", vocab_size=3, strategy="distributed")
+    assert ours.vocabulary == ["a", "d", "c"]  # a:3, d:3 (tie by term), c:2
+    theirs = CountVectorizer(inputCol="t", outputCol="x", vocabSize=3).fit(df)
+    assert set(theirs.vocabulary) == set(ours.vocabulary)
+    for min_df in (2.0, 0.5):
+        got = M.fit_count_vectorizer(df, "t", min_df=min_df, strategy="distributed")
+        assert got.vocabulary == ["a", "d", "c"]
+        assert set(M.fit_count_vectorizer(df, "t", min_df=min_df).vocabulary) == {"a", "c", "d"}
