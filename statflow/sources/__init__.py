@@ -46,16 +46,20 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_records(spark: SparkSession, path: str, names: Sequence[str],
-                 header: bool = True) -> DataFrame:
+                 header: bool = True, multiline: bool = True) -> DataFrame:
     """S4 + R5: quoted CSV (embedded commas, quotes and newlines) with ``len(names)``
     fields; records with any other field count are dropped.
 
     All columns are read as text; typing is the caller's job (``try_cast``).
+    Quoted newlines need ``multiline``, which Spark cannot split inside a file:
+    each file is parsed by one task, so store large inputs as many files, or
+    pass ``multiline=False`` when no field holds a newline (files then split
+    by block).
     """
     fields = [T.StructField(n, T.StringType(), True) for n in names]
     fields.append(T.StructField(BAD_RECORD, T.StringType(), True))
     df = (spark.read
-          .options(header=str(header).lower(), multiLine="true", escape='"',
+          .options(header=str(header).lower(), multiLine=str(multiline).lower(), escape='"',
                    mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_RECORD)
           .schema(T.StructType(fields))
           .csv(path))
