@@ -2,7 +2,6 @@
 
 import random
 
-import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

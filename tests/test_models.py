@@ -1,7 +1,6 @@
 """Least squares, logistic regression, keyed jobs, text statistics."""
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
