@@ -51,6 +51,23 @@ def get_session(master: str | None = None, app_name: str = "statflow",
     return spark
 
 
+def partition_settings(input_bytes: int, target_bytes: int = 256 << 20,
+                       cores: int = 8) -> dict[str, str]:
+    """Shuffle and scan sizing for a job reading ``input_bytes``.
+
+    Aims at ``target_bytes`` per task (128-256 MB fits executor memory with
+    room for sort and aggregation buffers). Shuffle partitions are the initial
+    upper bound; adaptive execution coalesces small ones and splits skewed
+    join partitions at runtime. For 100 TB: about 400k shuffle partitions.
+    """
+    parts = max(cores, -(-input_bytes // target_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(target_bytes, 128 << 20)),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, configuring it if needed.
 

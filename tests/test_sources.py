@@ -68,3 +68,10 @@ def test_head_needs_order(spark):
     assert [r.id for r in sinks.head(df, 3, ["id"]).collect()] == [0, 1, 2]
     with pytest.raises(ValueError):
         sinks.head(df, 3, [])
+
+
+def test_partition_settings():
+    from statflow.session import partition_settings
+    big = partition_settings(100 << 40)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    assert partition_settings(1 << 20)["spark.sql.shuffle.partitions"] == "8"
