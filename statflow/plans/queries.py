@@ -622,12 +622,16 @@ v AS (SELECT term, CAST(row_number() OVER (ORDER BY count(*) DESC, term) - 1 AS
 SELECT doc_id, CAST(pos AS INTEGER) AS pos, term_index, term FROM toks JOIN v USING (term)
 """)
 def lookup_q(spark, sf_dir):
-    from statflow.operators.models import lookup_long, term_counts, vocabulary
+    from statflow.operators.models import lookup_long
+    from statflow.operators.ordering import global_rank
     d = _doc_terms(spark, sf_dir).select("doc_id", "tokens")
-    vocab = vocabulary(d, "doc_id", "tokens")
-    # Encode: token positions -> indices, one array per document.
     pos = Y.explode_values(d, ["doc_id"], "tokens", "term", pos="pos")
-    coded = (pos.join(vocab.select("term", "term_index"), "term")
+    # Vocabulary: total count descending, ties by term, ranked distributed.
+    stats = pos.groupBy("term").agg(F.count(F.lit(1)).alias("ttf"))
+    vocab = global_rank(stats, [F.desc("ttf"), F.asc("term")], "rank").select(
+        (F.col("rank") - 1).cast("int").alias("term_index"), "term")
+    # Encode: token positions -> indices, one array per document.
+    coded = (pos.join(vocab, "term")
              .groupBy("doc_id")
              .agg(F.array_sort(F.collect_list(F.struct("pos", "term_index"))).alias("__p"))
              .select("doc_id", F.transform("__p", lambda s: s["term_index"]).alias("idx")))
