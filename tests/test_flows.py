@@ -185,3 +185,20 @@ def test_keyed_text_stream_matches_batch(spark, tmp_path):
     q.awaitTermination(120)
     got = {r.symbol: r["count"] for r in spark.table("stock_counts").collect()}
     assert got == {"AAPL": 10, "CSCO": 10, "GOOG": 5, "MSFT": 10, "YHOO": 10}
+
+
+def test_keyed_text_stream_mean_to_files(spark, tmp_path):
+    from statflow.streaming import keyed_text_stream, start_keyed_text_stream
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.txt").write_text(STOCKS + "\n")
+    out = tmp_path / "out"
+    q = start_keyed_text_stream(keyed_text_stream(spark, str(src), "mean"),
+                                str(tmp_path / "ckpt"), out_dir=str(out), once=True)
+    q.awaitTermination(120)
+    got = {}
+    for line in _lines(out):
+        k, v = line.split("\t")
+        got[k] = round(float(v), 6)
+    assert got == {"AAPL": 68.631, "CSCO": 31.148, "GOOG": 417.478, "MSFT": 44.631,
+                   "YHOO": 69.333}
