@@ -224,15 +224,22 @@ def _bytes(text: str) -> int:
     return int(float(text[:-1]) * _UNITS[text[-1]]) if text[-1] in _UNITS else int(text)
 
 
+def _local_cores(master: str) -> int:
+    import os
+    inside = master[master.find("[") + 1:master.find("]")] if "[" in master else "1"
+    return (os.cpu_count() or 1) if inside in ("*", "") else int(inside.split(",")[0])
+
+
 def training_copies(spark, model_bytes: int, wanted: int) -> int:
     """How many tasks may train a model copy at once without exhausting an
     executor: every concurrent task holds its own copy plus broadcast, update
     and result buffers (about four model sizes), within a quarter of the heap;
     the partial models are also summed and shipped once per task."""
-    local = spark.sparkContext.master.startswith("local")
+    master = spark.conf.get("spark.master", "local")
+    local = master.startswith("local")
     mem = _bytes(spark.conf.get("spark.driver.memory" if local else "spark.executor.memory",
                                 "1g"))
-    cores = (spark.sparkContext.defaultParallelism if local
+    cores = (_local_cores(master) if local
              else int(spark.conf.get("spark.executor.cores", "1")))
     per_task = 4 * model_bytes
     if per_task * min(cores, wanted) <= mem // 4:
@@ -276,7 +283,10 @@ def embed(df: DataFrame, terms: str, out: str = "word_vec", vector_size: int | s
     check_driver_fits(df.sparkSession, model_bytes,
                       f"Word2Vec ({vocab} terms x {size} dimensions)")
     if num_partitions is None:
-        wanted = max(1, df.rdd.getNumPartitions())
+        try:
+            wanted = max(1, df.rdd.getNumPartitions())
+        except Exception:  # Spark Connect: no RDD API
+            wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
         num_partitions = training_copies(df.sparkSession, model_bytes, wanted)
     w2v = Word2Vec(vectorSize=size, minCount=min_count, inputCol=terms, outputCol=out,
                    seed=seed, numPartitions=num_partitions)

@@ -13,7 +13,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     few large, unsplittable row groups. A source that already has enough
     partitions is returned unchanged, so no shuffle is added at scale.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect has no RDD API: leave partitioning to the server
+        return df
+    if current >= target:
         return df
     return df.repartition(target)

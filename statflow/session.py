@@ -75,7 +75,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     session (``spark.checkpoint.dir``). Only a local-mode session (tests) gets
     a private temporary folder when nothing is configured.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's own setting applies
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current
