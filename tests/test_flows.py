@@ -202,3 +202,71 @@ def test_keyed_text_stream_mean_to_files(spark, tmp_path):
         got[k] = round(float(v), 6)
     assert got == {"AAPL": 68.631, "CSCO": 31.148, "GOOG": 417.478, "MSFT": 44.631,
                    "YHOO": 69.333}
+
+
+# ---- J2 on flight records (declared schema), checked against pandas
+
+
+def _flight_rows():
+    rnd = random.Random(11)
+    carriers = ["AA"] * 40 + ["BB"] * 40 + ["CC"] * 10 + ["DD"] * 5 + ["EE"] * 5  # cum 0.8 at BB
+    rows = []
+    hours = [0, 729, 730, 2359, 1230, 845, 1500, 1800]
+    for i, car in enumerate(carriers):
+        r = {n: "" for n, _ in flows.FLIGHT_FIELDS}
+        r.update(Year=str(rnd.choice([1988, 1995, 2003, 2008])), Month=str(rnd.randint(1, 12)),
+                 DayofMonth=str(rnd.choice([1, 15, 29, 30, 31])), DayOfWeek=str(rnd.randint(1, 7)),
+                 CRSDepTime=str(hours[i % len(hours)]), CRSArrTime=str(hours[(i + 3) % len(hours)]),
+                 UniqueCarrier=car, ActualElapsedTime=str(rnd.randint(30, 300)),
+                 ArrDelay=str(rnd.randint(-20, 40)), DepDelay=str(rnd.randint(-10, 30)),
+                 Origin=rnd.choice(["ORD", "ORD", "ATL", "LAX", "SFO", "JFK"]),
+                 Dest=rnd.choice(["ORD", "ATL", "ATL", "DEN", "BOS"]),
+                 Distance=str(rnd.randint(100, 2500)), TaxiIn="NA" if i % 9 == 0 else "5")
+        rows.append(r)
+    bad = dict(rows[0])
+    bad["DepDelay"] = "NA"  # a used column: row dropped
+    rows.append(bad)
+    return rows
+
+
+def _expected_flight_features(rows):
+    import math
+    import pandas as pd
+    used = ["ArrDelay", "Year", "Month", "DayofMonth", "DayOfWeek", "DepDelay", "CRSDepTime",
+            "CRSArrTime", "UniqueCarrier", "ActualElapsedTime", "Origin", "Dest", "Distance"]
+    pdf = pd.DataFrame(rows)[used].replace({"NA": None}).dropna()
+    hour = lambda t: int(math.floor(t / 100) + math.floor((t - math.floor(t / 100) * 100) / 60 + 0.5))
+    for c in flows.FLIGHT_HOURS:
+        pdf[c] = pdf[c].astype(float).map(hour)
+    for c in ["Year", "Month", "DayofMonth", "DayOfWeek"]:
+        pdf[c] = pdf[c].astype(int)
+    n = len(pdf)
+    for c in flows.FLIGHT_FREQUENT:
+        cnt = pdf[c].value_counts().rename_axis("level").reset_index(name="cnt")
+        cnt = cnt.sort_values(["cnt", "level"], ascending=[False, True])
+        cnt["cum"] = cnt["cnt"].cumsum()
+        kept = set(cnt[(cnt.cum / n <= 0.8) & (cnt.cnt / n > 0.03)].level)
+        pdf[c] = pdf[c].map(lambda v: v if v in kept else "9999")
+    for c, allowed in flows.FLIGHT_ALLOWED.items():
+        pdf[c] = pdf[c].map(lambda v: str(v) if v in set(allowed) else "9999")
+    pdf["ArrDelay"] = (pdf["ArrDelay"].astype(float) > 0).astype(int)
+    cols = ["ArrDelay", "DepDelay", "ActualElapsedTime", "Distance"] + flows.FLIGHT_FREQUENT + \
+        list(flows.FLIGHT_ALLOWED)
+    for c in ["DepDelay", "ActualElapsedTime", "Distance"]:
+        pdf[c] = pdf[c].astype(float)
+    return sorted(map(tuple, pdf[cols].itertuples(index=False))), cols
+
+
+def test_flight_features_match_pandas(spark, tmp_path):
+    rows = _flight_rows()
+    path = tmp_path / "flights.csv"
+    names = [n for n, _ in flows.FLIGHT_FIELDS]
+    path.write_text(",".join(names) + "\n" + "\n".join(",".join(r[n] for n in names)
+                                                       for r in rows) + "\n")
+    want, cols = _expected_flight_features(rows)
+    got = flows.flight_features(spark, str(path)).select(*cols).collect()
+    assert sorted(map(tuple, got)) == want
+    carriers = {r.UniqueCarrier for r in got}
+    assert carriers == {"AA", "BB", "9999"}  # BB sits exactly at cumulative 0.8
+    _, _, scored = flows.flight_delay_flow(spark, str(path))
+    assert scored.count() > 0
