@@ -301,7 +301,9 @@ def keyed_text_job(spark: SparkSession, in_path: str, out_path: str, kind: str,
     if kind == "profile":
         out = A.record_profile(lines, "value", sep)
     else:
-        fields = split_fields(lines, list(names), sep, types={value: "double"})
+        # Only the mean needs a number; the other jobs pass the text through.
+        types = {value: "double"} if kind == "mean" else None
+        fields = split_fields(lines, list(names), sep, types=types)
         if kind == "count":
             out = A.count_by(fields, key, out="count")
         elif kind == "mean":

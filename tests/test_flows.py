@@ -41,6 +41,9 @@ def test_stocks_jobs(spark, stocks_path, tmp_path):
     assert len(got) == 45 and [g.split("\t")[0] for g in got] == sorted(
         g.split("\t")[0] for g in got)
     assert got[0].count("\t") == 3
+    # fields pass through as text (no number round trip)
+    src = {tuple(line.split(",")[:4]) for line in STOCKS.splitlines()}
+    assert {tuple(g.split("\t")) for g in got} == src
 
 
 def test_speech_text_pipeline(spark, tmp_path):
