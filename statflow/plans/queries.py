@@ -525,10 +525,39 @@ def ols_simple(spark, sf_dir):
     return out.withColumn("beta", F.round("beta", 6))
 
 
-@query("ols_multi")
+def _ols_multi_sql() -> str:
+    """Normal equations solved by Cramer's rule over the exact cross-product sums."""
+    from itertools import permutations
+    terms = [("const", "CAST(1 AS DECIMAL(18,2))")] + [
+        (c, f"CAST({c} AS DECIMAL(18,2))") for c in GRAM_X + [GRAM_Y]]
+    p = len(GRAM_X) + 1
+    sums = [f"CAST(sum({terms[i][1]} * {terms[j][1]}) AS DOUBLE) AS g_{i}_{j}"
+            for i in range(p + 1) for j in range(i, p + 1) if not (i == p and j == p)]
+
+    def g(i, j):
+        return f"g_{min(i, j)}_{max(i, j)}"
+
+    def det(col_of):  # col_of(r, c) -> SQL for entry (r, c)
+        out = []
+        for perm in permutations(range(p)):
+            inv = sum(1 for a in range(p) for b in range(a + 1, p) if perm[a] > perm[b])
+            sign = "-" if inv % 2 else "+"
+            out.append(sign + " " + " * ".join(col_of(r, perm[r]) for r in range(p)))
+        return "(" + " ".join(out) + ")"
+
+    base = det(lambda r, c: g(r, c))
+    parts = []
+    for k in range(p):
+        num = det(lambda r, c, k=k: g(r, p) if c == k else g(r, c))
+        parts.append(f"SELECT '{terms[k][0]}' AS term, round({num} / {base}, 4) AS beta FROM s")
+    return f"WITH s AS (SELECT {', '.join(sums)} FROM lineitem) " + " UNION ALL ".join(parts)
+
+
+@query("ols_multi", _ols_multi_sql())
 def ols_multi(spark, sf_dir):
     from statflow.operators.models import ols
-    return ols(_t(spark, sf_dir, "lineitem"), GRAM_X, GRAM_Y)
+    out = ols(_t(spark, sf_dir, "lineitem"), GRAM_X, GRAM_Y, exact_scale=2)
+    return out.withColumn("beta", F.round("beta", 4))
 
 
 # ---------------------------------------------------------------- Y1-Y5, A12, M10, M11
