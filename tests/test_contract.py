@@ -24,7 +24,7 @@ def test_entry_smoke(spark):
 FAST = ["key_count", "key_mean", "record_profile", "project_positions", "filter_arity",
         "format_line", "hhmm_to_hour", "extract_ratio", "freq_table", "frequent_levels_strict",
         "frequent_levels_inclusive", "level_report", "fold_levels_prefix", "string_index",
-        "assemble", "gram", "ols_simple", "ngrams", "tf_idf", "lookup", "keyed_job",
+        "assemble", "gram", "ols_simple", "ols_multi", "ngrams", "tf_idf", "lookup", "keyed_job",
         "flight_delay_features"]
 
 
