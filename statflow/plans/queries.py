@@ -226,7 +226,7 @@ def extract_number_q(spark, sf_dir):
                     S.extract_number(bal, signed=True).alias("bal_signed"))
 
 
-_SPEC_SQL = """CASE WHEN p_partkey % 7 = 3 THEN CAST(p_size AS VARCHAR) || ' hp'
+_SPEC_SQL = """CASE WHEN p_type = 'PROMO' THEN CAST(p_size AS VARCHAR) || ' hp'
             ELSE CAST(p_size AS VARCHAR) || ' hp @ ' || CAST(p_partkey % 20 AS VARCHAR) || ','
                  || lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0') || ' RPM' END"""
 
@@ -246,7 +246,9 @@ FROM t
 def extract_ratio_q(spark, sf_dir):
     p = _t(spark, sf_dir, "part")
     size = F.col("p_size").cast("string")
-    spec = F.when(F.col("p_partkey") % 7 == 3, F.concat(size, F.lit(" hp"))).otherwise(
+    # Text per part: PROMO parts have no rpm (no comma), the others "x hp @ a,bcd RPM"
+    # with one- and two-digit thousands; all rows are kept.
+    spec = F.when(F.col("p_type") == "PROMO", F.concat(size, F.lit(" hp"))).otherwise(
         F.concat(size, F.lit(" hp @ "), (F.col("p_partkey") % 20).cast("string"), F.lit(","),
                  F.lpad((F.col("p_partkey") % 1000).cast("string"), 3, "0"), F.lit(" RPM")))
     t = p.select("p_partkey", spec.alias("spec"))
