@@ -131,3 +131,13 @@ def test_count_vectorizer_matches_spark(spark):
         got = M.fit_count_vectorizer(df, "t", min_df=min_df, strategy="distributed")
         assert got.vocabulary == ["a", "d", "c"]
         assert set(M.fit_count_vectorizer(df, "t", min_df=min_df).vocabulary) == {"a", "c", "d"}
+
+
+def test_cluster_by_spreads_hot_key(spark):
+    rows = [("hot", i) for i in range(3000)] + [(f"k{i}", i) for i in range(30)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    out = cluster_by(df, "k", n=6).withColumn("pid", F.spark_partition_id())
+    parts = out.where(F.col("k") == "hot").select("pid").distinct().count()
+    assert parts > 1  # the hot key is not funnelled into one task
+    keys = [r.k for r in out.collect()]
+    assert keys == sorted(keys)
