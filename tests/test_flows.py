@@ -273,3 +273,46 @@ def test_flight_features_match_pandas(spark, tmp_path):
     assert carriers == {"AA", "BB", "9999"}  # BB sits exactly at cumulative 0.8
     _, _, scored = flows.flight_delay_flow(spark, str(path))
     assert scored.count() > 0
+
+
+def _expected_flight_legacy(rows):
+    """The original rules: inclusive cutoff by a cumulative slice, then a
+    negative-lookahead regex fold of the string form."""
+    import math
+    import pandas as pd
+    used = ["ArrDelay", "Year", "Month", "DayofMonth", "DayOfWeek", "DepDelay", "CRSDepTime",
+            "CRSArrTime", "UniqueCarrier", "ActualElapsedTime", "Origin", "Dest", "Distance"]
+    pdf = pd.DataFrame(rows)[used].replace({"NA": None}).dropna()
+    hour = lambda t: int(math.floor(t / 100) + math.floor((t - math.floor(t / 100) * 100) / 60 + 0.5))
+    for c in flows.FLIGHT_HOURS:
+        pdf[c] = pdf[c].astype(float).map(hour)
+    for c in ["Year", "Month", "DayofMonth", "DayOfWeek"]:
+        pdf[c] = pdf[c].astype(int)
+    n = len(pdf)
+    kept = {}
+    for c in flows.FLIGHT_FREQUENT:
+        vc = pdf[c].value_counts().rename_axis("level").reset_index(name="cnt")
+        vc = vc.sort_values(["cnt", "level"], ascending=[False, True]).reset_index(drop=True)
+        share = vc["cnt"] / n
+        first = int(np.where(share.cumsum() >= 0.8)[0][0])
+        head = vc.iloc[:first + 1]
+        kept[c] = list(head[head["cnt"] / n > 0.03]["level"])
+    for c, allowed in flows.FLIGHT_ALLOWED.items():
+        kept[c] = [v for v in pdf[c].unique() if v in set(allowed)]
+    for c, ks in kept.items():
+        pattern = "^(?!" + "|".join(map(str, ks)) + ").+"
+        pdf[c] = pdf[c].map(lambda v: re.sub(pattern, "9999", str(v)))
+    pdf["ArrDelay"] = (pdf["ArrDelay"].astype(float) > 0).astype(int)
+    cols = ["ArrDelay"] + flows.FLIGHT_FREQUENT + list(flows.FLIGHT_ALLOWED)
+    return sorted(map(tuple, pdf[cols].itertuples(index=False))), cols
+
+
+def test_flight_features_legacy_modes(spark, tmp_path):
+    rows = _flight_rows()
+    path = tmp_path / "flights.csv"
+    names = [n for n, _ in flows.FLIGHT_FIELDS]
+    path.write_text(",".join(names) + "\n" + "\n".join(",".join(r[n] for n in names)
+                                                       for r in rows) + "\n")
+    want, cols = _expected_flight_legacy(rows)
+    got = flows.flight_features(spark, str(path), mode="inclusive", match="prefix")
+    assert sorted(map(tuple, got.select(*cols).collect())) == want
