@@ -122,19 +122,24 @@ def _car_rows(n, seed=0):
     return rows
 
 
-def _expected_beta(rows):
+def _expected_beta(rows, ratio_mode="fixed"):
     num = lambda s, signed=False: (lambda m: float(m.group(1)) if m else np.nan)(
         re.search(r"\s*(-*\d+\.*\d*)" if signed else r"\s*(\d+\.*\d*)", s))
 
     def ratio(s):
-        m = re.search(r"(\d+\.*\d*)\D.*?(\d+),(\d+)", s)
-        return float(m.group(1)) / (float(m.group(2)) * 1000 + float(m.group(3))) if m else np.nan
+        pattern = (r"(\d+\.*\d*)\D.*?(\d+),(\d+)" if ratio_mode == "fixed"
+                   else r"\s*(\d+\.*\d*).+(\d+),(\d+)")
+        m = re.search(pattern, s)
+        if not m:
+            return np.nan
+        den = float(m.group(2)) * 1000 + float(m.group(3))
+        return float(m.group(1)) / den if den else np.nan  # zero denominator -> missing
 
     ix = {c: k for k, c in enumerate(flows.CAR_COLUMNS)}
     recs = []
     for row in rows:
         g = lambda c: row[ix[c]]
-        rec = {"price": float(g("price"))}
+        rec = {"price": float(np.float32(g("price")))}  # price is read as FLOAT
         for c in flows.CAR_BOOL:
             rec[c] = 1.0 if g(c) == "True" else 0.0
         for c in flows.CAR_INT + flows.CAR_FLOAT:
@@ -156,10 +161,14 @@ def _expected_beta(rows):
     pdf = pdf.fillna(pdf.mean())
     pdf["year"] = 2020 - pdf["year"]
     X = np.column_stack([np.ones(len(pdf))] + [pdf[c].to_numpy() for c in flows.CAR_REGRESSORS])
-    return np.linalg.lstsq(X, pdf["price"].to_numpy(), rcond=None)[0]
+    y = pdf["price"].to_numpy()
+    # The normal equations, as the original reducer solves them (an SVD solve
+    # of X itself differs in the 5th digit where X'X is ill-conditioned).
+    return np.linalg.solve(X.T @ X, X.T @ y)
 
 
-def test_car_price_ols(spark, tmp_path):
+@pytest.mark.parametrize("ratio_mode", ["fixed", "greedy"])
+def test_car_price_ols(spark, tmp_path, ratio_mode):
     rows = _car_rows(400)
     buf = io.StringIO()
     w = csv.writer(buf)
@@ -170,9 +179,9 @@ def test_car_price_ols(spark, tmp_path):
     w.writerow(["y"] * 67)
     path = tmp_path / "cars.csv"
     path.write_text(buf.getvalue())
-    got = flows.car_price_ols_file(spark, str(path)).collect()
+    got = flows.car_price_ols_file(spark, str(path), ratio_mode).collect()
     assert [r.term for r in got] == ["const"] + flows.CAR_REGRESSORS and len(got) == 31
-    want = _expected_beta(rows)
+    want = _expected_beta(rows, ratio_mode)
     assert [r.beta for r in got] == pytest.approx(list(want), rel=1e-5, abs=1e-6)
 
 
