@@ -75,3 +75,11 @@ def test_partition_settings():
     big = partition_settings(100 << 40)
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
     assert partition_settings(1 << 20)["spark.sql.shuffle.partitions"] == "8"
+
+
+def test_read_csv_null_token(spark, tmp_path):
+    path = tmp_path / "n.csv"
+    path.write_text("a,c\n1,NA\nNA,x\n")
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("c", T.StringType())])
+    rows = sources.read_csv(spark, str(path), schema, null_value="NA").collect()
+    assert [tuple(r) for r in rows] == [(1, None), (None, "x")]
