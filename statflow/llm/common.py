@@ -111,22 +111,35 @@ def _powers(base: int, n: int) -> np.ndarray:
     return out
 
 
-class WordHasher:
+class SpanHasher:
+    """64-bit hashes of byte spans: a span's bytes as a polynomial modulo 2**64 (by
+    one running sum over the buffer), mixed together with its length."""
+
+    def __init__(self):
+        self._up = self._down = np.zeros(0, np.uint64)
+
+    def spans(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        n = len(raw)
+        if len(self._up) < n:
+            self._up, self._down = _powers(_BASE, n), _powers(_BASE_INV, n)
+        run = np.zeros(n + 1, np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self._up[:n], out=run[1:])
+            h = (run[end] - run[start]) * self._down[start]
+            h ^= (end - start).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        return mix64(h)
+
+
+class WordHasher(SpanHasher):
     """64-bit hashes of the words (maximal runs without ASCII white space) of many
     rows at once, with A-Z lower-cased.
 
-    A word's hash is its bytes as a polynomial modulo 2**64, from one running
-    sum over the buffer, then mixed together with the word's length. Work is
-    done in pieces of about ``piece`` bytes, so memory stays bounded.
+    Work is done in pieces of about ``piece`` bytes, so memory stays bounded.
     """
 
     def __init__(self, piece: int = 1 << 20):
+        super().__init__()
         self.piece = piece
-        self._up = self._down = np.zeros(0, np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self._up) < n:
-            self._up, self._down = _powers(_BASE, n), _powers(_BASE_INV, n)
 
     def __call__(self, raw: np.ndarray, offsets: np.ndarray):
         """``(hashes, word_offsets)``: all words in order; row i owns
@@ -158,15 +171,9 @@ class WordHasher:
         row_end = offsets[1:][offsets[1:] > 0] - 1
         last[row_end] = inside[row_end]
         start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-        self._grow(n)
-        with np.errstate(over="ignore"):
-            run = np.zeros(n + 1, np.uint64)
-            np.cumsum((_LOWER[raw].astype(np.uint64) + np.uint64(1)) * self._up[:n],
-                      out=run[1:])
-            h = (run[end] - run[start]) * self._down[start]
-            h ^= (end - start).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        h = self.spans(_LOWER[raw], start, end)
         bounds = np.searchsorted(start, offsets)
-        return mix64(h), np.diff(bounds)
+        return h, np.diff(bounds)
 
 
 def planes(x: np.ndarray) -> bytes:

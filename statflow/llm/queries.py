@@ -24,3 +24,18 @@ def query(fn):
 def op1_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from statflow.llm.sharding import shard_digest
     return shard_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from statflow.llm.packing import pack_documents
+    from statflow.llm.tokens import default_tokenizer
+    return pack_documents(table(spark, sf_dir, "documents"), default_tokenizer(), 2048, 0)
+
+
+@query
+def op10_seekable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from statflow.llm.token_store import read_token_files, write_token_files
+    from statflow.llm.tokens import default_tokenizer
+    return read_token_files(write_token_files(table(spark, sf_dir, "documents"),
+                                              default_tokenizer(), 2))
