@@ -12,7 +12,26 @@ from pyspark.sql import functions as F
 from statflow.session import ensure_checkpoint_dir, table_path
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors this package (once a context), as ``--py-files`` would: the
+    tasks import it, and their working folder need not hold it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_statflow_shipped", False):
+        return
+    import tempfile
+    import zipfile
+    from pathlib import Path
+    package = Path(__file__).resolve().parents[1]
+    with tempfile.NamedTemporaryFile(prefix="statflow-", suffix=".zip", delete=False) as f:
+        with zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as z:
+            for path in sorted(package.rglob("*.py")):
+                z.write(path, path.relative_to(package.parent))
+    sc.addPyFile(f.name)  # a driver-side file that Spark serves to the executors
+    sc._statflow_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(table_path(sf_dir, name))
 
 
@@ -96,6 +115,8 @@ def text_buffer(array) -> tuple[np.ndarray, np.ndarray]:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_NO_ALNUM = np.zeros(256, bool)
+_NO_ALNUM[:128] = [not chr(c).isalnum() for c in range(128)]
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = 0xD1342543DE82EF95  # odd, so it has an inverse modulo 2**64
@@ -131,15 +152,17 @@ class SpanHasher:
 
 
 class WordHasher(SpanHasher):
-    """64-bit hashes of the words (maximal runs without ASCII white space) of many
-    rows at once, with A-Z lower-cased.
+    """64-bit hashes of the words of many rows at once, with A-Z lower-cased. Words
+    are maximal runs without ASCII white space or, with ``alnum``, maximal runs of
+    ASCII letters, ASCII digits and non-ASCII characters.
 
     Work is done in pieces of about ``piece`` bytes, so memory stays bounded.
     """
 
-    def __init__(self, piece: int = 1 << 20):
+    def __init__(self, piece: int = 1 << 20, alnum: bool = False):
         super().__init__()
         self.piece = piece
+        self._apart = _NO_ALNUM if alnum else _SPACE
 
     def __call__(self, raw: np.ndarray, offsets: np.ndarray):
         """``(hashes, word_offsets)``: all words in order; row i owns
@@ -161,7 +184,7 @@ class WordHasher(SpanHasher):
         n = len(raw)
         if n == 0:
             return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
-        inside = ~_SPACE[raw]
+        inside = ~self._apart[raw]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         row_start = offsets[:-1][offsets[:-1] < n]

@@ -39,3 +39,45 @@ def op10_seekable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     from statflow.llm.tokens import default_tokenizer
     return read_token_files(write_token_files(table(spark, sf_dir, "documents"),
                                               default_tokenizer(), 2))
+
+
+@query
+def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from statflow.llm.language import identify
+    return identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from statflow.llm.warc import read_archives, write_archives
+    return read_archives(write_archives(table(spark, sf_dir, "pages")))
+
+
+@query
+def op3_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from statflow.llm.ngram_lm import score_documents
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_lsh_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from statflow.llm.near_join import jaccard_join
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_posting_list_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from statflow.llm.ann import search_self
+    return search_self(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op6_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from statflow.llm.mixing import mix_documents
+    return mix_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_block_max_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from statflow.llm.bm25 import search_self
+    return search_self(table(spark, sf_dir, "documents"))
