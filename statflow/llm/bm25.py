@@ -24,7 +24,7 @@ Queries times documents is the work that pruning starts from: it grows with the
 of the corpus when the query set grows with it.
 
 Queries and index lie in written tables of the shared folder. Defined cases: null or
-wordless text matches nothing; a row does not find itself (own doc_id); rows that share
+wordless text matches nothing; a row does not find itself; rows that share
 no word with the query are no results; a null doc_id is no query and sorts last among
 ties; ties go to the smaller doc_id; repeated rows are separate documents; an empty
 table gives an empty result; extra columns are ignored.
@@ -133,6 +133,7 @@ class Shard:
         wide[query[slot >= 0], slot[slot >= 0]] = weight[slot >= 0]
         acc = self._rare(query[slot < 0], local[slot < 0], weight[slot < 0], nq)
         bound = wide @ self.most.T + np.maximum.reduceat(acc, self.first, axis=1)
+        own = np.where(own >= 0, self.place[own], -1)
         floor = floor.astype(np.float32).copy()
         slack = np.float32(1e-4) * (1 + np.abs(floor))
         best = np.full((nq, k), -np.inf, np.float32)
