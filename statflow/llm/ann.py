@@ -6,15 +6,15 @@ nodes) and goes to every task; centroids are searched in that graph. Every vecto
 indexed: it goes to the posting list of its nearest centroid and, at a boundary, to
 further lists whose centroid is within ``REPLICA_RATIO`` of the nearest distance and
 not closer to a centroid chosen before. A query visits the lists whose centroid is
-within ``SEARCH_RATIO`` of its nearest centroid's distance, and measures all vectors
-in them exactly (Euclidean distance in double precision on the original vectors).
+within ``SEARCH_RATIO`` of its nearest centroid's distance, and the nearest lists that
+hold ``LEAST_VECTORS`` x k vectors together, and measures all vectors in them exactly (Euclidean distance in double precision on the original vectors).
 
 Vectors and queries meet by a shuffle on (list, part): lists with more than
 ``PART_ROWS`` vectors are cut into parts by hash, and a query goes to each of them,
 so no list is collected whole. Each part returns its k nearest for a query, and a
 window keeps the best of all parts.
 
-Parameters that decide recall: the two ratios. The fit is the same for any corpus
+Parameters that decide recall: the two ratios and ``LEAST_VECTORS``. The fit is the same for any corpus
 above the sample's size except for the number of lists.
 
 Defined cases: a vector takes no part if it or its id is null, it holds a null or a
@@ -38,6 +38,7 @@ SAMPLE = 20_000
 MAX_LISTS = 1024
 REPLICAS, REPLICA_RATIO = 8, 1.15
 SEARCH_RATIO, SEARCH_LISTS = 1.3, 256
+LEAST_VECTORS = 40
 PART_ROWS = 4096
 
 
@@ -190,23 +191,30 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, sample: int = S
                     [pa.array(at.astype(np.int32)), part.column("vec_id"), part.column("embedding")],
                     names=["list", "vec_id", "embedding"])
 
+    kind = "list int, vec_id long, embedding array<double>"
+    listed = stage(vectors.mapInArrow(index, kind), "ann-lists")
+    held = listed.groupBy("list").agg(F.count(F.lit(1)).alias("n"))  # at most max_lists rows
+    sizes = np.zeros(len(centroids.points), np.int64)
+    for r in held.collect():
+        sizes[r["list"]] = r["n"]
+    least = LEAST_VECTORS * k
+
     def probe(batches):
         import pyarrow as pa
         for batch in batches:
             m = _matrix(batch.column("embedding"))
             for i in range(0, len(m), 1024):
                 found, dist = centroids.search(m[i:i + 1024], visit, visit)
-                row, slot = np.nonzero((found >= 0) & (dist <= ratio * dist[:, :1] + 1e-12))
+                size = np.where(found >= 0, sizes[found], 0)
+                few = np.cumsum(size, axis=1) - size < least
+                row, slot = np.nonzero((found >= 0) & (few | (dist <= ratio * dist[:, :1] + 1e-12)))
                 part = batch.slice(i, 1024).take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found[row, slot].astype(np.int32)), part.column("vec_id"),
                      part.column("embedding")], names=["list", "vec_id", "embedding"])
 
-    kind = "list int, vec_id long, embedding array<double>"
-    listed = stage(vectors.mapInArrow(index, kind), "ann-lists")
-    # At most ``max_lists`` rows.
-    parts = F.broadcast(listed.groupBy("list").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(PART_ROWS)).cast("int").alias("parts")))
+    parts = F.broadcast(held.select(
+        "list", F.ceil(F.col("n") / F.lit(PART_ROWS)).cast("int").alias("parts")))
     stored = listed.join(parts, "list").select(
         "list", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"),
         F.lit(0).alias("kind"), "vec_id", "embedding")

@@ -92,7 +92,7 @@ class ArchiveWriter:
         head = [("WARC-Type", "response" if refers_to is None else "revisit"),
                 ("WARC-Record-ID", record_id(page_id, digest, copy)),
                 ("WARC-Date", self._date), ("WARC-Target-URI", target),
-                ("WARC-Page-ID", str(page_id).lower() if page_id is None else str(page_id)),
+                ("WARC-Page-ID", "null" if page_id is None else str(page_id)),
                 ("WARC-Payload-Digest", f"sha1:{digest}"),
                 ("WARC-Block-Digest", f"sha1:{base32_sha1(block)}"),
                 ("Content-Type", "application/http; msgtype=response")]
