@@ -129,8 +129,9 @@ def _blocks(docs: DataFrame, groups: int) -> DataFrame:
 
     def run(batches):
         import pyarrow as pa
+        import zstandard
         from pyspark import TaskContext
-        hasher, made = WordHasher(), 0
+        hasher, made, zipper = WordHasher(), 0, zstandard.ZstdCompressor(level=1)
         base = TaskContext.get().partitionId() << 32
         for batch in batches:
             raw, offsets = text_buffer(batch.column("text"))
@@ -156,12 +157,16 @@ def _blocks(docs: DataFrame, groups: int) -> DataFrame:
                            + _pack_counts(pairs[at_p[g]:at_p[g + 1]], pair_n[at_p[g]:at_p[g + 1]])
                            for g in range(groups)]
                 own = ids.slice(i, j - i)
-                seq = struct.pack("<QQQQ", j - i, len(words), len(word), end) + b"".join([
+                # Frequent words get small numbers: the sequence compresses better.
+                order = np.argsort(-np.bincount(word, minlength=len(words)), kind="stable")
+                number = np.empty(len(words), np.int64)
+                number[order] = np.arange(len(words))
+                seq = struct.pack("<QQQQ", j - i, len(words), len(word), number[end]) + b"".join([
                     planes(bounds.astype("<i8")),
                     own.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes(),
                     np.asarray(own.is_valid().to_numpy(zero_copy_only=False), np.uint8).tobytes(),
                     train[i:j].astype(np.uint8).tobytes(),
-                    planes(words), planes(word.astype("<u4"))])
+                    planes(words[order]), zipper.compress(planes(number[word].astype("<u4")))])
                 block = base + made
                 made += 1
                 yield pa.RecordBatch.from_arrays(
@@ -213,6 +218,7 @@ _SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_to
 def _walk(key, table):
     """One block with all answers: build its automaton for each (a, b), walk its documents."""
     import pyarrow as pa
+    import zstandard
     part, seq = table.column("part").to_pylist(), table.column("seq").to_pylist()
     payload = table.column("payload").combine_chunks()
     data = memoryview(payload[seq.index(True)].as_buffer())
@@ -228,8 +234,12 @@ def _walk(key, table):
     doc_ids = np.frombuffer(take(8 * n_docs), "<i8")
     valid = np.frombuffer(take(n_docs), np.uint8) > 0
     train = np.frombuffer(take(n_docs), np.uint8) > 0
-    words = from_planes(take(8 * n_words), "<u8")
-    word = from_planes(take(4 * n_tokens), "<u4").astype(np.int64)
+    numbered = from_planes(take(8 * n_words), "<u8")
+    order = np.argsort(numbered)  # the answers come in order of the hashes
+    words, place = numbered[order], np.empty(n_words, np.int64)
+    place[order] = np.arange(n_words)
+    raw = zstandard.ZstdDecompressor().decompress(data[at:], max_output_size=4 * n_tokens)
+    word, end = place[from_planes(raw, "<u4")], int(place[end])
 
     tokens = distinct = 0
     word_parts, pair_parts = [], []
