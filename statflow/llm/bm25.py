@@ -26,7 +26,7 @@ of the corpus when the query set grows with it.
 Queries and index lie in written tables of the shared folder. Defined cases: null or
 wordless text matches nothing; a row does not find itself; rows that share
 no word with the query are no results; a null doc_id is no query and sorts last among
-ties; ties go to the smaller doc_id; repeated rows are separate documents; an empty
+ties; scores equal to 6 decimals go to the smaller doc_id; repeated rows are separate documents; an empty
 table gives an empty result; extra columns are ignored.
 """
 
@@ -48,6 +48,7 @@ GROUP_BYTES = 64 << 20
 BLOCK_DOCS = 128
 DENSE_SHARE = 1 / 40  # words in more than this part of a shard's documents are dense
 K1, B = 1.2, 0.75
+DIGITS = 6  # decimals of a score: the order of a sum's terms must not decide ranks
 _NONE = -(1 << 63)
 
 
@@ -450,5 +451,6 @@ def search_self(docs: DataFrame, modulus: int = 20, k: int = 10) -> DataFrame:
     scored = index.groupBy("shard").cogroup(finalists.groupBy("shard")).applyInArrow(
         settle, "query_id long, doc_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-    return (scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return (scored.withColumn("score", F.round("score", DIGITS))
+            .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "doc_id", "score"))

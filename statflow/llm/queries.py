@@ -10,9 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from statflow.llm.common import table
+from statflow.llm.oracles import oracles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles()
 
 
 def query(fn):

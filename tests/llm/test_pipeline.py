@@ -1,0 +1,64 @@
+"""The corpus pipeline, stage by stage, against what each stage must do."""
+
+import re
+from collections import Counter, defaultdict
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from statflow.llm.common import stage
+from tests.llm.test_near_join import brute
+from tests.llm.test_tokens import check_packing, crc, pieces_of, plain  # noqa: F401
+from tests.llm.test_tokens import tok  # noqa: F401  (fixture)
+
+SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def test_stages_one_after_another(spark, tok):  # noqa: F811
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["language_id", "near_duplicates", "source_mixing", "packing"]
+    tables = [docs.collect()]
+    for name, step in corpus_pipeline.STAGES:
+        out = stage(step(spark, docs, SF), name)
+        if name != names[-1]:
+            assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        docs = out
+        tables.append(out.collect())
+    before, known, single, mixed, packed = tables
+
+    # Language ID keeps every document with a letter.
+    assert {r["doc_id"] for r in known} == {r["doc_id"] for r in before if re.search(r"[^\W\d_]", r["text"] or "")}
+    # One document of each class of copies and near copies.
+    classes = {c for _, c, _ in brute([(r["doc_id"], r["text"]) for r in known])}
+    assert sorted(r["doc_id"] for r in single) == sorted(classes)
+    # Mixing: nothing is dropped, no source above twice itself, weights flatter than before.
+    times = Counter(r["doc_id"] for r in mixed)
+    assert set(times) == {r["doc_id"] for r in single} and max(times.values()) <= 2
+    size = {r["doc_id"]: len(WORD.findall(r["text"])) for r in single}
+    own, read = defaultdict(int), defaultdict(int)
+    for r in single:
+        own[r["source"]] += size[r["doc_id"]]
+        read[r["source"]] += size[r["doc_id"]] * times[r["doc_id"]]
+    assert max(read.values()) / min(read.values()) < max(own.values()) / min(own.values())
+    # Packing: all pieces of the mixture.
+    want = list(pieces_of(tok, [(r["doc_id"], r["text"]) for r in mixed], 2048))
+    assert check_packing(packed, want, 2048) <= 1.02 * sum(w[3] for w in want) / 2048 + 3
+
+
+def test_run_is_registered(spark):
+    rows = entry.queries()["pipeline"](spark, SF)
+    assert rows.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert rows.count() > 0
+
+
+def test_odd_documents_through_all_stages(spark, tmp_path):
+    rows = [(1, "the cat and the dog", "en", "a", 19), (1, "the cat and the dog", "en", "a", 19),
+            (None, None, None, None, None), (2, "", "en", None, 0), (3, "??? 123", None, "b", 7),
+            (4, "le chat et le chien " * 3000, "fr", None, None), (None, "a lone row without id", "en", "b", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in out} == {1, 4, None}
+    df.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
