@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statflow.llm.common import WordHasher, mix64, names, null_safe_text, stage, text_buffer
-from statflow.llm.components import components
+from statflow.llm.components import components, least_linked
 
 NGRAM = 5
 THRESHOLD = (4, 5)  # Jaccard similarity as a fraction
@@ -205,19 +205,6 @@ def _pairs_in(first: np.ndarray, n: int, side: np.ndarray, cross: np.ndarray, mo
         i = j
 
 
-def _least_linked(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each of n rows the smallest row that pairs (a, b) connect it to."""
-    label = np.arange(n)
-    while True:
-        before = label.copy()
-        least = np.minimum(label[a], label[b])
-        np.minimum.at(label, a, least)
-        np.minimum.at(label, b, least)
-        label = label[label]
-        if np.array_equal(before, label):
-            return label
-
-
 def _cells(df: DataFrame, chunks, node: str = "node") -> DataFrame:
     """Each row once for every cell (pair of chunks) that its chunk belongs to."""
     mine = F.pmod(F.xxhash64(F.col(node), F.lit(7)), chunks)
@@ -246,7 +233,7 @@ def _candidate_edges(members: DataFrame) -> DataFrame:
                 same = (sketch[a] == sketch[b]).sum(1) >= need
                 hits.append((a[same], b[same]))
             a, b = (np.concatenate(x) for x in zip(*hits))
-            least = _least_linked(n, a, b)
+            least = least_linked(n, a, b)
             moved = least != np.arange(n)
             edges = np.unique(np.stack([node[moved], node[least[moved]]], 1), axis=0)
             edges = edges[edges[:, 0] != edges[:, 1]]
@@ -312,7 +299,7 @@ def _verified(groups: DataFrame, num: int, den: int) -> DataFrame:
                     ok &= side[:, None] != side[None, :]
                 a, b = np.nonzero(np.triu(ok))
                 if len(a):
-                    least = _least_linked(len(node), a, b)
+                    least = least_linked(len(node), a, b)
                     linked = np.flatnonzero(ok.any(1))
                     out.append((node[linked], (ok @ copies)[linked], node[least[linked]]))
             if out:
