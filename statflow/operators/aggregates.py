@@ -64,20 +64,23 @@ def gram(df: DataFrame, xs: Sequence[str], y: str | None = None, intercept: bool
     """Cross-product matrix of ``[1, xs..., y]`` as long rows.
 
     Returns ``(i, j, term_i, term_j, value)`` for i <= j; rows with ``term_j = y``
-    are X'y and the last one is y'y. One aggregate pass of p(p+1)/2 sums; the
-    partial aggregate per task is the mapper-side combiner.
-
-    ``exact_scale`` accumulates in DECIMAL(18, scale) (inputs with that many
-    decimals are summed exactly, so the result does not depend on row order);
-    the default sums doubles.
+    are X'y and the last one is y'y. Only rows complete in ``xs`` and ``y`` count,
+    so all sums are over the same rows.
+
+    By default each Arrow batch gives its own X'X (a matrix product), one row an
+    entry, and these partial sums are added up: the cost grows with rows, not with
+    the number of separate sums. ``exact_scale`` instead accumulates in
+    DECIMAL(18, scale) in one aggregate of p(p+1)/2 sums (inputs with that many
+    decimals are summed exactly, so the result does not depend on row order).
     """
+    used = [*xs] + ([y] if y is not None else [])
+    if exact_scale is None:
+        return _gram_batches(df, used, intercept)
     terms: list[tuple[str, Column]] = []
     if intercept:
-        terms.append(("const", F.lit(1).cast("double") if exact_scale is None
-                      else F.lit(1).cast(f"decimal(18,{exact_scale})")))
-    terms += [(c, _term(c, exact_scale)) for c in xs]
-    if y is not None:
-        terms.append((y, _term(y, exact_scale)))
+        terms.append(("const", F.lit(1).cast(f"decimal(18,{exact_scale})")))
+    terms += [(c, _term(c, exact_scale)) for c in used]
+    df = df.dropna(how="any", subset=used) if used else df
     aggs, index = [], []
     for i, (ni, ci) in enumerate(terms):
         for j in range(i, len(terms)):
@@ -92,17 +95,47 @@ def gram(df: DataFrame, xs: Sequence[str], y: str | None = None, intercept: bool
     return wide.select(F.inline(entries))
 
 
-def impute_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Replace nulls by the column's global mean (one aggregate pass).
+def _gram_batches(df: DataFrame, cols: Sequence[str], intercept: bool) -> DataFrame:
+    names = (["const"] if intercept else []) + list(cols)
+    doubles = df.select(*[F.col(c).cast("double").alias(f"x{k}") for k, c in enumerate(cols)])
+    if not cols:
+        doubles = df.select(F.lit(1.0).alias("x0"))
+    doubles = doubles.dropna(how="any")
+    width, p = len(cols), len(names)
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        total = np.zeros((p, p))
+        for batch in batches:
+            x = np.stack([batch.column(k).to_numpy() for k in range(max(width, 1))], 1)
+            if not cols:
+                x = x[:, :0]
+            if intercept:
+                x = np.concatenate([np.ones((len(x), 1)), x], 1)
+            total += x.T @ x
+        i, j = np.triu_indices(p)
+        yield pa.RecordBatch.from_pydict({"i": pa.array(i, pa.int32()),
+                                          "j": pa.array(j, pa.int32()), "value": total[i, j]})
+
+    sums = (doubles.mapInArrow(run, "i int, j int, value double")
+            .groupBy("i", "j").agg(F.sum("value").alias("value")))
+    name = F.array(*[F.lit(n) for n in names])
+    return sums.select("i", "j", F.get(name, F.col("i")).alias("term_i"),
+                       F.get(name, F.col("j")).alias("term_j"), "value")
 
-    Only the means (one row) come back to the driver.
-    """
+
+def impute_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Replace nulls by the column's global mean (one aggregate pass, as a
+    scalar subquery of the same plan: no job runs while the frame is built).
+    A column without any value stays null."""
     cols = list(cols)
     if not cols:
         return df
-    means = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(means[c]))
-                           for c in cols})
+    means = df.agg(F.struct(*[F.avg(c).alias(f"m{k}") for k, c in enumerate(cols)])
+                   .alias("means")).scalar()
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), means[f"m{k}"])
+                           for k, c in enumerate(cols)})
 
 
 def impute_const(df: DataFrame, mapping: Mapping[str, object]) -> DataFrame:

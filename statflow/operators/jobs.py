@@ -36,7 +36,7 @@ def keyed_job(df: DataFrame, key: str | Sequence[str], mapper: Mapper | None = N
     """Mapper -> shuffle on ``key`` -> reduce.
 
     Prefer ``aggs`` (e.g. ``[F.sum('v'), F.count('*')]``): Spark combines them
-    map-side. A pandas ``reducer`` takes rows of one or more keys and returns
+    map-side. A pandas ``reducer`` is a combiner: it takes rows of one or more keys and returns
     one partial row per key, with the key columns; it must be associative and
     commutative (a partial of partials is a valid partial). It runs as a
     combiner tree: on every Arrow batch where the rows are (no shuffle), then
@@ -71,10 +71,12 @@ def cluster_by(df: DataFrame, key: str | Sequence[str], n: int | None = None,
     """O3: rows come out sorted by ``key`` across partitions in order.
 
     Range partitioning on ``key`` plus a tie-break (default: every other
-    column) lets a hot key span several partitions instead of one task.
+    column) and at last the row's own position lets a hot key span several
+    partitions instead of one task, even if its rows are identical.
     """
     keys = [key] if isinstance(key, str) else list(key)
     ties = list(tiebreak) if tiebreak is not None else [c for c in df.columns if c not in keys]
-    order = keys + ties
+    order = [*keys, *ties, "__row"]
     args = ([n] if n else []) + order
-    return df.repartitionByRange(*args).sortWithinPartitions(*order)
+    return (df.withColumn("__row", F.monotonically_increasing_id())
+            .repartitionByRange(*args).sortWithinPartitions(*order).drop("__row"))

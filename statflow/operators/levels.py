@@ -8,10 +8,9 @@ those lists are bounded by 1/p whatever the data size.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statflow.functions.constants import OTHER_LEVEL
@@ -77,26 +76,31 @@ def frequent_levels(df: DataFrame, col: str, p: float = 0.03, cum_p: float = 0.8
     ``inclusive``: every level up to and including the first whose cumulative
     share reaches cum_p, and share > p.
 
-    With p > 0 only the first ceil(1/p) levels can qualify, and their running
-    sums only involve each other, so a distributed top-k replaces the full sort.
+    Levels with share > p are a prefix of the count-descending order, so the
+    share filter comes before the running sum without changing it.
     """
     counts = _counts(df, col)
     n = counts.agg(F.sum("cnt")).scalar()
-    if p > 0:
-        k = math.ceil(1.0 / p)
-        top = counts.orderBy(*_level_order()).limit(k)
-        w = Window.orderBy(*_level_order()).rowsBetween(Window.unboundedPreceding,
-                                                     Window.currentRow)
-        ranked = top.withColumn("cum", F.sum("cnt").over(w))
-    else:
-        ranked = running_total(counts, "cnt", _level_order(), "cum")
-    ranked = ranked.withColumn("n", n)
+    shared = counts.withColumn("n", n).where(F.col("cnt") / F.col("n") > F.lit(p))
+    ranked = running_total(shared, "cnt", _level_order(), "cum")
     return (ranked.where(_kept_condition(p, cum_p, mode))
             .select("level", "cnt", "cum",
                     (F.col("cnt") / F.col("n")).alias("share"),
                     (F.col("cum") / F.col("n")).alias("cum_share")))
 
 
+def frequent_level_table(df: DataFrame, cols: Sequence[str], p: float = 0.03,
+                         cum_p: float = 0.8, mode: str = "strict") -> DataFrame:
+    """A6 for many columns in one scan: ``column, level`` of the kept levels."""
+    counts = level_counts(df, cols)
+    totals = counts.groupBy("column").agg(F.sum("cnt").alias("n"))
+    # One row per column: bounded by the number of columns.
+    shared = (counts.join(F.broadcast(totals), "column")
+              .where(F.col("cnt") / F.col("n") > F.lit(p)))
+    ranked = running_total(shared, "cnt", _level_order(), "cum", partition_by=["column"])
+    return ranked.where(_kept_condition(p, cum_p, mode)).select("column", "level")
+
+
 def kept_list(kept: DataFrame, col: str = "level") -> list:
     """Bring a bounded kept-level table to the driver (for ``fold_levels``)."""
     return [r[0] for r in kept.select(col).orderBy(col).collect()]

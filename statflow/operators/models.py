@@ -1,8 +1,11 @@
 """Models (A10, M8-M16): least squares from one aggregate pass, logistic
 regression, term statistics, Word2Vec and LDA topics.
 
-What reaches the driver is bounded by the model, never by the data: a p x p
-cross-product matrix, a fitted model, or a vocabulary capped by ``vocab_size``.
+Vocabularies stay tables: term vectors are built by joining term counts with
+the ranked vocabulary. What reaches the driver is a fitted model: the p x p
+cross-product matrix, coefficients, LDA's k x V topic matrix (online LDA keeps it
+on the driver: 8 * k bytes a term) and Word2Vec's vectors (Spark trains them on the
+driver's copy: 8 * size bytes a term; raise ``min_count`` for large corpora).
 """
 
 from __future__ import annotations
@@ -14,9 +17,9 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import (IDF, CountVectorizer, CountVectorizerModel, IDFModel,
-                                Word2Vec, Word2VecModel)
+from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,13 +46,18 @@ def ols(df: DataFrame, xs: Sequence[str], y: str, intercept: bool = True,
     """
     entries = gram(df, xs, y, intercept, exact_scale).collect()
     terms = (["const"] if intercept else []) + list(xs)
+    beta = solve_gram(entries, terms)
+    rows = [(t, float(b)) for t, b in zip(terms, beta)]
+    return df.sparkSession.createDataFrame(rows, "term string, beta double")
+
+
+def solve_gram(entries, terms: Sequence[str]) -> np.ndarray:
+    """Coefficients of ``terms`` from the collected rows of ``gram``."""
     p = len(terms)
     g = np.zeros((p + 1, p + 1))
     for r in entries:
         g[r["i"], r["j"]] = g[r["j"], r["i"]] = r["value"]
-    beta = solve_normal_equations(g[:p, :p], g[:p, p])
-    rows = [(t, float(b)) for t, b in zip(terms, beta)]
-    return df.sparkSession.createDataFrame(rows, "term string, beta double")
+    return solve_normal_equations(g[:p, :p], g[:p, p])
 
 
 # ---------------------------------------------------------------- logistic regression
@@ -58,8 +66,9 @@ def ols(df: DataFrame, xs: Sequence[str], y: str, intercept: bool = True,
 def fit_logistic(df: DataFrame, features: str = "features", label: str = "label",
                  **params) -> LogisticRegressionModel:
     """M8: Spark's logistic regression; defaults as Spark (100 iterations, no
-    penalty, threshold 0.5)."""
-    return LogisticRegression(featuresCol=features, labelCol=label, **params).fit(df)
+    penalty, threshold 0.5). The training rows are persisted for the iterations."""
+    fit = LogisticRegression(featuresCol=features, labelCol=label, **params).fit
+    return fit_persisted(df.select(features, label), fit)
 
 
 def predict(model, df: DataFrame, label: str = "label", keep: Sequence[str] = ()) -> DataFrame:
@@ -83,8 +92,10 @@ def tf_idf(df: DataFrame, doc: str, terms: str) -> DataFrame:
     """``(doc, term, tf, df, idf, tf_idf)`` with idf = ln((m+1)/(df+1)),
     m = number of documents (rows of ``df``), as Spark ML's IDF.
 
-    The document-frequency join is on ``term``; a very common term is a skewed
-    join key, which adaptive execution splits.
+    The join is on the term and a hash of it: neither side is partitioned that way
+    already, so both get an exchange of their own below the join, and adaptive
+    execution can split the rows of a very common term (it cannot split a side
+    that is an aggregate directly below the join).
     """
     m = df.agg(F.count(F.lit(1))).scalar()
     tc = term_counts(df, doc, terms)
@@ -94,7 +105,8 @@ def tf_idf(df: DataFrame, doc: str, terms: str) -> DataFrame:
     # rewritten to count(1) and tf pruned again.)
     dfreq = tc.groupBy("term").agg(
         F.count(F.when(F.col("tf") > 0, F.col("tf"))).alias("df"))
-    out = tc.join(dfreq, "term")
+    out = (tc.withColumn("__h", F.hash("term"))
+           .join(dfreq.withColumn("__h", F.hash("term")), ["term", "__h"]).drop("__h"))
     idf = F.log((m + F.lit(1)) / (F.col("df") + F.lit(1)))
     return out.select(doc, "term", "tf", "df", idf.alias("idf"),
                       (F.col("tf") * idf).alias("tf_idf"))
@@ -128,14 +140,23 @@ def lookup_long(df: DataFrame, keys: Sequence[str], idx: str, vocab: DataFrame,
     return ex.join(vocab.select(index_col, term_col), index_col, "left")
 
 
-def lookup(df: DataFrame, keys: Sequence[str], idx: str, vocab: DataFrame, out: str,
+def lookup(df: DataFrame, idx: str, vocab: DataFrame, out: str,
            index_col: str = "term_index", term_col: str = "term") -> DataFrame:
-    """Index array -> term array, order kept; one group per row of ``df``."""
-    long = lookup_long(df, keys, idx, vocab, index_col, term_col)
-    packed = long.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("pos", term_col))).alias("__w"))
-    words = packed.select(*keys, F.transform("__w", lambda s: s[term_col]).alias(out))
-    return df.join(words, list(keys), "left")
+    """Index array -> term array, order kept, one result for every row of ``df``.
+
+    Rows are told apart by their own number, so equal rows keep their own arrays;
+    a null array stays null, an empty one stays empty, an unknown index is null.
+    """
+    cols = df.columns
+    rows = df.withColumn("__row", F.monotonically_increasing_id())
+    ex = rows.select("*", F.posexplode_outer(idx).alias("__pos", "__i"))
+    names = vocab.select(F.col(index_col).alias("__v"), F.col(term_col).alias("__t"))
+    long = ex.join(names, F.col("__i") == F.col("__v"), "left")
+    entry = F.when(F.col("__pos").isNotNull(), F.struct("__pos", "__t"))
+    packed = long.groupBy("__row").agg(*[F.first(c).alias(c) for c in cols],
+                                       F.array_sort(F.collect_list(entry)).alias("__w"))
+    words = F.transform("__w", lambda e: e["__t"])
+    return packed.select(*cols, F.when(F.col(idx).isNotNull(), words).alias(out))
 
 
 # ---------------------------------------------------------------- topic models
@@ -143,59 +164,39 @@ def lookup(df: DataFrame, keys: Sequence[str], idx: str, vocab: DataFrame, out:
 
 @dataclass
 class TopicModel:
-    vectorizer: CountVectorizerModel | None
-    idf: IDFModel | None
+    """``vocab``: table ``term_index, term, ttf, df``; None for word-vector models."""
+
+    vocab: DataFrame | None
     embedder: Word2VecModel | None
     lda: LDAModel
     features: str
 
-    def vocab_table(self, spark) -> DataFrame:
-        """The vocabulary as ``(term_index, term)`` (bounded by ``vocab_size``)."""
-        vocab = self.vectorizer.vocabulary
-        return spark.createDataFrame(list(enumerate(vocab)), "term_index int, term string")
-
 
-# Entries Spark's CountVectorizer may merge on the driver (its final
-# ``RDD.top`` pulls a vocab_size queue from every input partition).
-DRIVER_TOPK_ENTRIES = 1 << 24
+def term_vectors(df: DataFrame, key: str, terms: str, vocab_size: int | None = None,
+                 min_df: float = 1.0, out: str = "tfidf_vec") -> tuple[DataFrame, DataFrame]:
+    """M10/M11 as vectors: ``(vocabulary table, rows (key, tfidf_vec))``.
 
+    The vocabulary is every term (``vocab_size`` keeps the most frequent ones;
+    ``min_df`` below 1 is a fraction of the documents), ranked on the executors and
+    joined to the term counts; a document without terms has an empty vector. ``key``
+    identifies the rows of ``df``.
+    """
+    m = df.count()
+    vocab = vocabulary(df, key, terms, vocab_size, min_df if min_df >= 1.0 else min_df * m)
+    size = vocab.count()
+    weight = F.col("tf") * F.log(F.lit(m + 1.0) / (F.col("df") + F.lit(1)))
+    packed = (term_counts(df, key, terms).withColumn("__h", F.hash("term"))
+              .join(vocab.withColumn("__h", F.hash("term")), ["term", "__h"])
+              .groupBy(key).agg(F.array_sort(F.collect_list(
+                  F.struct("term_index", weight.alias("w")))).alias("e")))
 
-def fit_count_vectorizer(df: DataFrame, terms: str, vocab_size: int = 1 << 18,
-                         min_df: float = 1.0, out: str = "tf_vec",
-                         strategy: str = "auto") -> CountVectorizerModel:
-    """M10 as a Spark ML model (vocabulary by total count, capped at ``vocab_size``;
-    ``min_df`` below 1 is a fraction of the documents).
+    @F.udf(VectorUDT())
+    def sparse(entries):
+        entries = entries or []
+        return Vectors.sparse(size, [e[0] for e in entries], [e[1] for e in entries])
 
-    ``spark``: Spark's CountVectorizer, whose last step merges one
-    ``vocab_size`` queue per input partition on the driver, and breaks count
-    ties arbitrarily. ``distributed``: the ranking runs on the executors (ties
-    by term, deterministic) and only the chosen terms reach the driver; handing
-    them to the JVM costs a fixed few seconds per 100k terms. ``auto`` picks
-    ``spark`` while partitions x vocab_size stays under ``DRIVER_TOPK_ENTRIES``.
-    """
-    if strategy == "auto":
-        merged = df.rdd.getNumPartitions() * vocab_size
-        strategy = "spark" if merged <= DRIVER_TOPK_ENTRIES else "distributed"
-    if strategy == "spark":
-        return CountVectorizer(inputCol=terms, outputCol=out, vocabSize=vocab_size,
-                               minDF=min_df).fit(df)
-    if strategy != "distributed":
-        raise ValueError(f"unknown strategy {strategy!r}")
-    threshold = min_df
-    if min_df < 1.0:
-        threshold = min_df * df.count()
-    keyed = df.select(F.monotonically_increasing_id().alias("__doc"), terms)
-    vocab = vocabulary(keyed, "__doc", terms, vocab_size, threshold)
-    words = [r.term for r in vocab.orderBy("term_index").select("term").collect()]
-    return CountVectorizerModel.from_vocabulary(words, inputCol=terms, outputCol=out)
-
-
-def fit_count_idf(df: DataFrame, terms: str, vocab_size: int = 1 << 18, min_df: float = 1.0):
-    """M10/M11 as Spark ML stages: term counts over the vocabulary, then IDF."""
-    cv = fit_count_vectorizer(df, terms, vocab_size, min_df)
-    counted = cv.transform(df)
-    idf = IDF(inputCol="tf_vec", outputCol="tfidf_vec").fit(counted)
-    return cv, idf, idf.transform(counted)
+    rows = df.select(key).join(packed, key, "left").select(key, sparse("e").alias(out))
+    return vocab, rows
 
 
 def fit_persisted(df: DataFrame, fit):
@@ -216,78 +217,16 @@ def median_vector_size(df: DataFrame, terms: str) -> int:
     return max(1, int(math.floor(float(med or 1) + 0.5)))
 
 
-_UNITS = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-
-
-def _bytes(text: str) -> int:
-    text = text.strip().lower().rstrip("b")
-    return int(float(text[:-1]) * _UNITS[text[-1]]) if text[-1] in _UNITS else int(text)
-
-
-def _local_cores(master: str) -> int:
-    import os
-    inside = master[master.find("[") + 1:master.find("]")] if "[" in master else "1"
-    return (os.cpu_count() or 1) if inside in ("*", "") else int(inside.split(",")[0])
-
-
-def training_copies(spark, model_bytes: int, wanted: int) -> int:
-    """How many tasks may train a model copy at once without exhausting an
-    executor: every concurrent task holds its own copy plus broadcast, update
-    and result buffers (about four model sizes), within a quarter of the heap;
-    the partial models are also summed and shipped once per task."""
-    master = spark.conf.get("spark.master", "local")
-    local = master.startswith("local")
-    mem = _bytes(spark.conf.get("spark.driver.memory" if local else "spark.executor.memory",
-                                "1g"))
-    cores = (_local_cores(master) if local
-             else int(spark.conf.get("spark.executor.cores", "1")))
-    per_task = 4 * model_bytes
-    if per_task * min(cores, wanted) <= mem // 4:
-        return wanted
-    return max(1, min(wanted, (mem // 4) // max(per_task, 1)))
-
-
-def check_driver_fits(spark, model_bytes: int, what: str) -> None:
-    """Refuse, before any job runs, a model the driver heap cannot hold.
-
-    The driver keeps the model, its broadcast copy and (in local mode) the
-    task copies - about four model sizes within Spark's usable heap (60% of
-    heap minus 300 MB). An out-of-memory error would instead take down the
-    whole driver JVM and every query sharing it.
-    """
-    heap = _bytes(spark.conf.get("spark.driver.memory", "1g"))
-    usable = int(0.6 * max(heap - (300 << 20), 0))
-    need = 4 * model_bytes
-    if need > usable:
-        raise MemoryError(
-            f"{what} needs about {need >> 20} MB of driver heap but "
-            f"spark.driver.memory={heap >> 20} MB leaves {usable >> 20} MB usable; "
-            f"raise spark.driver.memory or min_count")
-
-
 def embed(df: DataFrame, terms: str, out: str = "word_vec", vector_size: int | str = "median",
-          min_count: int = 0, seed: int = 42, num_partitions: int | None = None):
+          min_count: int = 0, seed: int = 42, num_partitions: int = 8):
     """Word2Vec; a row's vector is the mean of its terms' vectors.
 
-    ``vector_size='median'`` uses the median term count per row. Training is
-    spread over as many partitions as the input has, reduced only when the
-    model copies those tasks hold (vocabulary x size x 8 bytes each) would not
-    fit the configured memory. The vocabulary (terms seen at least
-    ``min_count`` times) lives on the driver: raise ``min_count`` for very
-    large corpora.
+    ``vector_size='median'`` uses the median term count per row. The result depends on
+    ``num_partitions`` (tasks that train at once), so it is an argument, not derived
+    from the machine. Spark keeps the vocabulary's vectors on the driver: size
+    ``spark.driver.memory`` for 4 * 8 * size bytes a term, or raise ``min_count``.
     """
     size = median_vector_size(df, terms) if vector_size == "median" else int(vector_size)
-    counts = explode_values(df, [], terms, "__t").groupBy("__t").count()
-    vocab = counts.where(F.col("count") >= min_count).count()
-    model_bytes = 8 * vocab * size  # two float matrices, vocabulary x size
-    check_driver_fits(df.sparkSession, model_bytes,
-                      f"Word2Vec ({vocab} terms x {size} dimensions)")
-    if num_partitions is None:
-        try:
-            wanted = max(1, df.rdd.getNumPartitions())
-        except Exception:  # Spark Connect: no RDD API
-            wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-        num_partitions = training_copies(df.sparkSession, model_bytes, wanted)
     w2v = Word2Vec(vectorSize=size, minCount=min_count, inputCol=terms, outputCol=out,
                    seed=seed, numPartitions=num_partitions)
     model = fit_persisted(df.select(terms), w2v.fit)
@@ -312,18 +251,13 @@ def topics(model: LDAModel, m: int = 10) -> DataFrame:
              F.col("tw.termWeights").alias("weight"))
 
 
-def topic_words(tm: TopicModel, spark, m: int = 10) -> DataFrame:
-    """``(topic, rank, term_index, term, weight)`` via the vocabulary.
-
-    Only the k x m indices of the topic table (bounded by the model) are
-    looked up, instead of turning the whole vocabulary into a table.
-    """
-    top = topics(tm.lda, m)
-    wanted = sorted({r.term_index for r in top.select("term_index").distinct().collect()})
-    vocab = tm.vectorizer.vocabulary
-    names = spark.createDataFrame([(i, vocab[i]) for i in wanted],
-                                  "term_index int, term string")
-    return top.join(F.broadcast(names), "term_index", "left")
+def topic_words(tm: TopicModel, m: int = 10) -> DataFrame:
+    """``(topic, rank, term_index, term, weight)``: the k x m rows of the topic
+    table joined with the vocabulary table."""
+    names = tm.vocab.select("term_index", "term")
+    # k x m rows.
+    return names.join(F.broadcast(topics(tm.lda, m)), "term_index", "right").select(
+        "topic", "rank", "term_index", "term", "weight")
 
 
 def doc_topics(model: LDAModel, df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -3,9 +3,11 @@
 ``sum(x) OVER (ORDER BY ...)`` with no PARTITION BY moves every row into a
 single task. Here the rows are range-partitioned on the order keys instead,
 each partition computes its own running sum, and a table with one row per
-partition (bounded by the partition count, so safe to broadcast) supplies the
-offset of everything before it. The partitioned intermediate is reliably
-checkpointed so partition ids stay fixed if a task is retried.
+partition and group supplies the offset of everything before it. Without groups
+that table is bounded by the partition count and is broadcast; with groups it
+may be as large as the data, and the planner picks the join. The partitioned
+intermediate is reliably checkpointed so partition ids stay fixed if a task is
+retried; ``DEFAULT_CONF`` lets Spark remove the files once nothing refers to them.
 """
 
 from __future__ import annotations
@@ -58,9 +60,16 @@ def running_total(df: DataFrame, value: str | Column, order: Sequence[str | Colu
              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(_PID, *partition_by,
                             F.coalesce(F.sum(_TOT).over(w_off), F.lit(0)).alias(_OFF))
-    joined = local.join(F.broadcast(offsets), [_PID, *partition_by], "inner")
+    # Null group values are groups too: the join must match them.
+    names = {c: f"__sf_g{i}" for i, c in enumerate([_PID, *partition_by])}
+    offsets = offsets.withColumnsRenamed(names)
+    same = F.lit(True)
+    for c, g in names.items():
+        same = same & (local[c] == offsets[g] if c == _PID else
+                       local[c].eqNullSafe(offsets[g]))
+    joined = local.join(offsets if partition_by else F.broadcast(offsets), same)
     return joined.withColumn(out, F.col(_LOCAL) + F.col(_OFF)).drop(
-        _PID, _LOCAL, _OFF, "__sf_val")
+        _PID, _LOCAL, _OFF, "__sf_val", *names.values())
 
 
 def global_rank(df: DataFrame, order: Sequence[str | Column], out: str,

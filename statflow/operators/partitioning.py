@@ -1,23 +1,15 @@
-"""Partition-count guards."""
+"""Partition counts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` tasks (default: the
-    cluster's parallelism) when its source yields fewer.
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal ``df`` round-robin over ``partitions`` tasks; None leaves it as it is.
 
-    For CPU-heavy per-row work (tokenising long texts) on inputs stored as a
-    few large, unsplittable row groups. A source that already has enough
-    partitions is returned unchanged, so no shuffle is added at scale.
+    For CPU-heavy per-row work (tokenising long texts) on inputs stored as a few
+    large, unsplittable row groups. The count is the caller's: seeded fits depend on
+    the partitioning, so it must not follow the machine.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect has no RDD API: leave partitioning to the server
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target)
+    return df if partitions is None else df.repartition(partitions)

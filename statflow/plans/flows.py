@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Pipeline
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +21,7 @@ from statflow.operators import aggregates as A
 from statflow.operators import levels as L
 from statflow.operators import models as M
 from statflow.operators import rows as R
-from statflow.operators.features import assembler, one_hot_encoder, split, string_indexer
+from statflow.operators.features import build_features, split
 from statflow.operators.partitioning import spread
 from statflow.plans.registry import query
 from statflow.sinks import write_tsv
@@ -108,10 +108,13 @@ def car_price_ols(records: DataFrame, ratio_mode: str = "fixed") -> DataFrame:
     return M.ols(car_features(records, ratio_mode), CAR_REGRESSORS, "price")
 
 
-def car_price_ols_file(spark: SparkSession, path: str, ratio_mode: str = "fixed") -> DataFrame:
-    """J1 from the raw CSV: quoted records, wrong field counts skipped."""
+def car_price_ols_file(spark: SparkSession, path: str, ratio_mode: str = "fixed",
+                       header: bool = False, multiline: bool = False) -> DataFrame:
+    """J1 from the raw CSV: quoted records, wrong field counts skipped. A header line
+    drops out with the records without a price; ``multiline`` is for fields that
+    hold newlines (see ``read_records``)."""
     from statflow.sources import read_records
-    return car_price_ols(read_records(spark, path, CAR_COLUMNS), ratio_mode)
+    return car_price_ols(read_records(spark, path, CAR_COLUMNS, header, multiline), ratio_mode)
 
 
 # ---------------------------------------------------------------- J2 delay classifier
@@ -125,20 +128,27 @@ def fold_features(df: DataFrame, label: str, label_gt: float, frequent: Sequence
 
     ``frequent`` columns keep levels passing the share/cumulative cutoff
     (A6, ``mode``); ``allowed`` columns keep levels inside a fixed set (T2).
-    All level counts come from one scan (``level_table``); only kept levels,
-    bounded by 1/p or the allowed set, reach the driver. Folded columns are
-    STRING, other levels become '9999'; the label is ``label > label_gt``.
+    The frequent columns' level counts come from one scan; only kept levels,
+    bounded by 1/p, reach the driver. An exact fold needs no look at the data for
+    the allowed columns; a prefix fold needs their observed levels. Folded columns
+    are STRING, other levels become '9999'; the label is ``label > label_gt``.
     """
     fold_cols = list(frequent) + list(allowed)
     cols = list(dict.fromkeys([label, *keep, *hour_cols, *fold_cols]))
     df = R.drop_null_any(df.select(*cols))
     df = df.withColumns({c: S.hhmm_to_hour(c) for c in hour_cols})
-    specs = {c: {"p": p, "cum_p": cum_p, "mode": mode} for c in frequent}
-    specs.update({c: {"allowed": list(v)} for c, v in allowed.items()})
-    report = L.level_report(df, specs).where("kept").select("column", "level")
-    kept: dict[str, list] = {c: [] for c in fold_cols}
-    for r in report.collect():
+    kept: dict[str, list] = {c: [] for c in frequent}
+    kept.update({c: [str(v) for v in vs] for c, vs in allowed.items()})
+    for r in L.frequent_level_table(df, list(frequent), p, cum_p, mode).collect():
         kept[r["column"]].append(r["level"])
+    if match == "prefix":
+        seen = L.level_counts(df, list(allowed)).select("column", "level")
+        chosen = F.lit(False)
+        for c in allowed:
+            chosen = chosen | ((F.col("column") == c) & F.col("level").isin(kept[c]))
+            kept[c] = []
+        for r in seen.where(chosen).collect():  # at most the allowed sets
+            kept[r["column"]].append(r["level"])
     df = df.withColumns({c: L.fold_levels_expr(c, sorted(kept[c]), OTHER_LEVEL, match)
                          for c in fold_cols})
     return df.withColumn(label, S.binarise(label, label_gt))
@@ -148,12 +158,11 @@ def delay_model(features: DataFrame, label: str, categorical: Sequence[str],
                 numeric: Sequence[str], keys: Sequence[str], seed: int = 42,
                 weights: Sequence[float] = (0.7, 0.3), keep: Sequence[str] = ()):
     """J2 model: index -> one-hot -> assemble (one Pipeline), seeded hash split,
-    logistic regression; returns (pipeline model, lr model, scored test rows)."""
-    idx = string_indexer(categorical)
-    ohe = one_hot_encoder(idx.getOutputCols())
-    asm = assembler(list(numeric) + ohe.getOutputCols())
-    pipe = Pipeline(stages=[idx, ohe, asm]).fit(features)
-    data = pipe.transform(features).select(*keys, *keep, label, "features")
+    logistic regression; returns (pipeline model, lr model, scored test rows).
+    The feature rows are read twice (level counts, training set), so they are
+    persisted until the model is fitted; ``keys`` identify a row."""
+    pipe, data = build_features(features, categorical, numeric)
+    data = data.select(*keys, *keep, label, "features")
     train, test = split(data, list(weights), seed, keys)
     lr = M.fit_logistic(train, "features", label)
     return pipe, lr, M.predict(lr, test, label, keep=list(keys) + list(keep))
@@ -202,12 +211,13 @@ def flight_features(spark: SparkSession, path: str, mode: str = "strict",
 
 def flight_delay_flow(spark: SparkSession, path: str, seed: int = 42, mode: str = "strict",
                       match: str = "exact", keys: Sequence[str] = ()):
-    """J2 end to end on flight records; ``keys`` identify rows for the hash split
-    (default: all feature columns)."""
+    """J2 end to end on flight records. Without ``keys`` that identify a row, rows get
+    their position in the scan, so equal flights are split like any others."""
     feats = flight_features(spark, path, mode, match)
     cats = FLIGHT_FREQUENT + list(FLIGHT_ALLOWED)
-    keys = list(keys) or [c for c in feats.columns if c != "ArrDelay"]
-    return delay_model(feats, "ArrDelay", cats, FLIGHT_NUMERIC, keys, seed=seed)
+    if not keys:
+        keys, feats = ["row"], feats.withColumn("row", F.monotonically_increasing_id())
+    return delay_model(feats, "ArrDelay", cats, FLIGHT_NUMERIC, list(keys), seed=seed)
 
 
 # The J2 flow re-aimed at lineitem x part.
@@ -235,9 +245,12 @@ def lineitem_part_features(spark: SparkSession, sf_dir: str, mode: str = "strict
 
 def flagship(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:
     """J2 end to end on lineitem x part: label, probability, prediction per held-out row."""
-    feats = lineitem_part_features(spark, sf_dir)
-    _, _, scored = delay_model(feats, "label", LP_FREQUENT + ["p_size"], LP_NUMERIC, LP_KEYS,
-                               seed=seed)
+    feats = lineitem_part_features(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _, _, scored = delay_model(feats, "label", LP_FREQUENT + ["p_size"], LP_NUMERIC,
+                                   LP_KEYS, seed=seed)
+    finally:
+        feats.unpersist(blocking=False)
     return scored
 
 
@@ -251,35 +264,40 @@ def text_terms(df: DataFrame, text: str, out: str = "ngrams", n: int = 2) -> Dat
             .withColumn(out, Y.ngrams("filtered_words", n)))
 
 
-def topic_model(df: DataFrame, text: str, k: int = 5, max_iter: int = 10, seed: int = 42,
-                vocab_size: int = 1 << 18, min_df: float = 1.0):
-    """N-grams -> CountVectorizer -> IDF -> LDA. Returns (TopicModel, frame)."""
-    from pyspark import StorageLevel
-    # Cache only what the fits and later transforms need: keys and n-grams.
-    terms = (text_terms(spread(df), text).drop(text, "words", "filtered_words")
+def topic_model(df: DataFrame, text: str, key: str, k: int = 5, max_iter: int = 10,
+                seed: int = 42, vocab_size: int | None = None, min_df: float = 1.0,
+                partitions: int | None = None):
+    """N-grams -> term counts over the whole vocabulary -> IDF -> LDA.
+
+    ``key`` identifies the rows. Returns (TopicModel, rows ``key, tfidf_vec``); the
+    rows stay persisted for further use (``unpersist`` them when done).
+    """
+    terms = (text_terms(spread(df, partitions), text).select(key, "ngrams")
              .persist(StorageLevel.MEMORY_AND_DISK))
+    vocab, rows = M.term_vectors(terms, key, "ngrams", vocab_size, min_df)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cv, idf, weighted = M.fit_count_idf(terms, "ngrams", vocab_size, min_df)
-        lda = M.fit_lda(weighted, "tfidf_vec", k, max_iter, seed)
+        lda = M.fit_lda(rows, "tfidf_vec", k, max_iter, seed)
     finally:
         terms.unpersist(blocking=False)
-    return M.TopicModel(cv, idf, None, lda, "tfidf_vec"), weighted
+    return M.TopicModel(vocab, None, lda, "tfidf_vec"), rows
 
 
 def topic_model_embedded(df: DataFrame, text: str, k: int = 5, max_iter: int = 10,
-                         seed: int = 42, vector_size: int | str = "median"):
+                         seed: int = 42, vector_size: int | str = "median",
+                         optimizer: str = "em", partitions: int | None = None):
     """N-grams -> Word2Vec (size = median n-gram count) -> LDA on the vectors.
 
     Word vectors hold negative values while LDA expects counts. Spark accepts
     them, but the online optimiser's per-document loop runs until gamma
     converges, with no iteration cap, and on negative inputs it may never
-    converge; the EM optimiser runs exactly ``max_iter`` rounds, so it is used
-    here.
+    converge; ``em`` (the default, also of the registered query) runs exactly
+    ``max_iter`` rounds. Pass ``optimizer="online"`` for the other.
     """
-    terms = text_terms(spread(df), text)
+    terms = text_terms(spread(df, partitions), text)
     w2v, embedded = M.embed(terms, "ngrams", "word_vec", vector_size, seed=seed)
-    lda = M.fit_lda(embedded, "word_vec", k, max_iter, seed, optimizer="em")
-    return M.TopicModel(None, None, w2v, lda, "word_vec"), embedded
+    lda = M.fit_lda(embedded, "word_vec", k, max_iter, seed, optimizer=optimizer)
+    return M.TopicModel(None, w2v, lda, "word_vec"), embedded
 
 
 # ---------------------------------------------------------------- J5 keyed text jobs
@@ -360,7 +378,15 @@ def flight_delay_model_q(spark, sf_dir):
     return out.select(*LP_KEYS, "label", F.col("probability")[1].alias("p1"), "prediction")
 
 
-@query("split")
+_SPLIT_U = ("CAST('0x' || substr(md5('42:' || l_orderkey || ':' || l_linenumber), 1, 12) AS BIGINT)"
+            " / 281474976710656.0::DOUBLE")
+
+
+@query("split", f"""
+SELECT l_orderkey, l_linenumber, CASE WHEN {_SPLIT_U} < 0.7::DOUBLE THEN 'train' ELSE 'test' END
+         AS part
+FROM lineitem
+""")
 def split_q(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem").select(*LP_KEYS)
     train, test = split(li, [0.7, 0.3], 42, LP_KEYS)
@@ -368,52 +394,66 @@ def split_q(spark, sf_dir):
             .unionByName(test.withColumn("part", F.lit("test"))))
 
 
+TEXT_TASKS = 32  # documents are one file: deal its rows to so many tasks
+
+
 def _documents(spark, sf_dir):
     return read_table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def _documents_model(spark, sf_dir):
+    return topic_model(_documents(spark, sf_dir), "text", "doc_id", partitions=TEXT_TASKS)
+
+
 @query("topic_model")
 def topic_model_q(spark, sf_dir):
-    tm, _ = topic_model(_documents(spark, sf_dir), "text")
-    return M.topic_words(tm, spark, 10)
+    tm, rows = _documents_model(spark, sf_dir)
+    rows.unpersist(blocking=False)
+    return M.topic_words(tm, 10)
 
 
 @query("doc_topics")
 def doc_topics_q(spark, sf_dir):
-    tm, weighted = topic_model(_documents(spark, sf_dir), "text")
-    return M.doc_topics(tm.lda, weighted, ["doc_id"])
+    tm, rows = _documents_model(spark, sf_dir)
+    return M.doc_topics(tm.lda, rows, ["doc_id"])
 
 
 @query("lda_topics")
 def lda_topics_q(spark, sf_dir):
-    tm, _ = topic_model(_documents(spark, sf_dir), "text")
+    tm, rows = _documents_model(spark, sf_dir)
+    rows.unpersist(blocking=False)
     return M.topics(tm.lda, 5)
 
 
 @query("word2vec")
 def word2vec_q(spark, sf_dir):
     from statflow.operators.features import vector_entries
-    terms = text_terms(spread(_documents(spark, sf_dir)), "text")
+    terms = text_terms(spread(_documents(spark, sf_dir), TEXT_TASKS), "text")
     _, embedded = M.embed(terms, "ngrams", "word_vec")
     return vector_entries(embedded, ["doc_id"], "word_vec")
 
 
 @query("topic_model_embedded")
 def topic_model_embedded_q(spark, sf_dir):
-    tm, embedded = topic_model_embedded(_documents(spark, sf_dir), "text")
+    tm, _ = topic_model_embedded(_documents(spark, sf_dir), "text", partitions=TEXT_TASKS)
     return M.topics(tm.lda, 5)
 
 
-@query("logistic")
-def logistic_q(spark, sf_dir):
-    """M5, M8, M9 alone: numeric lineitem columns -> logistic regression on
-    ``l_discount > 0.05``; scored held-out rows with P(label = 1)."""
+def logistic_fit(spark, sf_dir):
+    """M5, M7, M8 on numeric lineitem columns, label ``l_discount > 0.05``: training
+    rows, held-out rows and the model."""
     from statflow.operators.features import assemble
     li = read_table(spark, sf_dir, "lineitem").select(
         *LP_KEYS, "l_quantity", "l_extendedprice", "l_tax",
         S.binarise("l_discount", 0.05).alias("label"))
     data = assemble(li, ["l_quantity", "l_extendedprice", "l_tax"])
     train, test = split(data, [0.7, 0.3], 42, LP_KEYS)
-    model = M.fit_logistic(train, "features", "label")
+    return train, test, M.fit_logistic(train, "features", "label")
+
+
+@query("logistic")
+def logistic_q(spark, sf_dir):
+    """M5, M8, M9 alone: scored held-out rows with P(label = 1)."""
+    _, test, model = logistic_fit(spark, sf_dir)
     scored = M.predict(model, test, "label", keep=LP_KEYS)
     return scored.select(*LP_KEYS, "label", F.col("probability")[1].alias("p1"), "prediction")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from statflow.functions import arrays as Y
 from statflow.functions import scalars as S
-from statflow.functions.constants import ENGLISH_STOP_WORDS
+from statflow.functions.constants import ENGLISH_STOP_WORDS, TOKEN_PATTERN
 from statflow.operators import aggregates as A
 from statflow.operators import levels as L
 from statflow.operators import rows as R
@@ -208,13 +208,13 @@ def fold_by_pattern_q(spark, sf_dir):
                     S.fold_by_pattern("p_type", TYPE_RULES).alias("type_group"))
 
 
-@query("extract_number", r"""
+@query("extract_number", rf"""
 WITH t AS (SELECT c_custkey, c_name,
                   CAST(CAST(c_acctbal AS DECIMAL(12, 2)) AS VARCHAR) AS bal FROM customer)
 SELECT c_custkey,
-       TRY_CAST(regexp_extract(c_name, '\s*(\d+\.*\d*)', 1) AS DOUBLE) AS name_number,
-       TRY_CAST(regexp_extract(bal, '\s*(\d+\.*\d*)', 1) AS DOUBLE) AS bal_unsigned,
-       TRY_CAST(regexp_extract(bal, '\s*(-*\d+\.*\d*)', 1) AS DOUBLE) AS bal_signed
+       TRY_CAST(regexp_extract(c_name, '{S.UNSIGNED_NUMBER}', 1) AS DOUBLE) AS name_number,
+       TRY_CAST(regexp_extract(bal, '{S.UNSIGNED_NUMBER}', 1) AS DOUBLE) AS bal_unsigned,
+       TRY_CAST(regexp_extract(bal, '{S.SIGNED_NUMBER}', 1) AS DOUBLE) AS bal_signed
 FROM t
 """)
 def extract_number_q(spark, sf_dir):
@@ -498,21 +498,43 @@ def _gram_sql() -> str:
     for i, (ni, ei) in enumerate(terms):
         for j in range(i, len(terms)):
             nj, ej = terms[j]
-            if ni == GRAM_Y and nj == GRAM_Y:
-                continue
             sums.append(f"sum({ei} * {ej}) AS g_{i}_{j}")
             sel.append(f"SELECT {i} AS i, {j} AS j, '{ni}' AS term_i, '{nj}' AS term_j, "
-                       f"CAST(g_{i}_{j} AS DOUBLE) AS value FROM s")
+                       f"round(CAST(g_{i}_{j} AS DOUBLE), {_gram_digits(ni, nj)}) AS value FROM s")
     return f"WITH s AS (SELECT {', '.join(sums)} FROM lineitem) " + " UNION ALL ".join(sel)
 
 
+def _gram_digits(ni: str, nj: str) -> int:
+    """The exact y'y exceeds 2^53 units, where the last bit of decimal-to-double
+    conversion is engine specific: it is compared to the nearest hundred."""
+    return -2 if ni == nj == GRAM_Y else 6
+
+
 @query("gram", _gram_sql())
 def gram_q(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
     g = A.gram(li, GRAM_X, GRAM_Y, exact_scale=2)
-    # y'y is left out of the comparison only: its exact sum exceeds 2^53 units,
-    # where decimal-to-double conversion is engine specific.
-    return g.where(~((F.col("term_i") == GRAM_Y) & (F.col("term_j") == GRAM_Y)))
+    yy = (F.col("term_i") == GRAM_Y) & (F.col("term_j") == GRAM_Y)
+    return g.withColumn("value", F.when(yy, F.round("value", _gram_digits(GRAM_Y, GRAM_Y)))
+                        .otherwise(F.round("value", 6)))
+
+
+_OLS_NULLS_SQL = """SELECT nullif(l_quantity, 10) AS x, nullif(l_extendedprice, 0) AS y,
+       nullif(l_tax, 0.02) AS z FROM lineitem"""
+
+
+@query("ols_nulls", f"""
+WITH s AS ({_OLS_NULLS_SQL}), c AS (SELECT x, y FROM s WHERE x IS NOT NULL AND y IS NOT NULL)
+SELECT 'const' AS term, round(regr_intercept(y, x), 4) AS beta FROM c
+UNION ALL SELECT 'x', round(regr_slope(y, x), 4) FROM c
+""")
+def ols_nulls(spark, sf_dir):
+    """A10 on rows with gaps (batched cross-products): incomplete rows do not count."""
+    from statflow.operators.models import ols
+    li = _t(spark, sf_dir, "lineitem").select(
+        F.nullif("l_quantity", F.lit(10.0)).alias("x"),
+        F.nullif("l_extendedprice", F.lit(0.0)).alias("y"))
+    return ols(li, ["x"], "y").withColumn("beta", F.round("beta", 4))
 
 
 @query("ols_simple", """
@@ -564,16 +586,19 @@ def ols_multi(spark, sf_dir):
 
 # ---------------------------------------------------------------- Y1-Y5, A12, M10, M11
 
-TOK_SQL = "regexp_extract_all(lower(text), '[a-z|A-Z]+')"
+TOK_SQL = f"regexp_extract_all(lower(text), '{TOKEN_PATTERN}')"
 FILT_SQL = f"list_filter({TOK_SQL}, lambda x: NOT list_contains([{STOP_SQL}], x))"
 DOC_TERMS_SQL = f"""d AS (SELECT doc_id, f,
        list_transform(range(1, len(f)), lambda i: f[i] || ' ' || f[i + 1]) AS bigrams
   FROM (SELECT doc_id, {FILT_SQL} AS f FROM documents))"""
 
 
+TEXT_TASKS = 32  # documents are one file: deal its rows to so many tasks
+
+
 def _doc_terms(spark, sf_dir):
     from statflow.operators.partitioning import spread
-    docs = spread(_t(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = spread(_t(spark, sf_dir, "documents").select("doc_id", "text"), TEXT_TASKS)
     return (docs.withColumn("tokens", Y.tokenize("text"))
             .withColumn("filtered", Y.remove_stopwords("tokens"))
             .withColumn("bigrams", Y.ngrams("filtered", 2))
@@ -670,6 +695,44 @@ def lookup_q(spark, sf_dir):
     return lookup_long(coded, ["doc_id"], "idx", vocab)
 
 
+@query("vocabulary", f"""
+WITH {DOC_TERMS_SQL},
+tc AS (SELECT doc_id, term, count(*) AS tf
+       FROM (SELECT doc_id, unnest(bigrams) AS term FROM d) GROUP BY doc_id, term)
+SELECT CAST(row_number() OVER (ORDER BY sum(tf) DESC, term) - 1 AS INTEGER) AS term_index,
+       term, CAST(sum(tf) AS BIGINT) AS ttf, count(*) AS df
+FROM tc GROUP BY term
+""")
+def vocabulary_q(spark, sf_dir):
+    from statflow.operators.models import vocabulary
+    return vocabulary(_doc_terms(spark, sf_dir).select("doc_id", "bigrams"), "doc_id", "bigrams")
+
+
+@query("lookup_arrays", """
+WITH v AS (SELECT p_brand AS term, CAST(row_number() OVER (ORDER BY p_brand) - 1 AS INTEGER)
+                  AS term_index FROM (SELECT DISTINCT p_brand FROM part)),
+a AS (SELECT l_returnflag, CASE WHEN l_linenumber = 7 THEN []
+             ELSE [CAST(l_partkey % 25 AS INTEGER), CAST(l_suppkey % 27 AS INTEGER)] END AS idx
+      FROM lineitem)
+SELECT l_returnflag, CASE WHEN len(idx) = 0 THEN '' ELSE
+       coalesce((SELECT term FROM v WHERE term_index = idx[1]), '?') || ',' ||
+       coalesce((SELECT term FROM v WHERE term_index = idx[2]), '?') END AS words
+FROM a
+""")
+def lookup_arrays_q(spark, sf_dir):
+    """Y5 on every line item: repeated rows, empty arrays and indices without a term."""
+    from statflow.operators.models import lookup
+    from statflow.operators.ordering import global_rank
+    brands = _t(spark, sf_dir, "part").select(F.col("p_brand").alias("term")).distinct()
+    vocab = global_rank(brands, [F.asc("term")], "rank").select(
+        (F.col("rank") - 1).cast("int").alias("term_index"), "term")
+    idx = F.when(F.col("l_linenumber") == 7, F.array().cast("array<int>")).otherwise(
+        F.array((F.col("l_partkey") % 25).cast("int"), (F.col("l_suppkey") % 27).cast("int")))
+    rows = _t(spark, sf_dir, "lineitem").select("l_returnflag", idx.alias("idx"))
+    out = lookup(rows, "idx", vocab, "words")
+    return out.select("l_returnflag", F.array_join("words", ",", "?").alias("words"))
+
+
 # ---------------------------------------------------------------- U1
 
 
@@ -689,3 +752,22 @@ def keyed_job_q(spark, sf_dir):
     out = keyed_job(li, "l_suppkey", mapper, "l_suppkey long, revenue double",
                     aggs=[F.count(F.lit(1)).alias("n_lines"), F.sum("revenue").alias("revenue")])
     return out.withColumn("revenue", F.round("revenue", 2))
+
+
+@query("keyed_job_reducer", """
+SELECT l_suppkey, count(*) AS n_lines, max(l_quantity) AS most FROM lineitem GROUP BY l_suppkey
+""")
+def keyed_job_reducer_q(spark, sf_dir):
+    """U1 with a user mapper and a user (combining) reducer, ten output partitions."""
+    from statflow.operators.jobs import keyed_job
+
+    def mapper(pdf):
+        return pdf.assign(n_lines=1, most=pdf["l_quantity"])[["l_suppkey", "n_lines", "most"]]
+
+    def reducer(pdf):
+        return pdf.groupby("l_suppkey", as_index=False).agg({"n_lines": "sum", "most": "max"})
+
+    li = _t(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity")
+    schema = "l_suppkey long, n_lines long, most double"
+    return keyed_job(li, "l_suppkey", mapper, schema, reducer=reducer, reduce_schema=schema,
+                     n_out=10)

@@ -46,15 +46,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_records(spark: SparkSession, path: str, names: Sequence[str],
-                 header: bool = True, multiline: bool = True) -> DataFrame:
+                 header: bool = False, multiline: bool = False) -> DataFrame:
     """S4 + R5: quoted CSV (embedded commas, quotes and newlines) with ``len(names)``
     fields; records with any other field count are dropped.
 
     All columns are read as text; typing is the caller's job (``try_cast``).
-    Quoted newlines need ``multiline``, which Spark cannot split inside a file:
-    each file is parsed by one task, so store large inputs as many files, or
-    pass ``multiline=False`` when no field holds a newline (files then split
-    by block).
+    Files are split by block and no line is taken for a header, so every record of
+    every file is read (a header line is a record whose numbers do not cast). Quoted
+    newlines need ``multiline=True``; Spark then parses each file in one task, so
+    such inputs should be many files.
     """
     fields = [T.StructField(n, T.StringType(), True) for n in names]
     fields.append(T.StructField(BAD_RECORD, T.StringType(), True))

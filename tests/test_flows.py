@@ -12,74 +12,71 @@ from statflow.functions import arrays as Y
 from statflow.operators import aggregates as A
 from statflow.plans import flows
 from statflow.sources import read_paragraphs
-from tests.fixtures import SPEECH, STOCKS
+from statflow.functions import scalars as S
+from tests.fixtures import LINES, PARAGRAPHS
 
 
 @pytest.fixture()
-def stocks_path(tmp_path):
-    p = tmp_path / "stocks.txt"
-    p.write_bytes(STOCKS.encode("utf-8"))
+def lines_path(tmp_path):
+    p = tmp_path / "lines.txt"
+    p.write_text(LINES)
     return str(p)
 
 
+@pytest.fixture()
+def paragraphs(spark, tmp_path):
+    p = tmp_path / "paragraphs.txt"
+    p.write_bytes(PARAGRAPHS.encode("utf-8"))
+    return read_paragraphs(spark, str(p))
+
+
 def _lines(out_dir):
     import pathlib
     return "".join(p.read_text() for p in sorted(pathlib.Path(out_dir).glob("part-*"))).splitlines()
 
 
-def test_stocks_jobs(spark, stocks_path, tmp_path):
-    prof = flows.keyed_text_job(spark, stocks_path, str(tmp_path / "p"), "profile")
-    assert tuple(prof.first()) == (45, 8, 8)
-    flows.keyed_text_job(spark, stocks_path, str(tmp_path / "c"), "count")
-    assert _lines(tmp_path / "c") == ["AAPL\t10", "CSCO\t10", "GOOG\t5", "MSFT\t10", "YHOO\t10"]
-    flows.keyed_text_job(spark, stocks_path, str(tmp_path / "m"), "mean")
-    assert sorted(_lines(tmp_path / "m")) == [
-        "AAPL\t68.631000", "CSCO\t31.148000", "GOOG\t417.478000", "MSFT\t44.631000",
-        "YHOO\t69.333000"]
-    flows.keyed_text_job(spark, stocks_path, str(tmp_path / "s"), "cluster")
+def test_keyed_text_jobs(spark, lines_path, tmp_path):
+    prof = flows.keyed_text_job(spark, lines_path, str(tmp_path / "p"), "profile")
+    assert tuple(prof.first()) == (8, 5, 5)
+    flows.keyed_text_job(spark, lines_path, str(tmp_path / "c"), "count")
+    assert _lines(tmp_path / "c") == ["BYTE\t1", "NOVA\t3", "QUAY\t4"]
+    flows.keyed_text_job(spark, lines_path, str(tmp_path / "m"), "mean")
+    assert sorted(_lines(tmp_path / "m")) == ["BYTE\t100.000000", "NOVA\t11.500000", "QUAY\t4.000000"]
+    flows.keyed_text_job(spark, lines_path, str(tmp_path / "s"), "cluster")
     got = _lines(tmp_path / "s")
-    assert len(got) == 45 and [g.split("\t")[0] for g in got] == sorted(
-        g.split("\t")[0] for g in got)
-    assert got[0].count("\t") == 3
+    assert [g.split("\t")[0] for g in got] == ["BYTE"] + ["NOVA"] * 3 + ["QUAY"] * 4
     # fields pass through as text (no number round trip)
-    src = {tuple(line.split(",")[:4]) for line in STOCKS.splitlines()}
-    assert {tuple(g.split("\t")) for g in got} == src
-
-
-def test_speech_text_pipeline(spark, tmp_path):
-    p = tmp_path / "speech.txt"
-    p.write_bytes(SPEECH.encode("utf-8"))
-    paras = read_paragraphs(spark, str(p))
-    assert paras.count() == 32
-    t = flows.text_terms(paras, "paragraph")
-    tot = t.selectExpr("sum(size(words)) w", "sum(size(filtered_words)) f",
-                       "sum(size(ngrams)) g", "min(size(ngrams)) lo",
-                       "max(size(ngrams)) hi").first()
-    assert (tot.w, tot.f, tot.g, tot.lo, tot.hi) == (878, 462, 430, 1, 52)
-    assert A.median_size(t, "ngrams").first()[0] == 6.0
-    counts = {r.g: r.n for r in Y.explode_values(t, [], "ngrams", "g")
-              .groupBy("g").count().withColumnRenamed("count", "n").collect()}
-    assert len(counts) == 362
-    for g, n in [("freedom ring", 11), ("let freedom", 11), ("one day", 8), ("go back", 7),
-                 ("dream one", 5)]:
-        assert counts[g] == n
-
-
-def test_speech_topic_model(spark, tmp_path):
-    from statflow.operators import models as M
-    p = tmp_path / "speech.txt"
-    p.write_bytes(SPEECH.encode("utf-8"))
-    paras = read_paragraphs(spark, str(p))
-    tm, weighted = flows.topic_model(paras, "paragraph", k=5, max_iter=10, seed=1)
-    words = M.topic_words(tm, spark, 5).toPandas()
-    assert len(words) == 25 and words["term"].notna().all() and (words["weight"] >= 0).all()
+    assert {tuple(g.split("\t")) for g in got} == {tuple(x.split(",")[:4]) for x in LINES.splitlines()}
+
+
+def test_text_pipeline(spark, paragraphs):
+    assert paragraphs.count() == 4
+    t = flows.text_terms(paragraphs, "paragraph")
+    grams = {r.paragraph.strip(): r.ngrams for r in t.select("paragraph", "ngrams").collect()}
+    assert grams["Green boats drift past green boats."] == [
+        "green boats", "boats drift", "drift past", "past green", "green boats"]
+    assert grams["Of the and it"] == []
+    assert grams["“Green boats” SING"] == ["green boats", "boats sing"]
+    sizes = t.selectExpr("sum(size(words)) w", "max(size(ngrams)) hi").first()
+    # tokens 6 + 11 + 4 + 3; river mouth holds sand|silt sand|silt holds river: 6 pairs
+    assert tuple(sizes) == (24, 6)
+    assert A.median_size(t, "ngrams").first()[0] == 3.5
+
+
+def test_topic_models_on_paragraphs(spark, paragraphs):
     from pyspark.sql import functions as F
-    keyed = weighted.withColumn("doc", F.monotonically_increasing_id())
-    mix = M.doc_topics(tm.lda, keyed, ["doc"]).toPandas()
-    assert np.allclose(mix.groupby("doc")["weight"].sum(), 1.0)
-    tm2, _ = flows.topic_model_embedded(paras, "paragraph", k=5, max_iter=10, seed=1)
-    assert tm2.embedder.getVectorSize() == 6
-    assert M.topics(tm2.lda, 5).count() == 25
+    from statflow.operators import models as M
+    keyed = spark.createDataFrame([(i, r.paragraph) for i, r in enumerate(paragraphs.collect())],
+                                  "doc int, paragraph string")
+    tm, rows = flows.topic_model(keyed, "paragraph", "doc", k=3, max_iter=5, seed=1)
+    assert tm.vocab.count() == 11 and rows.count() == 4
+    words = M.topic_words(tm, 5).toPandas()
+    assert len(words) == 15 and words["term"].notna().all() and (words["weight"] >= 0).all()
+    mix = M.doc_topics(tm.lda, rows, ["doc"]).toPandas()
+    assert np.allclose(mix.groupby("doc")["weight"].sum()[[0, 1, 3]], 1.0)
+    tm2, _ = flows.topic_model_embedded(paragraphs, "paragraph", k=3, max_iter=5, seed=1, vector_size=4)
+    assert tm2.embedder.getVectorSize() == 4
+    assert M.topics(tm2.lda, 2).count() == 6
 
 
 # ---- J1 used-car OLS on synthetic records, checked against NumPy
@@ -124,11 +121,10 @@ def _car_rows(n, seed=0):
 
 def _expected_beta(rows, ratio_mode="fixed"):
     num = lambda s, signed=False: (lambda m: float(m.group(1)) if m else np.nan)(
-        re.search(r"\s*(-*\d+\.*\d*)" if signed else r"\s*(\d+\.*\d*)", s))
+        re.search(S.SIGNED_NUMBER if signed else S.UNSIGNED_NUMBER, s))
 
     def ratio(s):
-        pattern = (r"(\d+\.*\d*)\D.*?(\d+),(\d+)" if ratio_mode == "fixed"
-                   else r"\s*(\d+\.*\d*).+(\d+),(\d+)")
+        pattern = S.RATIO_FIXED if ratio_mode == "fixed" else S.RATIO_GREEDY
         m = re.search(pattern, s)
         if not m:
             return np.nan
@@ -179,43 +175,12 @@ def test_car_price_ols(spark, tmp_path, ratio_mode):
     w.writerow(["y"] * 67)
     path = tmp_path / "cars.csv"
     path.write_text(buf.getvalue())
-    got = flows.car_price_ols_file(spark, str(path), ratio_mode).collect()
+    got = flows.car_price_ols_file(spark, str(path), ratio_mode, multiline=True).collect()
     assert [r.term for r in got] == ["const"] + flows.CAR_REGRESSORS and len(got) == 31
     want = _expected_beta(rows, ratio_mode)
     assert [r.beta for r in got] == pytest.approx(list(want), rel=1e-5, abs=1e-6)
 
 
-def test_keyed_text_stream_matches_batch(spark, tmp_path):
-    from statflow.streaming import keyed_text_stream, start_keyed_text_stream
-    src = tmp_path / "in"
-    src.mkdir()
-    lines = STOCKS.splitlines()
-    (src / "a.txt").write_text("\n".join(lines[:20]) + "\n")
-    (src / "b.txt").write_text("\n".join(lines[20:]) + "\n")
-    q = start_keyed_text_stream(keyed_text_stream(spark, str(src), "count"),
-                                str(tmp_path / "ckpt"), table="stock_counts", once=True)
-    q.awaitTermination(120)
-    got = {r.symbol: r["count"] for r in spark.table("stock_counts").collect()}
-    assert got == {"AAPL": 10, "CSCO": 10, "GOOG": 5, "MSFT": 10, "YHOO": 10}
-
-
-def test_keyed_text_stream_mean_to_files(spark, tmp_path):
-    from statflow.streaming import keyed_text_stream, start_keyed_text_stream
-    src = tmp_path / "in"
-    src.mkdir()
-    (src / "a.txt").write_text(STOCKS + "\n")
-    out = tmp_path / "out"
-    q = start_keyed_text_stream(keyed_text_stream(spark, str(src), "mean"),
-                                str(tmp_path / "ckpt"), out_dir=str(out), once=True)
-    q.awaitTermination(120)
-    got = {}
-    for line in _lines(out):
-        k, v = line.split("\t")
-        got[k] = round(float(v), 6)
-    assert got == {"AAPL": 68.631, "CSCO": 31.148, "GOOG": 417.478, "MSFT": 44.631,
-                   "YHOO": 69.333}
-
-
 # ---- J2 on flight records (declared schema), checked against pandas
 
 
@@ -284,44 +249,45 @@ def test_flight_features_match_pandas(spark, tmp_path):
     assert scored.count() > 0
 
 
-def _expected_flight_legacy(rows):
-    """The original rules: inclusive cutoff by a cumulative slice, then a
-    negative-lookahead regex fold of the string form."""
-    import math
-    import pandas as pd
-    used = ["ArrDelay", "Year", "Month", "DayofMonth", "DayOfWeek", "DepDelay", "CRSDepTime",
-            "CRSArrTime", "UniqueCarrier", "ActualElapsedTime", "Origin", "Dest", "Distance"]
-    pdf = pd.DataFrame(rows)[used].replace({"NA": None}).dropna()
-    hour = lambda t: int(math.floor(t / 100) + math.floor((t - math.floor(t / 100) * 100) / 60 + 0.5))
-    for c in flows.FLIGHT_HOURS:
-        pdf[c] = pdf[c].astype(float).map(hour)
-    for c in ["Year", "Month", "DayofMonth", "DayOfWeek"]:
-        pdf[c] = pdf[c].astype(int)
-    n = len(pdf)
-    kept = {}
-    for c in flows.FLIGHT_FREQUENT:
-        vc = pdf[c].value_counts().rename_axis("level").reset_index(name="cnt")
-        vc = vc.sort_values(["cnt", "level"], ascending=[False, True]).reset_index(drop=True)
-        share = vc["cnt"] / n
-        first = int(np.where(share.cumsum() >= 0.8)[0][0])
-        head = vc.iloc[:first + 1]
-        kept[c] = list(head[head["cnt"] / n > 0.03]["level"])
-    for c, allowed in flows.FLIGHT_ALLOWED.items():
-        kept[c] = [v for v in pdf[c].unique() if v in set(allowed)]
-    for c, ks in kept.items():
-        pattern = "^(?!" + "|".join(map(str, ks)) + ").+"
-        pdf[c] = pdf[c].map(lambda v: re.sub(pattern, "9999", str(v)))
-    pdf["ArrDelay"] = (pdf["ArrDelay"].astype(float) > 0).astype(int)
-    cols = ["ArrDelay"] + flows.FLIGHT_FREQUENT + list(flows.FLIGHT_ALLOWED)
-    return sorted(map(tuple, pdf[cols].itertuples(index=False))), cols
-
-
-def test_flight_features_legacy_modes(spark, tmp_path):
-    rows = _flight_rows()
-    path = tmp_path / "flights.csv"
+# Worked by hand. Ten flights, Distance numbers them. Carriers: AA 5, BB 3, AAX 1, C 1; origins:
+# ORD 6, ATL 3, LAX 1; all to DEN. Shares: AA .5, BB .3 (sum .8), ORD .6, ATL .3 (sum .9), DEN 1.
+HAND_ROWS = [  # carrier, origin, year, month, day, weekday, departs, arrives
+    ("AA", "ORD", 1995, 2, 3, 5, 729, 830), ("AA", "ORD", 1988, 12, 30, 1, 730, 0),
+    ("AA", "ORD", 2008, 1, 31, 2, 2359, 829), ("AA", "ORD", 1995, 2, 3, 5, 729, 830),
+    ("AA", "ORD", 1995, 2, 3, 5, 729, 830), ("BB", "ORD", 1995, 2, 3, 5, 729, 830),
+    ("BB", "ATL", 1995, 2, 3, 5, 729, 830), ("BB", "ATL", 1995, 2, 3, 5, 729, 830),
+    ("AAX", "ATL", 1995, 2, 3, 5, 729, 830), ("C", "LAX", 1995, 2, 3, 5, 729, 830)]
+PLAIN = ("1995", "2", "3", "5", "7", "9")  # 0729 -> 7, 0830 -> 9
+# Strict cutoff, exact fold: DEN's share sum 1 is above .8, ATL's .9 too; 24 and 0 o'clock,
+# 1988, 2008, January, days 30 and 31 and weekday 1 lie outside the ranges.
+HAND_STRICT = [
+    ("AA", "ORD", "9999", *PLAIN), ("AA", "ORD", "9999", "9999", "12", "9999", "9999", "8", "9999"),
+    ("AA", "ORD", "9999", "9999", "9999", "9999", "2", "9999", "8"), ("AA", "ORD", "9999", *PLAIN),
+    ("AA", "ORD", "9999", *PLAIN), ("BB", "ORD", "9999", *PLAIN), ("BB", "9999", "9999", *PLAIN),
+    ("BB", "9999", "9999", *PLAIN), ("9999", "9999", "9999", *PLAIN), ("9999", "9999", "9999", *PLAIN)]
+# Inclusive cutoff, prefix fold: the level that reaches .8 stays (ATL, DEN); AAX begins with AA,
+# days 30 and 31 begin with the observed day 3; nothing kept begins 24 o'clock or January.
+HAND_LEGACY = [
+    ("AA", "ORD", "DEN", *PLAIN), ("AA", "ORD", "DEN", "9999", "12", "30", "9999", "8", "9999"),
+    ("AA", "ORD", "DEN", "9999", "9999", "31", "2", "9999", "8"), ("AA", "ORD", "DEN", *PLAIN),
+    ("AA", "ORD", "DEN", *PLAIN), ("BB", "ORD", "DEN", *PLAIN), ("BB", "ATL", "DEN", *PLAIN),
+    ("BB", "ATL", "DEN", *PLAIN), ("AAX", "ATL", "DEN", *PLAIN), ("9999", "9999", "DEN", *PLAIN)]
+
+
+@pytest.mark.parametrize("mode,match,want", [("strict", "exact", HAND_STRICT),
+                                             ("inclusive", "prefix", HAND_LEGACY)])
+def test_flight_features_by_hand(spark, tmp_path, mode, match, want):
     names = [n for n, _ in flows.FLIGHT_FIELDS]
-    path.write_text(",".join(names) + "\n" + "\n".join(",".join(r[n] for n in names)
-                                                       for r in rows) + "\n")
-    want, cols = _expected_flight_legacy(rows)
-    got = flows.flight_features(spark, str(path), mode="inclusive", match="prefix")
-    assert sorted(map(tuple, got.select(*cols).collect())) == want
+    lines = [",".join(names)]
+    for k, (car, org, year, month, day, week, dep, arr) in enumerate(HAND_ROWS):
+        r = dict(UniqueCarrier=car, Origin=org, Dest="DEN", Year=year, Month=month, DayofMonth=day,
+                 DayOfWeek=week, CRSDepTime=dep, CRSArrTime=arr, ArrDelay=k - 4, DepDelay=1,
+                 ActualElapsedTime=60, Distance=k)
+        lines.append(",".join(str(r.get(n, "")) for n in names))
+    path = tmp_path / "hand.csv"
+    path.write_text("\n".join(lines) + "\n")
+    cols = ["UniqueCarrier", "Origin", "Dest", "Year", "Month", "DayofMonth", "DayOfWeek",
+            "CRSDepTime", "CRSArrTime"]
+    got = flows.flight_features(spark, str(path), mode, match).orderBy("Distance").collect()
+    assert [tuple(r[c] for c in cols) for r in got] == want
+    assert [r.ArrDelay for r in got] == [0] * 5 + [1] * 5

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -118,3 +119,20 @@ def test_empty_inputs(spark):
     assert L.freq_table(empty, "x").count() == 0
     assert L.frequent_levels(empty, "x").count() == 0
     assert L.level_table(empty, ["x"]).count() == 0
+
+
+def test_running_total_keeps_null_groups(spark):
+    from statflow.operators.ordering import running_total
+    df = spark.createDataFrame([("a", 1, 10), (None, 1, 5), (None, 2, 7)], "g string, o int, v int")
+    got = {(r.g, r.o): r.t for r in running_total(df, "v", ["o"], "t", partition_by=["g"]).collect()}
+    assert got == {("a", 1): 10, (None, 1): 5, (None, 2): 12}
+
+
+@pytest.mark.parametrize("p", [0.0, 0.01, 0.2])
+def test_frequent_levels_is_one_rule_for_every_share(spark, p):
+    from statflow.operators.levels import frequent_levels
+    counts = {"a": 50, "b": 30, "c": 10, "d": 9, "e": 1}
+    df = spark.createDataFrame([(k,) for k, n in counts.items() for _ in range(n)], "c string")
+    got = {r.level: r.cum for r in frequent_levels(df, "c", p=p, cum_p=0.9).collect()}
+    want = {"a": 50, "b": 80, "c": 90}
+    assert got == {k: v for k, v in want.items() if counts[k] / 100 > p}

@@ -90,10 +90,19 @@ def test_lookup_round_trip(spark):
     assert idx["x"] == 0
     coded = spark.createDataFrame([(1, [idx["x"], idx["y"], idx["x"]]), (2, [idx["z"]])],
                                   "d int, i array<int>")
-    out = {r.d: r.words for r in M.lookup(coded, ["d"], "i", vocab, "words").collect()}
+    out = {r.d: r.words for r in M.lookup(coded, "i", vocab, "words").collect()}
     assert out == {1: ["x", "y", "x"], 2: ["z"]}
 
 
+def test_lookup_keeps_rows_apart(spark):
+    vocab = spark.createDataFrame([(0, "a"), (1, "b")], "term_index int, term string")
+    df = spark.createDataFrame([(3, [1]), (3, [0]), (3, [0]), (4, []), (4, None), (None, [0, 7])],
+                               "k int, i array<int>")
+    got = sorted(((r.k, r.words) for r in M.lookup(df, "i", vocab, "words").collect()), key=str)
+    assert got == sorted([(3, ["b"]), (3, ["a"]), (3, ["a"]), (4, []), (4, None), (None, ["a", None])],
+                         key=str)
+
+
 def test_logistic_probabilities(spark):
     from statflow.plans.flows import flagship
     out = flagship(spark, SF).toPandas()
@@ -103,34 +112,71 @@ def test_logistic_probabilities(spark):
     assert set(out["prediction"]).issubset({0.0, 1.0})
 
 
-def test_spread_only_when_needed(spark):
+def test_spread_follows_its_argument_only(spark):
     from statflow.operators.partitioning import spread
     one = spark.range(100).coalesce(1)
+    assert spread(one) is one
     assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(6)
-    assert spread(many, 4) is many
-
-
-def test_training_copies_budget(spark):
-    # local session: 16g heap, 4 cores -> small models train on every task,
-    # a model too big for four copies per task is trained on fewer tasks.
-    assert M.training_copies(spark, 10 << 20, 8) == 8
-    assert M.training_copies(spark, 1 << 30, 8) == 1
-    assert M._bytes("16g") == 16 << 30 and M._bytes("512m") == 512 << 20
-
-
-def test_count_vectorizer_matches_spark(spark):
-    from pyspark.ml.feature import CountVectorizer
-    rows = [(["b", "a", "a", "c"],), (["a", "c", "d"],), (["d", "d", "e"],), ([],)]
-    df = spark.createDataFrame(rows, "t array<string>")
-    ours = M.fit_count_vectorizer(df, "t", vocab_size=3, strategy="distributed")
-    assert ours.vocabulary == ["a", "d", "c"]  # a:3, d:3 (tie by term), c:2
-    theirs = CountVectorizer(inputCol="t", outputCol="x", vocabSize=3).fit(df)
-    assert set(theirs.vocabulary) == set(ours.vocabulary)
+    assert spread(spark.range(100).repartition(6), 4).rdd.getNumPartitions() == 4
+
+
+def test_term_vectors_match_spark_ml(spark):
+    from pyspark.ml.feature import IDF, CountVectorizer
+    rows = [(1, ["b", "a", "a", "c"]), (2, ["a", "c", "d"]), (3, ["d", "d", "e"]), (4, [])]
+    df = spark.createDataFrame(rows, "k int, t array<string>")
+    vocab, vecs = M.term_vectors(df, "k", "t")
+    order = [r.term for r in vocab.orderBy("term_index").collect()]
+    assert order == ["a", "d", "c", "b", "e"]  # 3, 3 (tie by term), 2, 1, 1
+    cv = CountVectorizer(inputCol="t", outputCol="tf").fit(df)
+    ml = IDF(inputCol="tf", outputCol="w").fit(cv.transform(df)).transform(cv.transform(df))
+    want = {r.k: {cv.vocabulary[i]: v for i, v in zip(r.w.indices, r.w.values) if v} for r in ml.collect()}
+    got = {r.k: {order[i]: v for i, v in zip(r.tfidf_vec.indices.tolist(), r.tfidf_vec.values) if v}
+           for r in vecs.collect()}
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k] == pytest.approx(want[k])
     for min_df in (2.0, 0.5):
-        got = M.fit_count_vectorizer(df, "t", min_df=min_df, strategy="distributed")
-        assert got.vocabulary == ["a", "d", "c"]
-        assert set(M.fit_count_vectorizer(df, "t", min_df=min_df).vocabulary) == {"a", "c", "d"}
+        assert {r.term for r in M.term_vectors(df, "k", "t", min_df=min_df)[0].collect()} == {"a", "c", "d"}
+    assert M.term_vectors(df, "k", "t", vocab_size=2)[0].count() == 2
+
+
+def test_gram_and_ols_use_complete_rows_only(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, 6.0), (None, 100.0), (4.0, None)],
+                               "x double, y double")
+    for scale in (None, 2):
+        beta = {r.term: r.beta for r in M.ols(df, ["x"], "y", exact_scale=scale).collect()}
+        assert beta == pytest.approx({"const": 0.0, "x": 2.0}, abs=1e-9)
+        entries = A.gram(df, ["x"], "y", exact_scale=scale).collect()
+        assert {(r.term_i, r.term_j): r.value for r in entries} == {
+            ("const", "const"): 3, ("const", "x"): 6, ("const", "y"): 12, ("x", "x"): 14,
+            ("x", "y"): 28, ("y", "y"): 56}
+
+
+def test_tf_idf_splits_a_very_common_term(spark):
+    df = spark.range(6000).select("id", F.array(
+        F.lit("everywhere"), F.concat(F.lit("t"), F.col("id") % 997)).alias("t"))
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = M.tf_idf(df, "id", "t")
+        assert len(out.collect()) == 12000
+        assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_identical_rows_of_a_hot_key_are_spread(spark):
+    df = spark.range(20_000).select(F.lit("hot").alias("k"), F.lit("same line").alias("line"))
+    out = cluster_by(df, "k", n=6)
+    assert out.columns == ["k", "line"]
+    assert out.select(F.spark_partition_id().alias("p")).distinct().count() == 6
 
 
 def test_cluster_by_spreads_hot_key(spark):

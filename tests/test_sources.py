@@ -34,7 +34,7 @@ def test_read_records_arity_and_quotes(spark, tmp_path):
              ",".join(["z"] * 66)]
     path = tmp_path / "r.csv"
     path.write_text("\n".join(lines) + "\n")
-    df = sources.read_records(spark, str(path), names)
+    df = sources.read_records(spark, str(path), names, header=True, multiline=True)
     assert df.count() == 2  # a bare count must not touch only the corrupt-record column
     rows = df.select("c0", "c1", "c2").collect()
     assert [tuple(r) for r in rows] == [("a, with comma", "line\nbreak", 'say "hi"'),
@@ -83,3 +83,22 @@ def test_read_csv_null_token(spark, tmp_path):
     schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("c", T.StringType())])
     rows = sources.read_csv(spark, str(path), schema, null_value="NA").collect()
     assert [tuple(r) for r in rows] == [(1, None), (None, "x")]
+
+
+def test_records_of_headerless_files_are_all_read(spark, tmp_path):
+    for f in range(3):
+        (tmp_path / f"part{f}.csv").write_text("".join(f'{f}{r},"a, b",x\n' for r in range(4)))
+    df = sources.read_records(spark, str(tmp_path), ["id", "text", "z"])
+    assert sorted(r.id for r in df.collect()) == sorted(f"{f}{r}" for f in range(3) for r in range(4))
+
+
+def test_one_file_of_records_is_read_by_several_tasks(spark, tmp_path):
+    path = tmp_path / "one.csv"
+    path.write_text("".join(f"{i},some text,{i * i}\n" for i in range(20_000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        df = sources.read_records(spark, str(path), ["id", "text", "sq"])
+        assert df.rdd.getNumPartitions() > 3 and df.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
