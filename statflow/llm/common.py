@@ -13,20 +13,24 @@ from statflow.session import ensure_checkpoint_dir, table_path
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Give the executors this package (once a context), as ``--py-files`` would: the
-    tasks import it, and their working folder need not hold it."""
+    """Give the executors this package (once a context), as ``--py-files`` would, from a
+    zip in the shared folder: tasks import it, and need not hold it themselves."""
     sc = spark.sparkContext
     if getattr(sc, "_statflow_shipped", False):
         return
-    import tempfile
+    import io
     import zipfile
     from pathlib import Path
-    package = Path(__file__).resolve().parents[1]
-    with tempfile.NamedTemporaryFile(prefix="statflow-", suffix=".zip", delete=False) as f:
-        with zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as z:
-            for path in sorted(package.rglob("*.py")):
-                z.write(path, path.relative_to(package.parent))
-    sc.addPyFile(f.name)  # a driver-side file that Spark serves to the executors
+
+    from statflow.llm.files import NewFile
+    package, data = Path(__file__).resolve().parents[1], io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted(package.rglob("*.py")):
+            z.write(path, path.relative_to(package.parent))
+    code = NewFile(shared_folder(spark, "code"), "statflow.zip")
+    code.write(data.getvalue())
+    code.commit()
+    sc.addPyFile(code.uri)
     sc._statflow_shipped = True
 
 
