@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,7 +45,8 @@ def running_total(df: DataFrame, value: str | Column, order: Sequence[str | Colu
     part_cols = [F.col(c) for c in partition_by]
     val = F.col(value) if isinstance(value, str) else value
 
-    staged = df.withColumn("__sf_val", val)
+    # Read twice: the range bounds come from a sample, then the rows are dealt out.
+    staged = df.withColumn("__sf_val", val).persist(StorageLevel.MEMORY_AND_DISK)
     args = ([num_partitions] if num_partitions else []) + part_cols + order_cols
     ranged = staged.repartitionByRange(*args).withColumn(_PID, F.spark_partition_id())
     w_local = (Window.partitionBy(F.col(_PID), *part_cols).orderBy(*order_cols)
@@ -53,6 +55,7 @@ def running_total(df: DataFrame, value: str | Column, order: Sequence[str | Colu
     # Pin partition ids: the range bounds come from a sample, so a recomputed
     # lineage could place rows differently between the two uses below.
     local = local.checkpoint(eager=True)
+    staged.unpersist(blocking=False)
 
     # One row per (partition, group): bounded by partitions x groups.
     totals = local.groupBy(_PID, *partition_by).agg(F.sum("__sf_val").alias(_TOT))
