@@ -169,8 +169,8 @@ def document_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int
             raw, offsets = text_buffer(batch.column("text"))
             i, n = 0, batch.num_rows
             doc_ids = batch.column("doc_id")
-            while i < n:  # a few MB of text at a time
-                j = int(np.searchsorted(offsets, offsets[i] + (4 << 20), "right")) - 1
+            while i < n:  # about 1 MB of text at a time
+                j = int(np.searchsorted(offsets, offsets[i] + (1 << 20), "right")) - 1
                 j = min(max(j, i + 1), n)
                 ids, bounds = encoder.encode_buffer(raw[offsets[i]:offsets[j]],
                                                     offsets[i:j + 1] - offsets[i])

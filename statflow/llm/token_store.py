@@ -186,7 +186,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int,
             doc_ids = batch.column("doc_id").to_pylist()
             i, n, end = 0, batch.num_rows, np.array([end_id], np.uint32)
             while i < n:
-                j = int(np.searchsorted(offsets, offsets[i] + (4 << 20), "right")) - 1
+                j = int(np.searchsorted(offsets, offsets[i] + (1 << 20), "right")) - 1
                 j = min(max(j, i + 1), n)
                 ids, bounds = encoder.encode_buffer(raw[offsets[i]:offsets[j]],
                                                     offsets[i:j + 1] - offsets[i])

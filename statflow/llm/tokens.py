@@ -51,7 +51,7 @@ def _cuts(raw: np.ndarray) -> np.ndarray:
 
 
 class TextEncoder:
-    def __init__(self, path: str, limit: int = 1_000_000, piece: int = 2 << 20):
+    def __init__(self, path: str, limit: int = 1_000_000, piece: int = 1 << 19):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
@@ -66,12 +66,33 @@ class TextEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self._hash = np.zeros(0, np.uint64)   # sorted
-        self._at = np.zeros(0, np.int64)      # entry of each hash: start and length in ids
-        self._len = np.zeros(0, np.int32)
+        """Two sorted tables (hash, start and length in the ids): new units go to the
+        small one, which is merged into the large one when it is full."""
+        none = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self._large = self._small = none
         self._ids = np.zeros(1 << 16, np.uint32)
         self._used = 0
 
+    def _find(self, hashes: np.ndarray):
+        """Start and length of each hash; length -1 where it is new."""
+        at, length = np.zeros(len(hashes), np.int64), np.full(len(hashes), -1)
+        for keys, starts, lengths in (self._large, self._small):
+            if len(keys):
+                slot = np.searchsorted(keys, hashes)
+                slot[slot == len(keys)] = 0
+                hit = keys[slot] == hashes
+                at[hit], length[hit] = starts[slot[hit]], lengths[slot[hit]]
+        return at, length
+
+    def _remember(self, hashes: np.ndarray, at: np.ndarray, length: np.ndarray) -> None:
+        where = np.searchsorted(self._small[0], hashes)
+        self._small = tuple(np.insert(a, where, b) for a, b in
+                            zip(self._small, (hashes, at, length)))
+        if len(self._small[0]) > 1 << 16:
+            where = np.searchsorted(self._large[0], self._small[0])
+            self._large = tuple(np.insert(a, where, b) for a, b in zip(self._large, self._small))
+            self._small = tuple(a[:0] for a in self._small)
+
     def _keep(self, ids: np.ndarray) -> int:
         first = self._used
         if first + len(ids) > len(self._ids):
@@ -101,20 +122,18 @@ class TextEncoder:
             return ids, np.diff(np.r_[-1, cut])
         return self._each(units)  # not a tokenizer of this kind
 
-    def _learn(self, hashes: np.ndarray, units: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, units: list[str]):
         plain = np.array([len(u) > 1 and u[0] == " " and not u[1].isspace()
                           and not u[-1].isspace() for u in units], bool)
-        at, length = np.zeros(len(units), np.int64), np.zeros(len(units), np.int32)
+        at, length = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
         for some, encode in ((np.flatnonzero(plain), self._joined),
                              (np.flatnonzero(~plain), self._each)):
             if len(some):
                 ids, n = encode([units[k] for k in some.tolist()])
                 length[some] = n
                 at[some] = self._keep(ids) + np.cumsum(n) - n
-        where = np.searchsorted(self._hash, hashes)
-        self._hash = np.insert(self._hash, where, hashes)
-        self._at = np.insert(self._at, where, at)
-        self._len = np.insert(self._len, where, length)
+        self._remember(hashes, at, length)
+        return at, length
 
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, bounds)``: text i has ``ids[bounds[i]:bounds[i + 1]]`` (uint32)."""
@@ -139,7 +158,7 @@ class TextEncoder:
     def _rows(self, raw: np.ndarray, offsets: np.ndarray):
         if len(raw) == 0:
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
-        if len(self._hash) > self.limit:
+        if len(self._large[0]) > self.limit:
             self._reset()
         first = _cuts(raw) if len(raw) > 1 else np.zeros(1, bool)
         first[offsets[:-1][offsets[:-1] < len(raw)]] = True
@@ -147,19 +166,16 @@ class TextEncoder:
         end = np.r_[start[1:], len(raw)]
         distinct, example, code = np.unique(self._hasher.spans(raw, start, end),
                                             return_index=True, return_inverse=True)
-        entry = np.searchsorted(self._hash, distinct)
-        known = np.zeros(len(distinct), bool)
-        inside = entry < len(self._hash)
-        known[inside] = self._hash[entry[inside]] == distinct[inside]
-        if not known.all():
-            new = np.flatnonzero(~known)
+        at, length = self._find(distinct)
+        new = np.flatnonzero(length < 0)
+        if len(new):
             data = raw.tobytes()
             spans = zip(start[example[new]].tolist(), end[example[new]].tolist())
-            self._learn(distinct[new], [data[a:b].decode() for a, b in spans])
-            entry = np.searchsorted(self._hash, distinct)
-        width = self._len[entry][code].astype(np.int64)
+            at[new], length[new] = self._learn(
+                distinct[new], [data[a:b].decode() for a, b in spans])
+        width = length[code]
         ends = np.cumsum(width)
-        take = np.repeat(self._at[entry][code] - (ends - width), width)
+        take = np.repeat(at[code] - (ends - width), width)
         take += np.arange(len(take))
         unit_bounds = np.searchsorted(start, offsets)
         total = np.r_[0, ends]
