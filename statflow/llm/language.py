@@ -189,9 +189,11 @@ def predict(docs: DataFrame, text: str, model: tuple[list[str], np.ndarray],
             for i, j, part, bounds in _pieces(raw, offsets):
                 best[i:j], share[i:j], size[i:j] = infer(*gram_counts(part, bounds), j - i,
                                                          probs, penalty)
-                # A lone letter makes no n-gram of its own languages; the first is taken.
-                lone = (best[i:j] < 0) & (np.diff(bounds) > 0) & bool(languages)
-                best[i:j][lone], share[i:j][lone], size[i:j][lone] = 0, 1.0 / len(languages or " "), 1
+                # A text too short for an n-gram says nothing: the first language is taken.
+                short = (best[i:j] < 0) & (np.diff(bounds) > 0)
+                if languages and short.any():
+                    best[i:j][short], share[i:j][short], size[i:j][short] = \
+                        0, 1.0 / len(languages), 1
             named = np.array([*languages, UNDETERMINED], object)[best]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in cols]
