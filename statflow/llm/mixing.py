@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from statflow.llm.common import hash52, names, null_safe_text, stage
 
 LEVELS, PASSES = 3, 10  # 30 halvings
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 DIGITS = 6  # the exponent is rounded up to so many decimals
 
 
@@ -123,9 +123,9 @@ def mix(docs: DataFrame, target_part: float | None = 0.5, max_repeats: float = 4
     scale = shares.agg(F.sum("raw").alias("z"),
                        F.max(F.when(F.col("raw") > 0, F.col("tokens") / F.col("raw"))).alias("m"))
     weight = F.col("raw") / F.col("z")
-    # In steps of 1e-9 tokens: the last bits of a float sum must not decide.
+    # Rounded first: the last bits of a float sum must not decide.
     exact = (F.col("raw") * F.col("m")) if cover else weight * F.col("all")
-    wanted = F.floor(F.round(exact * (F.lit(1.0)), 6)).cast("long")
+    wanted = F.floor(F.round(exact, 6)).cast("long")
     plan = stage(shares.crossJoin(F.broadcast(scale)).select(
         F.col("source").alias("__source"), F.col("tokens").alias("__all"),
         F.coalesce(wanted, F.lit(0)).alias("__budget"), weight.alias("weight"),
