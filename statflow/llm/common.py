@@ -227,6 +227,18 @@ def unique_counts(x: np.ndarray, weight: np.ndarray | None = None):
                      else np.zeros(0, weight.dtype))
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: a worker that waits for its next task must
+    not keep its last task's peak."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def names(df: DataFrame, cols: Sequence[str]) -> Sequence[str]:
     """Check that the columns exist; extra columns are allowed everywhere."""
     missing = [c for c in cols if c not in df.columns]

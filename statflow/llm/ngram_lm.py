@@ -40,8 +40,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statflow.llm.common import (WordHasher, from_planes, learn_bucket, mix64, names,
-                                 null_safe_text, planes, stage, text_buffer, text_bytes,
-                                 unique_counts)
+                                 null_safe_text, planes, release_memory, stage, text_buffer,
+                                 text_bytes, unique_counts)
 
 BLOCK_BYTES = 8 << 20
 GROUP_BYTES = 16 << 20
@@ -176,6 +176,7 @@ def _blocks(docs: DataFrame, groups: int) -> DataFrame:
                      pa.array([*payload, seq], pa.binary())],
                     names=["block", "part", "seq", "payload"])
                 i = j
+                release_memory()
 
     return docs.mapInArrow(run, "block long, part int, seq boolean, payload binary")
 
@@ -207,6 +208,7 @@ def _answers(key, table):
                     + planes(mine_w) + planes(mine_p)))
     out += [(blocks[k], part, True, payload[k].as_py()) for k, s in enumerate(seq) if s]
     cols = list(zip(*out))
+    release_memory()
     return pa.table({"block": pa.array(cols[0], pa.int64()), "part": pa.array(cols[1], pa.int32()),
                      "seq": pa.array(cols[2], pa.bool_()), "payload": pa.array(cols[3], pa.binary())})
 
@@ -261,6 +263,7 @@ def _walk(key, table):
         scores[:, g] = _sum_rows(automaton.arcs()[pair], bounds)
         left_out[:, g] = np.where(train, _sum_rows(automaton.left_out()[pair], bounds), 0.0)
     lists = np.arange(n_docs + 1, dtype=np.int32) * len(GRID)
+    release_memory()
     return pa.table({
         "doc_id": pa.array(doc_ids, mask=~valid), "held_out": pa.array(~train),
         "n_tokens": pa.array(np.diff(bounds)),
