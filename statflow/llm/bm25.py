@@ -39,13 +39,14 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statflow.llm.common import (WordHasher, from_planes, names, null_safe_text, planes, stage,
-                                 text_buffer, text_bytes, unique_counts)
+from statflow.llm.common import (WordHasher, from_planes, names, null_safe_text, planes,
+                                 release_memory, stage, text_buffer, text_bytes, unique_counts)
 from statflow.llm.files import open_file
 
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 GROUP_BYTES = 64 << 20
 BLOCK_DOCS = 128
+ORDER_WORDS = 256
 DENSE_SHARE = 1 / 40  # words in more than this part of a shard's documents are dense
 K1, B = 1.2, 0.75
 DIGITS = 6  # decimals of a score: the order of a sum's terms must not decide ranks
@@ -89,31 +90,42 @@ class Shard:
 
     def impacts(self) -> np.ndarray:
         tf = self.tf.astype(float)
-        return self.idf[self.word] * tf * (K1 + 1) / (tf + np.repeat(self.norm, np.diff(self.bounds)))
+        part = tf * (K1 + 1)
+        tf += np.repeat(self.norm, np.diff(self.bounds))
+        part /= tf
+        part *= self.idf[self.word]
+        return part
 
     def prepare(self) -> None:
         """The block-max index: dense part, blocks and postings of rare words."""
         n, n_words = len(self.doc_ids), len(self.words)
         impact = self.impacts().astype(np.float32)
-        doc = np.repeat(np.arange(n), np.diff(self.bounds))
+        doc = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.bounds))
         df = np.bincount(self.word, minlength=n_words)
-        frequent = np.flatnonzero(df > max(8, n * DENSE_SHARE))
-        self.dense_of = np.full(n_words, -1)
+        frequent = np.argsort(-df, kind="stable")
+        frequent = frequent[:int((df > max(8, n * DENSE_SHARE)).sum())]
+        self.dense_of = np.full(n_words, -1, np.int32)
         self.dense_of[frequent] = np.arange(len(frequent))
-        dense = np.zeros((n, len(frequent)), np.float32)
-        is_dense = self.dense_of[self.word] >= 0
-        dense[doc[is_dense], self.dense_of[self.word[is_dense]]] = impact[is_dense]
-        self.order = _similar_order(dense)
-        place = np.empty(n, np.int64)
-        place[self.order] = np.arange(n)
-        self.place, self.dense = place, dense[self.order]
+        column = self.dense_of[self.word]
+        # Similar documents are neighbours, judged by the most frequent words.
+        main = (column >= 0) & (column < ORDER_WORDS)
+        rough = np.zeros((n, min(len(frequent), ORDER_WORDS)), np.float32)
+        rough[doc[main], column[main]] = impact[main]
+        self.order = _similar_order(rough)
+        del rough, main
+        self.place = np.empty(n, np.int32)
+        self.place[self.order] = np.arange(n)
+        doc = self.place[doc]
+        self.dense = np.zeros((n, len(frequent)), np.float32)
+        wide = column >= 0
+        self.dense[doc[wide], column[wide]] = impact[wide]
         self.first = np.arange(0, n, BLOCK_DOCS)
         self.most = (np.maximum.reduceat(self.dense, self.first, axis=0) if n else
                      np.zeros((0, len(frequent)), np.float32))
-        rare = ~is_dense
-        by_word = np.argsort(self.word[rare], kind="stable")
-        self.post_doc = place[doc[rare][by_word]].astype(np.int32)
-        self.post_impact = impact[rare][by_word]
+        by_word = np.flatnonzero(~wide)
+        by_word = by_word[np.argsort(self.word[by_word], kind="stable")]
+        self.post_doc = doc[by_word]
+        self.post_impact = impact[by_word]
         rare_df = np.where(self.dense_of >= 0, 0, df)
         self.post_first = np.r_[0, np.cumsum(rare_df)]
 
@@ -210,7 +222,7 @@ class Shard:
     @staticmethod
     def load(raw) -> "Shard":
         w, idf, ids, bounds, word, tf, norm = _unpack(raw)
-        return Shard(w, idf, ids, bounds, word.astype(np.int64), tf.astype(np.int64), norm)
+        return Shard(w, idf, ids, bounds, word.astype(np.int32), tf, norm)
 
 
 def _similar_order(x: np.ndarray) -> np.ndarray:
@@ -282,13 +294,15 @@ def _shards(rows: DataFrame, groups: int) -> DataFrame:
                 j = min(max(j, i + 1), n)
                 h, bounds = hasher(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 words, word = np.unique(h, return_inverse=True)
-                length = np.diff(bounds)
-                doc = np.repeat(np.arange(j - i), length)
-                code, tf = np.unique(doc * max(len(words), 1) + word, return_counts=True)
+                n_tokens, length = len(h), np.diff(bounds)
+                del h
+                word += np.repeat(np.arange(j - i), length) * max(len(words), 1)
+                code, tf = np.unique(word, return_counts=True)
+                del word
                 doc, word = code // max(len(words), 1), code % max(len(words), 1)
                 df = np.bincount(word, minlength=len(words))
                 cut = np.r_[0, np.searchsorted(words, edges), len(words)]
-                about = np.array([j - i, len(h)], "<i8")
+                about = np.array([j - i, n_tokens], "<i8")
                 payload = [_pack(about, words[cut[g]:cut[g + 1]], df[cut[g]:cut[g + 1]].astype("<u4"))
                            for g in range(groups)]
                 payload.append(_pack(words, ids[i:j], np.searchsorted(doc, np.arange(j - i + 1)),
@@ -302,6 +316,8 @@ def _shards(rows: DataFrame, groups: int) -> DataFrame:
                      pa.array([False] * groups + [True]), pa.array(payload, pa.binary())],
                     names=["shard", "part", "own", "payload"])
                 i = j
+                del words, code, doc, word, tf, payload
+                release_memory()
 
     return rows.mapInArrow(run, "shard long, part int, own boolean, payload binary")
 
@@ -322,6 +338,7 @@ def _count(key, table):
            for k, _, w, _ in asked]
     out += [(shard[k], part, True, payload[k].as_py()) for k, mine in enumerate(own) if mine]
     cols = list(zip(*out))
+    release_memory()
     return pa.table({"shard": pa.array(cols[0], pa.int64()), "part": pa.array(cols[1], pa.int32()),
                      "own": pa.array(cols[2], pa.bool_()), "payload": pa.array(cols[3], pa.binary())})
 
@@ -337,10 +354,10 @@ def _index(k: int):
                    sorted((i for i, mine in enumerate(own) if not mine), key=part.__getitem__)]
         n_docs, n_words = (int(x) for x in answers[0][0])
         df = np.concatenate([a[1] for a in answers]).astype(float)
-        word = word.astype(np.int64)
+        word = word.astype(np.int32)
         average = max(n_words / n_docs, 1e-9)
         shard = Shard(words, np.log1p((n_docs - df + 0.5) / (df + 0.5)), ids, bounds, word,
-                      tf.astype(np.int64), K1 * (1 - B + B * length / average))
+                      tf, K1 * (1 - B + B * length / average))
         ask = np.flatnonzero((asks > 0) & (ids != _NONE))
         entry = np.concatenate([np.arange(bounds[i], bounds[i + 1]) for i in ask]) \
             if len(ask) else np.zeros(0, np.int64)
@@ -358,9 +375,11 @@ def _index(k: int):
                 if len(hit) else np.zeros(len(q), bool)
             q.floor = np.where(ok, score[np.minimum(kth, max(len(hit) - 1, 0))] * (1 - 1e-4), 0.0) \
                 if len(hit) else q.floor
+        packed = [shard.pack(), q.pack()]
+        del shard, q, answers, words, word, tf
+        release_memory()
         return pa.table({"shard": pa.array([key[0].as_py()] * 2, pa.int64()),
-                         "asks": pa.array([False, True]),
-                         "payload": pa.array([shard.pack(), q.pack()], pa.binary())})
+                         "asks": pa.array([False, True]), "payload": pa.array(packed, pa.binary())})
     return run
 
 
@@ -408,6 +427,8 @@ def search_self(docs: DataFrame, modulus: int = 20, k: int = 10) -> DataFrame:
                             [pa.array([asked], pa.int64()), pa.array([number], pa.int64()),
                              pa.array([_pack(query.astype("<u4"), doc.astype("<u4"), score)],
                                       pa.binary())], names=["asked", "shard", "payload"])
+                del shard
+                release_memory()
 
     def merge(key, table):
         """One batch of queries: who can be among the k best of all shards."""
@@ -428,8 +449,8 @@ def search_self(docs: DataFrame, modulus: int = 20, k: int = 10) -> DataFrame:
         return pa.table({"shard": pa.array(cols[0], pa.int64()), "asked": pa.array(cols[1], pa.int64()),
                          "payload": pa.array(cols[2], pa.binary())})
 
-    spread = index.repartition(max(1, index.count()), "shard")
-    finalists = (spread.mapInArrow(search, "asked long, shard long, payload binary")
+    # Index rows are large and stay where they were written: one task a file.
+    finalists = (index.mapInArrow(search, "asked long, shard long, payload binary")
                  .groupBy("asked").applyInArrow(merge, "shard long, asked long, payload binary"))
 
     def settle(key, left, right):
