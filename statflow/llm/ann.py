@@ -149,12 +149,13 @@ def _matrix(column) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """``vec_id, embedding`` of the vectors that take part."""
+    """``vec_id, embedding`` of the vectors that take part, each row once: repeats would
+    take the places of other neighbours and make lists seem fuller than they are."""
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"),
                           F.col(embedding).cast("array<double>").alias("embedding"))
     good = F.forall("embedding", lambda v: F.coalesce(F.abs(v) < F.lit(float("inf")), F.lit(False)))
     some = F.exists("embedding", lambda v: v != 0.0)
-    rows = rows.where(F.col("vec_id").isNotNull() & good & some)
+    rows = stage(rows.where(F.col("vec_id").isNotNull() & good & some).distinct(), "ann-rows")
     width = rows.groupBy(F.size("embedding").alias("w")).count().orderBy(
         F.desc("count"), F.desc("w")).limit(1).collect()
     return rows.where(F.size("embedding") == F.lit(width[0]["w"] if width else 0))
@@ -217,45 +218,49 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, sample: int = S
         "list", F.ceil(F.col("n") / F.lit(PART_ROWS)).cast("int").alias("parts")))
     stored = listed.join(parts, "list").select(
         "list", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"),
-        F.lit(0).alias("kind"), "vec_id", "embedding")
+        F.lit(0).alias("kind"), "vec_id", F.xxhash64("embedding").alias("vec"), "embedding")
     asked = queries.mapInArrow(probe, kind).join(parts, "list").select(
         "list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        F.lit(1).alias("kind"), "vec_id", "embedding")
+        F.lit(1).alias("kind"), "vec_id", F.lit(0).cast("long").alias("vec"), "embedding")
     met = stored.unionByName(asked).repartition("list", "part").sortWithinPartitions(
         "list", "part", "kind", "vec_id")
 
     def measure(batches):
         import pyarrow as pa
-        at, ids, vecs = None, [], []
+        at, ids, marks, vecs = None, [], [], []
         for batch in batches:
             where = np.stack([batch.column(c).to_numpy() for c in ("list", "part", "kind")], 1)
             v, m = batch.column("vec_id").to_numpy(), _matrix(batch.column("embedding"))
+            mark = batch.column("vec").to_numpy()
             cut = np.flatnonzero(np.r_[True, (where[1:] != where[:-1]).any(1), True])
             out = []
             for i, j in zip(cut[:-1], cut[1:]):
                 if tuple(where[i, :2]) != at:
-                    at, ids, vecs = tuple(where[i, :2]), [], []
+                    at, ids, marks, vecs = tuple(where[i, :2]), [], [], []
                 if where[i, 2] == 0:
                     ids.append(v[i:j])
+                    marks.append(mark[i:j])
                     vecs.append(m[i:j])
                 elif ids:
                     if len(ids) > 1:
-                        ids, vecs = [np.concatenate(ids)], [np.concatenate(vecs)]
+                        ids, marks, vecs = ([np.concatenate(x)] for x in (ids, marks, vecs))
                     for a in range(i, j, 256):
                         out += _nearest_block(v[a:min(a + 256, j)], m[a:min(a + 256, j)],
-                                              ids[0], vecs[0], k)
+                                              ids[0], marks[0], vecs[0], k)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)],
-                                                 names=["query_id", "vec_id", "score"])
+                                                 names=["query_id", "vec_id", "vec", "score"])
 
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return (met.mapInArrow(measure, "query_id long, vec_id long, score double").distinct()
+    # A vector found in several lists is one; two vectors of an id stay two.
+    return (met.mapInArrow(measure, "query_id long, vec_id long, vec long, score double").distinct()
             .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
-def _nearest_block(q_ids, q, ids, vecs, k):
-    """Per query its k nearest rows of one list part, by exact distance, then id."""
+def _nearest_block(q_ids, q, ids, marks, vecs, k):
+    """Per query its k nearest rows of one list part, by exact distance, then id. The
+    rows are distinct; ``marks`` tells an id's vectors apart."""
     rough = (q ** 2).sum(1)[:, None] + (vecs ** 2).sum(1) - 2 * q @ vecs.T
     rough[q_ids[:, None] == ids] = np.inf
     top = min(k, len(ids)) - 1
@@ -265,12 +270,8 @@ def _nearest_block(q_ids, q, ids, vecs, k):
     for i in range(len(q)):
         near = np.flatnonzero((rough[i] <= edge[i] + slack) & np.isfinite(rough[i]))
         exact = np.sqrt(((vecs[near] - q[i]) ** 2).sum(1))
-        order = np.lexsort((ids[near], exact))
-        # Rows equal in id and vector count once.
-        i_, d_ = ids[near][order], exact[order]
-        once = np.r_[True, (i_[1:] != i_[:-1]) | (d_[1:] != d_[:-1])][:len(order)]
-        order = order[once][:k]
-        out.append((np.full(len(order), q_ids[i]), ids[near][order], exact[order]))
+        order = np.lexsort((ids[near], exact))[:k]
+        out.append((np.full(len(order), q_ids[i]), ids[near][order], marks[near][order], exact[order]))
     return out
 
 

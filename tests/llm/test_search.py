@@ -152,6 +152,26 @@ def test_neighbours_odd_rows_and_parts(spark, monkeypatch):
     assert ann.search_self(df.limit(0)).count() == 0
 
 
+def test_repeated_rows_hide_no_neighbour(spark, monkeypatch):
+    monkeypatch.setattr(ann, "PART_ROWS", 64)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(300)]
+    rows += [(i, [1.0]) for i in range(300, 320)]  # a rare length, common with its repeats
+    want = brute_nearest(rows, 10, 10)
+    many = [r for r in rows for _ in range(12 if len(r[1]) == 4 else 200)]
+    df = spark.createDataFrame(many, "vec_id long, embedding array<double>").repartition(5)
+    got = ann.search_self(df, 10).collect()
+    assert len(got) == sum(map(len, want.values()))
+    assert recall(got, want) >= 0.95
+    few = [(1, [1.0, 0.0])] * 12 + [(2, [1.0, 0.1]), (3, [0.9, 0.0]), (4, [0.0, 1.0])]
+    df = spark.createDataFrame(few, "vec_id long, embedding array<double>")
+    assert [r["vec_id"] for r in ann.search_self(df, 4).orderBy("rank").collect()] == [2, 3, 1]
+    # Two vectors of an id at one distance are two rows.
+    two = [(1, [0.0, 1.0]), (1, [0.0, -1.0]), (2, [1.0, 0.0]), (3, [0.0, 2.0])]
+    df = spark.createDataFrame(two, "vec_id long, embedding array<double>")
+    assert [r["vec_id"] for r in ann.search_self(df, 2).orderBy("rank").collect()] == [1, 1, 3]
+
+
 def test_graph_search_finds_the_nearest_centroids():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(3000, 8))
