@@ -68,6 +68,10 @@ def _pieces(raw: np.ndarray, offsets: np.ndarray, size: int = 1 << 20):
         i = j
 
 
+def has_letter(text: Column) -> Column:
+    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+
+
 def _folded(text: Column) -> Column:
     """Lower case, with a space at both ends."""
     return F.concat(F.lit(" "), F.lower(F.coalesce(text, F.lit(""))), F.lit(" "))
@@ -176,8 +180,7 @@ def predict(docs: DataFrame, text: str, model: tuple[list[str], np.ndarray],
     """The columns ``keep`` (default: all) plus ``lang_pred``, ``score`` and ``n_langs``."""
     languages, probs = model
     cols = docs.columns if keep is None else keep
-    letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    into = docs.select(*cols, F.when(letter, _folded(F.col(text))).otherwise("").alias("__text"))
+    into = docs.select(*cols, F.when(has_letter(F.col(text)), _folded(F.col(text))).otherwise("").alias("__text"))
 
     def run(batches):
         import pyarrow as pa

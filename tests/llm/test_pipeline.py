@@ -62,3 +62,22 @@ def test_odd_documents_through_all_stages(spark, tmp_path):
     assert {r["doc_id"] for r in out} == {1, 4, None}
     df.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_language_stage_fills_null_languages_and_keeps_clean_rows(spark, tmp_path):
+    texts = [(i, "the cat and the dog of the house", "en") for i in range(20)]
+    texts += [(20 + i, "le chat et le chien de la maison", "fr") for i in range(20)]
+    texts += [(40, "the dog of the house", None), (41, "le chien de la maison", None), (42, "le chat", "en"),
+              (43, "123 ...", None), (44, None, "fr")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    df = spark.createDataFrame([(*t, "a", 1) for t in texts], schema)
+    got = {r["doc_id"]: r["lang"] for r in corpus_pipeline.identify_language(spark, df, "").collect()}
+    assert got == {**{i: x for i, _, x in texts[:40]}, 40: "en", 41: "fr", 42: "en"}
+    # Nothing to learn from, or the label und: clean documents stay.
+    bare = df.selectExpr("doc_id", "text", "if(text is null, lang, null) as lang", "source", "n_chars")
+    got = {r["doc_id"]: r["lang"] for r in corpus_pipeline.identify_language(spark, bare, "").collect()}
+    assert got == {i: None for i in range(43)}
+    und = df.selectExpr("doc_id", "text", "'und' as lang", "source", "n_chars")
+    assert corpus_pipeline.identify_language(spark, und, "").count() == 43
+    bare.write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
