@@ -11,7 +11,8 @@ language with the largest proportion in that set, the score is that proportion.
 
 The log-likelihood is concave in the proportions, so its slope at the best single
 language bounds what further languages can gain; documents where that is below the
-penalty need no EM and have the same result without it.
+penalty need no EM and have the same result without it. The same bound at the fit of
+all languages ends the search of a document's set; other documents play no part in it.
 
 Learning uses at most about ``max_rows`` labelled rows (a hash sample when there are
 more; a documented bound), spread over tasks. The model has ``BUCKETS`` rows and one
@@ -155,9 +156,22 @@ def infer(row: np.ndarray, bucket: np.ndarray, count: np.ndarray, n_rows: int,
     p, c, w = p[mine], c[mine], width[open_]
     first = np.cumsum(w) - w
     docs, cost, top_score = docs[open_], cost[open_], single[open_].max(1)
-    pi, _ = _fit(p, c, first, np.full((len(w), n_lang), 1.0 / n_lang), rounds)
+    pi, full = _fit(p, c, first, np.full((len(w), n_lang), 1.0 / n_lang), rounds)
     order = np.argsort(-pi, axis=1, kind="stable")
+    # No proportions at all give a document more than this (the slope bound at its fit).
+    mix = np.maximum((p * pi[np.repeat(np.arange(len(w)), w)]).sum(1), 1e-300)
+    reach = full + np.add.reduceat(p * (c / mix)[:, None], first, axis=0).max(1) - total[open_]
+    reach += 1e-9 * np.abs(reach)  # rounding
     for k in range(2, n_lang + 1):
+        live = reach - (k - 1) * cost > top_score  # each document stops by itself
+        if not live.any():
+            break
+        if not live.all():
+            mine = np.repeat(live, w)
+            p, c, w = p[mine], c[mine], w[live]
+            first = np.cumsum(w) - w
+            docs, cost, top_score, reach = docs[live], cost[live], top_score[live], reach[live]
+            pi, order = pi[live], order[live]
         start = np.zeros_like(pi)
         np.put_along_axis(start, order[:, :k], np.take_along_axis(pi, order[:, :k], 1) + 1e-6, 1)
         start /= start.sum(1, keepdims=True)
@@ -167,8 +181,6 @@ def infer(row: np.ndarray, bucket: np.ndarray, count: np.ndarray, n_rows: int,
         hit = docs[better]
         best[hit], share[hit] = fitted[better].argmax(1), fitted[better].max(1)
         size[hit] = k
-        if not better.any():  # no document gained from a further language
-            break
     return best, share, size
 
 

@@ -121,3 +121,26 @@ def test_no_em_is_needed_where_the_slope_is_below_the_penalty():
     args = (row[keep], np.tile(np.arange(50), 30)[keep], count[keep], 30, probs)
     best, share, size = language.infer(*args, penalty=5.0)
     assert best.tolist() == [k % 3 for k in range(30)] and (size == 1).all()
+
+
+def test_a_set_of_three_is_found_whatever_texts_share_the_piece():
+    # Languages a, b, c use 20 n-grams each; x spreads over all 60 and is the best single one.
+    probs = np.full((60, 4), 1e-7)
+    for k in range(3):
+        probs[20 * k:20 * k + 20, k] = 1 / 20
+    probs[:, 3] = 1 / 70
+    probs = np.vstack([probs, np.full((language.BUCKETS - 60, 4), 1e-9)])
+    three = np.full(60, 30)                      # two languages of a, b, c are worse than x
+    two = np.r_[np.full(40, 30), np.zeros(20, int)]
+    one = np.r_[np.full(20, 30), np.zeros(40, int)]
+
+    def infer(*texts):
+        row, bucket = np.nonzero(np.stack(texts))
+        return [x.tolist() for x in language.infer(row, bucket, np.stack(texts)[row, bucket],
+                                                   len(texts), probs, penalty=5.0)]
+
+    alone = infer(three)
+    assert alone[2] == [3] and abs(alone[1][0] - 1 / 3) < 0.05
+    best, share, size = infer(one, three, two)
+    assert size == [1, 3, 2]
+    assert (best[1], share[1]) == (alone[0][0], alone[1][0])
