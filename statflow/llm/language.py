@@ -14,9 +14,8 @@ language bounds what further languages can gain; documents where that is below t
 penalty need no EM and have the same result without it. The same bound at the fit of
 all languages ends the search of a document's set; other documents play no part in it.
 
-Learning uses at most about ``max_rows`` labelled rows (a hash sample when there are
-more; a documented bound), spread over tasks. The model has ``BUCKETS`` rows and one
-column a language, so its size does not depend on the corpus.
+Learning counts the n-grams of all labelled rows, spread over tasks. The model has
+``BUCKETS`` rows and one column a language, so its size does not depend on the corpus.
 
 Defined cases: null text or text without a letter is ``und`` with score 0; with no
 labelled document everything is ``und``; null languages are not learned; equal texts
@@ -33,7 +32,6 @@ from pyspark.sql import functions as F
 from statflow.llm.common import learn_bucket, names, text_buffer
 
 BUCKETS = 1 << 16
-MAX_LEARN_ROWS = 100_000
 UNDETERMINED = "und"
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -78,14 +76,11 @@ def _folded(text: Column) -> Column:
     return F.concat(F.lit(" "), F.lower(F.coalesce(text, F.lit(""))), F.lit(" "))
 
 
-def learn(labelled: DataFrame, text: str, lang: str, max_rows: int = MAX_LEARN_ROWS,
+def learn(labelled: DataFrame, text: str, lang: str,
           smoothing: float = 0.5) -> tuple[list[str], np.ndarray]:
-    """``(languages, probabilities)``: per language the smoothed n-gram distribution."""
+    """``(languages, probabilities)``: per language the smoothed n-gram distribution
+    of all its rows."""
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    total = rows.count()
-    if total > max_rows:
-        rows = rows.where(F.pmod(F.xxhash64(text), F.lit(1_000_000))
-                          < F.lit(max_rows * 1_000_000 // total))
 
     def run(batches):
         import pyarrow as pa

@@ -144,3 +144,19 @@ def test_a_set_of_three_is_found_whatever_texts_share_the_piece():
     best, share, size = infer(one, three, two)
     assert size == [1, 3, 2]
     assert (best[1], share[1]) == (alone[0][0], alone[1][0])
+
+
+def test_every_labelled_row_is_learned(spark):
+    # A common text makes up a third of the rows, thirty languages have one row each.
+    rare = spark.range(30).selectExpr("concat('rare ', repeat(char(97 + id % 26), 4)) as text",
+                                      "concat('r', id) as lang")
+    many = spark.range(120_000).selectExpr(
+        "if(id % 3 = 0, 'the cat', concat('dog ', char(97 + id % 26))) as text", "'en' as lang")
+    languages, probs = language.learn(rare.union(many), "text", "lang")
+    assert languages == sorted(["en", *[f"r{i}" for i in range(30)]])
+    # Exact counts: ' the cat ' has seven n-grams, ' dog x ' has five.
+    total = 40_000 * 7 + 80_000 * 5
+    raw, bounds = np.frombuffer(b"the", np.uint8), np.array([0, 3])
+    _, bucket, _ = language.gram_counts(raw, bounds)
+    want = (40_000 + 0.5) / (total + 0.5 * language.BUCKETS)
+    assert abs(probs[bucket[0], languages.index("en")] / want - 1) < 1e-9
