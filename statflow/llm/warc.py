@@ -1,6 +1,8 @@
 """Operator 4: a deterministic sharded WARC writer and its reader.
 
-Pages are range-partitioned and sorted by (page_id, payload digest). Each task walks
+Pages are cut into ranges and sorted by (page_id, payload digest). The cuts come from
+exact running payload bytes in that order (``range_cuts``), not from a sample, so they
+depend on the pages only. Each task walks
 its range in order and writes gzip members, one a record, to a file; when the file's
 compressed size reaches ``file_bytes`` it rolls to the next. Headers are generated
 again from the row (ids by UUID 5 from page id and digest, a fixed date, digests of
@@ -31,11 +33,12 @@ import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from statflow.llm.common import names, shared_folder, stage
 from statflow.llm.files import NewFile, open_file
+from statflow.operators.ordering import running_total
 
 FILE_BYTES = 64 << 20
 TASK_BYTES = 64 << 20  # payload bytes that one task writes
@@ -63,7 +66,7 @@ class ArchiveWriter:
     """One task's files: ``add`` records in order, ``close`` returns manifest rows."""
 
     def __init__(self, folder: str, part: int, date: str, file_bytes: int, level: int):
-        self._folder, self._part, self._date = folder, part, date
+        self._folder, self.part, self._date = folder, part, date
         self._limit, self._level = file_bytes, level
         self._file: NewFile | None = None
         self._records = 0
@@ -71,7 +74,7 @@ class ArchiveWriter:
 
     def _open(self) -> NewFile:
         if self._file is None:
-            name = f"pages-{self._part:07d}-{len(self.files):05d}.warc.gz"
+            name = f"pages-{self.part:07d}-{len(self.files):05d}.warc.gz"
             self._file, self._records = NewFile(self._folder, name), 0
             info = b"software: statflow\r\nformat: WARC File Format 1.1\r\n"
             self._file.write(_member([
@@ -109,7 +112,7 @@ class ArchiveWriter:
     def _roll(self) -> None:
         if self._file is not None:
             self._file.commit()
-            self.files.append((self._file.uri, self._part, len(self.files), self._records,
+            self.files.append((self._file.uri, self.part, len(self.files), self._records,
                                self._file.size))
             self._file = None
 
@@ -149,6 +152,34 @@ def read_records(uri: str, chunk: int = 1 << 20) -> Iterator[tuple[dict[str, str
         yield fields, block
 
 
+def _key() -> Column:
+    """(page_id, sha) as one value that orders null page_ids last."""
+    return F.struct(F.col("page_id").isNull().cast("int").alias("none"),
+                    F.coalesce("page_id", F.lit(0).cast("long")).alias("page_id"),
+                    F.col("sha").alias("sha"))
+
+
+def range_cuts(light: DataFrame, task_bytes: int) -> list[Row]:
+    """The first key of every range but the first: where the running bytes of ``page_id,
+    sha, size`` pass a multiple of ``task_bytes``. A row a range comes to the driver."""
+    keys = light.groupBy("page_id", "sha").agg(F.sum("size").alias("size"))
+    upto = running_total(keys, "size", [F.asc_nulls_last("page_id"), F.asc("sha")], "upto")
+    part = F.floor((F.col("upto") - F.col("size")) / F.lit(task_bytes))
+    cuts = upto.where(part > 0).groupBy(part.alias("part")).agg(F.min(_key()).alias("cut"))
+    return [r["cut"] for r in cuts.orderBy("part").collect()]
+
+
+def range_of(cuts: list[Row]) -> Column:
+    """The number of cuts at or below a row's key, by bisection."""
+    if not cuts:
+        return F.lit(0)
+    keys = F.array(*[F.struct(F.lit(c["none"]).alias("none"), F.lit(c["page_id"]).cast("long").alias("page_id"),
+                              F.lit(c["sha"]).alias("sha")) for c in cuts])
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(cuts).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= len(cuts)) & (F.get(keys, at + step - 1) <= _key()), at + step).otherwise(at))
+
+
 def write_archives(pages: DataFrame, revisit_bytes: int = 0, file_bytes: int = FILE_BYTES,
                    task_bytes: int = TASK_BYTES, date: str = "2020-01-01T00:00:00Z",
                    level: int = 6) -> DataFrame:
@@ -172,20 +203,23 @@ def write_archives(pages: DataFrame, revisit_bytes: int = 0, file_bytes: int = F
         marks.select("page_id", F.lit(None).cast("string").alias("url"),
                      F.lit(None).cast("string").alias("html"), "sha", "first",
                      F.lit(0).alias("kind")))
-    parts = max(1, -(-int(total) // task_bytes))
+    cuts = range_cuts(light, task_bytes) if total > task_bytes else []
     key = [F.asc_nulls_last("page_id"), F.asc("sha")]
-    ordered = both.repartitionByRange(parts, *key).sortWithinPartitions(*key, "kind", "url")
+    ordered = (both.withColumn("part", range_of(cuts)).repartitionById(len(cuts) + 1, "part")
+               .sortWithinPartitions("part", *key, "kind", "url"))
     folder = shared_folder(spark, "warc")
 
     def run(batches):
         import pyarrow as pa
-        from pyspark import TaskContext
-        writer = ArchiveWriter(folder, TaskContext.get().partitionId(), date, file_bytes, level)
+        writer, files = None, []
         at, mark, copy = None, None, 0
         for batch in batches:
-            cols = [batch.column(c) for c in ("page_id", "url", "html", "sha", "first", "kind")]
+            cols = [batch.column(c) for c in ("page_id", "url", "html", "sha", "first", "kind", "part")]
             for i in range(batch.num_rows):
-                page_id, url, text, sha, first_id, kind = (c[i].as_py() for c in cols)
+                page_id, url, text, sha, first_id, kind, part = (c[i].as_py() for c in cols)
+                if writer is None or part != writer.part:
+                    files += writer.close() if writer else []
+                    writer = ArchiveWriter(folder, part, date, file_bytes, level)
                 if (page_id, sha) != at:
                     at, mark, copy = (page_id, sha), None, 0
                 if kind == 0:
@@ -196,7 +230,7 @@ def write_archives(pages: DataFrame, revisit_bytes: int = 0, file_bytes: int = F
                 revisit = mark is not None and (mark[0] != page_id or copy > 0)
                 writer.add(page_id, url, payload, digest, copy, mark if revisit else None)
                 copy += 1
-        files = writer.close()
+        files += writer.close() if writer else []
         if files:
             yield pa.RecordBatch.from_pydict(dict(zip(
                 ("path", "part", "seq", "records", "bytes"), map(list, zip(*files)))))

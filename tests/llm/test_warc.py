@@ -71,6 +71,20 @@ def test_same_pages_same_bytes(spark):
     assert data(pages(spark).repartition(3)) == data(pages(spark).repartition(5, "url"))
 
 
+def test_same_pages_same_bytes_with_several_ranges(spark):
+    rows = [(i if i % 50 else None, f"http://h/{i}", f"page {i * i % 97} " * (1 + i % 40)) for i in range(8000)]
+    rows += [(7, "http://hot", "hot " * 500)] * 30 + [(9000 + i, "http://none", None) for i in range(9)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+
+    def data(df):
+        rows = warc.write_archives(df, file_bytes=20_000, task_bytes=100_000).orderBy("part", "seq").collect()
+        return [(r["part"], r["seq"], r["records"], open_file(r["path"]).read()) for r in rows]
+
+    one = data(df.repartition(3))
+    assert len({r[0] for r in one}) > 10 and sum(r[2] for r in one) == len(rows)
+    assert one == data(df.repartition(7, "url")) == data(df.coalesce(1))
+
+
 def test_empty_table(spark):
     manifest = warc.write_archives(pages(spark).limit(0))
     assert manifest.count() == 0 and warc.read_archives(manifest).count() == 0
