@@ -1,15 +1,16 @@
-"""Operator 8: n-gram Jaccard self-join with a MinHash LSH forest.
+"""Operator 8: n-gram Jaccard self-join by banded MinHash LSH.
 
 Documents are sets of word 5-grams (words: lower-cased A-Z, split at ASCII white
 space; a text of 1 to 4 words is one shorter n-gram). Two different texts are linked
 when the Jaccard similarity of their sets is at least 0.8; equal texts are copies.
 
-Forest: a pool of ``POOL`` min-hashes for each text; each of ``TREES`` prefix tries
-orders its own selection of the pool, and texts that share the first ``depth`` labels
-of a trie meet in one of its nodes. The depth starts at ``MAX_DEPTH`` and is shortened
-until the expected recall at the threshold reaches the target (``depth_for``: the
-selections overlap, so recall is averaged over the number of equal min-hashes). Tries
-are sorted by shuffling on the prefix, and only nodes with two texts or more go on.
+Bands ("tries"): a pool of ``POOL`` min-hashes for each text; each of ``TREES`` bands
+orders its own selection of the pool, and texts that share its first ``depth`` labels
+meet in one node. The depth is fixed by the constants, not by a text or the data: the
+largest up to ``MAX_DEPTH`` whose expected recall at the threshold reaches the target
+(``depth_for``: the selections overlap, so recall is averaged over the number of equal
+min-hashes). Nodes meet by shuffling on a hash of the labels, and only nodes with two
+texts or more go on. Prefixes are not sorted, and none is shortened adaptively.
 
 1. Copies become one node: counts and smallest doc_id by the text's hash.
 2. In each trie node, pairs whose pools agree in 60 % (a pair at 0.8 falls below that
