@@ -146,10 +146,11 @@ _TERMS_SQL = " UNION ALL ".join(f"SELECT '{t}' AS term, true AS holds"
 def car_price_ols_q(spark, sf_dir):
     """J1's 31 coefficients, checked: for each term, the residuals' sum against it is
     a rounding error (below 1e-6 of the sum of absolute products)."""
-    x = flows.car_features(car_records(spark, sf_dir))
+    records = car_records(spark, sf_dir)
+    x = flows.car_features(records)
+    beta_of = {r["term"]: r["beta"] for r in flows.car_price_ols(records).collect()}
     names = ["const", *flows.CAR_REGRESSORS]
-    betas = A.gram(x, flows.CAR_REGRESSORS, "price")
-    beta = flows.M.solve_gram(betas.collect(), names)
+    beta = [beta_of[c] for c in names]
     fitted = sum((F.col(c) * F.lit(float(b)) for c, b in zip(names[1:], beta[1:])), F.lit(float(beta[0])))
     with_r = x.withColumn("__r", F.col("price") - fitted).withColumn("const", F.lit(1.0))
     sums = with_r.agg(*[F.struct(
@@ -160,3 +161,30 @@ def car_price_ols_q(spark, sf_dir):
         F.struct(F.lit(n).alias("term"),
                  (F.col(f"t{k}.off") <= 1e-6 * F.col(f"t{k}.size")).alias("holds"))
         for k, n in enumerate(names)])))
+
+
+def _betas_sql() -> str:
+    """The normal equations solved by Gauss-Jordan elimination, a step a CTE."""
+    terms = ["1.0", *flows.CAR_REGRESSORS, "price"]
+    p = len(terms) - 1
+    sums = ", ".join(f"sum({terms[i]} * {terms[j]}) AS g_{min(i, j)}_{max(i, j)}"
+                     for i in range(p + 1) for j in range(i, p + 1))
+    cells = " UNION ALL ".join(f"SELECT {i} AS i, {j} AS j, g_{min(i, j)}_{max(i, j)} AS v FROM g"
+                               for i in range(p) for j in range(p + 1))
+    steps = "".join(f""",
+m{k + 1} AS MATERIALIZED (SELECT a.i, a.j, CASE WHEN a.i = {k} THEN a.v / d.v ELSE a.v - c.v * r.v / d.v END AS v
+  FROM m{k} a JOIN m{k} r ON r.i = {k} AND r.j = a.j JOIN m{k} c ON c.j = {k} AND c.i = a.i
+  JOIN m{k} d ON d.i = {k} AND d.j = {k})""" for k in range(p))
+    names = " ".join(f"WHEN {k} THEN '{t}'" for k, t in enumerate(["const", *flows.CAR_REGRESSORS]))
+    return f"""WITH {_features_sql()}, g AS MATERIALIZED (SELECT {sums} FROM x),
+m0 AS MATERIALIZED ({cells}){steps}
+SELECT CASE i {names} END AS term, printf('%.4e', v) AS beta FROM m{p} WHERE j = {p}"""
+
+
+@query("car_price_betas", _betas_sql())
+def car_price_betas_q(spark, sf_dir):
+    """J1's 31 coefficients, to five digits. SQL and Spark agree where the regressors are
+    of full rank (sf0.01); with sf0.001's few suppliers they are not, and the solver's
+    least-squares fallback and elimination choose different solutions."""
+    betas = flows.car_price_ols(car_records(spark, sf_dir))
+    return betas.select("term", F.format_string("%.4e", F.col("beta")).alias("beta"))

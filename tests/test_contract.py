@@ -38,3 +38,10 @@ def test_oracle_sf0001(spark, name):
     con = duck(SF)
     ok, msg, _ = compare(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name])
     assert ok, msg
+
+
+def test_car_betas_at_full_rank(spark):
+    df = entry.queries()["car_price_betas"](spark, "/root/testdata/sf0.01")
+    assert df.columns == ["term", "beta"]
+    ok, msg, n = compare(df, duck("/root/testdata/sf0.01"), entry.oracle_sql()["car_price_betas"])
+    assert ok and n == 31, msg
