@@ -84,6 +84,45 @@ def read_records_q(spark, sf_dir):
     return sources.read_records(spark, path, ["id", "label", "segment"])
 
 
+def _notes(spark, sf_dir) -> str:
+    """Documents as quoted records: every text whole, with its newlines, commas and quotes;
+    every seventh record has a field too many, and every ninth one too few."""
+    d = read_table(spark, sf_dir, "documents")
+
+    def quoted(c):
+        return F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c), F.lit("")), F.lit('"'), F.lit('""')),
+                        F.lit('"'))
+
+    key = F.col("doc_id").cast("string")
+    line = (F.when(F.col("doc_id") % 7 == 0, F.concat_ws(",", key, quoted("text"), quoted("lang"), F.lit("x")))
+            .when(F.col("doc_id") % 9 == 0, F.concat_ws(",", key, quoted("text")))
+            .otherwise(F.concat_ws(",", key, quoted("text"), quoted("lang"))))
+    return _text(spark, d.select(line), "notes")
+
+
+_NOTES_SQL = """
+SELECT CAST(doc_id AS VARCHAR) AS id, nullif(text, '') AS text, nullif(lang, '') AS lang
+FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 9 <> 0
+"""
+
+
+@query("read_records_multiline", _NOTES_SQL)
+def read_records_multiline_q(spark, sf_dir):
+    """Fields with newlines, commas and doubled quotes, from files that several tasks read."""
+    return sources.read_records(spark, _notes(spark, sf_dir), ["id", "text", "lang"])
+
+
+@query("read_records_narrow", """
+SELECT nullif(lang, '') AS lang, count(*) AS records, count(DISTINCT doc_id) AS ids
+FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 9 <> 0 GROUP BY 1
+""")
+def read_records_narrow_q(spark, sf_dir):
+    """S4 + R5: two of the three fields and a count; the field count still decides."""
+    df = sources.read_records(spark, _notes(spark, sf_dir), ["id", "text", "lang"])
+    return df.groupBy("lang").agg(F.count(F.lit(1)).alias("records"),
+                                  F.countDistinct("id").alias("ids"))
+
+
 @query("split_fields", """
 SELECT event_type, user_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_id END AS event_id,
        CAST(NULL AS VARCHAR) AS missing

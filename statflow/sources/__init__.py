@@ -11,8 +11,7 @@ from pyspark.sql import types as T
 
 from statflow.functions.scalars import _literal_regex
 from statflow.session import table_path
-
-BAD_RECORD = "_bad"
+from statflow.sources.records import read_records  # noqa: F401
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,31 +44,6 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_records(spark: SparkSession, path: str, names: Sequence[str],
-                 header: bool = False, multiline: bool = False) -> DataFrame:
-    """S4 + R5: quoted CSV (embedded commas, quotes and newlines) with ``len(names)``
-    fields; records with any other field count are dropped.
-
-    All columns are read as text; typing is the caller's job (``try_cast``).
-    Files are split by block and no line is taken for a header, so every record of
-    every file is read (a header line is a record whose numbers do not cast). Quoted
-    newlines need ``multiline=True``; Spark then parses each file in one task, so
-    such inputs should be many files.
-    """
-    fields = [T.StructField(n, T.StringType(), True) for n in names]
-    fields.append(T.StructField(BAD_RECORD, T.StringType(), True))
-    df = (spark.read
-          .options(header=str(header).lower(), multiLine=str(multiline).lower(), escape='"',
-                   mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_RECORD)
-          .schema(T.StructType(fields))
-          .csv(path))
-    # Spark rejects scans of raw CSV that need only the corrupt-record column
-    # (a bare count() after this filter would). The always-true length test
-    # keeps one data column required without caching the file.
-    keep_col = F.length(F.coalesce(F.col(names[0]), F.lit(""))) >= 0
-    return df.where(F.col(BAD_RECORD).isNull() & keep_col).drop(BAD_RECORD)
-
-
 def split_fields(df: DataFrame, names: Sequence[str], sep: str = ",", col: str = "value",
                  types: Mapping[str, str] | None = None, keep: bool = False) -> DataFrame:
     """Split an unquoted delimited line into named columns.

@@ -27,7 +27,8 @@ FAST = ["key_count", "key_mean", "record_profile", "project_positions", "filter_
         "assemble", "gram", "ols_simple", "ols_multi", "ngrams", "tf_idf", "lookup", "keyed_job",
         "flight_delay_features", "ols_nulls", "vocabulary", "lookup_arrays", "split",
         "keyed_job_reducer", "car_features", "car_gram", "car_price_ols", "read_csv",
-        "read_paragraphs", "read_lines", "read_records", "split_fields", "write_tsv",
+        "read_paragraphs", "read_lines", "read_records", "read_records_multiline",
+        "read_records_narrow", "split_fields", "write_tsv",
         "text_job_count", "text_job_mean", "text_job_profile", "text_job_cluster",
         "logistic_checked", "logistic_calibrated", "flight_delay_model_checked",
         "doc_topics_checked", "topic_model_checked", "lda_topics_checked"]
