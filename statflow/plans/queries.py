@@ -771,3 +771,71 @@ def keyed_job_reducer_q(spark, sf_dir):
     schema = "l_suppkey long, n_lines long, most double"
     return keyed_job(li, "l_suppkey", mapper, schema, reducer=reducer, reduce_schema=schema,
                      n_out=10)
+
+
+@query("keyed_job_first_last", """
+SELECT user_id, arg_min(value, (ts, event_id)) AS first_value,
+       arg_max(value, (ts, event_id)) AS last_value, count(*) AS n,
+       CAST(coalesce(sum(CAST(value > before AS INTEGER)), 0) AS BIGINT) AS rises
+FROM (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events)
+GROUP BY user_id
+""")
+def keyed_job_first_last_q(spark, sf_dir):
+    """U1 with a sorted reducer, one object a key: first and last value in time, rises."""
+    import pandas as pd
+
+    from statflow.operators.jobs import each_key, keyed_job
+
+    class FirstLast:
+        def __init__(self, key):
+            self.user, self.first, self.last, self.n, self.rises = key[0], None, None, 0, 0
+
+        def add(self, rows):
+            v = rows["value"].to_numpy()
+            if self.n == 0:
+                self.first = v[0]
+            else:
+                self.rises += int(v[0] > self.last)
+            self.rises += int((v[1:] > v[:-1]).sum())
+            self.last, self.n = v[-1], self.n + len(v)
+
+        def finish(self):
+            return pd.DataFrame({"user_id": [self.user], "first_value": [self.first],
+                                 "last_value": [self.last], "n": [self.n], "rises": [self.rises]})
+
+    ev = _t(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
+    return keyed_job(ev, "user_id", stream=each_key(FirstLast, ["user_id"]), order=["ts", "event_id"],
+                     reduce_schema="user_id long, first_value double, last_value double, n long, rises long",
+                     n_out=10)
+
+
+@query("keyed_job_differences", """
+SELECT event_type, user_id, event_id,
+       value - lag(value) OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id) AS step
+FROM events
+""")
+def keyed_job_differences_q(spark, sf_dir):
+    """U1 with a sorted reducer of whole batches: running differences along (type, user),
+    dealt by type and user, the last value carried over batch edges."""
+    from statflow.operators.jobs import keyed_job
+
+    class Steps:
+        last = None
+
+        def batch(self, rows, starts):
+            before = rows["value"].shift(1).to_numpy().copy()
+            if self.last is not None:
+                before[0] = self.last
+            before[starts] = float("nan")
+            self.last = rows["value"].iloc[-1]
+            out = rows[["event_type", "user_id", "event_id"]].copy()
+            step = (rows["value"].to_numpy() - before).astype(object)
+            step[starts] = None
+            return out.assign(step=step)
+
+        def end(self):
+            return None
+
+    ev = _t(spark, sf_dir, "events").select("event_type", "user_id", "ts", "event_id", "value")
+    return keyed_job(ev, ["event_type", "user_id"], stream=Steps, order=["ts", "event_id"],
+                     reduce_schema="event_type string, user_id long, event_id long, step double")

@@ -26,7 +26,7 @@ FAST = ["key_count", "key_mean", "record_profile", "project_positions", "filter_
         "frequent_levels_inclusive", "level_report", "fold_levels_prefix", "string_index",
         "assemble", "gram", "ols_simple", "ols_multi", "ngrams", "tf_idf", "lookup", "keyed_job",
         "flight_delay_features", "ols_nulls", "vocabulary", "lookup_arrays", "split",
-        "keyed_job_reducer", "car_features", "car_gram", "car_price_ols", "read_csv",
+        "keyed_job_reducer", "keyed_job_first_last", "keyed_job_differences", "car_features", "car_gram", "car_price_ols", "read_csv",
         "read_paragraphs", "read_lines", "read_records", "read_records_multiline",
         "read_records_narrow", "split_fields", "write_tsv",
         "text_job_count", "text_job_mean", "text_job_profile", "text_job_cluster",

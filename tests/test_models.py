@@ -54,6 +54,82 @@ def test_keyed_job_reducer_matches_aggs(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+@pytest.fixture
+def small_batches(spark):
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    yield
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_combiner_over_many_batches(spark, small_batches):
+    """Keys run over batch edges; a null key is a key; two key columns."""
+    rows = [(None if i % 7 == 0 else f"k{i % 3}", i % 2, i) for i in range(100)]
+    df = spark.createDataFrame(rows, "a string, b int, v long").repartition(3)
+
+    def reducer(pdf):
+        return pdf.groupby(["a", "b"], as_index=False, dropna=False).agg({"v": "sum"})
+
+    got = keyed_job(df, ["a", "b"], reducer=reducer, reduce_schema="a string, b int, v long", n_out=4)
+    assert got.rdd.getNumPartitions() == 4
+    want = df.groupBy("a", "b").agg(F.sum("v").alias("v"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+class _Trace:
+    """Not associative: the values in order, and where each call began."""
+
+    def __init__(self, key):
+        self.key, self.seen, self.calls = key, [], 0
+
+    def add(self, rows):
+        self.calls += 1
+        self.seen += rows["v"].tolist()
+
+    def finish(self):
+        import pandas as pd
+        return pd.DataFrame({"k": [self.key[0]], "calls": [self.calls],
+                             "trace": [",".join(map(str, self.seen))]})
+
+
+def test_sorted_reducer_sees_rows_in_order(spark, small_batches):
+    from statflow.operators.jobs import each_key
+    rows = [("hot", i) for i in range(40)] + [("a", 5), ("a", 1), (None, 2), (None, 1), ("b", 3)]
+    df = spark.createDataFrame(rows, "k string, v long").repartition(4)
+    got = {r.k: r for r in keyed_job(df, "k", stream=each_key(_Trace, ["k"]), order=[F.desc("v")],
+                                     reduce_schema="k string, calls long, trace string").collect()}
+    assert {k: r.trace for k, r in got.items()} == {
+        "hot": ",".join(map(str, range(39, -1, -1))), "a": "5,1", None: "2,1", "b": "3"}
+    assert got["hot"].calls >= 13  # the group came in batches
+
+
+def test_sorted_reducer_partition_fields(spark):
+    """Keys with one first column share a task: state may run over key edges."""
+    class Rank:
+        last, n = object(), 0
+
+        def batch(self, rows, starts):
+            out = []
+            for k in rows["a"]:
+                self.n = self.n + 1 if k == self.last else 1
+                self.last = k
+                out.append(self.n)
+            return rows.assign(rank=out)
+
+        def end(self):
+            return None
+
+    df = spark.createDataFrame([(i % 4, i) for i in range(80)], "a long, b long")
+    got = keyed_job(df, ["a", "b"], stream=Rank, partition_by="a", reduce_schema="a long, b long, rank long")
+    assert all(r["rank"] == r.b // 4 + 1 for r in got.collect())
+    empty = keyed_job(df.where("a < 0"), "a", stream=Rank, reduce_schema="a long, b long, rank long")
+    assert empty.count() == 0
+    with pytest.raises(ValueError):
+        keyed_job(df, ["a", "b"], stream=Rank, partition_by="b", reduce_schema="a long")
+    with pytest.raises(ValueError):
+        keyed_job(df, "a", stream=Rank, aggs=[F.count("*")], reduce_schema="a long")
+
+
 def test_cluster_by_sorts_across_partitions(spark):
     df = spark.createDataFrame([("b", 1), ("a", 2), ("b", 0), ("a", 1)] * 10, "k string, v int")
     out = cluster_by(df, "k", n=3)
