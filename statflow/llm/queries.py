@@ -82,3 +82,9 @@ def op6_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_block_max_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     from statflow.llm.bm25 import search_self
     return search_self(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from statflow.llm.licenses import licence_digest
+    return licence_digest(table(spark, sf_dir, "documents"))
