@@ -88,3 +88,9 @@ def op2_block_max_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from statflow.llm.licenses import licence_digest
     return licence_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from statflow.llm.merkle import manifest_digest
+    return manifest_digest(table(spark, sf_dir, "documents"))
