@@ -12,7 +12,7 @@ retried; ``DEFAULT_CONF`` lets Spark remove the files once nothing refers to the
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from statflow.session import ensure_checkpoint_dir
 
 _PID = "__sf_pid"
+_VAL = "__sf_val"
 _LOCAL = "__sf_local"
 _OFF = "__sf_off"
 _TOT = "__sf_tot"
@@ -30,10 +31,10 @@ def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def running_total(df: DataFrame, value: str | Column, order: Sequence[str | Column],
-                  out: str, partition_by: Sequence[str] = (),
-                  num_partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = running sum of ``value`` (ROWS UNBOUNDED PRECEDING .. CURRENT ROW).
+def running_totals(df: DataFrame, values: Mapping[str, str | Column], order: Sequence[str | Column],
+                   partition_by: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+    """Add a running sum (ROWS UNBOUNDED PRECEDING .. CURRENT ROW) for each entry of
+    ``values`` (new column -> what is summed).
 
     ``order`` must be a total order within each ``partition_by`` group (add a
     tie-break column), otherwise the result is not deterministic - the same
@@ -43,26 +44,27 @@ def running_total(df: DataFrame, value: str | Column, order: Sequence[str | Colu
     ensure_checkpoint_dir(spark)
     order_cols = _as_cols(order)
     part_cols = [F.col(c) for c in partition_by]
-    val = F.col(value) if isinstance(value, str) else value
+    outs, vals = list(values), _as_cols(list(values.values()))
+    n = range(len(outs))
 
     # Read twice: the range bounds come from a sample, then the rows are dealt out.
-    staged = df.withColumn("__sf_val", val).persist(StorageLevel.MEMORY_AND_DISK)
+    staged = df.withColumns({f"{_VAL}{k}": vals[k] for k in n}).persist(StorageLevel.MEMORY_AND_DISK)
     args = ([num_partitions] if num_partitions else []) + part_cols + order_cols
     ranged = staged.repartitionByRange(*args).withColumn(_PID, F.spark_partition_id())
     w_local = (Window.partitionBy(F.col(_PID), *part_cols).orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.withColumn(_LOCAL, F.sum("__sf_val").over(w_local))
+    local = ranged.withColumns({f"{_LOCAL}{k}": F.sum(f"{_VAL}{k}").over(w_local) for k in n})
     # Pin partition ids: the range bounds come from a sample, so a recomputed
     # lineage could place rows differently between the two uses below.
     local = local.checkpoint(eager=True)
     staged.unpersist(blocking=False)
 
     # One row per (partition, group): bounded by partitions x groups.
-    totals = local.groupBy(_PID, *partition_by).agg(F.sum("__sf_val").alias(_TOT))
+    totals = local.groupBy(_PID, *partition_by).agg(*[F.sum(f"{_VAL}{k}").alias(f"{_TOT}{k}") for k in n])
     w_off = (Window.partitionBy(*part_cols).orderBy(_PID)
              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(_PID, *partition_by,
-                            F.coalesce(F.sum(_TOT).over(w_off), F.lit(0)).alias(_OFF))
+    offsets = totals.select(_PID, *partition_by, *[
+        F.coalesce(F.sum(f"{_TOT}{k}").over(w_off), F.lit(0)).alias(f"{_OFF}{k}") for k in n])
     # Null group values are groups too: the join must match them.
     names = {c: f"__sf_g{i}" for i, c in enumerate([_PID, *partition_by])}
     offsets = offsets.withColumnsRenamed(names)
@@ -71,8 +73,16 @@ def running_total(df: DataFrame, value: str | Column, order: Sequence[str | Colu
         same = same & (local[c] == offsets[g] if c == _PID else
                        local[c].eqNullSafe(offsets[g]))
     joined = local.join(offsets if partition_by else F.broadcast(offsets), same)
-    return joined.withColumn(out, F.col(_LOCAL) + F.col(_OFF)).drop(
-        _PID, _LOCAL, _OFF, "__sf_val", *names.values())
+    spare = [f"{x}{k}" for x in (_LOCAL, _OFF, _VAL) for k in n]
+    return joined.withColumns({out: F.col(f"{_LOCAL}{k}") + F.col(f"{_OFF}{k}") for k, out in enumerate(outs)}
+                              ).drop(_PID, *spare, *names.values())
+
+
+def running_total(df: DataFrame, value: str | Column, order: Sequence[str | Column],
+                  out: str, partition_by: Sequence[str] = (),
+                  num_partitions: int | None = None) -> DataFrame:
+    """``running_totals`` of one value."""
+    return running_totals(df, {out: value}, order, partition_by, num_partitions)
 
 
 def global_rank(df: DataFrame, order: Sequence[str | Column], out: str,

@@ -136,3 +136,16 @@ def test_frequent_levels_is_one_rule_for_every_share(spark, p):
     got = {r.level: r.cum for r in frequent_levels(df, "c", p=p, cum_p=0.9).collect()}
     want = {"a": 50, "b": 80, "c": 90}
     assert got == {k: v for k, v in want.items() if counts[k] / 100 > p}
+
+
+def test_running_totals_of_several_values(spark):
+    from statflow.operators.ordering import running_totals
+    df = spark.createDataFrame([(None if i % 5 == 0 else i % 3, i) for i in range(60)], "g int, v long").repartition(4)
+    out = running_totals(df, {"a": "v", "b": F.lit(1).cast("long")}, ["v"], ["g"], num_partitions=5)
+    assert out.columns == ["g", "v", "a", "b"]
+    for g in (None, 0, 1, 2):
+        rows = sorted((r.v, r.a, r.b) for r in out.collect() if r.g == g)
+        total = 0
+        for k, (v, a, b) in enumerate(rows):
+            total += v
+            assert (a, b) == (total, k + 1)
