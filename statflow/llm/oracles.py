@@ -230,7 +230,42 @@ SELECT doc_id, leaf, subroot, root, proof_sha256, f{levels + tops} AS folded_roo
 FROM ({query}), (SELECT h AS root FROM b{tops})"""
 
 
+# ---- operator 12
+
+TRIE = f"""
+WITH {_CRC_TABLE},
+t AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS dig
+      FROM conversations WHERE conv_id IS NOT NULL),
+i AS (SELECT c, dig, octet_length(encode(text)) AS bytes,
+             row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, dig) - 1 AS i FROM t),
+h AS (SELECT c, c - c % 5 AS b, xor(4294967295, list_reduce([4294967295::BIGINT] || bytes,
+               lambda a, x: xor(a >> 8, t[CAST(xor(a, x) & 255 AS INTEGER) + 1]))) % 9 AS h
+      FROM (SELECT DISTINCT c, list_transform(range(0, length(CAST(c AS VARCHAR))),
+              lambda k: CAST(ascii(substr(CAST(c AS VARCHAR), CAST(k AS INTEGER) + 1, 1)) AS BIGINT)) AS bytes
+            FROM i), crc),
+r AS (SELECT h.c, 0 AS part, i.i, i.dig, i.bytes FROM h JOIN i ON i.c = h.b AND i.i < h.h
+      UNION ALL SELECT h.c, 1, i.i, i.dig, i.bytes FROM h JOIN i ON i.c = h.c AND i.i >= h.h),
+q AS MATERIALIZED (SELECT c, string_agg(dig, '' ORDER BY part, i) AS q, count(*) AS len FROM r GROUP BY c
+                   UNION ALL SELECT c, '', 0 FROM h WHERE c NOT IN (SELECT c FROM r)),
+p AS (SELECT c, unnest(range(0, len + 1)) AS d, q, len FROM q),
+w AS (SELECT dig, any_value(bytes) AS bytes FROM i GROUP BY dig),
+n AS MATERIALIZED (
+  SELECT substr(q, 1, 32 * d) AS key, d, min(c) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (d = len), '')) AS ends_sha256
+  FROM p GROUP BY 1, 2),
+o AS MATERIALIZED (SELECT n.*, coalesce((n_convs - 1) * bytes, 0) AS own,
+                          (SELECT count(*) FROM n k WHERE k.d = n.d + 1 AND starts_with(k.key, n.key)) AS n_children
+                   FROM n LEFT JOIN w ON w.dig = right(n.key, 32)),
+s AS (SELECT a.key, CAST(sum(b.own) AS BIGINT) AS saved, count(*) FILTER (b.n_children = 0) AS n_leaves
+      FROM o a JOIN o b ON b.d >= a.d AND starts_with(b.key, a.key) GROUP BY a.key)
+SELECT o.conv_id, CAST(o.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, o.n_convs, o.n_children,
+       s.n_leaves, s.saved AS saved_tokens, o.ends_sha256
+FROM o JOIN s USING (key) LEFT JOIN o u ON o.d > 0 AND u.key = left(o.key, length(o.key) - 32)"""
+
+
 def oracles() -> dict[str, str]:
     return {"op1_hash_tree_shards": shards_sql(), "op2_block_max_bm25": BM25,
             "op4_warc_archives": ARCHIVES, "op6_temperature_mix": MIX,
-            "op8_lsh_forest_join": JACCARD, "op11_merkle_manifest": merkle_sql()}
+            "op8_lsh_forest_join": JACCARD, "op11_merkle_manifest": merkle_sql(),
+            "op12_prefix_trie": TRIE}

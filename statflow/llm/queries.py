@@ -94,3 +94,9 @@ def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from statflow.llm.merkle import manifest_digest
     return manifest_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from statflow.llm.prefix_trie import conversation_trie
+    return conversation_trie(table(spark, sf_dir, "conversations"))
