@@ -1,16 +1,17 @@
 """Models (A10, M8-M16): least squares from one aggregate pass, logistic
 regression, term statistics, Word2Vec and LDA topics.
 
-Vocabularies stay tables: term vectors are built by joining term counts with
-the ranked vocabulary. What reaches the driver is a fitted model: the p x p
-cross-product matrix, coefficients, LDA's k x V topic matrix (online LDA keeps it
-on the driver: 8 * k bytes a term) and Word2Vec's vectors (Spark trains them on the
-driver's copy: 8 * size bytes a term; raise ``min_count`` for large corpora).
+Vocabularies stay tables: a document's terms are built by joining term counts with
+the ranked vocabulary. Topic models of term counts are tables too (``lda``). What
+reaches the driver is a fitted model: the p x p cross-product matrix, coefficients, the
+topics of word vectors, and Word2Vec's vectors (Spark trains them on the driver's
+copy: 8 * size bytes a term; raise ``min_count`` for large corpora).
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -19,13 +20,16 @@ from pyspark.ml.classification import LogisticRegression, LogisticRegressionMode
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statflow.functions.arrays import explode_values
+from statflow.operators import lda as tables
 from statflow.operators.aggregates import gram
 from statflow.operators.ordering import global_rank
+from statflow.session import ensure_checkpoint_dir
 
 # ---------------------------------------------------------------- least squares
 
@@ -164,39 +168,54 @@ def lookup(df: DataFrame, idx: str, vocab: DataFrame, out: str,
 
 @dataclass
 class TopicModel:
-    """``vocab``: table ``term_index, term, ttf, df``; None for word-vector models."""
+    """``vocab``: table ``term_index, term, ttf, df``; None for word-vector models. ``lda``: a
+    table of topics, or Spark's model of topics over word vectors."""
 
     vocab: DataFrame | None
     embedder: Word2VecModel | None
-    lda: LDAModel
+    lda: tables.TopicTable | LDAModel
     features: str
 
 
-def term_vectors(df: DataFrame, key: str, terms: str, vocab_size: int | None = None,
-                 min_df: float = 1.0, out: str = "tfidf_vec") -> tuple[DataFrame, DataFrame]:
-    """M10/M11 as vectors: ``(vocabulary table, rows (key, tfidf_vec))``.
+def weighted_terms(df: DataFrame, key: str, terms: str, vocab_size: int | None = None,
+                   min_df: float = 1.0, out: str = "terms") -> tuple[DataFrame, DataFrame]:
+    """``(vocabulary table, rows (key, terms))``, where ``terms`` holds a document's
+    ``(term_index, weight)`` by index, weighted by tf-idf.
 
     The vocabulary is every term (``vocab_size`` keeps the most frequent ones;
     ``min_df`` below 1 is a fraction of the documents), ranked on the executors and
-    joined to the term counts; a document without terms has an empty vector. ``key``
+    joined to the term counts; a document without terms has an empty array. ``key``
     identifies the rows of ``df``.
     """
     m = df.count()
     vocab = vocabulary(df, key, terms, vocab_size, min_df if min_df >= 1.0 else min_df * m)
-    size = vocab.count()
     weight = F.col("tf") * F.log(F.lit(m + 1.0) / (F.col("df") + F.lit(1)))
     packed = (term_counts(df, key, terms).withColumn("__h", F.hash("term"))
               .join(vocab.withColumn("__h", F.hash("term")), ["term", "__h"])
               .groupBy(key).agg(F.array_sort(F.collect_list(
-                  F.struct("term_index", weight.alias("w")))).alias("e")))
+                  F.struct("term_index", weight.alias("weight")))).alias(out)))
+    kind = packed.schema[out].dataType
+    rows = df.select(key).join(packed, key, "left").select(
+        key, F.coalesce(out, F.array().cast(kind)).alias(out))
+    return vocab, rows
 
-    @F.udf(VectorUDT())
-    def sparse(entries):
-        entries = entries or []
-        return Vectors.sparse(size, [e[0] for e in entries], [e[1] for e in entries])
 
-    rows = df.select(key).join(packed, key, "left").select(key, sparse("e").alias(out))
-    return vocab, rows
+def term_vectors(df: DataFrame, key: str, terms: str, vocab_size: int | None = None,
+                 min_df: float = 1.0, out: str = "tfidf_vec") -> tuple[DataFrame, DataFrame]:
+    """``weighted_terms`` as sparse ML vectors: ``(vocabulary table, rows (key, tfidf_vec))``.
+
+    The vectors' parts (size, indices, values) are written to the checkpoint folder and
+    read back as the vectors they are: no Python function builds them.
+    """
+    vocab, rows = weighted_terms(df, key, terms, vocab_size, min_df)
+    parts = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(vocab.count()).alias("size"),
+                     F.transform("terms", lambda e: e["term_index"]).alias("indices"),
+                     F.transform("terms", lambda e: e["weight"]).alias("values"))
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/term-vectors-{uuid.uuid4().hex}"
+    rows.select(key, parts.alias(out)).write.parquet(path)
+    schema = T.StructType([df.schema[key], T.StructField(out, VectorUDT())])
+    return vocab, spark.read.schema(schema).parquet(path)
 
 
 def fit_persisted(df: DataFrame, fit):
@@ -235,14 +254,16 @@ def embed(df: DataFrame, terms: str, out: str = "word_vec", vector_size: int | s
 
 def fit_lda(df: DataFrame, features: str, k: int = 5, max_iter: int = 10, seed: int = 42,
             optimizer: str = "online") -> LDAModel:
-    """LDA with the defaults of the topic workloads (k=5, 10 iterations,
-    online optimiser), seeded."""
+    """Spark's LDA on vectors (the topic matrix is on the driver), with the defaults of
+    the topic workloads (k=5, 10 iterations, online optimiser), seeded."""
     lda = LDA(featuresCol=features, k=k, maxIter=max_iter, seed=seed, optimizer=optimizer)
     return fit_persisted(df.select(features), lda.fit)
 
 
-def topics(model: LDAModel, m: int = 10) -> DataFrame:
+def topics(model: tables.TopicTable | LDAModel, m: int = 10) -> DataFrame:
     """Top ``m`` terms per topic as long rows ``(topic, rank, term_index, weight)``."""
+    if isinstance(model, tables.TopicTable):
+        return tables.top_terms(model, m)
     desc = model.describeTopics(m)
     return desc.select(
         "topic",
@@ -260,8 +281,12 @@ def topic_words(tm: TopicModel, m: int = 10) -> DataFrame:
         "topic", "rank", "term_index", "term", "weight")
 
 
-def doc_topics(model: LDAModel, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def doc_topics(model: tables.TopicTable | LDAModel, df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per-document topic mixture as long rows ``(keys..., topic, weight)``."""
+    if isinstance(model, tables.TopicTable):
+        if len(keys) != 1:
+            raise ValueError("a topic table takes documents with one key column")
+        return explode_values(tables.mixtures(model, df, keys[0]), keys, "weights", "weight", pos="topic")
     mixed = model.transform(df)
     return explode_values(mixed, keys, vector_to_array("topicDistribution"), "weight",
                           pos="topic")

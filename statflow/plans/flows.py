@@ -18,6 +18,7 @@ from statflow.functions import arrays as Y
 from statflow.functions import scalars as S
 from statflow.functions.constants import OTHER_LEVEL, OTHERS_LABEL
 from statflow.operators import aggregates as A
+from statflow.operators import lda as tables
 from statflow.operators import levels as L
 from statflow.operators import models as M
 from statflow.operators import rows as R
@@ -270,18 +271,19 @@ def topic_model(df: DataFrame, text: str, key: str, k: int = 5, max_iter: int =
                 partitions: int | None = None):
     """N-grams -> term counts over the whole vocabulary -> IDF -> LDA.
 
-    ``key`` identifies the rows. Returns (TopicModel, rows ``key, tfidf_vec``); the
-    rows stay persisted for further use (``unpersist`` them when done).
+    ``key`` identifies the rows. Returns (TopicModel, rows ``key, terms``); the topics are a
+    table (see ``operators.lda``), and the rows stay persisted for further use
+    (``unpersist`` them when done).
     """
     terms = (text_terms(spread(df, partitions), text).select(key, "ngrams")
              .persist(StorageLevel.MEMORY_AND_DISK))
-    vocab, rows = M.term_vectors(terms, key, "ngrams", vocab_size, min_df)
+    vocab, rows = M.weighted_terms(terms, key, "ngrams", vocab_size, min_df)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        lda = M.fit_lda(rows, "tfidf_vec", k, max_iter, seed)
+        lda = tables.fit_topics(tables.entries(rows, key), vocab, k, max_iter, seed)
     finally:
         terms.unpersist(blocking=False)
-    return M.TopicModel(vocab, None, lda, "tfidf_vec"), rows
+    return M.TopicModel(vocab, None, lda, "terms"), rows
 
 
 def topic_model_embedded(df: DataFrame, text: str, k: int = 5, max_iter: int = 10,

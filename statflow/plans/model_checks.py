@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from statflow.operators import lda as tables
 from statflow.operators import models as M
 from statflow.plans import flows
 from statflow.plans.queries import DOC_TERMS_SQL
@@ -85,3 +86,65 @@ FROM {_RANKS.format(n=5)}
 def lda_topics_checked(spark, sf_dir):
     return flows.lda_topics_q(spark, sf_dir).select(
         "topic", "rank", (F.col("weight") > 0).alias("positive"))
+
+
+_K, _SMOOTH = 5, 0.2
+
+
+def _step_sql(select: str) -> str:
+    """One update of the topic table from its fixed start, term weights by tf-idf."""
+    k = range(_K)
+    start = ", ".join(f"(CAST('0x' || substr(md5('42:{j}:' || term), 1, 12) AS BIGINT) + 0.5::DOUBLE)"
+                      f" / 281474976710656.0::DOUBLE AS c{j}" for j in k)
+    total = ", ".join(f"sum(c{j}) AS t{j}" for j in k)
+    p = ", ".join(f"(c{j} + {_SMOOTH}::DOUBLE) / (t{j} + v * {_SMOOTH}::DOUBLE) AS p{j}" for j in k)
+    share = ", ".join(f"w * p{j} / ({' + '.join(f'p{i}' for i in k)}) AS g{j}" for j in k)
+    sums = ", ".join(f"sum(g{j}) AS n{j}" for j in k)
+    return f"""WITH {DOC_TERMS_SQL},
+tc AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(bigrams) AS term FROM d) GROUP BY ALL),
+vocab AS (SELECT term, count(*) AS df, row_number() OVER (ORDER BY sum(tf) DESC, term) - 1 AS term_index
+          FROM tc GROUP BY term),
+s AS (SELECT term, term_index, df, {start} FROM vocab),
+t AS (SELECT {total}, count(*) AS v FROM s),
+e AS (SELECT doc_id, term, term_index, tf * ln(((SELECT count(*) FROM documents) + 1.0::DOUBLE) / (df + 1)) AS w, {p}
+      FROM tc JOIN s USING (term), t),
+g AS MATERIALIZED (SELECT doc_id, term, term_index, {share} FROM e WHERE w > 0),
+n AS (SELECT term, term_index, {sums} FROM g GROUP BY ALL),
+a AS (SELECT {", ".join(f"sum(n{j}) AS a{j}" for j in k)} FROM n),
+m AS (SELECT doc_id, {sums}, sum({' + '.join(f'g{j}' for j in k)}) AS total FROM g GROUP BY doc_id)
+{select}"""
+
+
+_STEP_TERMS = " UNION ALL ".join(
+    f"SELECT {j} AS topic, term, term_index, (n{j} + {_SMOOTH}::DOUBLE) / (a{j} + v * {_SMOOTH}::DOUBLE) AS weight FROM n, a, t"
+    for j in range(_K))
+_STEP_DOCS = " UNION ALL ".join(
+    f"SELECT doc_id, {j} AS topic, round((n{j} + {_SMOOTH}::DOUBLE) / (total + {_K} * {_SMOOTH}::DOUBLE), 8) AS weight FROM m"
+    for j in range(_K))
+
+
+def _one_step(spark, sf_dir):
+    terms = flows.text_terms(flows.spread(flows._documents(spark, sf_dir), flows.TEXT_TASKS), "text")
+    vocab, rows = M.weighted_terms(terms.select("doc_id", "ngrams"), "doc_id", "ngrams")
+    return vocab, tables.fit_topics(tables.entries(rows, "doc_id"), vocab, _K, 1)
+
+
+@query("lda_step_topics", _step_sql(f"""
+SELECT topic, CAST(rank AS INTEGER) AS rank, term, round(weight * 1000000, 5) AS per_million
+FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY weight DESC, term_index) - 1 AS rank
+      FROM ({_STEP_TERMS})) WHERE rank < 20"""))
+def lda_step_topics(spark, sf_dir):
+    """One update of the topic table from its fixed start; 20 terms a topic."""
+    vocab, m = _one_step(spark, sf_dir)
+    words = M.topic_words(M.TopicModel(vocab, None, m, "terms"), 20)
+    return words.select("topic", "rank", "term", F.round(F.col("weight") * 1000000, 5).alias("per_million"))
+
+
+@query("lda_step_docs", _step_sql(_STEP_DOCS))
+def lda_step_docs(spark, sf_dir):
+    """The documents' mixtures after the same update."""
+    _, m = _one_step(spark, sf_dir)
+    total = sum((F.col(f"c{j}") for j in range(1, _K)), F.col("c0")) + _K * _SMOOTH
+    return m.docs.select(F.col("d").alias("doc_id"), F.inline(F.array(*[
+        F.struct(F.lit(j).alias("topic"), F.round((F.col(f"c{j}") + _SMOOTH) / total, 8).alias("weight"))
+        for j in range(_K)])))
