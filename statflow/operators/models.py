@@ -21,12 +21,13 @@ from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statflow.functions.arrays import explode_values
 from statflow.operators import lda as tables
+from statflow.operators import linear
 from statflow.operators.aggregates import gram
 from statflow.operators.ordering import global_rank
 from statflow.session import ensure_checkpoint_dir
@@ -34,43 +35,48 @@ from statflow.session import ensure_checkpoint_dir
 # ---------------------------------------------------------------- least squares
 
 
-def solve_normal_equations(xtx: np.ndarray, xty: np.ndarray) -> np.ndarray:
-    """Solve X'X b = X'y; a singular X'X falls back to the minimum-norm solution."""
-    try:
-        return np.linalg.solve(xtx, xty)
-    except np.linalg.LinAlgError:
-        return np.linalg.lstsq(xtx, xty, rcond=None)[0]
-
-
 def ols(df: DataFrame, xs: Sequence[str], y: str, intercept: bool = True,
-        exact_scale: int | None = None) -> DataFrame:
-    """A10: coefficients ``(term, beta)``, intercept first, from one Gram pass.
+        exact_scale: int | None = None, tol: float = linear.TOL) -> DataFrame:
+    """A10: coefficients ``(term, beta)``, intercept first, from one scan.
 
-    Only the (p+1)(p+2)/2 sums of the augmented cross-product come back.
+    Tall-skinny QR over the rows complete in all columns (``exact_scale``: the exact DECIMAL
+    cross-products of ``gram`` instead). A term that the terms before it determine is
+    aliased: its beta is null, the others are those of the regression without it.
     """
-    entries = gram(df, xs, y, intercept, exact_scale).collect()
     terms = (["const"] if intercept else []) + list(xs)
-    beta = solve_gram(entries, terms)
-    rows = [(t, float(b)) for t, b in zip(terms, beta)]
-    return df.sparkSession.createDataFrame(rows, "term string, beta double")
+    if exact_scale is None:
+        r = linear.triangular_factor(df, [*xs, y], intercept)
+    else:
+        r = linear.factor_of_gram(gram_matrix(gram(df, xs, y, intercept, exact_scale).collect(), len(terms) + 1))
+        tol = max(tol, 1e-5)
+    return coefficients(df.sparkSession, terms, linear.solve_aliased(r, len(terms), tol))
+
 
+def coefficients(spark: SparkSession, terms: Sequence[str], beta: Sequence[float | None]) -> DataFrame:
+    return spark.createDataFrame(list(zip(terms, beta)), "term string, beta double")
 
-def solve_gram(entries, terms: Sequence[str]) -> np.ndarray:
-    """Coefficients of ``terms`` from the collected rows of ``gram``."""
-    p = len(terms)
-    g = np.zeros((p + 1, p + 1))
+
+def gram_matrix(entries, n: int) -> np.ndarray:
+    """The symmetric matrix of the collected rows of ``gram``."""
+    g = np.zeros((n, n))
     for r in entries:
         g[r["i"], r["j"]] = g[r["j"], r["i"]] = r["value"]
-    return solve_normal_equations(g[:p, :p], g[:p, p])
+    return g
 
 
 # ---------------------------------------------------------------- logistic regression
 
 
-def fit_logistic(df: DataFrame, features: str = "features", label: str = "label",
-                 **params) -> LogisticRegressionModel:
-    """M8: Spark's logistic regression; defaults as Spark (100 iterations, no
-    penalty, threshold 0.5). The training rows are persisted for the iterations."""
+def fit_logistic(df: DataFrame, features: str = "features", label: str = "label", solver: str = "newton",
+                 **params) -> linear.LogisticFit | LogisticRegressionModel:
+    """M8: logistic regression without a penalty, threshold 0.5.
+
+    ``newton`` (default): see ``linear.fit_logistic_newton``; the score of every feature is
+    zero at the end. ``lbfgs``: Spark's own, defaults as Spark (100 iterations). The
+    training rows are persisted for the iterations.
+    """
+    if solver == "newton":
+        return linear.fit_logistic_newton(df, features, label, **params)
     fit = LogisticRegression(featuresCol=features, labelCol=label, **params).fit
     return fit_persisted(df.select(features, label), fit)
 
@@ -78,9 +84,10 @@ def fit_logistic(df: DataFrame, features: str = "features", label: str = "label"
 def predict(model, df: DataFrame, label: str = "label", keep: Sequence[str] = ()) -> DataFrame:
     """M9: ``keep..., label, probability ARRAY<DOUBLE>, prediction``."""
     scored = model.transform(df)
-    return scored.select(*keep, label,
-                         vector_to_array(F.col("probability")).alias("probability"),
-                         "prediction")
+    p = F.col("probability")
+    if not isinstance(model, linear.LogisticFit):
+        p = vector_to_array(p)
+    return scored.select(*keep, label, p.alias("probability"), "prediction")
 
 
 # ---------------------------------------------------------------- term statistics (SQL form)

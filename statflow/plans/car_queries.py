@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statflow.functions import scalars as S
-from statflow.operators import aggregates as A
 from statflow.plans import flows
 from statflow.plans.registry import query
 from statflow.sources import read_table
@@ -132,8 +131,8 @@ def _gram_sql() -> str:
 
 @query("car_gram", _gram_sql())
 def car_gram_q(spark, sf_dir):
-    """A9 with 30 regressors (528 sums), to seven digits."""
-    g = A.gram(flows.car_features(car_records(spark, sf_dir)), flows.CAR_REGRESSORS, "price")
+    """A9 + A13 with 30 regressors (528 sums) from one scan, to seven digits."""
+    g = flows.car_gram(car_records(spark, sf_dir))
     return g.select("term_i", "term_j", F.format_string(
         "%.6e", F.col("value") * F.lit(OFF_EDGE)).alias("value"))
 
@@ -150,7 +149,7 @@ def car_price_ols_q(spark, sf_dir):
     x = flows.car_features(records)
     beta_of = {r["term"]: r["beta"] for r in flows.car_price_ols(records).collect()}
     names = ["const", *flows.CAR_REGRESSORS]
-    beta = [beta_of[c] for c in names]
+    beta = [beta_of[c] or 0.0 for c in names]  # an aliased term takes no part
     fitted = sum((F.col(c) * F.lit(float(b)) for c, b in zip(names[1:], beta[1:])), F.lit(float(beta[0])))
     with_r = x.withColumn("__r", F.col("price") - fitted).withColumn("const", F.lit(1.0))
     sums = with_r.agg(*[F.struct(
@@ -164,7 +163,8 @@ def car_price_ols_q(spark, sf_dir):
 
 
 def _betas_sql() -> str:
-    """The normal equations solved by Gauss-Jordan elimination, a step a CTE."""
+    """The normal equations solved by Gauss-Jordan elimination, a step a CTE. A term whose
+    pivot is a rounding error of its own square is aliased: its row and column go."""
     terms = ["1.0", *flows.CAR_REGRESSORS, "price"]
     p = len(terms) - 1
     sums = ", ".join(f"sum({terms[i]} * {terms[j]}) AS g_{min(i, j)}_{max(i, j)}"
@@ -172,19 +172,23 @@ def _betas_sql() -> str:
     cells = " UNION ALL ".join(f"SELECT {i} AS i, {j} AS j, g_{min(i, j)}_{max(i, j)} AS v FROM g"
                                for i in range(p) for j in range(p + 1))
     steps = "".join(f""",
-m{k + 1} AS MATERIALIZED (SELECT a.i, a.j, CASE WHEN a.i = {k} THEN a.v / d.v ELSE a.v - c.v * r.v / d.v END AS v
+m{k + 1} AS MATERIALIZED (
+  SELECT a.i, a.j, CASE WHEN d.v <= 1e-9 * g.g_{k}_{k} THEN CASE WHEN a.i = {k} OR a.j = {k} THEN NULL ELSE a.v END
+                        WHEN r.v IS NULL OR c.v IS NULL THEN NULL
+                        WHEN a.i = {k} THEN a.v / d.v ELSE a.v - c.v * r.v / d.v END AS v
   FROM m{k} a JOIN m{k} r ON r.i = {k} AND r.j = a.j JOIN m{k} c ON c.j = {k} AND c.i = a.i
-  JOIN m{k} d ON d.i = {k} AND d.j = {k})""" for k in range(p))
+  JOIN m{k} d ON d.i = {k} AND d.j = {k}, g)""" for k in range(p))
     names = " ".join(f"WHEN {k} THEN '{t}'" for k, t in enumerate(["const", *flows.CAR_REGRESSORS]))
     return f"""WITH {_features_sql()}, g AS MATERIALIZED (SELECT {sums} FROM x),
 m0 AS MATERIALIZED ({cells}){steps}
-SELECT CASE i {names} END AS term, printf('%.4e', v) AS beta FROM m{p} WHERE j = {p}"""
+SELECT CASE i {names} END AS term, CASE WHEN v IS NOT NULL THEN printf('%.4e', v) END AS beta
+FROM m{p} WHERE j = {p}"""
 
 
 @query("car_price_betas", _betas_sql())
 def car_price_betas_q(spark, sf_dir):
-    """J1's 31 coefficients, to five digits. SQL and Spark agree where the regressors are
-    of full rank (sf0.01); with sf0.001's few suppliers they are not, and the solver's
-    least-squares fallback and elimination choose different solutions."""
+    """J1's 31 coefficients, to five digits; aliased regressors (three of sf0.001's, whose
+    ten suppliers determine them) are null."""
     betas = flows.car_price_ols(car_records(spark, sf_dir))
-    return betas.select("term", F.format_string("%.4e", F.col("beta")).alias("beta"))
+    return betas.select("term", F.when(F.col("beta").isNotNull(),
+                                       F.format_string("%.4e", F.col("beta"))).alias("beta"))

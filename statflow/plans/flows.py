@@ -20,6 +20,7 @@ from statflow.functions.constants import OTHER_LEVEL, OTHERS_LABEL
 from statflow.operators import aggregates as A
 from statflow.operators import lda as tables
 from statflow.operators import levels as L
+from statflow.operators import linear
 from statflow.operators import models as M
 from statflow.operators import rows as R
 from statflow.operators.features import build_features, split
@@ -74,12 +75,11 @@ CAR_REGRESSORS = CAR_BOOL + CAR_INT + CAR_FLOAT + [
     f"{prefix}_{lv}" for _, prefix, lvs in CAR_DUMMIES for lv in lvs]
 
 
-def car_features(records: DataFrame, ratio_mode: str = "fixed") -> DataFrame:
-    """J1 features: ``price`` + the 30 regressors, cleaned and mean-imputed.
+def car_values(records: DataFrame, ratio_mode: str = "fixed") -> DataFrame:
+    """J1 before imputation: ``price`` and the 30 regressors as numbers, ``year`` as read.
 
     ``records`` holds the text columns (``read_records`` drops records with
-    the wrong field count). Missing numbers take the global column mean;
-    ``year`` becomes the age relative to 2020 after imputation.
+    the wrong field count); numbers that are missing are null.
     """
     df = records.select("price", *CAR_BOOL, *CAR_FOLDS, *CAR_INT, *CAR_FLOAT)
     df = df.withColumn("price", F.col("price").try_cast("float").cast("double"))
@@ -98,15 +98,34 @@ def car_features(records: DataFrame, ratio_mode: str = "fixed") -> DataFrame:
     df = df.withColumns(exprs)
     for col, prefix, lvs in CAR_DUMMIES:
         df = L.dummies(df, col, lvs, prefix=prefix)
-    numeric = CAR_INT + CAR_FLOAT
-    df = A.impute_mean(df, numeric)
-    df = df.withColumn("year", S.years_before("year", 2020))
     return df.select("price", *[F.col(c).cast("double") for c in CAR_REGRESSORS])
 
 
+def car_features(records: DataFrame, ratio_mode: str = "fixed") -> DataFrame:
+    """J1 features: ``price`` + the 30 regressors, cleaned and mean-imputed.
+
+    Missing numbers take the global column mean; ``year`` becomes the age relative to
+    2020 after imputation.
+    """
+    df = A.impute_mean(car_values(records, ratio_mode), CAR_INT + CAR_FLOAT)
+    return df.withColumn("year", S.years_before("year", 2020).cast("double"))
+
+
+# The same imputation and age as a linear map of one scan's sums.
+CAR_DESIGN = linear.Imputed(CAR_REGRESSORS, "price", CAR_INT + CAR_FLOAT, {"year": (2020.0, -1.0)})
+
+
+def car_gram(records: DataFrame, ratio_mode: str = "fixed") -> DataFrame:
+    """J1's cross-products (A9) over the imputed features, from one scan of the records."""
+    return linear.imputed_gram(car_values(records, ratio_mode), CAR_DESIGN)
+
+
 def car_price_ols(records: DataFrame, ratio_mode: str = "fixed") -> DataFrame:
-    """31 ``(term, beta)`` rows, intercept first."""
-    return M.ols(car_features(records, ratio_mode), CAR_REGRESSORS, "price")
+    """31 ``(term, beta)`` rows, intercept first, from one scan of the records; a
+    regressor that those before it determine has a null beta."""
+    r = linear.imputed_factor(car_values(records, ratio_mode), CAR_DESIGN)
+    terms = ["const", *CAR_REGRESSORS]
+    return M.coefficients(records.sparkSession, terms, linear.solve_aliased(r, len(terms)))
 
 
 def car_price_ols_file(spark: SparkSession, path: str, ratio_mode: str = "fixed",

@@ -32,12 +32,16 @@ def test_gram_and_ols_match_numpy(spark):
     assert np.abs(X.T @ resid).max() < 1e-3 * np.abs(X.T @ pdf[y].to_numpy()).max()
 
 
-def test_ols_singular_falls_back(spark):
-    df = spark.createDataFrame([(float(i), 2.0 * i, 3.0 * i + 1) for i in range(10)],
-                               "a double, b double, y double")
-    beta = {r.term: r.beta for r in M.ols(df, ["a", "b"], "y").collect()}
-    assert beta["const"] == pytest.approx(1.0)
-    assert beta["a"] + 2 * beta["b"] == pytest.approx(3.0)
+@pytest.mark.parametrize("scale", [None, 2])
+def test_ols_aliased_terms_are_null(spark, scale):
+    """b, d and e follow from the terms before them; the others are those of the fit without."""
+    df = spark.createDataFrame([(float(i), 2.0 * i, float(i % 3), 0.0, i + 5.0 - i % 3, 3.0 * i + 1 - 2 * (i % 3))
+                                for i in range(20)], "a double, b double, c double, d double, e double, y double")
+    rows = M.ols(df, ["a", "b", "c", "d", "e"], "y", exact_scale=scale).collect()
+    assert [r.term for r in rows] == ["const", "a", "b", "c", "d", "e"]
+    beta = {r.term: r.beta for r in rows}
+    assert beta["b"] is None and beta["d"] is None and beta["e"] is None
+    assert (beta["const"], beta["a"], beta["c"]) == pytest.approx((1.0, 3.0, -2.0))
 
 
 def test_keyed_job_reducer_matches_aggs(spark):
