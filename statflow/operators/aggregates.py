@@ -97,10 +97,11 @@ def gram(df: DataFrame, xs: Sequence[str], y: str | None = None, intercept: bool
 
 def _gram_batches(df: DataFrame, cols: Sequence[str], intercept: bool) -> DataFrame:
     names = (["const"] if intercept else []) + list(cols)
+    # Incomplete rows go inside the tasks: a filter on computed columns would be pushed
+    # below them and compute every column twice.
     doubles = df.select(*[F.col(c).cast("double").alias(f"x{k}") for k, c in enumerate(cols)])
     if not cols:
         doubles = df.select(F.lit(1.0).alias("x0"))
-    doubles = doubles.dropna(how="any")
     width, p = len(cols), len(names)
 
     def run(batches):
@@ -108,7 +109,8 @@ def _gram_batches(df: DataFrame, cols: Sequence[str], intercept: bool) -> DataFr
         import pyarrow as pa
         total = np.zeros((p, p))
         for batch in batches:
-            x = np.stack([batch.column(k).to_numpy() for k in range(max(width, 1))], 1)
+            x = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(max(width, 1))], 1)
+            x = x[~np.isnan(x).any(1)]
             if not cols:
                 x = x[:, :0]
             if intercept:

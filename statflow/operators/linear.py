@@ -69,12 +69,15 @@ def triangular_factor(df: DataFrame, cols: Sequence[str], intercept: bool = True
     """R of the matrix ``[1, cols...]`` over the rows complete in ``cols``: square, upper
     triangular; zero without rows."""
     q = len(cols) + bool(intercept)
-    doubles = df.select(*[F.col(c).cast("double").alias(f"x{k}") for k, c in enumerate(cols)]).dropna(how="any")
+    # Incomplete rows go inside the tasks: a filter on computed columns would be pushed
+    # below them and compute every column twice.
+    doubles = df.select(*[F.col(c).cast("double").alias(f"x{k}") for k, c in enumerate(cols)])
     if not cols:
         doubles = df.select(F.lit(1.0).alias("x0"))
 
     def step(r, b):
-        x = np.stack([b.column(k).to_numpy() for k in range(b.num_columns)], 1)
+        x = np.stack([b.column(k).to_numpy(zero_copy_only=False) for k in range(b.num_columns)], 1)
+        x = x[~np.isnan(x).any(1)]
         if intercept:
             x = np.concatenate([np.ones((len(x), 1)), x[:, :len(cols)]], 1)
         return np.linalg.qr(x if r is None else np.vstack([r, x]), mode="r")

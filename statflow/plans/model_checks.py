@@ -148,3 +148,61 @@ def lda_step_docs(spark, sf_dir):
     return m.docs.select(F.col("d").alias("doc_id"), F.inline(F.array(*[
         F.struct(F.lit(j).alias("topic"), F.round((F.col(f"c{j}") + _SMOOTH) / total, 8).alias("weight"))
         for j in range(_K)])))
+
+
+def _newton_sql(select: str, steps: int = 8) -> str:
+    """Newton steps of a logistic regression on two columns, unrolled: each step solves
+    its 3 x 3 system by Cramer's rule."""
+    def det(m):
+        (a, b, c), (d, e, f), (g, h, i) = m
+        return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+    h = [["h0", "h1", "h2"], ["h1", "h3", "h4"], ["h2", "h4", "h5"]]
+    solved = []
+    for k in range(3):
+        swapped = [[f"g{r}" if c == k else h[r][c] for c in range(3)] for r in range(3)]
+        solved.append(f"b{k} + {det(swapped)} / {det(h)} AS b{k}")
+    ctes = f"""x AS MATERIALIZED (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS q, CAST(l_tax AS DOUBLE) AS t,
+  CAST(l_discount > 0.05 AS INTEGER) AS y, {_HELD_OUT} AS held_out FROM lineitem),
+w0 AS (SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2)"""
+    for k in range(steps):
+        ctes += f""",
+s{k} AS MATERIALIZED (SELECT any_value(b0) AS b0, any_value(b1) AS b1, any_value(b2) AS b2,
+  sum(v) AS h0, sum(v * q) AS h1, sum(v * t) AS h2, sum(v * q * q) AS h3, sum(v * q * t) AS h4, sum(v * t * t) AS h5,
+  sum(y - p) AS g0, sum((y - p) * q) AS g1, sum((y - p) * t) AS g2
+  FROM (SELECT *, p * (1 - p) AS v FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * q + b2 * t))) AS p
+        FROM x, w{k} WHERE NOT held_out))),
+w{k + 1} AS MATERIALIZED (SELECT {', '.join(solved)} FROM s{k})"""
+    return f"WITH {ctes} {select.format(w=f'w{steps}')}"
+
+
+def _newton(spark, sf_dir):
+    from statflow.functions.scalars import binarise
+    from statflow.operators.features import split
+    from statflow.sources import read_table
+    li = read_table(spark, sf_dir, "lineitem").select(*flows.LP_KEYS, "l_quantity", "l_tax",
+                                                      binarise("l_discount", 0.05).alias("label"))
+    train, test = split(li, [0.7, 0.3], 42, flows.LP_KEYS)
+    return M.fit_logistic(train, ["l_quantity", "l_tax"], "label"), test
+
+
+@query("logistic_coefficients", _newton_sql("""
+SELECT 'const' AS term, round(b0, 7) AS beta FROM {w} UNION ALL SELECT 'l_quantity', round(b1, 7) FROM {w}
+UNION ALL SELECT 'l_tax', round(b2, 7) FROM {w}"""))
+def logistic_coefficients(spark, sf_dir):
+    """M8: the coefficients of the Newton fit."""
+    fit, _ = _newton(spark, sf_dir)
+    beta = [fit.intercept, *fit.coefficients]
+    return spark.createDataFrame([(t, round(float(b), 7)) for t, b in zip(["const", "l_quantity", "l_tax"], beta)],
+                                 "term string, beta double")
+
+
+@query("logistic_predictions", _newton_sql("""
+SELECT l_orderkey, l_linenumber, y AS label, round(p, 7) AS p1, CAST(p > 0.5 AS DOUBLE) AS prediction
+FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * q + b2 * t))) AS p FROM x, {w} WHERE held_out)"""))
+def logistic_predictions(spark, sf_dir):
+    """M9: the held-out rows scored by the same fit."""
+    fit, test = _newton(spark, sf_dir)
+    return M.predict(fit, test, "label", keep=flows.LP_KEYS).select(
+        *flows.LP_KEYS, "label", F.round(F.col("probability")[1], 7).alias("p1"), "prediction")
+

@@ -32,7 +32,8 @@ FAST = ["key_count", "key_mean", "record_profile", "project_positions", "filter_
         "text_job_count", "text_job_mean", "text_job_profile", "text_job_cluster",
         "logistic_checked", "logistic_calibrated", "flight_delay_model_checked",
         "doc_topics_checked", "topic_model_checked", "lda_topics_checked",
-        "lda_step_topics", "lda_step_docs"]
+        "lda_step_topics", "lda_step_docs", "logistic_coefficients", "logistic_predictions",
+        "car_price_betas"]
 
 
 @pytest.mark.parametrize("name", FAST)
