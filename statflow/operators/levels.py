@@ -8,9 +8,10 @@ those lists are bounded by 1/p whatever the data size.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statflow.functions.constants import OTHER_LEVEL
@@ -68,8 +69,40 @@ def _kept_condition(p: float, cum_p: float, mode: str) -> Column:
     raise ValueError(f"mode must be 'strict' or 'inclusive', got {mode!r}")
 
 
+#: Most counters that Spark's frequent-items summary takes.
+_MOST_COUNTERS = 1_000_000
+
+
+def heavy_counts(df: DataFrame, cols: Sequence[str], p: float) -> DataFrame:
+    """``(column, level STRING, cnt, n)`` of all levels with share > p, and a few others, from
+    two scans that shuffle no more than a bounded number of levels a task.
+
+    First scan: a mergeable frequent-items summary a column (``approx_top_k``) with 32/p
+    counters. It miscounts a level by at most 3.5 rows in as many as it has counters, an
+    eighth of p, so each level with share > p is among the 2/p largest. Second scan: the
+    exact counts of these candidates; all other levels are counted as one.
+    """
+    counters = math.ceil(32 / p)
+    if counters > _MOST_COUNTERS:
+        raise ValueError(f"p = {p} needs more than {_MOST_COUNTERS} counters; count all levels instead")
+    top = df.agg(*[F.expr(f"approx_top_k(CAST(`{c}` AS STRING), {math.ceil(2 / p)}, {counters})").alias(f"c{k}")
+                   for k, c in enumerate(cols)]).first()
+    pairs = []
+    for k, c in enumerate(cols):
+        found = [r["item"] for r in top[f"c{k}"] or []]
+        text = F.col(c).cast("string")
+        heavy = text.isin([v for v in found if v is not None])
+        heavy = F.when(text.isNull(), F.lit(None in found)).otherwise(heavy)
+        pairs.append(F.struct(F.lit(c).alias("column"), F.when(heavy, text).alias("level"), heavy.alias("heavy")))
+    counts = (df.select(F.inline(F.array(*pairs))).groupBy("column", "level", "heavy")
+              .agg(F.count(F.lit(1)).alias("cnt")))
+    # At most 2/p + 1 rows a column.
+    n = F.sum("cnt").over(Window.partitionBy("column"))
+    return counts.withColumn("n", n).where("heavy").drop("heavy")
+
+
 def frequent_levels(df: DataFrame, col: str, p: float = 0.03, cum_p: float = 0.8,
-                    mode: str = "strict") -> DataFrame:
+                    mode: str = "strict", sketch: bool = False) -> DataFrame:
     """Levels worth a dummy.
 
     ``strict``: cumulative share <= cum_p and share > p.
@@ -78,10 +111,16 @@ def frequent_levels(df: DataFrame, col: str, p: float = 0.03, cum_p: float = 0.8
 
     Levels with share > p are a prefix of the count-descending order, so the
     share filter comes before the running sum without changing it.
+
+    ``sketch`` is for columns with very many levels: the same rows by ``heavy_counts``, so
+    that not every level is shuffled to keep 1/p of them.
     """
-    counts = _counts(df, col)
-    n = counts.agg(F.sum("cnt")).scalar()
-    shared = counts.withColumn("n", n).where(F.col("cnt") / F.col("n") > F.lit(p))
+    if sketch:
+        shared = heavy_counts(df, [col], p).drop("column").withColumn("level", F.col("level").cast(df.schema[col].dataType))
+    else:
+        counts = _counts(df, col)
+        shared = counts.withColumn("n", counts.agg(F.sum("cnt")).scalar())
+    shared = shared.where(F.col("cnt") / F.col("n") > F.lit(p))
     ranked = running_total(shared, "cnt", _level_order(), "cum")
     return (ranked.where(_kept_condition(p, cum_p, mode))
             .select("level", "cnt", "cum",
@@ -90,13 +129,17 @@ def frequent_levels(df: DataFrame, col: str, p: float = 0.03, cum_p: float = 0.8
 
 
 def frequent_level_table(df: DataFrame, cols: Sequence[str], p: float = 0.03,
-                         cum_p: float = 0.8, mode: str = "strict") -> DataFrame:
-    """A6 for many columns in one scan: ``column, level`` of the kept levels."""
-    counts = level_counts(df, cols)
-    totals = counts.groupBy("column").agg(F.sum("cnt").alias("n"))
-    # One row per column: bounded by the number of columns.
-    shared = (counts.join(F.broadcast(totals), "column")
-              .where(F.col("cnt") / F.col("n") > F.lit(p)))
+                         cum_p: float = 0.8, mode: str = "strict", sketch: bool = False) -> DataFrame:
+    """A6 for many columns in one scan: ``column, level`` of the kept levels (``sketch``: in
+    two scans, see ``frequent_levels``)."""
+    if sketch:
+        shared = heavy_counts(df, cols, p)
+    else:
+        counts = level_counts(df, cols)
+        totals = counts.groupBy("column").agg(F.sum("cnt").alias("n"))
+        # One row per column: bounded by the number of columns.
+        shared = counts.join(F.broadcast(totals), "column")
+    shared = shared.where(F.col("cnt") / F.col("n") > F.lit(p))
     ranked = running_total(shared, "cnt", _level_order(), "cum", partition_by=["column"])
     return ranked.where(_kept_condition(p, cum_p, mode)).select("column", "level")
 

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FAN_IN = 64
+DRIVER_MATRICES = 256
 TOL = 1e-7
 _PART = "part long, data binary"
 
@@ -46,8 +47,16 @@ def _task_matrices(df: DataFrame, step: Callable) -> DataFrame:
     return df.mapInArrow(run, _PART)
 
 
-def _merge_tree(parts: DataFrame, merge: Callable[[list], np.ndarray], width: int, levels: int = 2):
-    """Merge the tasks' matrices (rows of ``width`` numbers) in groups; None without rows."""
+def _merge_tree(parts: DataFrame, merge: Callable[[list], np.ndarray], width: int, tasks: int | None = None):
+    """Merge the tasks' matrices (rows of ``width`` numbers) in groups, until the driver gets
+    ``DRIVER_MATRICES`` at most (``tasks``: how many there are, if that is known); None
+    without rows."""
+    levels = 2
+    if tasks is not None:
+        levels = 0
+        while tasks > DRIVER_MATRICES:
+            tasks, levels = -(-tasks // FAN_IN), levels + 1
+
     def matrix(raw):
         return np.frombuffer(raw, np.float64).reshape(-1, width)
 
@@ -265,14 +274,14 @@ def fit_logistic_newton(df: DataFrame, features: str | Sequence[str], label: str
             ll = -(np.logaddexp(0, -eta) * y + np.logaddexp(0, eta) * (1 - y)).sum()
             out = np.vstack([top, np.append(np.abs(m).sum(0), ll)])
             return out if state is None else state + out
-        return _merge_tree(_task_matrices(rows, step), lambda ms: np.sum(ms, 0), width)
+        return _merge_tree(_task_matrices(rows, step), lambda ms: np.sum(ms, 0), width, tasks)
 
     try:
         first = rows.limit(1).collect()
         if not first:
             raise ValueError("no complete rows to fit")
         n_features = len(first[0]["x"]) if vector else len(features)
-        width = n_features + 2
+        width, tasks = n_features + 2, rows.rdd.getNumPartitions()
         beta = np.zeros(n_features + 1)
         now, steps, aliased = sums(beta), 0, []
         while True:

@@ -316,6 +316,23 @@ def frequent_nations_inclusive(spark, sf_dir):
     return L.frequent_levels(_t(spark, sf_dir, "customer"), "c_nationkey", mode="inclusive")
 
 
+# Many levels (order keys), four of them common.
+_MIXED = "CASE WHEN l_linenumber = 1 THEN concat('line ', l_suppkey % 4) ELSE concat(l_orderkey, '') END"
+
+
+@query("frequent_levels_many", f"""
+WITH c AS (SELECT level, count(*) AS cnt, (SELECT count(*) FROM lineitem) AS n
+           FROM (SELECT {_MIXED} AS level FROM lineitem) GROUP BY level),
+r AS (SELECT *, CAST(sum(cnt) OVER (ORDER BY cnt DESC, level ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cum FROM c)
+SELECT level, cnt, cum, cnt / n AS share, cum / n AS cum_share FROM r
+WHERE cum / n <= 0.8::DOUBLE AND cnt / n > 0.03::DOUBLE
+""")
+def frequent_levels_many(spark, sf_dir):
+    """A6 on a column with very many levels: summaries first, then the candidates' counts."""
+    li = _t(spark, sf_dir, "lineitem").select(F.expr(_MIXED).alias("level"))
+    return L.frequent_levels(li, "level", sketch=True)
+
+
 SIZE_RANGE = list(range(1, 30))  # fixed values: the day-of-month range of the flight flow
 SIZE_RANGE_SQL = ", ".join(str(v) for v in SIZE_RANGE)
 

@@ -23,7 +23,7 @@ def test_entry_smoke(spark):
 
 FAST = ["key_count", "key_mean", "record_profile", "project_positions", "filter_arity",
         "format_line", "hhmm_to_hour", "extract_ratio", "freq_table", "frequent_levels_strict",
-        "frequent_levels_inclusive", "level_report", "fold_levels_prefix", "string_index",
+        "frequent_levels_inclusive", "frequent_levels_many", "level_report", "fold_levels_prefix", "string_index",
         "assemble", "gram", "ols_simple", "ols_multi", "ngrams", "tf_idf", "lookup", "keyed_job",
         "flight_delay_features", "ols_nulls", "vocabulary", "lookup_arrays", "split",
         "keyed_job_reducer", "keyed_job_first_last", "keyed_job_differences", "car_features", "car_gram", "car_price_ols", "read_csv",

@@ -149,3 +149,25 @@ def test_running_totals_of_several_values(spark):
         for k, (v, a, b) in enumerate(rows):
             total += v
             assert (a, b) == (total, k + 1)
+
+
+def test_summaries_keep_the_same_levels(spark):
+    """Millions of levels would not differ: skew, ties at the cutoff, nulls, rare levels in
+    their thousands, two columns at once."""
+    df = spark.range(0, 60_000, numPartitions=6).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 7 = 0 THEN 1 WHEN id % 11 = 0 THEN 2 ELSE CAST(id AS INT) END AS a",
+        "CASE WHEN id < 1800 THEN 'x' WHEN id < 3601 THEN 'y' ELSE concat('r', id % 20000) END AS b")
+    for col in ("a", "b"):
+        for mode in ("strict", "inclusive"):
+            args = dict(p=0.03, cum_p=0.8, mode=mode)
+            want = [tuple(r) for r in L.frequent_levels(df, col, **args).orderBy("cum").collect()]
+            got = L.frequent_levels(df, col, **args, sketch=True)
+            assert dict(got.dtypes) == dict(L.frequent_levels(df, col, **args).dtypes)
+            assert [tuple(r) for r in got.orderBy("cum").collect()] == want and want
+    both = {tuple(r) for r in L.frequent_level_table(df, ["a", "b"], sketch=True).collect()}
+    assert both == {tuple(r) for r in L.frequent_level_table(df, ["a", "b"]).collect()}
+    assert L.heavy_counts(df, ["a"], 0.03).count() <= 67
+    empty = df.where("b = 'none'")
+    assert L.frequent_levels(empty, "b", sketch=True).count() == 0
+    with pytest.raises(ValueError):
+        L.heavy_counts(df, ["a"], 1e-6)
