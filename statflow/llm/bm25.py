@@ -23,7 +23,8 @@ shards, so the result is that of scoring everything.
 Queries times documents is the work that pruning starts from: it grows with the square
 of the corpus when the query set grows with it.
 
-Queries and index lie in written tables of the shared folder. Defined cases: null or
+Shards lie in files of the shared folder that tasks write and open by name; only their
+numbers, document counts and the queries pass through Spark rows. Defined cases: null or
 wordless text matches nothing; a row does not find itself; rows that share
 no word with the query are no results; a null doc_id is no query and sorts last among
 ties; scores equal to 6 decimals go to the smaller doc_id; repeated rows are separate documents; an empty
@@ -40,8 +41,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statflow.llm.common import (WordHasher, from_planes, names, null_safe_text, planes,
-                                 release_memory, stage, text_buffer, text_bytes, unique_counts)
-from statflow.llm.files import open_file
+                                 release_memory, shared_folder, stage, text_buffer, text_bytes,
+                                 unique_counts)
+from statflow.llm.files import NewFile, open_file
 
 SHARD_BYTES = 8 << 20
 GROUP_BYTES = 64 << 20
@@ -275,7 +277,21 @@ class Queries:
 
 # ------------------------------------------------------------------ Spark stages
 
-def _shards(rows: DataFrame, groups: int) -> DataFrame:
+def _keep(folder: str, name: str, data: bytes) -> None:
+    """A file under its final name once it is whole; a repeated task writes it again."""
+    out = NewFile(folder, name)
+    out.write(data)
+    out.commit()
+
+
+def _kept(folder: str, name: str) -> bytes:
+    with open_file(f"{folder}/{name}") as f:
+        return f.read()
+
+
+def _shards(rows: DataFrame, groups: int, folder: str) -> DataFrame:
+    """Documents to shards: each is kept as a file ``raw-<shard>``; its words and document
+    counts go to the hash ranges' groups."""
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
@@ -305,53 +321,45 @@ def _shards(rows: DataFrame, groups: int) -> DataFrame:
                 about = np.array([j - i, n_tokens], "<i8")
                 payload = [_pack(about, words[cut[g]:cut[g + 1]], df[cut[g]:cut[g + 1]].astype("<u4"))
                            for g in range(groups)]
-                payload.append(_pack(words, ids[i:j], np.searchsorted(doc, np.arange(j - i + 1)),
-                                     word.astype("<u4"), tf.astype("<u4"), length,
-                                     asks[i:j].astype("u1")))
                 shard = base + made
                 made += 1
+                _keep(folder, f"raw-{shard}", _pack(
+                    words, ids[i:j], np.searchsorted(doc, np.arange(j - i + 1)), word.astype("<u4"),
+                    tf.astype("<u4"), length, asks[i:j].astype("u1")))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([shard] * (groups + 1), pa.int64()),
-                     pa.array([*range(groups), shard % groups], pa.int32()),
-                     pa.array([False] * groups + [True]), pa.array(payload, pa.binary())],
-                    names=["shard", "part", "own", "payload"])
+                    [pa.array([shard] * groups, pa.int64()), pa.array(range(groups), pa.int32()),
+                     pa.array(payload, pa.binary())], names=["shard", "part", "payload"])
                 i = j
                 del words, code, doc, word, tf, payload
                 release_memory()
 
-    return rows.mapInArrow(run, "shard long, part int, own boolean, payload binary")
+    return rows.mapInArrow(run, "shard long, part int, payload binary")
 
 
 def _count(key, table):
     """One hash range: document counts over all shards, and N and all words."""
     import pyarrow as pa
-    shard, own = table.column("shard").to_pylist(), table.column("own").to_pylist()
+    shard, part = table.column("shard").to_pylist(), key[0].as_py()
     payload = table.column("payload").combine_chunks()
-    part, asked = key[0].as_py(), []
-    for k, mine in enumerate(own):
-        if not mine:
-            asked.append((k, *_unpack(payload[k].as_buffer())))
-    words, df = unique_counts(np.concatenate([a[2] for a in asked]),
-                              np.concatenate([a[3] for a in asked]).astype(np.int64))
-    about = np.sum([a[1] for a in asked], axis=0)
-    out = [(shard[k], part, False, _pack(about, df[np.searchsorted(words, w)]))
-           for k, _, w, _ in asked]
-    out += [(shard[k], part, True, payload[k].as_py()) for k, mine in enumerate(own) if mine]
-    cols = list(zip(*out))
+    asked = [_unpack(payload[k].as_buffer()) for k in range(len(shard))]
+    words, df = unique_counts(np.concatenate([a[1] for a in asked]),
+                              np.concatenate([a[2] for a in asked]).astype(np.int64))
+    about = np.sum([a[0] for a in asked], axis=0)
+    out = [_pack(about, df[np.searchsorted(words, w)]) for _, w, _ in asked]
     release_memory()
-    return pa.table({"shard": pa.array(cols[0], pa.int64()), "part": pa.array(cols[1], pa.int32()),
-                     "own": pa.array(cols[2], pa.bool_()), "payload": pa.array(cols[3], pa.binary())})
+    return pa.table({"shard": pa.array(shard, pa.int64()), "part": pa.array([part] * len(shard), pa.int32()),
+                     "payload": pa.array(out, pa.binary())})
 
 
-def _index(k: int):
+def _index(k: int, folder: str):
     def run(key, table):
-        """A shard's index with global statistics, and its queries as one batch."""
+        """A shard's index with global statistics, kept as a file ``index-<shard>``, and its
+        queries as one batch."""
         import pyarrow as pa
-        part, own = table.column("part").to_pylist(), table.column("own").to_pylist()
+        number, part = key[0].as_py(), table.column("part").to_pylist()
         payload = table.column("payload").combine_chunks()
-        words, ids, bounds, word, tf, length, asks = _unpack(payload[own.index(True)].as_buffer())
-        answers = [_unpack(payload[i].as_buffer()) for i in
-                   sorted((i for i, mine in enumerate(own) if not mine), key=part.__getitem__)]
+        words, ids, bounds, word, tf, length, asks = _unpack(_kept(folder, f"raw-{number}"))
+        answers = [_unpack(payload[i].as_buffer()) for i in np.argsort(part).tolist()]
         n_docs, n_words = (int(x) for x in answers[0][0])
         df = np.concatenate([a[1] for a in answers]).astype(float)
         word = word.astype(np.int32)
@@ -361,9 +369,9 @@ def _index(k: int):
         ask = np.flatnonzero((asks > 0) & (ids != _NONE))
         entry = np.concatenate([np.arange(bounds[i], bounds[i + 1]) for i in ask]) \
             if len(ask) else np.zeros(0, np.int64)
-        used, number = np.unique(word[entry], return_inverse=True)
+        used, at = np.unique(word[entry], return_inverse=True)
         q = Queries(words[used], ids[ask], ask, np.zeros(len(ask)),
-                    np.repeat(np.arange(len(ask)), np.diff(bounds)[ask]), number,
+                    np.repeat(np.arange(len(ask)), np.diff(bounds)[ask]), at,
                     tf[entry].astype(float))
         if len(q):
             shard.prepare()
@@ -375,11 +383,11 @@ def _index(k: int):
                 if len(hit) else np.zeros(len(q), bool)
             q.floor = np.where(ok, score[np.minimum(kth, max(len(hit) - 1, 0))] * (1 - 1e-4), 0.0) \
                 if len(hit) else q.floor
-        packed = [shard.pack(), q.pack()]
+        _keep(folder, f"index-{number}", shard.pack())
+        packed = q.pack()
         del shard, q, answers, words, word, tf
         release_memory()
-        return pa.table({"shard": pa.array([key[0].as_py()] * 2, pa.int64()),
-                         "asks": pa.array([False, True]), "payload": pa.array(packed, pa.binary())})
+        return pa.table({"shard": pa.array([number], pa.int64()), "payload": pa.array([packed], pa.binary())})
     return run
 
 
@@ -404,20 +412,19 @@ def search_self(docs: DataFrame, modulus: int = 20, k: int = 10) -> DataFrame:
         F.col("doc_id").cast("long"), F.lower(null_safe_text(F.col("text"))).alias("text"),
         F.coalesce(F.pmod(F.col("doc_id"), F.lit(modulus)) == 0, F.lit(False)).alias("ask"))
     groups = max(1, -(-text_bytes(rows) // GROUP_BYTES))
-    kind = "shard long, part int, own boolean, payload binary"
-    made = stage(_shards(rows, groups).groupBy("part").applyInArrow(_count, kind)
-                 .groupBy("shard").applyInArrow(
-                     _index(k), "shard long, asks boolean, payload binary"), "bm25")
-    queries = stage(made.where("asks").select("shard", "payload").coalesce(64), "bm25-queries")
+    folder = shared_folder(docs.sparkSession, "bm25-shards")
+    made = stage(_shards(rows, groups, folder).groupBy("part").applyInArrow(
+        _count, "shard long, part int, payload binary").groupBy("shard").applyInArrow(
+        _index(k, folder), "shard long, payload binary"), "bm25")
+    queries = stage(made.coalesce(64), "bm25-queries")
     files = [f for f in queries.inputFiles()]
-    index = made.where("not asks").select("shard", "payload")
+    shards = made.select("shard")
 
     def search(batches):
         import pyarrow as pa
         for batch in batches:
-            for number, raw in zip(batch.column("shard").to_pylist(),
-                                   batch.column("payload").to_pylist()):
-                shard = Shard.load(raw)
+            for number in batch.column("shard").to_pylist():
+                shard = Shard.load(_kept(folder, f"index-{number}"))
                 shard.prepare()
                 for asked, q in _read_batches(files):
                     own = q.own if asked == number else np.full(len(q), -1)
@@ -449,28 +456,27 @@ def search_self(docs: DataFrame, modulus: int = 20, k: int = 10) -> DataFrame:
         return pa.table({"shard": pa.array(cols[0], pa.int64()), "asked": pa.array(cols[1], pa.int64()),
                          "payload": pa.array(cols[2], pa.binary())})
 
-    # Index rows are large and stay where they were written: one task a file.
-    finalists = (index.mapInArrow(search, "asked long, shard long, payload binary")
+    # A shard is some seconds of work: one task each.
+    finalists = (shards.repartition(max(1, shards.count())).mapInArrow(search, "asked long, shard long, payload binary")
                  .groupBy("asked").applyInArrow(merge, "shard long, asked long, payload binary"))
 
-    def settle(key, left, right):
+    def settle(key, table):
         """One shard: its finalists in double precision."""
         import pyarrow as pa
         out = []
-        if left.num_rows and right.num_rows:
-            wanted = dict(zip(right.column("asked").to_pylist(), right.column("payload").to_pylist()))
-            shard = Shard.load(left.column("payload")[0].as_py())
-            for asked, q in _read_batches(files):
-                if asked in wanted:
-                    query, doc = (x.astype(np.int64) for x in _unpack(wanted[asked]))
-                    out.append((q.ids[query], shard.doc_ids[doc], shard.exact(q, query, doc)))
+        wanted = dict(zip(table.column("asked").to_pylist(), table.column("payload").to_pylist()))
+        shard = Shard.load(_kept(folder, f"index-{key[0].as_py()}"))
+        for asked, q in _read_batches(files):
+            if asked in wanted:
+                query, doc = (x.astype(np.int64) for x in _unpack(wanted[asked]))
+                out.append((q.ids[query], shard.doc_ids[doc], shard.exact(q, query, doc)))
+        release_memory()
         cols = [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
         return pa.table({"query_id": pa.array(cols[0], pa.int64()),
                          "doc_id": pa.array(cols[1], pa.int64(), mask=cols[1] == _NONE),
                          "score": pa.array(cols[2], pa.float64())})
 
-    scored = index.groupBy("shard").cogroup(finalists.groupBy("shard")).applyInArrow(
-        settle, "query_id long, doc_id long, score double")
+    scored = finalists.groupBy("shard").applyInArrow(settle, "query_id long, doc_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     return (scored.withColumn("score", F.round("score", DIGITS))
             .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
