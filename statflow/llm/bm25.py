@@ -419,6 +419,7 @@ def search_self(docs: DataFrame, modulus: int = 20, k: int = 10) -> DataFrame:
     queries = stage(made.coalesce(64), "bm25-queries")
     files = [f for f in queries.inputFiles()]
     shards = made.select("shard")
+    n_shards = max(1, shards.count())
 
     def search(batches):
         import pyarrow as pa
@@ -457,7 +458,7 @@ def search_self(docs: DataFrame, modulus: int = 20, k: int = 10) -> DataFrame:
                          "payload": pa.array(cols[2], pa.binary())})
 
     # A shard is some seconds of work: one task each.
-    finalists = (shards.repartition(max(1, shards.count())).mapInArrow(search, "asked long, shard long, payload binary")
+    finalists = (shards.repartition(n_shards).mapInArrow(search, "asked long, shard long, payload binary")
                  .groupBy("asked").applyInArrow(merge, "shard long, asked long, payload binary"))
 
     def settle(key, table):
@@ -469,14 +470,19 @@ def search_self(docs: DataFrame, modulus: int = 20, k: int = 10) -> DataFrame:
         for asked, q in _read_batches(files):
             if asked in wanted:
                 query, doc = (x.astype(np.int64) for x in _unpack(wanted[asked]))
-                out.append((q.ids[query], shard.doc_ids[doc], shard.exact(q, query, doc)))
+                # Of a shard's many equal documents only the first k can be among the k best.
+                score, ids = np.round(shard.exact(q, query, doc), DIGITS), shard.doc_ids[doc]
+                order = np.lexsort((ids, ids == _NONE, -score, query))
+                query, ids, score = query[order], ids[order], score[order]
+                first = np.arange(len(query)) - np.searchsorted(query, query) < k
+                out.append((q.ids[query[first]], ids[first], score[first]))
         release_memory()
         cols = [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
         return pa.table({"query_id": pa.array(cols[0], pa.int64()),
                          "doc_id": pa.array(cols[1], pa.int64(), mask=cols[1] == _NONE),
                          "score": pa.array(cols[2], pa.float64())})
 
-    scored = finalists.groupBy("shard").applyInArrow(settle, "query_id long, doc_id long, score double")
+    scored = finalists.repartition(n_shards, "shard").groupBy("shard").applyInArrow(settle, "query_id long, doc_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     return (scored.withColumn("score", F.round("score", DIGITS))
             .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
