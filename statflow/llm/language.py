@@ -182,11 +182,15 @@ def infer(row: np.ndarray, bucket: np.ndarray, count: np.ndarray, n_rows: int,
 PENALTY = 25.0
 
 
+#: The result columns; input columns of these names are replaced by them.
+RESULTS = (("lang_pred", "string"), ("score", "double"), ("n_langs", "integer"))
+
+
 def predict(docs: DataFrame, text: str, model: tuple[list[str], np.ndarray],
             penalty: float = PENALTY, keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (default: all) plus ``lang_pred``, ``score`` and ``n_langs``."""
     languages, probs = model
-    cols = docs.columns if keep is None else keep
+    cols = [c for c in (docs.columns if keep is None else keep) if c not in dict(RESULTS)]
     into = docs.select(*cols, F.when(has_letter(F.col(text)), _folded(F.col(text))).otherwise("").alias("__text"))
 
     def run(batches):
@@ -212,9 +216,7 @@ def predict(docs: DataFrame, text: str, model: tuple[list[str], np.ndarray],
                 names=[*cols, "lang_pred", "score", "n_langs"])
 
     schema = into.select(*cols).schema
-    for name, kind in (("lang_pred", "string"), ("score", "double"), ("n_langs", "integer")):
-        if name in cols:
-            raise ValueError(f"column {name} exists already")
+    for name, kind in RESULTS:
         schema = schema.add(name, kind)
     return into.mapInArrow(run, schema)
 

@@ -81,3 +81,20 @@ def test_language_stage_fills_null_languages_and_keeps_clean_rows(spark, tmp_pat
     assert corpus_pipeline.identify_language(spark, und, "").count() == 43
     bare.write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+
+
+def test_columns_with_the_results_names(spark):
+    """Columns called like a stage's results are the documents' own and stay as they are."""
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    more = docs.withColumns({"score": F.col("doc_id") * 2.0, "lang_pred": F.lit("mine"), "n_langs": F.lit("x"),
+                             "__text": F.lit(1)})
+    want = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs, SF).collect()}
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        out = step(spark, more, SF)
+        assert out.columns == more.columns
+        rows = out.collect()
+        assert rows and all((r["score"], r["lang_pred"], r["n_langs"]) == (r["doc_id"] * 2.0, "mine", "x") for r in rows)
+        if step is corpus_pipeline.identify_language:
+            assert {r["doc_id"] for r in rows} == want
+    assert corpus_pipeline.pack_sequences(spark, more, SF).count() > 0
