@@ -23,9 +23,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     letter go; every other document stays."""
     ship_code(spark)
     model = language.learn(docs, "text", "lang")
-    marked = language.predict(docs.where(language.has_letter(F.col("text"))), "text", model)
+    # Under names of their own the documents' columns cannot clash with the results.
+    own = docs.toDF(*[f"doc_{c}" for c in docs.columns])
+    marked = language.predict(own.where(language.has_letter(F.col("doc_text"))), "doc_text", model)
     known = F.nullif(F.col("lang_pred"), F.lit(language.UNDETERMINED))
-    return marked.withColumn("lang", F.coalesce("lang", known)).select(*docs.columns)
+    filled = marked.withColumn("doc_lang", F.coalesce("doc_lang", known))
+    return filled.select(*[F.col(f"doc_{c}").alias(c) for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
