@@ -26,6 +26,7 @@ from statflow.operators import rows as R
 from statflow.operators.features import build_features, split
 from statflow.operators.partitioning import spread
 from statflow.plans.registry import query
+from statflow.session import ensure_checkpoint_dir
 from statflow.sinks import write_tsv
 from statflow.sources import read_lines, read_table, split_fields
 
@@ -180,8 +181,8 @@ def delay_model(features: DataFrame, label: str, categorical: Sequence[str],
                 weights: Sequence[float] = (0.7, 0.3), keep: Sequence[str] = ()):
     """J2 model: index -> one-hot -> assemble (one Pipeline), seeded hash split,
     logistic regression; returns (pipeline model, lr model, scored test rows).
-    The feature rows are read twice (level counts, training set), so they are
-    persisted until the model is fitted; ``keys`` identify a row."""
+    The feature rows are read several times (level counts, training set, scores): pass
+    rows that are checkpointed or persisted; ``keys`` identify a row."""
     pipe, data = build_features(features, categorical, numeric)
     data = data.select(*keys, *keep, label, "features")
     train, test = split(data, list(weights), seed, keys)
@@ -233,11 +234,15 @@ def flight_features(spark: SparkSession, path: str, mode: str = "strict",
 def flight_delay_flow(spark: SparkSession, path: str, seed: int = 42, mode: str = "strict",
                       match: str = "exact", keys: Sequence[str] = ()):
     """J2 end to end on flight records. Without ``keys`` that identify a row, rows get
-    their position in the scan, so equal flights are split like any others."""
+    their position in the scan, so equal flights are split like any others. The feature
+    rows are checkpointed: the file is not parsed again for levels, training and scores,
+    and a row keeps its position."""
     feats = flight_features(spark, path, mode, match)
     cats = FLIGHT_FREQUENT + list(FLIGHT_ALLOWED)
     if not keys:
         keys, feats = ["row"], feats.withColumn("row", F.monotonically_increasing_id())
+    ensure_checkpoint_dir(spark)
+    feats = feats.checkpoint(eager=True)
     return delay_model(feats, "ArrDelay", cats, FLIGHT_NUMERIC, list(keys), seed=seed)
 
 
@@ -266,13 +271,9 @@ def lineitem_part_features(spark: SparkSession, sf_dir: str, mode: str = "strict
 
 def flagship(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:
     """J2 end to end on lineitem x part: label, probability, prediction per held-out row."""
-    feats = lineitem_part_features(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        _, _, scored = delay_model(feats, "label", LP_FREQUENT + ["p_size"], LP_NUMERIC,
-                                   LP_KEYS, seed=seed)
-    finally:
-        feats.unpersist(blocking=False)
-    return scored
+    ensure_checkpoint_dir(spark)
+    feats = lineitem_part_features(spark, sf_dir).checkpoint(eager=True)
+    return delay_model(feats, "label", LP_FREQUENT + ["p_size"], LP_NUMERIC, LP_KEYS, seed=seed)[2]
 
 
 # ---------------------------------------------------------------- J3/J4 topic models
