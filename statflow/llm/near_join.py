@@ -1,19 +1,27 @@
-"""Operator 8: n-gram Jaccard self-join by banded MinHash LSH.
+"""Operator 8: n-gram Jaccard self-join by a MinHash LSH forest.
 
 Documents are sets of word 5-grams (words: lower-cased A-Z, split at ASCII white
 space; a text of 1 to 4 words is one shorter n-gram). Two different texts are linked
 when the Jaccard similarity of their sets is at least 0.8; equal texts are copies.
 
-Bands ("tries"): a pool of ``POOL`` min-hashes for each text; each of ``TREES`` bands
-orders its own selection of the pool, and texts that share its first ``depth`` labels
-meet in one node. The depth is fixed by the constants, not by a text or the data: the
-largest up to ``MAX_DEPTH`` whose expected recall at the threshold reaches the target
-(``depth_for``: the selections overlap, so recall is averaged over the number of equal
-min-hashes). Nodes meet by shuffling on a hash of the labels, and only nodes with two
-texts or more go on. Prefixes are not sorted, and none is shortened adaptively.
+Forest: a pool of ``POOL`` min-hashes for each text is its signature; each of
+``TREES`` prefix tries orders its own selection of the pool into a path of labels.
+Texts with equal signatures lie in one leaf of every trie, so they meet the same texts
+everywhere: a leaf's smallest node stands for it, the others connect to that one.
+
+Depth: the matched prefix of a text starts at the whole path and is shortened label
+by label until the expected recall of its least similar possible partner reaches the
+target (``text_depth``). That partner's similarity depends on the text's number of
+n-grams: a set of 6 has none between 0.8 and 5/6, one of 3 none but equal sets. The
+recall is averaged over the number of equal min-hashes, as the selections overlap.
+Two texts meet in a trie when they share the shorter of their two prefixes.
+
+A trie is sorted by path (hash of the prefix that all texts must share, then the labels
+below it); a node is a run of rows whose neighbours share its prefix, and runs are
+matched by falling depth. Only prefixes with two leaves or more are sorted.
 
 1. Copies become one node: counts and smallest doc_id by the text's hash.
-2. In each trie node, pairs whose pools agree in 60 % (a pair at 0.8 falls below that
+2. In each run of a trie, pairs whose pools agree in 60 % (a pair at 0.8 falls below that
    once in 10^7) connect; a task gives back one row a member, its smallest connected
    partner, not the pairs. Components of these rows are groups of possible partners;
    chance meetings, such as texts that share a passage only, end here.
@@ -48,6 +56,7 @@ NGRAM = 5
 THRESHOLD = (4, 5)  # Jaccard similarity as a fraction
 POOL, TREES, MAX_DEPTH, TARGET_RECALL = 128, 32, 12, 0.999
 SKETCH_SHARE = 0.6
+SMALL_SET = 64            # from so many n-grams on a text's depth is that of the threshold
 CHUNK = 256               # texts of a node or group in one chunk
 CHUNK_BYTES = 2 << 20     # text bytes of a group in one chunk
 _LAST = (1 << 63) - 1     # stands for a null doc_id while smallest ids are sought
@@ -62,6 +71,13 @@ def recall(similarity: float, depth: int, trees: int = TREES, pool: int = POOL)
     return out
 
 
+def least_similarity(size: int, num: int, den: int) -> float:
+    """The least similarity, ``num / den`` or more, that a set of ``size`` can have."""
+    unions = range(size, size * den // num + 1)
+    common = [-(-num * u // den) for u in unions]
+    return min(i / u for i, u in zip(common, unions) if i <= size)
+
+
 @lru_cache
 def depth_for(similarity: float, target: float, trees: int = TREES, pool: int = POOL) -> int:
     depth = MAX_DEPTH
@@ -70,6 +86,22 @@ def depth_for(similarity: float, target: float, trees: int = TREES, pool: int =
     return depth
 
 
+@lru_cache
+def depths_by_size(num: int, den: int, target: float) -> np.ndarray:
+    """Prefix length of texts of 1, 2, ... n-grams; the last entry (the shortest) is for
+    all larger ones, whose least similarity is as good as the threshold."""
+    some = [depth_for(least_similarity(m, num, den), target) for m in range(1, SMALL_SET)]
+    return np.array([MAX_DEPTH, *some, depth_for(num / den, target)], np.int8)
+
+
+def text_depth(hashes: np.ndarray, bounds: np.ndarray, depths: np.ndarray) -> np.ndarray:
+    """The prefix length of each row: by its number of distinct n-grams."""
+    size = np.minimum(np.diff(bounds), len(depths) - 1)
+    for k in np.flatnonzero(size < len(depths) - 1):
+        size[k] = len(np.unique(hashes[bounds[k]:bounds[k + 1]]))
+    return depths[size]
+
+
 def ngram_hashes(words: np.ndarray, bounds: np.ndarray, n: int = NGRAM):
     """``(hashes, bounds)`` of the n-grams of each row, in order, with repeats."""
     size = np.diff(bounds)
@@ -115,22 +147,34 @@ def min_hashes(hashes: np.ndarray, bounds: np.ndarray, piece: int = 1 << 16) ->
     return out
 
 
-def trie_keys(pool: np.ndarray, depth: int) -> np.ndarray:
-    """The node of each row in each trie (rows x TREES), as a 64-bit hash."""
+def trie_paths(pool: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's path in each trie (rows x TREES): a 64-bit hash of the first ``depth``
+    labels and, one byte a label in order, the labels below them."""
     picks = _family()[2]
     key = np.broadcast_to(np.arange(1, TREES + 1, dtype=np.uint64), (len(pool), TREES))
+    path = np.zeros((len(pool), TREES), np.int64)
+    labels = short_labels(pool)
     with np.errstate(over="ignore"):
         for d in range(depth):
             key = mix64(key * np.uint64(0x9DDFEA08EB382D69) + pool[:, picks[:, d]])
-    return key
+    for d in range(depth, MAX_DEPTH):
+        path = path << 8 | labels[:, picks[:, d]]
+    return key, path
+
+
+def short_labels(pool: np.ndarray) -> np.ndarray:
+    """One byte of each min-hash; mixed, as the leading bits of minima are mostly zero."""
+    return ((pool * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
 
 
 def _text_node(text):
     return F.xxhash64(text)
 
 
-def _signatures(texts: DataFrame, depth: int) -> DataFrame:
-    """``node, keys, sketch`` of ``(node, text)`` rows; texts without words give none."""
+def _signatures(texts: DataFrame, depths: np.ndarray) -> DataFrame:
+    """``node, depth, paths, sketch`` of ``(node, text)`` rows: the prefix length, one
+    ``(key, path)`` a trie and the signature; texts without words give none."""
+    shared = int(depths.min())
 
     def run(batches):
         import pyarrow as pa
@@ -147,18 +191,23 @@ def _signatures(texts: DataFrame, depth: int) -> DataFrame:
                 grams, bounds = ngram_hashes(words, bounds)
                 has = np.flatnonzero(np.diff(bounds))
                 if len(has):
-                    pool = min_hashes(grams, np.r_[bounds[has], bounds[-1]])
-                    keys = trie_keys(pool, depth).astype(np.int64).ravel()
+                    bounds = np.r_[bounds[has], bounds[-1]]
+                    pool = min_hashes(grams, bounds)
+                    keys, paths = trie_paths(pool, shared)
                     lists = np.arange(len(has) + 1, dtype=np.int32) * TREES
-                    sketch = np.ascontiguousarray((pool >> np.uint32(24)).astype(np.uint8))
+                    places = pa.StructArray.from_arrays(
+                        [pa.array(keys.astype(np.int64).ravel()), pa.array(paths.ravel())],
+                        names=["key", "path"])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(node[i:j][has]),
-                         pa.ListArray.from_arrays(pa.array(lists), pa.array(keys)),
-                         pa.array([r.tobytes() for r in sketch], pa.binary())],
-                        names=["node", "keys", "sketch"])
+                         pa.array(text_depth(grams, bounds, depths)),
+                         pa.ListArray.from_arrays(pa.array(lists), places),
+                         pa.array([r.tobytes() for r in short_labels(pool)], pa.binary())],
+                        names=["node", "depth", "paths", "sketch"])
                 i = j
 
-    return texts.mapInArrow(run, "node long, keys array<long>, sketch binary")
+    kind = "node long, depth byte, paths array<struct<key:long,path:long>>, sketch binary"
+    return texts.mapInArrow(run, kind)
 
 
 def _whole_groups(batches, key_cols):
@@ -187,23 +236,35 @@ def _group_starts(t, key_cols) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _pairs_in(first: np.ndarray, n: int, side: np.ndarray, cross: np.ndarray, most: int):
-    """Pairs of row numbers in each group, in slices of about ``most``; groups marked
-    ``cross`` pair rows of different sides only."""
-    size = np.diff(np.r_[first, n])
-    place = np.arange(n) - np.repeat(first, size)
-    after = np.repeat(size, size) - 1 - place
-    ends = np.cumsum(after)
-    i = 0
-    while i < n:
-        j = int(np.searchsorted(ends, (ends[i - 1] if i else 0) + most, "right"))
-        j = min(max(j, i + 1), n)
-        a = np.repeat(np.arange(i, j), after[i:j])
-        begin = np.cumsum(after[i:j]) - after[i:j]
-        b = a + 1 + np.arange(len(a)) - np.repeat(begin, after[i:j])
-        keep = ~cross[a] | (side[a] != side[b])
-        yield a[keep], b[keep]
-        i = j
+def trie_pairs(first: np.ndarray, path: np.ndarray, depth: np.ndarray, shared: int, most: int):
+    """Pairs of row numbers that meet, in slices of about ``most``. Rows are sorted by
+    group (the starts ``first``), then path; rows of a group share ``shared`` labels.
+
+    By falling depth: at each, the rows whose prefix ends there meet all rows of their
+    run with a prefix as long or longer; a pair is met once, at the shorter prefix."""
+    n = len(path)
+    group = np.repeat(np.arange(len(first)), np.diff(np.r_[first, n]))
+    for level in np.unique(depth)[::-1].tolist():
+        rows = np.flatnonzero(depth >= level)
+        prefix = path[rows] >> 8 * (MAX_DEPTH - max(level, shared))
+        new = np.r_[True, (group[rows[1:]] != group[rows[:-1]]) | (prefix[1:] != prefix[:-1])]
+        run = np.cumsum(new) - 1
+        ends_here = depth[rows] == level
+        rows = rows[np.lexsort((~ends_here, run))]  # in each run first those that end here
+        start = np.flatnonzero(new)
+        size = np.diff(np.r_[start, len(rows)])
+        later = np.repeat(start + size, size) - 1 - np.arange(len(rows))
+        after = np.where(depth[rows] == level, later, 0)
+        ends = np.cumsum(after)
+        i = 0
+        while i < len(rows):
+            j = int(np.searchsorted(ends, (ends[i - 1] if i else 0) + most, "right"))
+            j = min(max(j, i + 1), len(rows))
+            a = np.repeat(np.arange(i, j), after[i:j])
+            begin = np.cumsum(after[i:j]) - after[i:j]
+            b = a + 1 + np.arange(len(a)) - np.repeat(begin, after[i:j])
+            yield rows[a], rows[b]
+            i = j
 
 
 def _cells(df: DataFrame, chunks, node: str = "node") -> DataFrame:
@@ -215,7 +276,7 @@ def _cells(df: DataFrame, chunks, node: str = "node") -> DataFrame:
             .withColumn("cell_b", F.greatest("side", "__o")).drop("__o"))
 
 
-def _candidate_edges(members: DataFrame) -> DataFrame:
+def _candidate_edges(members: DataFrame, shared: int) -> DataFrame:
     """``u, v``: each member of a trie node and its smallest connected partner there."""
     need = int(np.ceil(POOL * SKETCH_SHARE))
     key = ["key", "cell_a", "cell_b"]
@@ -229,8 +290,11 @@ def _candidate_edges(members: DataFrame) -> DataFrame:
             sketch = sketch.reshape(n, POOL)
             side = t.column("side").to_numpy()
             cross = t.column("cell_a").to_numpy() != t.column("cell_b").to_numpy()
+            path, depth = t.column("path").to_numpy(), t.column("depth").to_numpy()
             hits = []
-            for a, b in _pairs_in(first, n, side, cross, 1 << 16):
+            for a, b in trie_pairs(first, path, depth, shared, 1 << 16):
+                keep = ~cross[a] | (side[a] != side[b])
+                a, b = a[keep], b[keep]
                 same = (sketch[a] == sketch[b]).sum(1) >= need
                 hits.append((a[same], b[same]))
             a, b = (np.concatenate(x) for x in zip(*hits))
@@ -241,7 +305,7 @@ def _candidate_edges(members: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])],
                                              names=["u", "v"])
 
-    return (members.repartition(*key).sortWithinPartitions(*key, "node")
+    return (members.repartition(*key).sortWithinPartitions(*key, "path", "node")
             .mapInArrow(run, "u long, v long"))
 
 
@@ -320,7 +384,7 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts; ``leads``: this text holds the class's smallest doc_id (one text a class).
     """
     num, den = threshold
-    depth = depth_for(num / den, target_recall)
+    depths = depths_by_size(num, den, target_recall)
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("id"),
                        null_safe_text(F.col(text)).alias("text"))
     rows = rows.withColumn("node", _text_node(F.col("text")))
@@ -328,13 +392,23 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"),
         F.max(F.octet_length("text")).alias("size")), "near-nodes")
 
-    signed = stage(_signatures(rows.select("node", "text"), depth)
+    signed = stage(_signatures(rows.select("node", "text"), depths)
                    .dropDuplicates(["node"]), "near-signatures")
-    places = signed.select("node", F.explode("keys").alias("key"))
+    # Texts of one signature: the smallest node stands for them in all tries.
+    leaves = signed.groupBy("sketch").agg(
+        F.min("node").alias("leaf"), F.min("depth").alias("least"),
+        F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    mates = stage(signed.select("node", "sketch").join(leaves, "sketch")
+                  .select("node", "leaf", "least"), "near-leaves")
+    tries = signed.join(mates, "node", "left").where("leaf is null or leaf = node")
+    places = tries.select("node", F.coalesce("least", "depth").alias("depth"),
+                          F.explode("paths").alias("at")).select("node", "depth", "at.*")
     crowded = stage(places.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
                     "near-tries")
     met = places.join(crowded, "key").join(signed.select("node", "sketch"), "node")
-    edges = _candidate_edges(_cells(met, F.ceil(F.col("n") / F.lit(CHUNK))))
+    edges = _candidate_edges(_cells(met, F.ceil(F.col("n") / F.lit(CHUNK))), int(depths.min()))
+    edges = edges.unionByName(mates.where("leaf <> node").select(
+        F.col("node").alias("u"), F.col("leaf").alias("v")))
     groups = stage(components(edges).withColumnRenamed("lead", "comp"), "near-groups")
 
     sized = groups.join(nodes, "node")

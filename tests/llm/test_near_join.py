@@ -121,11 +121,61 @@ def test_recall_measured_at_the_threshold():
     for _ in range(300):  # pairs with similarity 0.8: 160 common of 200
         h = rng.integers(0, 1 << 63, 200).astype(np.uint64)
         pool = nj.min_hashes(np.r_[h[:180], h[:160], h[180:]], np.array([0, 180, 360]))
-        keys = nj.trie_keys(pool, nj.depth_for(0.8, nj.TARGET_RECALL))
+        keys, _ = nj.trie_paths(pool, nj.depth_for(0.8, nj.TARGET_RECALL))
         found += bool((keys[0] == keys[1]).any())
     assert found >= 297
 
 
+def test_depth_is_the_longest_prefix_with_the_target_recall_for_each_size():
+    depths = nj.depths_by_size(*nj.THRESHOLD, nj.TARGET_RECALL)
+    assert depths[-1] == depths.min() == nj.depth_for(0.8, nj.TARGET_RECALL)
+    assert len(set(depths.tolist())) >= 3  # texts differ
+    for m in range(1, nj.SMALL_SET):
+        # By trying all sets: u in the union, i common.
+        near = [i / u for u in range(m, 2 * m + 1) for i in range(1, m + 1) if 5 * i >= 4 * u]
+        assert nj.least_similarity(m, *nj.THRESHOLD) == min(near)
+        assert nj.recall(min(near), int(depths[m])) >= nj.TARGET_RECALL
+        assert depths[m] == nj.MAX_DEPTH or nj.recall(min(near), int(depths[m]) + 1) < nj.TARGET_RECALL
+    sets = [np.arange(3), np.arange(6), np.arange(6).repeat(20), np.arange(500)]
+    bounds = np.r_[0, np.cumsum([len(x) for x in sets])]
+    got = nj.text_depth(np.concatenate(sets).astype(np.uint64), bounds, depths)
+    # Repeats in a short text count once; in a long one the depth is the safe, short one.
+    assert got.tolist() == [depths[3], depths[6], depths[-1], depths[-1]]
+    assert depths[3] > depths[6] > depths[-1]
+
+
+def test_runs_of_a_trie_meet_at_the_shorter_prefix():
+    rng = np.random.default_rng(4)
+    shared, n = 6, 300
+    group = np.sort(rng.integers(0, 3, n))
+    labels = rng.integers(0, 2, (n, nj.MAX_DEPTH - shared))
+    path = np.zeros(n, np.int64)
+    for k in range(labels.shape[1]):
+        path = path << 8 | labels[:, k]
+    order = np.lexsort((path, group))
+    group, labels, path = group[order], labels[order], path[order]
+    depth = rng.choice(np.array([6, 7, 9, 12], np.int8), n)
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    got = [tuple(sorted(p)) for a, b in nj.trie_pairs(first, path, depth, shared, 50)
+           for p in zip(a.tolist(), b.tolist())]
+    want = {(i, j) for i in range(n) for j in range(i + 1, n) if group[i] == group[j]
+            and (labels[i] == labels[j])[:min(depth[i], depth[j]) - shared].all()}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_short_texts_of_many_sizes(spark):
+    """Texts of 1 to 30 n-grams, where depths differ, with one word more or less."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for m in range(1, 31):
+        w = [f"s{m}x{x}" for x in range(m + 4)]
+        rows += [" ".join(w), " ".join(w[:-1]), " ".join(w + ["more"]), " ".join(w).upper()]
+        rows.append(" ".join(w[:-1] + [f"z{rng.integers(0, 99)}"]))
+    rows = list(enumerate(rows))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert order([tuple(r) for r in nj.jaccard_join(df).collect()]) == order(brute(rows))
+
+
 def test_components_on_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 160)] + [(7, 7), (200, 201)] * 2
     got = {r["node"]: r["lead"] for r in
