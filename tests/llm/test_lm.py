@@ -14,30 +14,39 @@ from statflow.llm import language, ngram_lm
 SF = "/root/testdata/sf0.001"
 
 
-def brute_lm(rows, a, b):
+def brute_lm(rows, a, b, order=2):
     def tokens(t):
         low = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
         return re.findall(r"[^\x20\x09-\x0D]+", low) + ["</s>"]
 
-    uni, pair = Counter(), Counter()
+    grams, follow = Counter(), Counter()  # n-grams and how often a history is followed
     fold = [zlib.crc32((b"" if i is None else str(i).encode())) % 7 == 2 for i, _ in rows]
     for (_, t), held in zip(rows, fold):
         if not held:
             w = tokens(t)
-            uni.update(w)
-            pair.update(zip(["</s>"] + w, w))
+            line = ["</s>"] + w
+            for k in range(1, order + 1):
+                for i in range(1, len(line)):
+                    if i - k + 1 >= 0:
+                        grams[tuple(line[i - k + 1:i + 1])] += 1
+                        follow[tuple(line[i - k + 1:i])] += 1
+    uni = Counter({g[0]: c for g, c in grams.items() if len(g) == 1})
     n, v = sum(uni.values()), len(uni)
+
+    def prob(h, x):
+        if not h:
+            return (uni[x] + 1) / (n + v + 1)
+        seen = follow[h]
+        m = a * seen ** b if seen else 1
+        return ((grams[h + (x,)] if seen else 0) + m * prob(h[1:], x)) / (seen + m)
+
     out = []
     for (i, t), held in zip(rows, fold):
-        w, score, base, state = tokens(t), 0.0, 0.0, "</s>"
-        for x in w:  # the walk: arc, or failure to the root
-            p = (uni[x] + 1) / (n + v + 1)
-            base += math.log10(p)
-            m = a * uni[state] ** b if uni[state] else 0
-            if uni[state]:
-                p = (pair[state, x] + m * p) / (uni[state] + m)
-            score += math.log10(p)
-            state = x
+        w, score, base = tokens(t), 0.0, 0.0
+        line = ["</s>"] + w
+        for k, x in enumerate(w):
+            base += math.log10(prob((), x))
+            score += math.log10(prob(tuple(line[max(0, k + 2 - order):k + 1]), x))
         out.append((i, held, len(w), sum(uni[x] > 0 for x in w), n, base, score))
     return out
 
@@ -53,7 +62,7 @@ def test_op3_against_brute_force(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     rows = entry.queries()["op3_backoff_lm"](spark, SF).collect()
     a, b = rows[0]["mass_a"], rows[0]["mass_b"]
-    same([tuple(r)[:7] for r in rows], brute_lm(docs, a, b))
+    same([tuple(r)[:7] for r in rows], brute_lm(docs, a, b, order=3))
     held = [r for r in rows if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
@@ -64,20 +73,95 @@ def test_lm_many_blocks_and_odd_rows(spark, monkeypatch):
     docs = [(i, " ".join(rng.choice(["a", "B", "cc", "é", "x1"], rng.integers(0, 30)))) for i in range(120)]
     docs += [(None, None), (7, "a  b\tc\n"), (7, "a  b\tc\n"), (200, "z " * 4000), (201, "")]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    rows = ngram_lm.score_documents(df, group_bytes=500).collect()
-    same([tuple(r)[:7] for r in rows], brute_lm(docs, rows[0]["mass_a"], rows[0]["mass_b"]))
+    monkeypatch.setattr(ngram_lm, "LANE_TOKENS", 50)
+    for order in (2, 3, 4):
+        rows = ngram_lm.score_documents(df, group_bytes=500, order=order).collect()
+        same([tuple(r)[:7] for r in rows], brute_lm(docs, rows[0]["mass_a"], rows[0]["mass_b"], order))
     assert ngram_lm.score_documents(df.limit(0)).count() == 0
 
 
-def test_each_state_sums_to_one():
-    word_n = np.array([5, 3, 1, 4])
-    c, w = np.repeat(np.arange(4), 4), np.tile(np.arange(4), 4)
-    n = np.array([2, 2, 1, 0, 1, 1, 0, 1, 0, 0, 0, 1, 2, 0, 0, 2])
+def small_block(seed=3, vocabulary=5):
+    rng = np.random.default_rng(seed)
+    size = rng.integers(0, 60, 40)
+    bounds = np.r_[0, np.cumsum(size + 1)]
+    words = np.sort(np.r_[rng.integers(1, 1 << 62, vocabulary).astype(np.uint64), ngram_lm._END])
+    end = int(np.searchsorted(words, ngram_lm._END))
+    word = rng.choice(np.delete(np.arange(vocabulary + 1), end), bounds[-1])
+    word[bounds[1:] - 1] = end
+    train = np.arange(40) % 7 != 2
+    return ngram_lm.Block(np.arange(40), np.ones(40, bool), train, bounds, words, word)
+
+
+def automaton(block, order, a, b):
+    grams = block.grams()
+    while grams.order < order:
+        grams.extend()
+    counts = [None] + [grams.counts(k, block.learn) for k in range(1, order + 1)]
+    return ngram_lm.Automaton(grams, counts, int(counts[1].sum()), int((counts[1] > 0).sum()), a, b)
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_each_state_sums_to_one(order):
+    block = small_block()
+    v = len(block.words)
     for a, b in ngram_lm.GRID:
-        m = ngram_lm.Automaton(word_n, c, w, n, 13, 4, a, b)
-        p = (10 ** m.arcs()).reshape(4, 4).sum(1)
-        unknown = 10 ** (m.fail + math.log10(1 / 18))
-        assert np.allclose(p + unknown, 1.0)
+        m = automaton(block, order, a, b)
+        lower = {w: m.p[1][w] for w in range(v)}  # p(w | h), arc or failure, state by state
+        table = {(): lower}
+        for k in range(2, order + 1):
+            # p of every word after every state: seen n-grams by their arcs, others by failure.
+            states = {}
+            for g in range(len(m.p[k])):
+                states.setdefault(int(m.grams.prefix[k][g]), {})[g] = m.p[k][g]
+            for h, arcs in states.items():
+                if m.counts[k - 1][h] == 0:
+                    continue
+                shorter = lower if k == 2 else table[k - 1, int(m.grams.suffix[k - 1][h])]
+                last = {g: int(m.grams.index[1][np.flatnonzero(m.grams.index[k] == g)[0]]) for g in arcs}
+                own = {w: 10 ** m.fail[k - 1][h] * shorter[w] for w in range(v)}
+                own.update({last[g]: p for g, p in arcs.items()})
+                table[k, h] = own
+                unknown = 10 ** m.fail[k - 1][h] * (1 / (m.tokens + m.distinct + 1) if k == 2 else
+                                                   1 - sum(shorter.values()))
+                assert abs(sum(own.values()) + unknown - 1) < 1e-9
+
+
+@pytest.mark.parametrize("lane", [1, 3, 1024])
+def test_the_walk_carries_the_longest_seen_history(lane):
+    block = small_block(vocabulary=12)
+    m = automaton(block, 3, 2.0, 0.8)
+    depth, taken = ngram_lm.walk(m.grams, m.counts, lane)
+    line = lambda d: [int(m.grams.end), *block.word[block.bounds[d]:block.bounds[d + 1]].tolist()]
+    seen = {()}
+    for d in np.flatnonzero(block.train):
+        w = line(d)
+        seen |= {tuple(w[i:i + k]) for k in (1, 2, 3) for i in range(len(w)) if i + k <= len(w)}
+    for d in range(40):
+        w = line(d)
+        for i in range(1, len(w)):
+            longest = max(k for k in (0, 1, 2) if k <= i and tuple(w[i - k:i]) in seen)
+            at = block.bounds[d] + i - 1
+            assert depth[at] == longest
+            arcs = [k for k in range(2, longest + 2) if tuple(w[i - k + 1:i + 1]) in seen]
+            assert taken[at] == max(arcs, default=1)
+    # The weights on the path add up to the interpolated probability.
+    assert np.allclose(m.scores((depth, taken)), np.log10(m.grams.by_token(m.p)))
+    assert {0, 1, 2} >= set(depth.tolist()) and {1, 2, 3} == set(taken.tolist())
+
+
+def test_ngrams_no_other_block_can_hold_are_not_asked_for():
+    block = small_block(vocabulary=12)
+    grams = block.grams()
+    grams.extend()
+    grams.extend()
+    shared = np.zeros(len(grams.hashes[2]), bool)
+    assert len(ngram_lm._open(3, grams, [None, None, shared])) == 0  # this block is the corpus
+    shared[[grams.prefix[3][0], grams.suffix[3][0]]] = True
+    asked = ngram_lm._open(3, grams, [None, None, shared])
+    assert 0 in asked and len(asked) < len(grams.hashes[3])
+    kept = ngram_lm.Block.load(memoryview(block.dump()))
+    for name in ("doc_ids", "valid", "train", "bounds", "words", "word"):
+        assert (getattr(kept, name) == getattr(block, name)).all()
 
 
 def test_op9_accuracy_on_held_out(spark):
