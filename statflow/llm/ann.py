@@ -1,8 +1,12 @@
 """Operator 5: approximate nearest neighbours by balanced posting lists.
 
-Centroids are fitted by balanced k-means on a bounded sample (``SAMPLE`` rows, by
-hash) and linked into a nearest-neighbour graph, which is small (``MAX_LISTS``
-nodes) and goes to every task; centroids are searched in that graph. Every vector is
+Lists are in proportion to the square root of the rows (``2 * sqrt(n)``) at every size.
+Their centroids are fitted in two levels of balanced k-means: the driver fits the square
+root of their number as cells on a bounded sample (about ``SAMPLE`` rows, by hash), and a
+task a cell fits that cell's lists on a sample of ``LIST_SAMPLE`` rows a list, at most
+``CELL_SAMPLE`` a cell. Tasks then link the centroids into a nearest-neighbour graph. It
+holds ``2 * sqrt(n)`` vectors (64,000 for 10**9 rows, 32 MB at 64 numbers each) and goes to
+every task; centroids are searched in that graph. Every vector is
 indexed: it goes to the posting list of its nearest centroid and, at a boundary, to
 further lists whose centroid is within ``REPLICA_RATIO`` of the nearest distance and
 not closer to a centroid chosen before. A query visits the lists whose centroid is
@@ -14,12 +18,13 @@ Vectors and queries meet by a shuffle on (list, part): lists with more than
 so no list is collected whole. Each part returns its k nearest for a query, and a
 window keeps the best of all parts.
 
-Parameters that decide recall: the two ratios and ``LEAST_VECTORS``. The fit is the same for any corpus
-above the sample's size except for the number of lists.
+Parameters that decide recall: the two ratios and ``LEAST_VECTORS``. The fit is the same at
+any size.
 
 Defined cases: a vector takes no part if it or its id is null, it holds a null or a
 non-finite component, all components are zero, or its length is not the table's most
-frequent one; rows equal in id and vector count once; ties go to the smaller id; with
+frequent one; rows equal in id and vector count once; of several vectors of one query id
+the smallest, number by number, is asked; ties go to the smaller id; with
 fewer candidates than k all are returned; an empty table gives an empty result;
 extra columns are ignored.
 """
@@ -35,7 +40,7 @@ from pyspark.sql import functions as F
 from statflow.llm.common import names, stage
 
 SAMPLE = 20_000
-MAX_LISTS = 1024
+LIST_SAMPLE, CELL_SAMPLE = 40, 20_000
 REPLICAS, REPLICA_RATIO = 8, 1.15
 SEARCH_RATIO, SEARCH_LISTS = 1.3, 256
 LEAST_VECTORS = 40
@@ -93,8 +98,7 @@ class Centroids:
         return np.where(np.isfinite(dist), found, -1)[:, :want], dist[:, :want]
 
 
-def fit_centroids(sample: np.ndarray, lists: int, rounds: int = 12, degree: int = 16,
-                  entries: int = 16, seed: int = 11) -> Centroids:
+def balanced_means(sample: np.ndarray, lists: int, rounds: int = 12, seed: int = 11) -> np.ndarray:
     """Balanced k-means: a list's size in the last round makes it dearer or cheaper."""
     rng = np.random.default_rng(seed)
     lists = max(1, min(lists, len(sample)))
@@ -115,14 +119,92 @@ def fit_centroids(sample: np.ndarray, lists: int, rounds: int = 12, degree: int
         points = np.where(empty[:, None], points, total / np.maximum(size, 1)[:, None])
         if empty.any():  # start again at random members
             points[empty] = sample[rng.integers(0, len(sample), int(empty.sum()))]
-    d = (points ** 2).sum(1)[:, None] + (points ** 2).sum(1) - 2 * points @ points.T
-    np.fill_diagonal(d, np.inf)
-    near = np.argsort(d, axis=1, kind="stable")[:, :max(1, min(degree, lists - 1))]
-    if lists == 1:
-        near = np.zeros((1, 1), np.int64)
+    return points
+
+
+def neighbours(points: np.ndarray, rows: np.ndarray, degree: int = 16) -> np.ndarray:
+    """The ``degree`` nearest other points of some points, nearest first (all, if fewer)."""
+    degree, norm = min(degree, len(points) - 1), (points ** 2).sum(1)
+    if degree < 1:
+        return np.zeros((len(rows), 1), np.int64)
+    out, step = [], _step(len(points), 1 << 22)
+    for i in range(0, len(rows), step):
+        own = rows[i:i + step]
+        d = norm[own, None] + norm - 2 * points[own] @ points.T
+        d[np.arange(len(own)), own] = np.inf
+        out.append(np.argsort(d, axis=1, kind="stable")[:, :degree])
+    return np.concatenate(out)
+
+
+def _step(lists: int, cells: int = 1 << 24) -> int:
+    """Rows at a time so that rows x lists stays bounded."""
+    return max(1, min(1024, cells // lists))
+
+
+def linked(points: np.ndarray, near: np.ndarray, entries: int = 16, seed: int = 11) -> Centroids:
+    rng = np.random.default_rng(seed)
     # A random link each keeps separate clusters of centroids connected.
-    graph = np.concatenate([near, rng.integers(0, lists, (lists, 2))], 1)
-    return Centroids(points, graph, rng.permutation(lists)[:entries])
+    graph = np.concatenate([near, rng.integers(0, len(points), (len(points), 2))], 1)
+    return Centroids(points, graph, rng.permutation(len(points))[:entries])
+
+
+def fit_centroids(sample: np.ndarray, lists: int) -> Centroids:
+    """Centroids of an array, in one level and one process."""
+    points = balanced_means(sample, lists)
+    return linked(points, neighbours(points, np.arange(len(points))))
+
+
+def fit_lists(vectors: DataFrame, total: int, lists: int, sample: int = SAMPLE,
+              cell_sample: int = CELL_SAMPLE) -> Centroids:
+    """About ``lists`` centroids of a table of ``total`` vectors, in two levels."""
+    spark, cells = vectors.sparkSession, max(1, int(np.ceil(lists ** 0.5)))
+    part = 1_000_000_000
+    draw = lambda salt, n: vectors.withColumn("key", F.pmod(
+        F.xxhash64("vec_id", F.lit(salt)), F.lit(part))).where(F.col("key") < F.lit(-(-n * part // total)))
+    x = _matrix(draw(1, sample).limit(2 * sample).select("embedding").toArrow().column(0))
+    if not len(x):  # a tiny share may draw nothing
+        x = _matrix(vectors.limit(1).select("embedding").toArrow().column(0))
+    x = x[np.lexsort(x.T)]  # the order of rows does not matter
+    top = balanced_means(x, cells)
+    norm, each = (top ** 2).sum(1), -(-lists // len(top))
+
+    def place(batches):
+        import pyarrow as pa
+        for batch in batches:
+            m, step = _matrix(batch.column("embedding")), _step(len(top))
+            at = [(norm - 2 * m[i:i + step] @ top.T).argmin(1) for i in range(0, len(m), step)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(at or [np.zeros(0)]).astype(np.int32)),
+                 batch.column("key"), batch.column("vec_id"), batch.column("embedding")],
+                names=["cell", "key", "vec_id", "embedding"])
+
+    def split(key, table):
+        import pyarrow as pa
+        m = _matrix(table.column("embedding"))
+        return pa.table({"cell": pa.array(np.full(min(each, len(m)), key[0].as_py(), np.int32)),
+                         "embedding": pa.array(list(balanced_means(m[np.lexsort(m.T)], each)),
+                                               pa.list_(pa.float64()))})
+
+    first = Window.partitionBy("cell").orderBy("key", "vec_id", "embedding")
+    drawn = draw(2, LIST_SAMPLE * lists).select("key", "vec_id", "embedding").mapInArrow(
+        place, "cell int, key long, vec_id long, embedding array<double>")
+    fitted = (drawn.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= cell_sample)
+              .groupBy("cell").applyInArrow(split, "cell int, embedding array<double>"))
+    points = _matrix(fitted.toArrow().column("embedding"))
+    if not len(points):
+        points = top
+    points = points[np.lexsort(points.T)]
+
+    def link(batches):
+        import pyarrow as pa
+        for batch in batches:
+            if batch.num_rows:
+                near = neighbours(points, batch.column("id").to_numpy())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), pa.array(list(near), pa.list_(pa.int64()))], names=["id", "near"])
+
+    near = spark.range(len(points)).mapInArrow(link, "id long, near array<long>").toArrow()
+    return linked(points, _matrix(near.sort_by("id").column("near")))
 
 
 def posting_lists(c: Centroids, x: np.ndarray, replicas: int = REPLICAS,
@@ -162,8 +244,7 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, sample: int = SAMPLE,
-            max_lists: int = MAX_LISTS, ratio: float = SEARCH_RATIO,
-            visit: int = SEARCH_LISTS) -> DataFrame:
+            ratio: float = SEARCH_RATIO, visit: int = SEARCH_LISTS) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest found of each query's vector.
     Both tables: ``vec_id, embedding`` as ``usable`` gives them; a query's own id is
     not its neighbour."""
@@ -172,29 +253,23 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, sample: int = S
     schema = "query_id long, rank int, vec_id long, score double"
     if total == 0:
         return spark.createDataFrame([], schema)
-    share = F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000))
-    drawn = vectors.where(share < F.lit(-(-sample * 1_000_000 // total))).limit(2 * sample)
-    drawn = drawn if total > sample else vectors
-    x = _matrix(drawn.select("embedding").toArrow().column(0))
-    if not len(x):  # a tiny sample share may draw nothing
-        x = _matrix(vectors.limit(1).select("embedding").toArrow().column(0))
-    x = x[np.lexsort(x.T)]  # the order of rows does not matter
-    centroids = fit_centroids(x, min(max_lists, max(1, int(2 * total ** 0.5))))
+    centroids = fit_lists(vectors, total, max(1, int(2 * total ** 0.5)), sample)
+    step = _step(len(centroids.points))
 
     def index(batches):
         import pyarrow as pa
         for batch in batches:
             m = _matrix(batch.column("embedding"))
-            for i in range(0, len(m), 1024):
-                row, at = posting_lists(centroids, m[i:i + 1024])
-                part = batch.slice(i, 1024).take(pa.array(row))
+            for i in range(0, len(m), step):
+                row, at = posting_lists(centroids, m[i:i + step])
+                part = batch.slice(i, step).take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(at.astype(np.int32)), part.column("vec_id"), part.column("embedding")],
                     names=["list", "vec_id", "embedding"])
 
     kind = "list int, vec_id long, embedding array<double>"
     listed = stage(vectors.mapInArrow(index, kind), "ann-lists")
-    held = listed.groupBy("list").agg(F.count(F.lit(1)).alias("n"))  # at most max_lists rows
+    held = listed.groupBy("list").agg(F.count(F.lit(1)).alias("n"))  # a row a list
     sizes = np.zeros(len(centroids.points), np.int64)
     for r in held.collect():
         sizes[r["list"]] = r["n"]
@@ -204,12 +279,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, sample: int = S
         import pyarrow as pa
         for batch in batches:
             m = _matrix(batch.column("embedding"))
-            for i in range(0, len(m), 1024):
-                found, dist = centroids.search(m[i:i + 1024], visit, visit)
+            for i in range(0, len(m), step):
+                found, dist = centroids.search(m[i:i + step], visit, visit)
                 size = np.where(found >= 0, sizes[found], 0)
                 few = np.cumsum(size, axis=1) - size < least
                 row, slot = np.nonzero((found >= 0) & (few | (dist <= ratio * dist[:, :1] + 1e-12)))
-                part = batch.slice(i, 1024).take(pa.array(row))
+                part = batch.slice(i, step).take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found[row, slot].astype(np.int32)), part.column("vec_id"),
                      part.column("embedding")], names=["list", "vec_id", "embedding"])
@@ -279,5 +354,6 @@ def search_self(vectors: DataFrame, modulus: int = 100, k: int = 10, **options)
     """Rows whose vec_id is divisible by ``modulus`` against all rows."""
     names(vectors, ["vec_id", "embedding"])
     rows = usable(vectors, "vec_id", "embedding")
-    queries = rows.where(F.pmod(F.col("vec_id"), F.lit(modulus)) == 0).dropDuplicates(["vec_id"])
+    queries = (rows.where(F.pmod(F.col("vec_id"), F.lit(modulus)) == 0)
+               .groupBy("vec_id").agg(F.min("embedding").alias("embedding")))
     return nearest(rows, queries, k, **options)
