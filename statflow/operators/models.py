@@ -29,6 +29,8 @@ from statflow.functions.arrays import explode_values
 from statflow.operators import lda as tables
 from statflow.operators import linear
 from statflow.operators.aggregates import gram
+from statflow.operators.embeddings import TermVectors
+from statflow.operators.online_topics import VectorTopics
 from statflow.operators.ordering import global_rank
 from statflow.session import ensure_checkpoint_dir
 
@@ -176,11 +178,11 @@ def lookup(df: DataFrame, idx: str, vocab: DataFrame, out: str,
 @dataclass
 class TopicModel:
     """``vocab``: table ``term_index, term, ttf, df``; None for word-vector models. ``lda``: a
-    table of topics, or Spark's model of topics over word vectors."""
+    table of topics, or a model of topics over word vectors."""
 
     vocab: DataFrame | None
-    embedder: Word2VecModel | None
-    lda: tables.TopicTable | LDAModel
+    embedder: Word2VecModel | TermVectors | None
+    lda: tables.TopicTable | VectorTopics | LDAModel
     features: str
 
 
@@ -267,8 +269,11 @@ def fit_lda(df: DataFrame, features: str, k: int = 5, max_iter: int = 10, seed:
     return fit_persisted(df.select(features), lda.fit)
 
 
-def topics(model: tables.TopicTable | LDAModel, m: int = 10) -> DataFrame:
+def topics(model: tables.TopicTable | VectorTopics | LDAModel, m: int = 10) -> DataFrame:
     """Top ``m`` terms per topic as long rows ``(topic, rank, term_index, weight)``."""
+    if isinstance(model, VectorTopics):
+        return SparkSession.active().createDataFrame(
+            model.top(m), "topic int, rank int, term_index int, weight double")
     if isinstance(model, tables.TopicTable):
         return tables.top_terms(model, m)
     desc = model.describeTopics(m)

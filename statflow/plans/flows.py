@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,10 +19,12 @@ from statflow.functions import arrays as Y
 from statflow.functions import scalars as S
 from statflow.functions.constants import OTHER_LEVEL, OTHERS_LABEL
 from statflow.operators import aggregates as A
+from statflow.operators import embeddings
 from statflow.operators import lda as tables
 from statflow.operators import levels as L
 from statflow.operators import linear
 from statflow.operators import models as M
+from statflow.operators import online_topics
 from statflow.operators import rows as R
 from statflow.operators.features import build_features, split
 from statflow.operators.partitioning import spread
@@ -308,19 +311,39 @@ def topic_model(df: DataFrame, text: str, key: str, k: int = 5, max_iter: int =
 
 def topic_model_embedded(df: DataFrame, text: str, k: int = 5, max_iter: int = 10,
                          seed: int = 42, vector_size: int | str = "median",
-                         optimizer: str = "em", partitions: int | None = None):
-    """N-grams -> Word2Vec (size = median n-gram count) -> LDA on the vectors.
-
-    Word vectors hold negative values while LDA expects counts. Spark accepts
-    them, but the online optimiser's per-document loop runs until gamma
-    converges, with no iteration cap, and on negative inputs it may never
-    converge; ``em`` (the default, also of the registered query) runs exactly
-    ``max_iter`` rounds. Pass ``optimizer="online"`` for the other.
+                         optimizer: str = "em", partitions: int | None = None,
+                         embedder: str = "word2vec", key: str | None = None):
+    """N-grams -> term vectors (size = median n-gram count) -> topics of their means.
+
+    ``optimizer="online"`` (the original's choice) is ``online_topics``: word vectors hold
+    negative values, on which Spark's own online loop may never end. It needs the rows'
+    ``key``. ``em`` is Spark's EM optimiser, ``max_iter`` rounds. ``embedder="word2vec"``
+    keeps the vocabulary on the driver; ``"table"`` (vectors of ``embeddings.embed_terms``,
+    online topics only) does not.
     """
     terms = text_terms(spread(df, partitions), text)
-    w2v, embedded = M.embed(terms, "ngrams", "word_vec", vector_size, seed=seed)
-    lda = M.fit_lda(embedded, "word_vec", k, max_iter, seed, optimizer=optimizer)
-    return M.TopicModel(None, w2v, lda, "word_vec"), embedded
+    if optimizer != "online":
+        if embedder != "word2vec":
+            raise ValueError("vectors as tables go with the online optimiser")
+        w2v, embedded = M.embed(terms, "ngrams", "word_vec", vector_size, seed=seed)
+        return M.TopicModel(None, w2v, M.fit_lda(embedded, "word_vec", k, max_iter, seed, optimizer),
+                            "word_vec"), embedded
+    if key is None:
+        raise ValueError("online topics need the column that identifies a row")
+    ensure_checkpoint_dir(df.sparkSession)
+    if embedder == "word2vec":
+        model, embedded = M.embed(terms, "ngrams", "word_vec", vector_size, seed=seed)
+        embedded = embedded.select(key, vector_to_array("word_vec").alias("word_vec"))
+    else:
+        terms = terms.select(key, "ngrams").checkpoint(eager=True)
+        size = M.median_vector_size(terms, "ngrams") if vector_size == "median" else int(vector_size)
+        model = embeddings.embed_terms(terms, "ngrams", size, seed=seed)
+        values = F.array(*[F.col(f"v{j}") for j in range(model.size)]).cast("array<double>")
+        embedded = embeddings.mean_vectors(terms, [key], "ngrams", model).select(
+            key, values.alias("word_vec"))
+    embedded = embedded.checkpoint(eager=True)
+    topics = online_topics.fit_online(embedded, [key], "word_vec", k, max_iter, seed)
+    return M.TopicModel(None, model, topics, "word_vec"), embedded
 
 
 # ---------------------------------------------------------------- J5 keyed text jobs
