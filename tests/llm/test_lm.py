@@ -175,6 +175,73 @@ def test_op9_accuracy_on_held_out(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def brute_language(counts, probs, penalty, rounds=12):
+    """One document by loops over all sizes of its language set, without any bound:
+    (index of the language, proportion, languages in the set)."""
+    n_lang = probs.shape[1]
+
+    def fit(pi):
+        total = sum(counts.values())
+        for _ in range(rounds):
+            new = [0.0] * n_lang
+            for b, c in counts.items():
+                z = sum(probs[b, l] * pi[l] for l in range(n_lang))
+                for l in range(n_lang):
+                    new[l] += c * probs[b, l] * pi[l] / max(z, 1e-300)
+            pi = [x / total for x in new]
+        return pi, sum(c * math.log(max(sum(probs[b, l] * pi[l] for l in range(n_lang)), 1e-300))
+                       for b, c in counts.items())
+
+    single = [sum(c * math.log(probs[b, l]) for b, c in counts.items()) for l in range(n_lang)]
+    best = max(range(n_lang), key=single.__getitem__)
+    found, top = (best, 1.0, 1), single[best]
+    cost = penalty * math.log(max(sum(counts.values()), 2))
+    pi, _ = fit([1 / n_lang] * n_lang)
+    order = sorted(range(n_lang), key=lambda l: -pi[l])
+    for k in range(2, n_lang + 1):
+        start = [pi[l] + 1e-6 if l in order[:k] else 0.0 for l in range(n_lang)]
+        share, score = fit([x / sum(start) for x in start])
+        if score - (k - 1) * cost > top:
+            top, found = score - (k - 1) * cost, (share.index(max(share)), max(share), k)
+    return found
+
+
+def test_op9_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()
+    # Texts in two languages are among those predicted.
+    mixed = [(10_000 + i, (a["text"] or "")[:300] + " " + (b["text"] or "")[:300], None)
+             for i, (a, b) in enumerate(zip(docs[:20], docs[20:40]))]
+    rows = [tuple(r) for r in docs] + mixed
+    got = {r["doc_id"]: r for r in language.identify(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+
+    def grams(text):
+        raw = np.frombuffer(f" {text.lower()} ".encode(), np.uint8)
+        _, bucket, count = language.gram_counts(raw, np.array([0, len(raw)]))
+        return dict(zip(bucket.tolist(), count.tolist()))
+
+    learned = {}
+    for i, text, lang in rows:
+        if lang is not None and text is not None and zlib.crc32(str(i).encode()) % 5:
+            into = learned.setdefault(lang, Counter())
+            for b, c in grams(text).items():
+                into[b] += c
+    languages = sorted(learned)
+    probs = np.array([[learned[l][b] + 0.5 for l in languages] for b in range(language.BUCKETS)])
+    probs /= probs.sum(0)
+    sizes = set()
+    for i, text, _ in [*rows[::7], *mixed]:
+        r = got[i]
+        if not any(c.isalpha() for c in text or ""):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        best, share, size = brute_language(grams(text), probs, language.PENALTY)
+        assert r["lang_pred"] == languages[best] and r["n_langs"] == size
+        assert r["score"] == pytest.approx(share, abs=1e-9)
+        sizes.add(size)
+    assert {1, 2} <= sizes
+
+
 def test_language_odd_rows(spark):
     rows = [(i, t, l, "x") for i, (t, l) in enumerate(
         [("the cat and the dog of the house", "en"), ("le chat et le chien de la maison", "fr")] * 40)]
