@@ -182,10 +182,10 @@ def fold_features(df: DataFrame, label: str, label_gt: float, frequent: Sequence
 def delay_model(features: DataFrame, label: str, categorical: Sequence[str],
                 numeric: Sequence[str], keys: Sequence[str], seed: int = 42,
                 weights: Sequence[float] = (0.7, 0.3), keep: Sequence[str] = ()):
-    """J2 model: index -> one-hot -> assemble (one Pipeline), seeded hash split,
-    logistic regression; returns (pipeline model, lr model, scored test rows).
-    The feature rows are read several times (level counts, training set, scores): pass
-    rows that are checkpointed or persisted; ``keys`` identify a row."""
+    """J2 model: index -> one-hot -> assemble, seeded hash split, logistic regression;
+    returns (feature model, lr model, scored test rows). The rows are read twice (level
+    counts, encoding): pass rows that are checkpointed or persisted; training and scores
+    read the encoded table. ``keys`` identify a row."""
     pipe, data = build_features(features, categorical, numeric)
     data = data.select(*keys, *keep, label, "features")
     train, test = split(data, list(weights), seed, keys)

@@ -21,7 +21,7 @@ from statflow.operators import aggregates as A
 from statflow.operators import levels as L
 from statflow.operators import rows as R
 from statflow.operators.jobs import cluster_by
-from statflow.plans.registry import query
+from statflow.plans.registry import ORACLES, query
 from statflow.sinks import format_line, head
 from statflow.sources import read_table
 
@@ -469,6 +469,15 @@ def assemble_q(spark, sf_dir):
     return vector_entries(df, ["p_partkey"], "features")
 
 
+@query("build_features", ORACLES["assemble"])
+def build_features_q(spark, sf_dir):
+    """M6: the same vectors in one step, level lists on the executors only."""
+    from statflow.operators.features import build_features, vector_entries
+    part = _t(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_retailprice")
+    _, df = build_features(part, ["p_brand", "p_type"], ["p_retailprice"])
+    return vector_entries(df, ["p_partkey"], "features")
+
+
 TYPE_LEVELS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 

@@ -267,3 +267,29 @@ def test_cluster_by_spreads_hot_key(spark):
     assert parts > 1  # the hot key is not funnelled into one task
     keys = [r.k for r in out.collect()]
     assert keys == sorted(keys)
+
+
+def test_build_features_equals_the_stages_and_refuses_nulls(spark):
+    from pyspark.errors import PySparkException
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    from statflow.operators import features as X
+    rows = [(i, "abcab"[i % 5], i % 3, float(i % 4), i / 7) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, g string, n int, x double, y double")
+    model, got = X.build_features(df, ["g", "n"], ["x", "y"])
+    assert model.levels == {"g": 3, "n": 3} and model.size == 6
+    idx = X.string_indexer(["g", "n"])
+    ohe = X.one_hot_encoder(idx.getOutputCols())
+    pipe = Pipeline(stages=[idx, ohe, X.assembler(["x", "y", *ohe.getOutputCols()])]).fit(df)
+    want = {r["id"]: r["f"] for r in pipe.transform(df).select("id", vector_to_array("features").alias("f")).collect()}
+    assert {r["id"]: r["f"] for r in got.select("id", vector_to_array("features").alias("f")).collect()} == want
+    assert got.columns == [*df.columns, "features"]
+    assert "Python" not in got._jdf.queryExecution().toString()
+    # A column of one level has no slot; without categorical columns only the numbers stand.
+    one, _ = X.build_features(df.where("g = 'c'"), ["g"], ["x"])
+    assert one.size == 1
+    assert X.build_features(df, [], ["y"])[1].count() == 40
+    for bad in ("(1, null, 1, 1D, 1D)", "(1, 'zz', 1, 1D, 1D)", "(1, 'a', 1, null, 1D)"):
+        odd = spark.sql(f"select * from values {bad} as t(id, g, n, x, y)")
+        with pytest.raises(PySparkException):
+            model.transform(odd)
