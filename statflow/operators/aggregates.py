@@ -128,16 +128,17 @@ def _gram_batches(df: DataFrame, cols: Sequence[str], intercept: bool) -> DataFr
 
 
 def impute_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Replace nulls by the column's global mean (one aggregate pass, as a
-    scalar subquery of the same plan: no job runs while the frame is built).
-    A column without any value stays null."""
+    """Replace nulls by the column's global mean (one aggregate pass, its one row
+    broadcast: no job runs while the frame is built). A column without any value stays null.
+
+    The means are joined, not a scalar subquery: a subquery whose fields are used one by
+    one runs once a field."""
     cols = list(cols)
     if not cols:
         return df
-    means = df.agg(F.struct(*[F.avg(c).alias(f"m{k}") for k, c in enumerate(cols)])
-                   .alias("means")).scalar()
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), means[f"m{k}"])
-                           for k, c in enumerate(cols)})
+    means = df.agg(F.struct(*[F.avg(c).alias(f"m{k}") for k, c in enumerate(cols)]).alias("__means"))
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.col("__means")[f"m{k}"]) for k, c in enumerate(cols)}
+    return df.crossJoin(F.broadcast(means)).withColumns(filled).drop("__means")
 
 
 def impute_const(df: DataFrame, mapping: Mapping[str, object]) -> DataFrame:
