@@ -124,7 +124,7 @@ _STEP_DOCS = " UNION ALL ".join(
 
 
 def _one_step(spark, sf_dir):
-    terms = flows.text_terms(flows.spread(flows._documents(spark, sf_dir), flows.TEXT_TASKS), "text")
+    terms = flows.text_terms(flows.spread(flows._documents(spark, sf_dir), flows.TEXT_TASKS, "doc_id"), "text")
     vocab, rows = M.weighted_terms(terms.select("doc_id", "ngrams"), "doc_id", "ngrams")
     return vocab, tables.fit_topics(tables.entries(rows, "doc_id"), vocab, _K, 1)
 

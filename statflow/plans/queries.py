@@ -619,12 +619,14 @@ DOC_TERMS_SQL = f"""d AS (SELECT doc_id, f,
   FROM (SELECT doc_id, {FILT_SQL} AS f FROM documents))"""
 
 
-TEXT_TASKS = 32  # documents are one file: deal its rows to so many tasks
+TEXT_TASKS = 32  # documents are one file: deal its rows to so many tasks at least,
+TEXT_ROWS = 10_000  # and to more if there are more rows than so many a task
 
 
-def _doc_terms(spark, sf_dir):
+def _doc_terms(spark, sf_dir, key=None):
     from statflow.operators.partitioning import spread
-    docs = spread(_t(spark, sf_dir, "documents").select("doc_id", "text"), TEXT_TASKS)
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(docs, max(TEXT_TASKS, -(-docs.count() // TEXT_ROWS)), key)
     return (docs.withColumn("tokens", Y.tokenize("text"))
             .withColumn("filtered", Y.remove_stopwords("tokens"))
             .withColumn("bigrams", Y.ngrams("filtered", 2))
@@ -731,7 +733,7 @@ FROM tc GROUP BY term
 """)
 def vocabulary_q(spark, sf_dir):
     from statflow.operators.models import vocabulary
-    return vocabulary(_doc_terms(spark, sf_dir).select("doc_id", "bigrams"), "doc_id", "bigrams")
+    return vocabulary(_doc_terms(spark, sf_dir, "doc_id").select("doc_id", "bigrams"), "doc_id", "bigrams")
 
 
 @query("lookup_arrays", """
