@@ -694,7 +694,7 @@ FROM tc JOIN dfq USING (term), m
 """)
 def tf_idf_q(spark, sf_dir):
     from statflow.operators.models import tf_idf
-    out = tf_idf(_doc_terms(spark, sf_dir), "doc_id", "bigrams")
+    out = tf_idf(_doc_terms(spark, sf_dir, "doc_id"), "doc_id", "bigrams")
     return out.withColumns({c: F.round(c, 9) for c in ("idf", "tf_idf")})
 
 

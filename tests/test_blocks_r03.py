@@ -24,6 +24,20 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_tf_idf_counts_documents_where_they_are(spark):
+    plan = _plan(entry.queries()["tf_idf"](spark, SF))
+    assert "hashpartitioning(doc_id" in plan
+    assert not re.search(r"hashpartitioning\(doc_id#\d+L, term", plan)
+
+
+def test_tf_idf_of_terms_in_one_document(spark):
+    rows = [(1, ["a", "b", "a"]), (2, ["b", None]), (3, []), (None, ["c", "c"]), (None, ["c"]), (4, None)]
+    got = {(r.d, r.term): r for r in M.tf_idf(spark.createDataFrame(rows, "d int, t array<string>"), "d", "t").collect()}
+    assert {k: (r.tf, r.df) for k, r in got.items()} == {
+        (1, "a"): (2, 1), (1, "b"): (1, 2), (2, "b"): (1, 2), (None, "c"): (3, 1)}
+    assert got[1, "a"].tf_idf == pytest.approx(2 * np.log(7 / 2)) and got[1, "b"].idf == pytest.approx(np.log(7 / 3))
+
+
 def test_topic_counts_stay_in_their_blocks(spark):
     rng = np.random.default_rng(5)
     rows = [(f"d{rng.integers(9)}" if i % 11 else None, int(rng.integers(25)), float(rng.random() + 0.1)) for i in range(300)]
