@@ -621,12 +621,16 @@ DOC_TERMS_SQL = f"""d AS (SELECT doc_id, f,
 
 TEXT_TASKS = 32  # documents are one file: deal its rows to so many tasks at least,
 TEXT_ROWS = 10_000  # and to more if there are more rows than so many a task
+TEXT_BYTES = 64 << 20  # or more text, where a task holds a block's words at once
 
 
 def _doc_terms(spark, sf_dir, key=None):
     from statflow.operators.partitioning import spread
     docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
-    docs = spread(docs, max(TEXT_TASKS, -(-docs.count() // TEXT_ROWS)), key)
+    return _with_terms(spread(docs, max(TEXT_TASKS, -(-docs.count() // TEXT_ROWS)), key))
+
+
+def _with_terms(docs):
     return (docs.withColumn("tokens", Y.tokenize("text"))
             .withColumn("filtered", Y.remove_stopwords("tokens"))
             .withColumn("bigrams", Y.ngrams("filtered", 2))
@@ -706,21 +710,21 @@ v AS (SELECT term, CAST(row_number() OVER (ORDER BY count(*) DESC, term) - 1 AS
 SELECT doc_id, CAST(pos AS INTEGER) AS pos, term_index, term FROM toks JOIN v USING (term)
 """)
 def lookup_q(spark, sf_dir):
-    from statflow.operators.models import lookup_long
+    from statflow.operators.models import block_terms, encode, in_blocks, lookup_long
     from statflow.operators.ordering import global_rank
-    d = _doc_terms(spark, sf_dir).select("doc_id", "tokens")
-    pos = Y.explode_values(d, ["doc_id"], "tokens", "term", pos="pos")
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    n, size = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    blocks = max(TEXT_TASKS, -(-n // TEXT_ROWS), -(-(size or 0) // TEXT_BYTES))
+    d = _with_terms(in_blocks(docs, ["doc_id"], blocks)).select("block", "doc_id", "tokens")
+    held = block_terms(d, "tokens")
     # Vocabulary: total count descending, ties by term, ranked distributed.
-    stats = pos.groupBy("term").agg(F.count(F.lit(1)).alias("ttf"))
+    stats = held.groupBy("term").agg(F.sum("n").alias("ttf"))
     vocab = global_rank(stats, [F.desc("ttf"), F.asc("term")], "rank").select(
         (F.col("rank") - 1).cast("int").alias("term_index"), "term")
     # Encode: token positions -> indices, one array per document.
-    coded = (pos.join(vocab, "term")
-             .groupBy("doc_id")
-             .agg(F.array_sort(F.collect_list(F.struct("pos", "term_index"))).alias("__p"))
-             .select("doc_id", F.transform("__p", lambda s: s["term_index"]).alias("idx")))
+    coded = encode(d, "doc_id", "tokens", held, vocab, "idx")
     # Decode: indices -> words.
-    return lookup_long(coded, ["doc_id"], "idx", vocab)
+    return lookup_long(coded, ["doc_id"], "idx", vocab, blocks=blocks)
 
 
 @query("vocabulary", f"""
