@@ -112,6 +112,48 @@ class Grams:
         return out
 
 
+class Parts:
+    """What the automata of some n-grams share whatever their (a, b) is.
+
+    ``path`` (see ``walk``): the parts of the tokens' ways; ``learn``: the tokens to leave out.
+    The n-grams of all orders are numbered one order after another (``first[k]`` is where
+    those of order k begin), so a token's arc is one number.
+    """
+
+    def __init__(self, grams: Grams, counts: list[np.ndarray], tokens: int, distinct: int):
+        self.grams, self.counts = grams, counts
+        self.p = (counts[1] + 1.0) / (tokens + distinct + 1.0)
+        self.root, self.left = np.log10(self.p), np.maximum(counts[1], 1.0) / max(tokens + distinct, 1)
+        self.first = np.cumsum([0, 0, *map(len, counts[1:])])
+        self.fewer = [None, *[np.maximum(n - 1.0, 0.0) for n in counts[1:]]]
+        self.power = (None, [])
+
+    def powers(self, b: float) -> list[np.ndarray]:
+        """n ** b of the counts below the highest order."""
+        if self.power[0] != b:
+            self.power = (b, [None, *[n.astype(float) ** b for n in self.counts[1:-1]]])
+        return self.power[1]
+
+    def follow(self, path: tuple[np.ndarray, np.ndarray]) -> None:
+        depth, taken = path
+        index, order = self.grams.index, self.grams.order
+        self.arc, self.failed = np.empty(len(depth), np.int64), [None]
+        for k in range(1, order + 1):
+            at = np.flatnonzero(taken == k)
+            self.arc[at] = index[k][at] + self.first[k]
+            if k > 1:
+                at = np.flatnonzero((taken < k) & (depth >= k - 1))
+                self.failed.append((at, self.grams.prefix[k][index[k][at]]))
+
+    def leave_out(self, learn: np.ndarray) -> None:
+        index = self.grams.index
+        self.tokens = np.flatnonzero(learn)
+        self.longest = index[1][self.tokens].copy()
+        for k in range(2, self.grams.order + 1):
+            own = index[k][self.tokens]
+            self.longest = np.where(own >= 0, own + self.first[k], self.longest)
+
+
 class Automaton:
     """The part of the backoff automaton that some documents reach.
 
@@ -120,47 +162,41 @@ class Automaton:
     """
 
     def __init__(self, grams: Grams, counts: list[np.ndarray], tokens: int, distinct: int,
-                 a: float, b: float):
+                 a: float, b: float, parts: Parts | None = None):
         self.grams, self.counts, self.tokens, self.distinct = grams, counts, tokens, distinct
-        self.root = np.log10((counts[1] + 1.0) / (tokens + distinct + 1.0))
-        self.mass, self.fail, self.p = [None], [None], [None, 10.0 ** self.root]
+        self.parts = parts = parts or Parts(grams, counts, tokens, distinct)
+        self.root, self.p, self.fail, self.left = parts.root, [None, parts.p], [None], [None, parts.left]
+        powers = parts.powers(b)
         for k in range(2, grams.order + 1):
-            n = counts[k - 1].astype(float)
-            mass, state = a * n ** b, n > 0  # m(h); 0 where h is no state
-            total = np.where(state, n + mass, 1.0)
-            self.mass.append(mass)
-            self.fail.append(np.log10(np.where(state, mass / total, 1.0)))
-            h, lower = grams.prefix[k], self.p[k - 1][grams.suffix[k]]
-            self.p.append(np.where(state[h], (counts[k] + mass[h] * lower) / total[h], lower))
-
-    def arcs(self, k: int) -> np.ndarray:
-        """log10 p(w | h) of each k-gram: the weight of its arc where it was seen."""
-        return np.log10(self.p[k])
-
-    def scores(self, path: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-        """For each token the weights on its part of ``path`` (see ``walk``), added up: the
-        failure arcs from the state that the walk carried, then the arc taken."""
-        depth, taken = path
-        index, out = self.grams.index, np.zeros(len(depth))
-        for k in range(1, self.grams.order + 1):
-            at = np.flatnonzero(taken == k)
-            out[at] += self.arcs(k)[index[k][at]] if k > 1 else self.root[index[1][at]]
-            if k > 1:
-                at = np.flatnonzero((taken < k) & (depth >= k - 1))
-                out[at] += self.fail[k - 1][self.grams.prefix[k][index[k][at]]]
+            n, h, suffix = counts[k - 1], grams.prefix[k], grams.suffix[k]
+            # m(h); 1 where h is no state, so that its failure arc weighs nothing.
+            mass = np.where(n > 0, a * powers[k - 1], 1.0)
+            total = n + mass
+            self.fail.append(np.log10(mass / total))
+            m = mass[h]
+            self.p.append((counts[k] + m * self.p[k - 1][suffix]) / total[h])
+            self.left.append((parts.fewer[k] + m * self.left[k - 1][suffix])
+                             / (parts.fewer[k - 1][h] + m))
+
+    def scores(self, path: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        """For each token the weights on its part of ``path`` (see ``walk``; None: the one the
+        parts follow), added up: the failure arcs from the state that the walk carried, and
+        the arc taken."""
+        if path is not None:
+            self.parts.follow(path)
+        out = np.log10(np.concatenate(self.p[1:])[self.parts.arc])
+        for fail, (at, state) in zip(self.fail[1:], self.parts.failed[1:]):
+            out[at] += fail[state]
         return out
 
-    def left_out(self) -> np.ndarray:
-        """For each token log10 of its probability if it is a training token that is itself
-        left out of all counts."""
-        grams, p = self.grams, [None]
-        p.append(np.maximum(self.counts[1], 1.0) / max(self.tokens + self.distinct, 1))
-        for k in range(2, grams.order + 1):
-            h = grams.prefix[k]
-            n = np.maximum(self.counts[k - 1][h] - 1.0, 0.0)
-            mass = np.where(n > 0, self.mass[k - 1][h], 1.0)
-            p.append((np.maximum(self.counts[k] - 1.0, 0.0) + mass * p[k - 1][grams.suffix[k]]) / (n + mass))
-        return np.log10(grams.by_token(p))
+    def left_out(self, learn: np.ndarray | None = None) -> np.ndarray:
+        """For each token of ``learn`` (None: those of the parts) log10 of its probability if it
+        is a training token that is itself left out of all counts; 0 for the others."""
+        if learn is not None:
+            self.parts.leave_out(learn)
+        out = np.zeros(len(self.grams.place))
+        out[self.parts.tokens] = np.log10(np.concatenate(self.left[1:])[self.parts.longest])
+        return out
 
 
 def walk(grams: Grams, counts: list[np.ndarray], lane: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -449,12 +485,14 @@ def _score(folder: str, order: int):
         counts = [None, *[n >> 1 for n in known[1:]]]
         del known
         bounds, word, n_docs = block.bounds, block.word, len(block.doc_ids)
-        path = walk(grams, counts)
+        parts = Parts(grams, counts, tokens, distinct)
+        parts.follow(walk(grams, counts))
+        parts.leave_out(block.learn)
         scores, left_out = np.empty((n_docs, len(GRID))), np.empty((n_docs, len(GRID)))
-        for g, (a, b) in enumerate(GRID):
-            automaton = Automaton(grams, counts, tokens, distinct, a, b)
-            scores[:, g] = _sum_rows(automaton.scores(path), bounds)
-            left_out[:, g] = np.where(block.train, _sum_rows(automaton.left_out(), bounds), 0.0)
+        for g in sorted(range(len(GRID)), key=lambda g: GRID[g][1]):
+            automaton = Automaton(grams, counts, tokens, distinct, *GRID[g], parts)
+            scores[:, g] = _sum_rows(automaton.scores(), bounds)
+            left_out[:, g] = _sum_rows(automaton.left_out(), bounds)
         lists = np.arange(n_docs + 1, dtype=np.int32) * len(GRID)
         out = pa.table({
             "doc_id": pa.array(block.doc_ids, mask=~block.valid), "held_out": pa.array(~block.train),
@@ -464,7 +502,7 @@ def _score(folder: str, order: int):
             "base_score": pa.array(_sum_rows(automaton.root[word], bounds)),
             "scores": pa.ListArray.from_arrays(pa.array(lists), pa.array(scores.ravel())),
             "left_out": pa.ListArray.from_arrays(pa.array(lists), pa.array(left_out.ravel()))})
-        del block, grams, counts, automaton, path
+        del block, grams, counts, automaton, parts
         release_memory()
         return out
 

@@ -311,3 +311,29 @@ def test_every_labelled_row_is_learned(spark):
     _, bucket, _ = language.gram_counts(raw, bounds)
     want = (40_000 + 0.5) / (total + 0.5 * language.BUCKETS)
     assert abs(probs[bucket[0], languages.index("en")] / want - 1) < 1e-9
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_automata_of_all_masses_share_their_parts(order):
+    block = small_block(vocabulary=12)
+    one = automaton(block, order, 1.0, 0.5)
+    parts = ngram_lm.Parts(one.grams, one.counts, one.tokens, one.distinct)
+    path = ngram_lm.walk(one.grams, one.counts)
+    parts.follow(path)
+    parts.leave_out(block.learn)
+    for a, b in ngram_lm.GRID:
+        own = automaton(block, order, a, b)
+        shared = ngram_lm.Automaton(one.grams, one.counts, one.tokens, one.distinct, a, b, parts)
+        assert np.array_equal(shared.scores(), own.scores(path))
+        left = shared.left_out()
+        assert np.array_equal(left, own.left_out(block.learn)) and not left[~block.learn].any()
+        # A token that is left out: the counts of its n-grams, one less each.
+        k = order
+        at = int(np.flatnonzero(block.learn & (own.grams.index[k] >= 0))[0])
+        lower = max(own.counts[1][block.word[at]], 1) / (own.tokens + own.distinct)
+        for j in range(2, k + 1):
+            g = own.grams.index[j][at]
+            n = max(own.counts[j - 1][own.grams.prefix[j][g]] - 1, 0)
+            m = a * (n + 1) ** b if n else 1.0
+            lower = (max(own.counts[j][g] - 1, 0) + m * lower) / (n + m)
+        assert left[at] == pytest.approx(np.log10(lower))
