@@ -1,0 +1,113 @@
+"""Skip-gram vectors in blocks against one plain loop over all words."""
+
+import heapq
+
+import numpy as np
+import pytest
+
+from statflow.operators import models as M
+from statflow.operators import skipgram as S
+
+
+def _codes(tree, counts, words):
+    out = {}
+    for c, m in zip(counts, words):
+        for slot in range(m):
+            node, path = int(tree.leaves(np.array([c]), np.array([slot]))[0]), []
+            while node != tree.root:
+                up, bit = tree.up(np.array([node]))
+                path.append((int(up[0]), int(bit[0])))
+                node = path[-1][0]
+            out[c, slot] = path
+    return out
+
+
+@pytest.mark.parametrize("counts, words", [([1], [5]), ([1, 2, 3], [7, 3, 1]), ([4, 1, 9], [2, 1, 6]), ([3], [1])])
+def test_the_tree_of_runs_is_a_huffman_tree(counts, words):
+    codes = _codes(S.huffman(counts, words), counts, words)
+    heap = [c for c, m in zip(counts, words) for _ in range(m)]
+    heapq.heapify(heap)
+    best = 0
+    while len(heap) > 1:
+        a = heapq.heappop(heap) + heapq.heappop(heap)
+        best += a
+        heapq.heappush(heap, a)
+    assert sum(c * len(p) for (c, _), p in codes.items()) == best
+    bits = ["".join(str(b) for _, b in reversed(p)) for p in codes.values()]
+    assert len(set(bits)) == len(bits)
+    assert not any(a != b and b.startswith(a) for a in bits for b in bits)
+    children = {e for p in codes.values() for e in p}
+    assert len(children) == max(0, 2 * (sum(words) - 1))
+
+
+def test_the_driver_holds_runs_not_words(spark):
+    rows = [(i, [f"w{i}_{j}" for j in range(50)] + ["all"]) for i in range(100)]
+    df = spark.createDataFrame(rows, "id int, terms array<string>")
+    model, out = M.embed(df, "terms", "vec", 4, num_partitions=3)
+    assert model.words.count() == 5001 and len(model.tree.lo) < 40
+    assert out.columns == ["id", "terms", "vec"] and out.count() == 100
+
+
+def _plain(model, docs, block):
+    """Every pair of a block in turn, with a dictionary of paths."""
+    known = {r["term"]: r for r in model.words.collect()}
+    syn0 = {t: S.start_vectors(np.array([r["key"]]), model.size, model.seed)[0].astype(float) for t, r in known.items()}
+    syn1, moved = {}, set()
+    rng = np.random.default_rng([model.seed, block])
+    for terms in docs:
+        s = [t for t in terms if t in known]
+        reach = 5 - rng.integers(0, 5, len(s))
+        for i, t in enumerate(s):
+            path, node = [], known[t]["leaf"]
+            while node != model.tree.root:
+                up, bit = model.tree.up(np.array([node]))
+                node = int(up[0])
+                path.append((node, int(bit[0])))
+            near = [j for j in range(max(0, i - reach[i]), min(len(s), i + reach[i] + 1)) if j != i]
+            old0 = {j: syn0[s[j]].copy() for j in near}
+            old1 = {n: syn1.setdefault(n, np.zeros(model.size)).copy() for n, _ in path}
+            for j in near:
+                moved.add(s[j])
+                for n, bit in path:
+                    f = float(old0[j] @ old1[n])
+                    # The sigmoid is read from a table of 1000 places, as in Spark's Word2Vec.
+                    f = (int((f + 6) * 83) / 1000 * 2 - 1) * 6
+                    g = (1 - bit - 1 / (1 + np.exp(-f))) * 0.025
+                    syn0[s[j]] = syn0[s[j]] + g * old1[n]
+                    syn1[n] = syn1[n] + g * old0[j]
+    return syn0, moved
+
+
+def test_against_a_plain_loop(spark):
+    rng = np.random.default_rng(1)
+    docs = [[f"w{x}" for x in rng.integers(0, 30, rng.integers(0, 40))] + [f"own{i}"] for i in range(24)]
+    docs += [[], None, ["w1", None, "w2"], ["lonely"], docs[3]]
+    df = spark.createDataFrame(list(enumerate(docs)), "id int, terms array<string>").repartition(3)
+    model, out = M.embed(df, "terms", "vec", 6, seed=7, num_partitions=4)
+    rows = {r["__row"]: r for r in model.rows.collect()}
+    homes = {r["__row"]: r["__b"] for r in model.rows.select("__row", S._block(4)).collect()}
+    fits = [_plain(model, [rows[r]["terms"] or [] for r in sorted(rows) if homes[r] == b], b) for b in range(4)]
+    want = {}
+    for t in fits[0][0]:
+        use = [f[0][t] for f in fits if t in f[1]] or [fits[0][0][t]]
+        want[t] = np.mean(use, 0)
+    got = {r["word"]: r["vector"].toArray() for r in model.getVectors().collect()}
+    assert got.keys() == want.keys()
+    assert all(np.allclose(got[t], want[t], atol=1e-6) for t in want)
+    start = {r["term"]: S.start_vectors(np.array([r["key"]]), 6, 7)[0] for r in model.words.collect()}
+    assert max(np.abs(got[t] - start[t]).max() for t in want) > 1e-4
+    assert np.allclose(got["lonely"], start["lonely"])
+    for r in out.collect():
+        terms = docs[r["id"]] or []
+        mean = sum((got[t] for t in terms if t), np.zeros(6)) / max(len(terms), 1)
+        assert np.allclose(r["vec"].toArray(), mean, atol=1e-6)
+    assert out.count() == len(docs)
+
+
+def test_rare_terms_are_dropped_and_nothing_to_fit_is_an_error(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["c", "a"])], "id int, terms array<string>")
+    model, out = M.embed(df, "terms", "vec", 3, min_count=2)
+    assert [r["word"] for r in model.getVectors().collect()] == ["a"]
+    assert {r["id"]: len(r["vec"]) for r in out.collect()} == {1: 3, 2: 3}
+    with pytest.raises(ValueError):
+        M.embed(df.limit(0), "terms", "vec", 3)
