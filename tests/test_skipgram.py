@@ -111,3 +111,12 @@ def test_rare_terms_are_dropped_and_nothing_to_fit_is_an_error(spark):
     assert {r["id"]: len(r["vec"]) for r in out.collect()} == {1: 3, 2: 3}
     with pytest.raises(ValueError):
         M.embed(df.limit(0), "terms", "vec", 3)
+
+
+def test_embedded_topics_train_in_blocks(spark):
+    from statflow.plans import flows
+    df = spark.createDataFrame([(f"river sand silt {w} mouth holds {w} sand",) for w in "abcdefgh"], "body string")
+    tm, rows = flows.topic_model_embedded(df, "body", k=2, max_iter=2, seed=1)
+    assert isinstance(tm.embedder, S.WordVectors) and tm.embedder.getVectorSize() == 7
+    assert tm.embedder.getVectors().count() == tm.embedder.words.count()
+    assert M.topics(tm.lda, 3).count() == 6
