@@ -79,3 +79,16 @@ def test_mixtures_by_blocks_are_those_by_a_join(spark):
                           for x in (m, dataclasses.replace(m, folder=None, blocks=0)))
     assert by_blocks.keys() == by_join.keys() == set("abcd")
     assert all(by_blocks[k] == pytest.approx(by_join[k]) for k in by_join)
+
+
+def test_eigenvector_rounds_keep_their_result_only(spark):
+    from statflow.operators import embeddings as E
+    texts = [(i, [f"w{(i * j) % 23}" for j in range(2 + i % 9)]) for i in range(60)]
+    df = spark.createDataFrame(texts, "d int, terms array<string>")
+    before, held = _folders(spark), _shuffles(spark)
+    model = E.embed_terms(df, "terms", 3)
+    left = _folders(spark) - before
+    assert len(left) == 1 and next(iter(left)).startswith("rdd-")  # the vectors
+    assert not _shuffles(spark) - held
+    assert model.size == 3 and model.vectors.count() > 20
+    assert E.mean_vectors(df, ["d"], "terms", model).count() == 60
